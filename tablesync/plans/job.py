@@ -29,7 +29,7 @@ from tablesync.functions.clean import sanitize
 from tablesync.functions.redact_text import redact_text
 from tablesync.operators import contracts as ct
 from tablesync.operators.cursor import cursor_candidate, delta_filter
-from tablesync.operators.upsert import delta_upsert, full_refresh
+from tablesync.operators.upsert import full_refresh
 from tablesync.plans.publish import TableStore, VerificationError
 
 STAGES = ["EXTRACT", "VALIDATE", "LOAD", "VERIFY"]
@@ -257,26 +257,28 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             staged = staged.groupBy(*keys).agg(
                 F.max_by(F.struct(*staged.columns), F.col(spec.replication_key)).alias("_r")).select("_r.*")
         state.event(run_id, "stage_start", "LOAD")
-        target = state.tables.current(pipeline)
-        loaded_obs = Observation("loaded")
-        inserted = staged.observe(loaded_obs, F.count(F.lit(1)).alias("n"))
-        if spec.mode == "full" or target is None:
-            new_table = full_refresh(inserted)
+        tables = state.tables
+        base, _ = tables.state(pipeline)
+        as_layer = spec.mode != "full" and base is not None
+        # Full mode (or first delta run) writes a new base generation; later
+        # delta runs write only the staged rows as a layer: O(delta) work.
+        if as_layer:
+            written, ctx["loaded"] = tables.write_layer(pipeline, staged, run_id)
         else:
-            new_table = delta_upsert(target, inserted, spec.pk, staged_rows=staged_rows)
-        gen_path, gen_rows = state.tables.write_generation(pipeline, new_table, run_id)
-        ctx["loaded"] = int(loaded_obs.get["n"])
-        ctx["target_rows"] = gen_rows
+            written, ctx["loaded"] = tables.write_generation(pipeline, full_refresh(staged), run_id)
         finish_stage("LOAD")
 
         # ----------------------------------------------------------- VERIFY
-        # Before the swap: a failed check leaves the old generation current.
+        # Before the data becomes visible: a failed check leaves the old state.
         expected = ctx.get("valid", ctx["staged"])
         if ctx["extracted"] > 0 and ctx["loaded"] == 0 and expected > 0:
             raise VerificationError(f"verification failed: {ctx['extracted']} extracted, 0 loaded")
         if ctx["loaded"] != expected:
             raise VerificationError(f"count mismatch: {expected} expected, {ctx['loaded']} loaded")
-        state.tables.swap(pipeline, gen_path, run_id, gen_rows)
+        if as_layer:
+            tables.add_layer(pipeline, written, spec.pk, run_id, ctx["loaded"])
+        else:
+            tables.swap(pipeline, written, run_id, ctx["loaded"])
         if ctx.get("new_cursor") is not None:
             state.save_cursor(client, pipeline, run_id, ctx["new_cursor"])
         finish_stage("VERIFY")

@@ -1,86 +1,190 @@
-"""Atomic publish on plain parquet: write a generation, check it, swap a view.
-
-``<root>/<table>/gen=<run>`` is written first; only after its observed row
-count is verified is a row appended to the ``_generations`` pointer table and
-the session view replaced.  Readers see the old or the new generation, never
-a partial one; a failed write leaves an orphan directory and the old view.
-The pointer table is append-only parquet, so the current generation survives
-the session: ``current()`` reads its latest row (a one-row aggregate).
+"""Atomic publish on plain parquet: base generations plus delta layers.
+
+A table is one *base* generation plus an ordered list of *delta layers*:
+
+* full refresh writes a new base (``<root>/<table>/gen=<run>``);
+* a delta run writes only its staged rows as a layer -- O(delta), not
+  O(table) -- so a 37-row daily delta never rewrites a 100 TB target;
+* readers fold the layers onto the base with the keyed upsert
+  (``operators.upsert.delta_upsert``): each layer's key set is broadcast when
+  its observed row count is bounded, so reading the current table is one scan
+  of the base with no shuffle of it;
+* when the layers since the base pass ``max_layers`` or ``max_layer_fraction``
+  of the base rows, the fold is compacted into a new base.
+
+Visibility is atomic: data is written first, its observed row count checked,
+and only then is a row appended to the ``_generations`` pointer table (and the
+session view replaced).  Readers see the previous or the new state, never a
+partial one; a failed write leaves an orphan folder and the old state.  The
+pointer rows a reader needs (one base + at most ``max_layers`` layers) are
+bounded, so collecting them on the driver is cheap.
 """
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+POINTER_SCHEMA = ("table string, kind string, path string, run_id string, seq long, rows long, "
+                  "pk string")
+
 
 class VerificationError(RuntimeError):
     pass
 
 
 class TableStore:
-    """Generations of published tables under one shared root folder."""
+    """Published tables under one shared root folder."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, max_layers: int = 8,
+                 max_layer_fraction: float = 0.25):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.max_layers = max_layers
+        self.max_layer_fraction = max_layer_fraction
+        # Pointer state of tables this store has read or written.  A table has
+        # one writer (its sync job or stream), which keeps this cache exact;
+        # ``state(refresh=True)`` re-reads the pointer table.
+        self._cache: dict[str, tuple[dict | None, list[dict]]] = {}
 
     @property
     def pointer_path(self) -> str:
         return f"{self.root}/_generations"
 
+    # ------------------------------------------------------------- reading
     def _pointers(self) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(self.pointer_path)
-        except Exception:  # noqa: BLE001 - no generation published yet
+            return self.spark.read.schema(POINTER_SCHEMA).parquet(self.pointer_path)
+        except Exception:  # noqa: BLE001 - nothing published yet
             return None
 
-    def current_path(self, table: str) -> str | None:
+    def state(self, table: str, refresh: bool = False) -> tuple[dict | None, list[dict]]:
+        """(latest base, layers after it in order) from the pointer table."""
+        if not refresh and table in self._cache:
+            base, layers = self._cache[table]
+            return base, list(layers)
+        got = self._read_state(table)
+        self._cache[table] = got
+        return got[0], list(got[1])
+
+    def _read_state(self, table: str) -> tuple[dict | None, list[dict]]:
         ptr = self._pointers()
         if ptr is None:
-            return None
-        row = (ptr.where(F.col("table") == table)
-               .agg(F.max_by("path", "seq").alias("path")).first())
-        return row["path"] if row else None
+            return None, []
+        mine = ptr.where(F.col("table") == table)
+        # Two one-row / bounded reads: the latest base, then the layers after it
+        # (at most max_layers + 1 rows, since compaction keeps the list short).
+        latest = (mine.where(F.col("kind") == "base")
+                  .agg(F.max_by(F.struct(*mine.columns), F.col("seq")).alias("b")).first())
+        if latest is None or latest["b"] is None:
+            return None, []
+        base = latest["b"].asDict()
+        layers = [r.asDict() for r in mine.where((F.col("kind") == "layer") & (F.col("seq") > base["seq"]))
+                  .orderBy("seq").collect()]
+        return base, layers
 
     def current(self, table: str) -> DataFrame | None:
-        """The published table, or None before the first publish."""
-        path = self.current_path(table)
-        return None if path is None else self.spark.read.parquet(path)
+        """The current table, or None before the first publish."""
+        base, layers = self.state(table)
+        if base is None:
+            return None
+        return self._fold(base, layers)
+
+    def current_path(self, table: str) -> str | None:
+        base, _ = self.state(table)
+        return None if base is None else base["path"]
+
+    def _fold(self, base: dict, layers: list[dict]) -> DataFrame:
+        from tablesync.operators.upsert import delta_upsert
+
+        df = self.spark.read.parquet(base["path"])
+        for layer in layers:
+            pk = json.loads(layer["pk"])
+            df = delta_upsert(df, self.spark.read.parquet(layer["path"]), pk, staged_rows=layer["rows"])
+        return df
+
+    # ------------------------------------------------------------- writing
+    def _write(self, df: DataFrame, path: str) -> int:
+        obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
+        return int(obs.get["rows"])
+
+    def _point(self, table: str, kind: str, path: str, run_id: str, rows: int, pk=None) -> None:
+        base, layers = self.state(table)
+        row = (table, kind, path, str(run_id), time.time_ns(), rows, json.dumps(pk) if pk else None)
+        self.spark.createDataFrame([row], POINTER_SCHEMA).write.mode("append").parquet(self.pointer_path)
+        entry = dict(zip(["table", "kind", "path", "run_id", "seq", "rows", "pk"], row))
+        self._cache[table] = (entry, []) if kind == "base" else (base, layers + [entry])
 
     def write_generation(self, table: str, df: DataFrame, run_id: str) -> tuple[str, int]:
-        """Write a new generation (not yet visible); return (path, rows)."""
+        """Write a base generation (not yet visible); return (path, rows)."""
         path = f"{self.root}/{table}/gen={run_id}-{uuid.uuid4().hex[:8]}"
-        obs = Observation(f"gen_{uuid.uuid4().hex[:8]}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-        return path, int(obs.get["rows"])
+        return path, self._write(df, path)
+
+    def write_layer(self, table: str, staged: DataFrame, run_id: str) -> tuple[str, int]:
+        """Write a delta layer (not yet visible); return (path, rows)."""
+        path = f"{self.root}/{table}/layer={run_id}-{uuid.uuid4().hex[:8]}"
+        return path, self._write(staged, path)
 
     def swap(self, table: str, path: str, run_id: str, rows: int) -> None:
-        """Make ``path`` the current generation (pointer row + view)."""
-        pointer = self.spark.createDataFrame(
-            [(table, path, str(run_id), time.time_ns(), rows)],
-            "table string, path string, run_id string, seq long, rows long")
-        pointer.write.mode("append").parquet(self.pointer_path)
-        self.register_view(table, path)
+        """Make a written base generation current."""
+        self._point(table, "base", path, run_id, rows)
+        self.refresh_view(table)
+
+    def add_layer(self, table: str, path: str, pk, run_id: str, rows: int) -> None:
+        """Make a written delta layer visible; compact when layers pile up."""
+        self._point(table, "layer", path, run_id, rows, pk)
+        base, layers = self.state(table)
+        layer_rows = sum(int(x["rows"]) for x in layers)
+        if (len(layers) > self.max_layers
+                or layer_rows > self.max_layer_fraction * max(int(base["rows"]), 1)):
+            self.compact(table)
+        else:
+            self.refresh_view(table)
+
+    def compact(self, table: str) -> str | None:
+        """Materialise base + layers as a new base generation."""
+        base, layers = self.state(table)
+        if base is None or not layers:
+            return None
+        run_id = f"compact-{int(time.time() * 1000)}"
+        path, rows = self.write_generation(table, self._fold(base, layers), run_id)
+        self.swap(table, path, run_id, rows)
+        return path
 
-    def register_view(self, table: str, path: str) -> None:
-        safe = path.replace("`", "``")
-        self.spark.sql(f"CREATE OR REPLACE TEMP VIEW `{table}` AS SELECT * FROM parquet.`{safe}`")
+    def refresh_view(self, table: str) -> None:
+        df = self.current(table)
+        if df is not None:
+            df.createOrReplaceTempView(table)
 
     def publish(self, table: str, df: DataFrame, run_id: str, expected: int | None = None) -> tuple[str, int]:
+        """Full refresh: replace the table with ``df``."""
         path, rows = self.write_generation(table, df, run_id)
         if expected is not None and rows != expected:
             raise VerificationError(f"count mismatch: {expected} expected, {rows} written")
         self.swap(table, path, run_id, rows)
         return path, rows
 
+    def publish_delta(self, table: str, staged: DataFrame, pk, run_id: str,
+                      expected: int | None = None) -> tuple[str, int]:
+        """Keyed delta: first run creates the base, later runs add a layer."""
+        base, _ = self.state(table)
+        if base is None:
+            return self.publish(table, staged, run_id, expected)
+        path, rows = self.write_layer(table, staged, run_id)
+        if expected is not None and rows != expected:
+            raise VerificationError(f"count mismatch: {expected} expected, {rows} written")
+        self.add_layer(table, path, pk, run_id, rows)
+        return path, rows
+
     def restore_views(self) -> None:
-        """Re-create the session views from the pointer table (new session)."""
+        """Re-create session views from the pointer table (new session)."""
         ptr = self._pointers()
         if ptr is None:
             return
-        for row in ptr.groupBy("table").agg(F.max_by("path", "seq").alias("path")).collect():
-            self.register_view(row["table"], row["path"])
+        for row in ptr.select("table").distinct().collect():
+            self.refresh_view(row["table"])

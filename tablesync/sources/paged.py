@@ -190,24 +190,25 @@ def page_bodies(records: DataFrame, endpoint: Column, order: str, page_size: int
     numbered = row_ordinal(records.withColumn("endpoint", endpoint), ["endpoint"], order,
                            "_rn", descending=True, total_col="_total")
     paged = numbered.withColumn("page", (F.floor((F.col("_rn") - 1) / page_size) + 1).cast("int"))
-    bodies = (paged.groupBy("endpoint", "page")
-              .agg(F.first("_total").alias("_total"),
-                   F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in rec_cols])), asc=False)
-                   .alias("registros"))
-              .select("endpoint", "page",
-                      F.to_json(F.struct("registros", F.col("_total").cast("string").alias("total")))
-                      .alias("body")))
+    per_page = (paged.groupBy("endpoint", "page")
+                .agg(F.first("_total").alias("_total"),
+                     F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in rec_cols])), asc=False)
+                     .alias("registros")))
+    bodies = per_page.select(
+        "endpoint", "page",
+        F.to_json(F.struct("registros", F.col("_total").cast("string").alias("total"))).alias("body"))
     if not terminators:
         return bodies
-    last = paged.groupBy("endpoint").agg(F.max("page").alias("_last"), F.first("_total").alias("_total"))
+    # Trailing pages come from the (small) per-page table, not the records.
+    last = per_page.groupBy("endpoint").agg(F.max("page").alias("_last"), F.first("_total").alias("_total"))
+    total_text = F.col("_total").cast("string")
     tail = last.select(
-        "endpoint", (F.col("_last") + 1).alias("page"),
-        F.concat(F.lit('{"registros":[],"total":"'), F.col("_total").cast("string"), F.lit('"}')).alias("body"),
-    ).unionByName(last.select(
-        "endpoint", (F.col("_last") + 2).alias("page"),
-        F.concat(F.lit('{"registros":null,"total":"'), F.col("_total").cast("string"), F.lit('"}')).alias("body"),
-    )).unionByName(last.select(
-        "endpoint", (F.col("_last") + 3).alias("page"),
-        F.concat(F.lit('{"total":"'), F.col("_total").cast("string"), F.lit('"}')).alias("body"),
-    ))
+        "endpoint", F.explode(F.array(
+            F.struct((F.col("_last") + 1).alias("page"),
+                     F.concat(F.lit('{"registros":[],"total":"'), total_text, F.lit('"}')).alias("body")),
+            F.struct((F.col("_last") + 2).alias("page"),
+                     F.concat(F.lit('{"registros":null,"total":"'), total_text, F.lit('"}')).alias("body")),
+            F.struct((F.col("_last") + 3).alias("page"),
+                     F.concat(F.lit('{"total":"'), total_text, F.lit('"}')).alias("body")),
+        )).alias("_t")).select("endpoint", "_t.page", "_t.body")
     return bodies.unionByName(tail)

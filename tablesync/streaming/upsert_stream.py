@@ -1,8 +1,9 @@
 """Incremental sync as Structured Streaming micro-batches.
 
 ``readStream`` over landing files -> ``foreachBatch``: clean the batch, stage
-it as parquet (the batch's restart point), upsert it into the current
-generation by key, publish the new generation, then record the batch id.  A
+it as parquet (the batch's restart point), publish it as a keyed delta layer
+of the table (O(batch) work; readers fold layers with the keyed upsert and
+the store compacts them), then record the batch id.  A
 batch id already recorded is skipped, and re-applying a batch is harmless
 anyway because the upsert is idempotent -- so replays after a crash between
 publish and the stream's own commit change nothing.
@@ -10,12 +11,11 @@ publish and the stream's own commit change nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.functions.clean import sanitize
-from tablesync.operators.upsert import delta_upsert
 from tablesync.plans.publish import TableStore
 
 APPLIED_SCHEMA = "table string, batch_id long"
@@ -25,30 +25,35 @@ def _applied_path(store: TableStore) -> str:
     return f"{store.root}/_applied_batches"
 
 
-def batch_applied(spark: SparkSession, store: TableStore, table: str, batch_id: int) -> bool:
+def applied_batches(spark: SparkSession, store: TableStore, table: str) -> set[int]:
+    """Batch ids already applied to ``table`` (one row per micro-batch)."""
     try:
         applied = spark.read.schema(APPLIED_SCHEMA).parquet(_applied_path(store))
     except Exception:  # noqa: BLE001 - nothing applied yet
-        return False
-    return applied.where((F.col("table") == table) & (F.col("batch_id") == batch_id)).limit(1).count() > 0
+        return set()
+    return {r[0] for r in applied.where(F.col("table") == table).select("batch_id").collect()}
 
 
 def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore):
     """The ``foreachBatch`` function for one target table."""
+    done: set[int] | None = None
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch_applied(spark, store, table, batch_id):
+        nonlocal done
+        if done is None:
+            done = applied_batches(spark, store, table)
+        if batch_id in done:
             return
         stage = f"{store.root}/_staging/{table}/batch={batch_id}"
-        sanitize(batch).write.mode("overwrite").parquet(stage)
-        staged = spark.read.parquet(stage)
-        rows = staged.count()
+        obs = Observation(f"batch_{table}_{batch_id}")
+        sanitize(batch).observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(stage)
+        rows = int(obs.get["n"])
         if rows:
-            target = store.current(table)
-            result = staged if target is None else delta_upsert(target, staged, pk, staged_rows=rows)
-            store.publish(table, result, run_id=f"b{batch_id}")
+            # O(batch) work: the batch becomes a delta layer of the table.
+            store.publish_delta(table, spark.read.parquet(stage), pk, run_id=f"b{batch_id}", expected=rows)
         spark.createDataFrame([(table, batch_id)], APPLIED_SCHEMA) \
             .write.mode("append").parquet(_applied_path(store))
+        done.add(batch_id)
 
     return apply
 

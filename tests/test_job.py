@@ -104,3 +104,27 @@ def test_generation_swap_changes_types(spark, workdir):
     store.publish("w", spark.range(2).select(F.col("id").cast("string").alias("id")), run_id="1")
     store.publish("w", spark.range(2), run_id="2")
     assert dict(spark.table("w").dtypes)["id"] == "bigint"
+
+
+def test_layers_fold_like_sequential_upserts_and_compact(spark, workdir):
+    from tablesync.operators.upsert import delta_upsert
+
+    store = TableStore(spark, workdir, max_layers=3, max_layer_fraction=10.0)
+    base = spark.createDataFrame([(i, f"b{i}") for i in range(100)], "id long, v string")
+    store.publish("l", base, run_id="0")
+    expected = base
+    for n in range(1, 6):
+        delta = spark.createDataFrame([(i, f"d{n}-{i}") for i in range(n * 10, n * 10 + 15)] + [(None, "x")],
+                                      "id long, v string")
+        if n == 4:
+            delta = delta.withColumn("extra", F.lit(n))
+        store.publish_delta("l", delta, "id", run_id=str(n))
+        expected = delta_upsert(expected, delta, "id")
+        key = lambda r: [(v is None, str(v)) for v in r]
+        got = sorted((tuple(r) for r in store.current("l").collect()), key=key)
+        assert got == sorted((tuple(r) for r in expected.collect()), key=key)
+    base_row, layers = store.state("l", refresh=True)
+    # 5 deltas with max_layers=3: one compaction happened, layers stay bounded.
+    assert base_row["run_id"].startswith("compact-") and len(layers) <= 3
+    plan = store.current("l")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
