@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.functions.clean import parse_total
@@ -137,12 +137,13 @@ def page_ledger(pages: DataFrame, body: str = "body") -> DataFrame:
 def page_progress(ledger: DataFrame, page_size: int) -> DataFrame:
     """Cumulative fetched rows, percent done (1 decimal) and total pages.
 
-    The window is per endpoint over page rows; a source stops at 100 000
-    pages, so one endpoint's page list is bounded."""
-    w = Window.partitionBy("endpoint").orderBy("page").rowsBetween(Window.unboundedPreceding, 0)
-    fetched = F.sum("n_records").over(w).cast("long")
+    The running sum per endpoint uses ``ordinal.running_total`` (blocks of
+    4096 pages), so a hot endpoint is not one task."""
+    from tablesync.operators.ordinal import running_total
+
     total = F.col("total")
-    return (ledger.withColumn("fetched", fetched)
+    return (running_total(ledger, ["endpoint"], "page", F.col("n_records"), "fetched", block_bits=12)
+            .withColumn("fetched", F.col("fetched").cast("long"))
             .withColumn("pct", F.when(total > 0, F.round(F.col("fetched") / total * 100, 1)))
             .withColumn("total_pages",
                         F.when(total > 0, F.ceil(total / F.lit(page_size)).cast("long"))))

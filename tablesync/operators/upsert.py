@@ -23,12 +23,20 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablesync.functions.types import added_column_type, to_added_type
 
-# Staged key sets up to this many rows are broadcast (8-64 byte keys ->
-# well under the default 8 GB broadcast limit and a few hundred MB at most).
-DEFAULT_BROADCAST_KEY_ROWS = 5_000_000
+# A staged key set is broadcast only under BOTH bounds: its observed row
+# count and its key bytes (observed, or rows x width for fixed-width keys).
+DEFAULT_BROADCAST_KEY_ROWS = 20_000_000
+DEFAULT_BROADCAST_KEY_BYTES = 256 * 1024 * 1024
+
+
+# Bytes per value of fixed-width key types (upper bounds).
+_FIXED_WIDTH = {T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.LongType: 8, T.FloatType: 4,
+                T.DoubleType: 8, T.DateType: 4, T.TimestampType: 8, T.TimestampNTZType: 8,
+                T.BooleanType: 1, T.DecimalType: 16}
 
 
 def _q(name: str) -> str:
@@ -74,14 +82,39 @@ def full_refresh(staged: DataFrame) -> DataFrame:
     return staged
 
 
+def key_bytes(pk: str | Sequence[str]):
+    """Aggregate for an ``Observation``: bytes of the key values as text."""
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    total = None
+    for k in keys:
+        b = F.coalesce(F.octet_length(F.col(f"`{k}`").cast("string")), F.lit(0))
+        total = b if total is None else total + b
+    return F.sum(total).cast("long")
+
+
+def broadcast_ok(staged: DataFrame, keys: Sequence[str], staged_rows: int | None,
+                 staged_key_bytes: int | None, max_rows: int, max_bytes: int) -> bool:
+    """True only when the key side's size is bounded by observed figures."""
+    if staged_rows is None or staged_rows > max_rows:
+        return False
+    if staged_key_bytes is not None:
+        return staged_key_bytes + 16 * staged_rows <= max_bytes
+    types = {f.name: f.dataType for f in staged.schema.fields}
+    widths = [_FIXED_WIDTH.get(type(types[k])) for k in keys]
+    if any(w is None for w in widths):
+        return False  # variable-width key without a measured size: no proven bound
+    return staged_rows * (sum(widths) + 16) <= max_bytes
+
+
 def delta_upsert(target: DataFrame | None, staged: DataFrame, pk: str | Sequence[str],
-                 staged_rows: int | None = None,
-                 broadcast_key_rows: int = DEFAULT_BROADCAST_KEY_ROWS) -> DataFrame:
+                 staged_rows: int | None = None, staged_key_bytes: int | None = None,
+                 broadcast_key_rows: int = DEFAULT_BROADCAST_KEY_ROWS,
+                 broadcast_key_bytes: int = DEFAULT_BROADCAST_KEY_BYTES) -> DataFrame:
     """Delete target rows whose key is staged, then insert all staged rows.
 
     ``target=None`` is the first delta run: the staged rows become the table.
-    ``staged_rows`` is the observed staged count (from the staging write); when
-    it is at most ``broadcast_key_rows`` the key side is broadcast.
+    ``staged_rows`` / ``staged_key_bytes`` are observed on the staging write;
+    when they bound the key set under both limits the key side is broadcast.
     """
     if target is None:
         return staged
@@ -97,7 +130,7 @@ def delta_upsert(target: DataFrame | None, staged: DataFrame, pk: str | Sequence
     t_types = {f.name: f.dataType for f in evolved.schema.fields}
     staged_keys = staged.where(not_null).select(
         *[F.col(_q(k)).cast(t_types[k]).alias(k) for k in keys])
-    if staged_rows is not None and staged_rows <= broadcast_key_rows:
+    if broadcast_ok(staged, keys, staged_rows, staged_key_bytes, broadcast_key_rows, broadcast_key_bytes):
         staged_keys = F.broadcast(staged_keys)
     else:
         staged_keys = staged_keys.distinct()

@@ -263,7 +263,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         # Full mode (or first delta run) writes a new base generation; later
         # delta runs write only the staged rows as a layer: O(delta) work.
         if as_layer:
-            written, ctx["loaded"] = tables.write_layer(pipeline, staged, run_id)
+            written, ctx["loaded"], ctx["key_bytes"] = tables.write_layer(pipeline, staged, run_id, spec.pk)
         else:
             written, ctx["loaded"] = tables.write_generation(pipeline, full_refresh(staged), run_id)
         finish_stage("LOAD")
@@ -276,7 +276,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         if ctx["loaded"] != expected:
             raise VerificationError(f"count mismatch: {expected} expected, {ctx['loaded']} loaded")
         if as_layer:
-            tables.add_layer(pipeline, written, spec.pk, run_id, ctx["loaded"])
+            tables.add_layer(pipeline, written, spec.pk, run_id, ctx["loaded"], ctx["key_bytes"])
         else:
             tables.swap(pipeline, written, run_id, ctx["loaded"])
         if ctx.get("new_cursor") is not None:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 POINTER_SCHEMA = ("table string, kind string, path string, run_id string, seq long, rows long, "
-                  "pk string")
+                  "pk string, key_bytes long")
 
 
 class VerificationError(RuntimeError):
@@ -104,40 +104,53 @@ class TableStore:
         df = self.spark.read.parquet(base["path"])
         for layer in layers:
             pk = json.loads(layer["pk"])
-            df = delta_upsert(df, self.spark.read.parquet(layer["path"]), pk, staged_rows=layer["rows"])
+            df = delta_upsert(df, self.spark.read.parquet(layer["path"]), pk, staged_rows=layer["rows"],
+                              staged_key_bytes=layer.get("key_bytes"))
         return df
 
     # ------------------------------------------------------------- writing
-    def _write(self, df: DataFrame, path: str) -> int:
-        obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").parquet(path)
-        return int(obs.get["rows"])
+    def _write(self, df: DataFrame, path: str, pk=None) -> tuple[int, int | None]:
+        """Write parquet; observe row count (and key bytes when ``pk`` is given)."""
+        from tablesync.operators.upsert import key_bytes
 
-    def _point(self, table: str, kind: str, path: str, run_id: str, rows: int, pk=None) -> None:
+        obs = Observation(f"w_{uuid.uuid4().hex[:8]}")
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if pk:
+            metrics.append(key_bytes(pk).alias("key_bytes"))
+        df.observe(obs, *metrics).write.mode("errorifexists").parquet(path)
+        got = obs.get
+        kb = got.get("key_bytes")
+        return int(got["rows"]), (int(kb) if kb is not None else (0 if pk else None))
+
+    def _point(self, table: str, kind: str, path: str, run_id: str, rows: int, pk=None,
+               key_bytes: int | None = None) -> None:
         base, layers = self.state(table)
-        row = (table, kind, path, str(run_id), time.time_ns(), rows, json.dumps(pk) if pk else None)
+        row = (table, kind, path, str(run_id), time.time_ns(), rows, json.dumps(pk) if pk else None,
+               key_bytes)
         self.spark.createDataFrame([row], POINTER_SCHEMA).write.mode("append").parquet(self.pointer_path)
-        entry = dict(zip(["table", "kind", "path", "run_id", "seq", "rows", "pk"], row))
+        entry = dict(zip(["table", "kind", "path", "run_id", "seq", "rows", "pk", "key_bytes"], row))
         self._cache[table] = (entry, []) if kind == "base" else (base, layers + [entry])
 
     def write_generation(self, table: str, df: DataFrame, run_id: str) -> tuple[str, int]:
         """Write a base generation (not yet visible); return (path, rows)."""
         path = f"{self.root}/{table}/gen={run_id}-{uuid.uuid4().hex[:8]}"
-        return path, self._write(df, path)
+        return path, self._write(df, path)[0]
 
-    def write_layer(self, table: str, staged: DataFrame, run_id: str) -> tuple[str, int]:
-        """Write a delta layer (not yet visible); return (path, rows)."""
+    def write_layer(self, table: str, staged: DataFrame, run_id: str, pk) -> tuple[str, int, int]:
+        """Write a delta layer (not yet visible); return (path, rows, key bytes)."""
         path = f"{self.root}/{table}/layer={run_id}-{uuid.uuid4().hex[:8]}"
-        return path, self._write(staged, path)
+        rows, kb = self._write(staged, path, pk)
+        return path, rows, kb
 
     def swap(self, table: str, path: str, run_id: str, rows: int) -> None:
         """Make a written base generation current."""
         self._point(table, "base", path, run_id, rows)
         self.refresh_view(table)
 
-    def add_layer(self, table: str, path: str, pk, run_id: str, rows: int) -> None:
+    def add_layer(self, table: str, path: str, pk, run_id: str, rows: int,
+                  key_bytes: int | None = None) -> None:
         """Make a written delta layer visible; compact when layers pile up."""
-        self._point(table, "layer", path, run_id, rows, pk)
+        self._point(table, "layer", path, run_id, rows, pk, key_bytes)
         base, layers = self.state(table)
         layer_rows = sum(int(x["rows"]) for x in layers)
         if (len(layers) > self.max_layers
@@ -175,10 +188,10 @@ class TableStore:
         base, _ = self.state(table)
         if base is None:
             return self.publish(table, staged, run_id, expected)
-        path, rows = self.write_layer(table, staged, run_id)
+        path, rows, kb = self.write_layer(table, staged, run_id, pk)
         if expected is not None and rows != expected:
             raise VerificationError(f"count mismatch: {expected} expected, {rows} written")
-        self.add_layer(table, path, pk, run_id, rows)
+        self.add_layer(table, path, pk, run_id, rows, kb)
         return path, rows
 
     def restore_views(self) -> None:
