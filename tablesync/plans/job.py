@@ -102,10 +102,11 @@ class StateStore:
         self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self.path(name))
 
     def read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        except Exception:  # noqa: BLE001 - table not written yet
-            return self.spark.createDataFrame([], schema)
+        from tablesync.session import path_exists
+
+        if not path_exists(self.path(name)):
+            return self.spark.createDataFrame([], schema)  # not written yet
+        return self.spark.read.schema(schema).parquet(self.path(name))
 
     # ---- ledger helpers
     def checkpoint(self, client, pipeline, run_id, stage, data_path=None, cleared=False):

@@ -57,10 +57,11 @@ class TableStore:
 
     # ------------------------------------------------------------- reading
     def _pointers(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(POINTER_SCHEMA).parquet(self.pointer_path)
-        except Exception:  # noqa: BLE001 - nothing published yet
-            return None
+        from tablesync.session import path_exists
+
+        if not path_exists(self.pointer_path):
+            return None  # nothing published yet
+        return self.spark.read.schema(POINTER_SCHEMA).parquet(self.pointer_path)
 
     def state(self, table: str, refresh: bool = False) -> tuple[dict | None, list[dict]]:
         """(latest base, layers after it in order) from the pointer table."""

@@ -75,3 +75,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if "://" not in path:
         os.makedirs(path, exist_ok=True)
     return path
+
+
+def path_exists(path: str) -> bool:
+    """Whether a file or folder exists (local paths and filesystem URIs)."""
+    from pyarrow import fs as pafs
+
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    uri = path if "://" in path else "file://" + os.path.abspath(path)
+    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    return filesystem.get_file_info(inner).type != pafs.FileType.NotFound

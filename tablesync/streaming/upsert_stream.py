@@ -27,10 +27,11 @@ def _applied_path(store: TableStore) -> str:
 
 def applied_batches(spark: SparkSession, store: TableStore, table: str) -> set[int]:
     """Batch ids already applied to ``table`` (one row per micro-batch)."""
-    try:
-        applied = spark.read.schema(APPLIED_SCHEMA).parquet(_applied_path(store))
-    except Exception:  # noqa: BLE001 - nothing applied yet
-        return set()
+    from tablesync.session import path_exists
+
+    if not path_exists(_applied_path(store)):
+        return set()  # nothing applied yet
+    applied = spark.read.schema(APPLIED_SCHEMA).parquet(_applied_path(store))
     return {r[0] for r in applied.where(F.col("table") == table).select("batch_id").collect()}
 
 
