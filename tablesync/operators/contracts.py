@@ -67,6 +67,10 @@ _SPARK_TYPES = {
 ERROR_TYPE = "struct<type:string,loc:array<string>,msg:string,input:string>"
 
 
+def _message_map():
+    return F.create_map(*[x for k, m in MESSAGES.items() for x in (F.lit(k), F.lit(m))])
+
+
 @dataclass(frozen=True)
 class Field:
     name: str
@@ -83,15 +87,6 @@ class Field:
         return self.default is not _NO_DEFAULT
 
 
-def _error(code: str, name: str, value: Column | None) -> Column:
-    return F.struct(
-        F.lit(code).alias("type"),
-        F.array(F.lit(name)).alias("loc"),
-        F.lit(MESSAGES[code]).alias("msg"),
-        (value.cast("string") if value is not None else F.lit(None).cast("string")).alias("input"),
-    )
-
-
 def _coerce(c: Column, src: T.DataType, f: Field) -> tuple[Column, Column]:
     """(coerced value, error code or NULL) for a non-NULL input."""
     none = F.lit(None).cast("string")
@@ -163,45 +158,62 @@ def _coerce(c: Column, src: T.DataType, f: Field) -> tuple[Column, Column]:
     raise ValueError(f"unknown contract type {f.type!r}")
 
 
+_NULL_CODE = {"long": "int_type", "int": "int_type", "double": "float_type", "string": "string_type",
+              "boolean": "bool_type", "date": "date_type", "timestamp": "datetime_type"}
+
+
 def field_checks(df: DataFrame, contract: list[Field]) -> tuple[list[Column], list[Column]]:
-    """Per contract field: the coerced value column and the error column."""
+    """Per contract field: the coerced value and the error code (NULL when fine)."""
     types = {fl.name: fl.dataType for fl in df.schema.fields}
-    values, errors = [], []
+    values, codes = [], []
     for f in contract:
         if f.name not in types:
             if f.has_default:
-                values.append(F.lit(f.default).cast(f.spark_type).alias(f.name))
-                errors.append(F.lit(None).cast(ERROR_TYPE))
+                values.append(F.lit(f.default).cast(f.spark_type))
+                codes.append(F.lit(None).cast("string"))
             else:
-                values.append(F.lit(None).cast(f.spark_type).alias(f.name))
-                errors.append(_error("missing", f.name, None))
+                values.append(F.lit(None).cast(f.spark_type))
+                codes.append(F.lit("missing"))
             continue
         c = F.col(f"`{f.name}`")
         v, code = _coerce(c, types[f.name], f)
-        null_code = F.lit(None).cast("string") if f.nullable else F.lit(
-            {"long": "int_type", "int": "int_type", "double": "float_type",
-             "string": "string_type", "boolean": "bool_type", "date": "date_type",
-             "timestamp": "datetime_type"}[f.type])
-        code = F.when(c.isNull(), null_code).otherwise(code)
-        err = F.when(code.isNotNull(), F.struct(
-            code.alias("type"), F.array(F.lit(f.name)).alias("loc"),
-            F.coalesce(*[F.when(code == k, F.lit(m)) for k, m in MESSAGES.items()]).alias("msg"),
-            c.cast("string").alias("input")))
-        values.append(F.when(c.isNull(), F.lit(None).cast(f.spark_type)).otherwise(v).alias(f.name))
-        errors.append(err)
-    return values, errors
+        null_code = F.lit(None).cast("string") if f.nullable else F.lit(_NULL_CODE[f.type])
+        codes.append(F.when(c.isNull(), null_code).otherwise(code))
+        values.append(F.when(c.isNull(), F.lit(None).cast(f.spark_type)).otherwise(v))
+    return values, codes
 
 
 def annotate(df: DataFrame, contract: list[Field]) -> DataFrame:
-    """Input columns + ``_record`` (row JSON) + ``_errors`` + ``_valid`` + coerced ``_v_<field>``."""
-    values, errors = field_checks(df, contract)
-    errs = F.filter(F.array(*errors), lambda e: e.isNotNull())
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+    """Input columns + coerced ``_v_<field>`` + ``_record`` (row JSON) +
+    ``_errors`` (array of error structs) + ``_valid``.
+
+    Two projections: the first computes each field's value and error code
+    once; the second builds the error structs from those columns, so no
+    parsing expression is evaluated twice per row.
+    """
+    values, codes = field_checks(df, contract)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    checked = df.select(
+        *cols,
         *[v.alias(f"_v_{f.name}") for v, f in zip(values, contract)],
+        *[code.alias(f"_c_{i}") for i, code in enumerate(codes)],
         to_json_record(df, "_record"),
-        errs.alias("_errors"),
-    ).withColumn("_valid", F.size("_errors") == 0)
+    )
+    messages = _message_map()
+    errors = []
+    for i, f in enumerate(contract):
+        code = F.col(f"_c_{i}")
+        given = F.col(f"`{f.name}`").cast("string") if f.name in df.columns else F.lit(None).cast("string")
+        errors.append(F.when(code.isNotNull(), F.struct(
+            code.alias("type"), F.array(F.lit(f.name)).alias("loc"),
+            F.element_at(messages, code).alias("msg"), given.alias("input"))))
+    errs = F.filter(F.array(*errors), lambda e: e.isNotNull())
+    # Validity comes straight from the codes, so the valid path never builds
+    # the error array (a higher-order function, evaluated outside codegen).
+    valid = F.coalesce(*[F.col(f"_c_{i}") for i in range(len(contract))], F.lit(None).cast("string")).isNull()
+    return checked.select(
+        *cols, *[F.col(f"_v_{f.name}") for f in contract], "_record", errs.alias("_errors"),
+        valid.alias("_valid"))
 
 
 def valid_rows(annotated: DataFrame, contract: list[Field]) -> DataFrame:

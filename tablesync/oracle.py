@@ -7,7 +7,7 @@ the syntax both Java regex and RE2 accept, shared with the Spark side.
 
 from __future__ import annotations
 
-from tablesync.functions.clean import DATE_PREFIX_PATTERN, DSN_PASSWORD_PATTERN, NUMBER_PATTERN, WS_CLASS
+from tablesync.functions.clean import DATE_PREFIX_PATTERN, DSN_PASSWORD_PATTERN, NUMBER_PATTERN, WS_CODE_POINTS
 from tablesync.operators.contracts import INTEGER_TEXT, MESSAGES
 from tablesync.operators.ledger import NEXT_STAGE
 from tablesync.registry import CURRENT_CURSOR, FAILED_DAY, PAGE_SIZE, SELECTED_FIELDS, SINCE, TRANSFORM
@@ -17,12 +17,15 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+WS_SQL = " || ".join(f"chr({cp})" for cp in WS_CODE_POINTS)
+
+
 def d_strip(c: str) -> str:
-    return f"regexp_replace({c}, {_lit(rf'\A[{WS_CLASS}]+|[{WS_CLASS}]+\z')}, '', 'g')"
+    return f"trim({c}, {WS_SQL})"
 
 
 def d_blank(c: str) -> str:
-    return f"case when regexp_matches({c}, {_lit(rf'\A[{WS_CLASS}]*\z')}) then null else {c} end"
+    return f"case when {d_strip(c)} = '' then null else {c} end"
 
 
 def d_sanitize(c: str) -> str:
