@@ -29,19 +29,23 @@ from tablesync.functions.clean import sanitize
 from tablesync.functions.redact_text import redact_text
 from tablesync.operators import contracts as ct
 from tablesync.operators.cursor import cursor_candidate, delta_filter
-from tablesync.operators.upsert import full_refresh
+from tablesync.operators.upsert import key_bytes
+from tablesync.session import path_exists
 from tablesync.plans.publish import TableStore, VerificationError
 
 STAGES = ["EXTRACT", "VALIDATE", "LOAD", "VERIFY"]
 
-RUNS_SCHEMA = ("run_id string, client string, pipeline string, status string, stage string, "
-               "started_at timestamp, finished_at timestamp, records_in long, records_out long, "
-               "error string, seq long")
-EVENTS_SCHEMA = "run_id string, event_type string, stage string, records long, created_at timestamp, seq long"
-CHECKPOINT_SCHEMA = ("client string, pipeline string, run_id string, stage string, data_path string, "
-                     "completed_at timestamp, seq long, cleared boolean")
-CURSOR_SCHEMA = "client string, pipeline string, run_id string, value string, seq long"
-DEAD_SCHEMA = "run_id string, stream string, record string, errors string, created_at timestamp"
+# One append-only ledger table holds runs, stage events, checkpoints and
+# cursors (``kind``), partitioned by kind so each reader prunes to its rows.
+LEDGER_FIELDS = [
+    ("kind", "string"), ("run_id", "string"), ("client", "string"), ("pipeline", "string"),
+    ("status", "string"), ("stage", "string"), ("event_type", "string"), ("data_path", "string"),
+    ("value", "string"), ("records_in", "long"), ("records_out", "long"), ("records", "long"),
+    ("error", "string"), ("started_at", "timestamp"), ("finished_at", "timestamp"),
+    ("created_at", "timestamp"), ("seq", "long"), ("cleared", "boolean"),
+]
+LEDGER_SCHEMA = ", ".join(f"{n} {t}" for n, t in LEDGER_FIELDS)
+_LEDGER_NAMES = [n for n, _ in LEDGER_FIELDS]
 
 
 @dataclass(frozen=True)
@@ -88,60 +92,88 @@ def _seq() -> int:
 
 
 class StateStore:
-    """Append-only ledger tables plus the published tables, under one root."""
+    """The ledger table, dead letters and the published tables, under one root.
+
+    Ledger rows are buffered on the driver and written together at each stage
+    boundary (one small append per stage, not one per event); a checkpoint
+    row always flushes, so everything a resume needs is durable.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
         self.tables = TableStore(spark, f"{self.root}/tables")
+        self._pending: list[tuple] = []
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def append(self, name: str, rows: list[tuple], schema: str) -> None:
-        self.spark.createDataFrame(rows, schema).write.mode("append").parquet(self.path(name))
+    # ---- writing
+    def _add(self, kind: str, **values) -> None:
+        values.setdefault("created_at", _now())
+        values["kind"], values["seq"] = kind, _seq()
+        self._pending.append(tuple(values.get(n) for n in _LEDGER_NAMES))
+
+    def flush(self) -> None:
+        if self._pending:
+            rows, self._pending = self._pending, []
+            (self.spark.createDataFrame(rows, LEDGER_SCHEMA).write.mode("append")
+             .partitionBy("kind").parquet(self.path("ledger")))
 
-    def read(self, name: str, schema: str) -> DataFrame:
+    def checkpoint(self, client, pipeline, run_id, stage, data_path=None, cleared=False):
+        self._add("checkpoint", client=client, pipeline=pipeline, run_id=run_id, stage=stage,
+                  data_path=data_path, cleared=cleared)
+        self.flush()
+
+    def clear_checkpoint(self, client: str, pipeline: str) -> None:
+        self.checkpoint(client, pipeline, None, "CLEARED", cleared=True)
+
+    def save_cursor(self, client, pipeline, run_id, value):
+        self._add("cursor", client=client, pipeline=pipeline, run_id=run_id, value=value)
+
+    def event(self, run_id, event_type, stage, records=None):
+        self._add("event", run_id=run_id, event_type=event_type, stage=stage, records=records)
+
+    def run_row(self, run_id, client, pipeline, status, stage=None, started=None, finished=None,
+                records_in=None, records_out=None, error=None):
+        self._add("run", run_id=run_id, client=client, pipeline=pipeline, status=status, stage=stage,
+                  started_at=started, finished_at=finished, records_in=records_in,
+                  records_out=records_out, error=error)
+
+    # ---- reading (views over the ledger)
+    def ledger(self, kind: str) -> DataFrame:
         from tablesync.session import path_exists
 
-        if not path_exists(self.path(name)):
-            return self.spark.createDataFrame([], schema)  # not written yet
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        path = self.path(f"ledger/kind={kind}")
+        if not path_exists(path):
+            return self.spark.createDataFrame([], LEDGER_SCHEMA).drop("kind")
+        return self.spark.read.schema(LEDGER_SCHEMA.replace("kind string, ", "")).parquet(path)
 
-    # ---- ledger helpers
-    def checkpoint(self, client, pipeline, run_id, stage, data_path=None, cleared=False):
-        now = _now()
-        self.append("checkpoints", [(client, pipeline, run_id, stage, data_path, now, _seq(), cleared)],
-                    CHECKPOINT_SCHEMA)
+    def runs(self) -> DataFrame:
+        """One row per run: start and finish rows folded (R-03)."""
+        from tablesync.operators.ledger import run_fold
+
+        return run_fold(self.ledger("run"))
+
+    def events(self) -> DataFrame:
+        return self.ledger("event").select("run_id", "event_type", "stage", "records", "created_at", "seq")
+
+    def checkpoints(self) -> DataFrame:
+        return self.ledger("checkpoint").select("client", "pipeline", "run_id", "stage", "data_path",
+                                                 F.col("created_at").alias("completed_at"), "seq", "cleared")
 
     def last_checkpoint(self, client: str, pipeline: str) -> dict | None:
-        log = self.read("checkpoints", CHECKPOINT_SCHEMA).where(
-            (F.col("client") == client) & (F.col("pipeline") == pipeline))
+        log = self.checkpoints().where((F.col("client") == client) & (F.col("pipeline") == pipeline))
         row = log.agg(F.max_by(F.struct("run_id", "stage", "data_path", "cleared"), "seq").alias("l")).first()
         if row is None or row["l"] is None or row["l"]["cleared"]:
             return None
         return row["l"].asDict()
 
-    def clear_checkpoint(self, client: str, pipeline: str) -> None:
-        self.checkpoint(client, pipeline, None, "CLEARED", cleared=True)
-
     def saved_cursor(self, client: str, pipeline: str) -> str | None:
-        log = self.read("cursors", CURSOR_SCHEMA).where(
-            (F.col("client") == client) & (F.col("pipeline") == pipeline))
+        log = self.ledger("cursor").where((F.col("client") == client) & (F.col("pipeline") == pipeline))
         row = log.agg(F.max_by("value", "seq").alias("v")).first()
         return None if row is None else row["v"]
 
-    def save_cursor(self, client, pipeline, run_id, value):
-        self.append("cursors", [(client, pipeline, run_id, value, _seq())], CURSOR_SCHEMA)
-
-    def event(self, run_id, event_type, stage, records=None):
-        self.append("events", [(run_id, event_type, stage, records, _now(), _seq())], EVENTS_SCHEMA)
-
-    def run_row(self, run_id, client, pipeline, status, stage=None, started=None, finished=None,
-                records_in=None, records_out=None, error=None):
-        self.append("runs", [(run_id, client, pipeline, status, stage, started, finished,
-                              records_in, records_out, error, _seq())], RUNS_SCHEMA)
-
 
 def _now():
     import datetime as _dt
@@ -174,8 +206,8 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         return STAGES.index(stage) <= done
 
     def finish_stage(stage: str):
-        state.checkpoint(client, pipeline, run_id, stage, data_path=stage_dir)
         state.event(run_id, "stage_done", stage, ctx.get("extracted"))
+        state.checkpoint(client, pipeline, run_id, stage, data_path=stage_dir)  # flushes
         if fail_after == stage:
             raise RuntimeError(f"injected failure after {stage}")
 
@@ -185,10 +217,10 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         ctx["since"] = since
 
         # ---------------------------------------------------------- EXTRACT
+        landed_dir = f"{stage_dir}/landed"
         if skip("EXTRACT"):
             state.event(run_id, "stage_skipped", "EXTRACT")
-            staged = spark.read.parquet(f"{stage_dir}/landed")
-            ctx["extracted"] = ctx["staged"] = staged.count()
+            ctx["extracted"] = ctx["staged"] = spark.read.parquet(landed_dir).count()
         else:
             state.event(run_id, "stage_start", "EXTRACT")
             raw = source(since)
@@ -196,13 +228,17 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
                 raw = delta_filter(raw, spec.replication_key, since)
             metrics = [F.count(F.lit(1)).alias("n")]
             if spec.replication_key:
+                # The cursor comes from the raw rows, before cleaning / transform.
                 metrics.append(cursor_candidate(spec.replication_key).alias("cursor"))
             raw_obs, out_obs = Observation("raw"), Observation("landed")
             landed = project(spark, sanitize(raw.observe(raw_obs, *metrics)), spec)
-            landed.observe(out_obs, F.count(F.lit(1)).alias("n")) \
-                .write.mode("overwrite").parquet(f"{stage_dir}/landed")
+            out_metrics = [F.count(F.lit(1)).alias("n")]
+            if _has_keys(landed, spec.pk):
+                out_metrics.append(key_bytes(spec.pk).alias("key_bytes"))
+            landed.observe(out_obs, *out_metrics).write.mode("overwrite").parquet(landed_dir)
             ctx["extracted"] = int(raw_obs.get["n"])
             ctx["staged"] = int(out_obs.get["n"])
+            ctx["key_bytes"] = out_obs.get.get("key_bytes")
             ctx["new_cursor"] = raw_obs.get.get("cursor")
             finish_stage("EXTRACT")
 
@@ -210,37 +246,40 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             # Nothing new: success, target untouched.
             state.run_row(run_id, client, pipeline, "SUCCESS", stage="VERIFY", finished=_now(),
                           records_in=0, records_out=0)
-            state.checkpoint(client, pipeline, run_id, "VERIFY", data_path=stage_dir)
+            state.checkpoint(client, pipeline, run_id, "VERIFY", data_path=stage_dir)  # flushes
             return SyncResult(pipeline, 0, 0, "success", run_id=run_id, counts=dict(ctx))
 
         # --------------------------------------------------------- VALIDATE
-        load_from = f"{stage_dir}/landed"
+        load_from, columns = landed_dir, None
         if spec.contract:
+            checked = f"{stage_dir}/checked"
+            columns = [f.name for f in spec.contract]
             if skip("VALIDATE"):
                 state.event(run_id, "stage_skipped", "VALIDATE")
-                ctx["valid"] = spark.read.parquet(f"{stage_dir}/valid").count()
+                ctx["valid"] = (spark.read.parquet(checked).where(F.col("_part") == "valid").count()
+                                if path_exists(checked) else 0)
             else:
                 state.event(run_id, "stage_start", "VALIDATE")
-                ann = ct.annotate(spark.read.parquet(load_from), spec.contract)
+                ann = ct.annotate(spark.read.parquet(landed_dir), spec.contract)
+                valid = F.col("_valid")
                 obs = Observation("validate")
-                split = ann.select(
-                    F.when(F.col("_valid"), F.lit("valid")).otherwise(F.lit("dead")).alias("_part"),
-                    *[F.col(f"_v_{f.name}").alias(f.name) for f in spec.contract],
+                metrics = [F.count(F.lit(1)).alias("n"), F.sum(valid.cast("int")).alias("valid")]
+                kcols = [f"_v_{k}" for k in ([spec.pk] if isinstance(spec.pk, str) else spec.pk)]
+                if all(c in ann.columns for c in kcols):
+                    metrics.append(F.sum(F.when(valid, _row_key_bytes(kcols))).alias("key_bytes"))
+                # One pass writes both outputs, split by a partition flag: valid
+                # rows (contract columns) and dead letters (record + errors JSON).
+                split = ann.observe(obs, *metrics).select(
+                    F.when(valid, F.lit("valid")).otherwise(F.lit("dead")).alias("_part"),
+                    *[F.col(f"_v_{n}").alias(n) for n in columns],
                     F.lit(run_id).alias("run_id"), F.lit(pipeline).alias("stream"),
-                    F.col("_record").alias("record"), ct.errors_json().alias("errors"),
-                ).observe(obs, F.count(F.lit(1)).alias("n"),
-                          F.sum((F.col("_part") == "valid").cast("int")).alias("valid"))
-                # One pass over the staged rows writes both outputs.
-                checked = f"{stage_dir}/checked"
+                    F.when(~valid, F.col("_record")).alias("record"),
+                    F.when(~valid, ct.errors_json()).alias("errors"),
+                )
                 split.write.mode("overwrite").partitionBy("_part").parquet(checked)
                 n_valid = int(obs.get["valid"] or 0)
                 n_dead = int(obs.get["n"]) - n_valid
-                if n_valid:
-                    valid = spark.read.parquet(f"{checked}/_part=valid").select(
-                        *[f.name for f in spec.contract])
-                else:
-                    valid = spark.createDataFrame([], ct_schema(spec.contract))
-                valid.write.mode("overwrite").parquet(f"{stage_dir}/valid")
+                ctx["key_bytes"] = obs.get.get("key_bytes")
                 if n_dead:
                     (spark.read.parquet(f"{checked}/_part=dead")
                      .select("run_id", "stream", "record", "errors",
@@ -248,53 +287,72 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
                      .write.mode("append").parquet(state.path("dead_letters")))
                 ctx["valid"], ctx["dead"] = n_valid, n_dead
                 finish_stage("VALIDATE")
-            load_from = f"{stage_dir}/valid"
+            load_from = f"{checked}/_part=valid" if ctx["valid"] else None
 
         # ------------------------------------------------------------- LOAD
-        staged = spark.read.parquet(load_from)
-        staged_rows = ctx.get("valid", ctx["staged"])
-        if spec.dedupe and spec.replication_key and spec.replication_key in staged.columns:
-            keys = [spec.pk] if isinstance(spec.pk, str) else list(spec.pk)
-            staged = staged.groupBy(*keys).agg(
-                F.max_by(F.struct(*staged.columns), F.col(spec.replication_key)).alias("_r")).select("_r.*")
+        # Zero-copy: the staged folder itself becomes the new base generation
+        # (full mode, first delta run) or a delta layer (later delta runs).
+        # Only ``dedupe`` needs a rewrite, to keep the latest row per key.
         state.event(run_id, "stage_start", "LOAD")
         tables = state.tables
         base, _ = tables.state(pipeline)
         as_layer = spec.mode != "full" and base is not None
-        # Full mode (or first delta run) writes a new base generation; later
-        # delta runs write only the staged rows as a layer: O(delta) work.
-        if as_layer:
-            written, ctx["loaded"], ctx["key_bytes"] = tables.write_layer(pipeline, staged, run_id, spec.pk)
-        else:
-            written, ctx["loaded"] = tables.write_generation(pipeline, full_refresh(staged), run_id)
+        publish_path = load_from
+        if load_from is not None and spec.dedupe and spec.replication_key:
+            staged = spark.read.parquet(load_from)
+            if columns:
+                staged = staged.select(*columns)
+            keys = [spec.pk] if isinstance(spec.pk, str) else list(spec.pk)
+            staged = staged.groupBy(*keys).agg(
+                F.max_by(F.struct(*staged.columns), F.col(spec.replication_key)).alias("_r")).select("_r.*")
+            publish_path, _ = tables.write_generation(pipeline, staged, run_id)
+            columns = None
         finish_stage("LOAD")
 
         # ----------------------------------------------------------- VERIFY
-        # Before the data becomes visible: a failed check leaves the old state.
+        # Count what is on disk (parquet metadata) before anything becomes
+        # visible: a failed check leaves the old state current.
+        ctx["loaded"] = 0 if publish_path is None else spark.read.parquet(publish_path).count()
         expected = ctx.get("valid", ctx["staged"])
-        if ctx["extracted"] > 0 and ctx["loaded"] == 0 and expected > 0:
+        if ctx["extracted"] > 0 and ctx["loaded"] == 0:
             raise VerificationError(f"verification failed: {ctx['extracted']} extracted, 0 loaded")
-        if ctx["loaded"] != expected:
+        if ctx["loaded"] != expected and not spec.dedupe:
             raise VerificationError(f"count mismatch: {expected} expected, {ctx['loaded']} loaded")
         if as_layer:
-            tables.add_layer(pipeline, written, spec.pk, run_id, ctx["loaded"], ctx["key_bytes"])
+            tables.add_layer(pipeline, publish_path, spec.pk, run_id, ctx["loaded"],
+                             None if spec.dedupe else ctx.get("key_bytes"), columns)
         else:
-            tables.swap(pipeline, written, run_id, ctx["loaded"])
+            tables.swap(pipeline, publish_path, run_id, ctx["loaded"], columns)
         if ctx.get("new_cursor") is not None:
             state.save_cursor(client, pipeline, run_id, ctx["new_cursor"])
         finish_stage("VERIFY")
         state.run_row(run_id, client, pipeline, "SUCCESS", stage="VERIFY", finished=_now(),
                       records_in=ctx["extracted"], records_out=ctx["loaded"])
+        state.flush()
         return SyncResult(pipeline, ctx["extracted"], ctx["loaded"], "success", run_id=run_id,
                           counts=dict(ctx))
     except Exception as exc:  # noqa: BLE001 - one table never stops the others
         err = redact_text(str(exc))
         state.run_row(run_id, client, pipeline, "FAILED", finished=_now(),
                       records_in=ctx.get("extracted", 0), error=err)
+        state.flush()
         return SyncResult(pipeline, ctx.get("extracted", 0), ctx.get("loaded", 0), "failed",
                           error=err, run_id=run_id, counts=dict(ctx))
 
 
+def _has_keys(df: DataFrame, pk) -> bool:
+    keys = [pk] if isinstance(pk, str) else list(pk)
+    return all(k in df.columns for k in keys)
+
+
+def _row_key_bytes(cols: list[str]):
+    total = None
+    for c in cols:
+        b = F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+        total = b if total is None else total + b
+    return total
+
+
 def ct_schema(contract) -> str:
     return ", ".join(f"`{f.name}` {f.spark_type.simpleString()}" for f in contract)
 

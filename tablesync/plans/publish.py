@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 POINTER_SCHEMA = ("table string, kind string, path string, run_id string, seq long, rows long, "
-                  "pk string, key_bytes long")
+                  "pk string, key_bytes long, columns string")
+_POINTER_NAMES = ["table", "kind", "path", "run_id", "seq", "rows", "pk", "key_bytes", "columns"]
 
 
 class VerificationError(RuntimeError):
@@ -99,13 +100,18 @@ class TableStore:
         base, _ = self.state(table)
         return None if base is None else base["path"]
 
+    def _read(self, entry: dict) -> DataFrame:
+        df = self.spark.read.parquet(entry["path"])
+        cols = entry.get("columns")
+        return df.select(*[F.col(f"`{c}`") for c in json.loads(cols)]) if cols else df
+
     def _fold(self, base: dict, layers: list[dict]) -> DataFrame:
         from tablesync.operators.upsert import delta_upsert
 
-        df = self.spark.read.parquet(base["path"])
+        df = self._read(base)
         for layer in layers:
             pk = json.loads(layer["pk"])
-            df = delta_upsert(df, self.spark.read.parquet(layer["path"]), pk, staged_rows=layer["rows"],
+            df = delta_upsert(df, self._read(layer), pk, staged_rows=layer["rows"],
                               staged_key_bytes=layer.get("key_bytes"))
         return df
 
@@ -124,12 +130,12 @@ class TableStore:
         return int(got["rows"]), (int(kb) if kb is not None else (0 if pk else None))
 
     def _point(self, table: str, kind: str, path: str, run_id: str, rows: int, pk=None,
-               key_bytes: int | None = None) -> None:
+               key_bytes: int | None = None, columns: list[str] | None = None) -> None:
         base, layers = self.state(table)
         row = (table, kind, path, str(run_id), time.time_ns(), rows, json.dumps(pk) if pk else None,
-               key_bytes)
+               key_bytes, json.dumps(list(columns)) if columns else None)
         self.spark.createDataFrame([row], POINTER_SCHEMA).write.mode("append").parquet(self.pointer_path)
-        entry = dict(zip(["table", "kind", "path", "run_id", "seq", "rows", "pk", "key_bytes"], row))
+        entry = dict(zip(_POINTER_NAMES, row))
         self._cache[table] = (entry, []) if kind == "base" else (base, layers + [entry])
 
     def write_generation(self, table: str, df: DataFrame, run_id: str) -> tuple[str, int]:
@@ -143,15 +149,19 @@ class TableStore:
         rows, kb = self._write(staged, path, pk)
         return path, rows, kb
 
-    def swap(self, table: str, path: str, run_id: str, rows: int) -> None:
-        """Make a written base generation current."""
-        self._point(table, "base", path, run_id, rows)
+    def swap(self, table: str, path: str, run_id: str, rows: int,
+             columns: list[str] | None = None) -> None:
+        """Make a written base generation current.  ``path`` may be any
+        immutable parquet folder (e.g. a run's staged rows: zero-copy
+        publish); ``columns`` selects the table's columns from it."""
+        self._point(table, "base", path, run_id, rows, columns=columns)
         self.refresh_view(table)
 
     def add_layer(self, table: str, path: str, pk, run_id: str, rows: int,
-                  key_bytes: int | None = None) -> None:
-        """Make a written delta layer visible; compact when layers pile up."""
-        self._point(table, "layer", path, run_id, rows, pk, key_bytes)
+                  key_bytes: int | None = None, columns: list[str] | None = None) -> None:
+        """Make a written delta layer visible; compact when layers pile up.
+        As with ``swap``, ``path`` may be an immutable staged folder."""
+        self._point(table, "layer", path, run_id, rows, pk, key_bytes, columns)
         base, layers = self.state(table)
         layer_rows = sum(int(x["rows"]) for x in layers)
         if (len(layers) > self.max_layers
@@ -195,6 +205,16 @@ class TableStore:
         self.add_layer(table, path, pk, run_id, rows, kb)
         return path, rows
 
+    def adopt_delta(self, table: str, path: str, pk, run_id: str, rows: int,
+                    key_bytes: int | None = None, columns: list[str] | None = None) -> None:
+        """Zero-copy keyed delta from an immutable, already written folder:
+        the first one becomes the base, later ones become layers."""
+        base, _ = self.state(table)
+        if base is None:
+            self.swap(table, path, run_id, rows, columns)
+        else:
+            self.add_layer(table, path, pk, run_id, rows, key_bytes, columns)
+
     def restore_views(self) -> None:
         """Re-create session views from the pointer table (new session)."""
         ptr = self._pointers()

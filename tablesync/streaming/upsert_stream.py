@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablesync.functions.clean import sanitize
+from tablesync.operators.upsert import key_bytes
 from tablesync.plans.publish import TableStore
 
 APPLIED_SCHEMA = "table string, batch_id long"
@@ -47,11 +48,12 @@ def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore):
             return
         stage = f"{store.root}/_staging/{table}/batch={batch_id}"
         obs = Observation(f"batch_{table}_{batch_id}")
-        sanitize(batch).observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(stage)
+        sanitize(batch).observe(obs, F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("kb")) \
+            .write.mode("overwrite").parquet(stage)
         rows = int(obs.get["n"])
         if rows:
-            # O(batch) work: the batch becomes a delta layer of the table.
-            store.publish_delta(table, spark.read.parquet(stage), pk, run_id=f"b{batch_id}", expected=rows)
+            # Zero-copy, O(batch): the staged batch folder becomes a delta layer.
+            store.adopt_delta(table, stage, pk, run_id=f"b{batch_id}", rows=rows, key_bytes=obs.get.get("kb"))
         spark.createDataFrame([(table, batch_id)], APPLIED_SCHEMA) \
             .write.mode("append").parquet(_applied_path(store))
         done.add(batch_id)

@@ -35,6 +35,10 @@ def test_full_then_incremental(spark, workdir):
     assert _table(state, "clientes")[1] == (2, "bia", "2024-01-04 10:00:00")
     assert state.saved_cursor("acme", "clientes") == "2024-01-04 10:00:00"
     assert state.tables.current("clientes").count() == 4
+    runs = state.runs().orderBy("started_at").collect()
+    assert [r.status for r in runs] == ["SUCCESS", "SUCCESS"] and runs[1].records_out == 2
+    done = state.events().where("event_type = 'stage_done'").groupBy("stage").count().collect()
+    assert {r.stage: r["count"] for r in done} == {"EXTRACT": 2, "LOAD": 2, "VERIFY": 2}
 
 
 def test_empty_extraction_is_a_successful_no_op(spark, workdir):
@@ -128,3 +132,14 @@ def test_layers_fold_like_sequential_upserts_and_compact(spark, workdir):
     assert base_row["run_id"].startswith("compact-") and len(layers) <= 3
     plan = store.current("l")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_all_rows_rejected_fails_verification_before_swap(spark, workdir):
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("t", pk="id", contract=[Field("id", "long"), Field("nome", "string")])
+    sync_table(spark, spec, _source(spark), state)
+    before = _table(state, "t")
+    bad = [(9, None, "2024-02-01 00:00:00")]
+    res = sync_table(spark, spec, _source(spark, bad), state)
+    assert res.status == "failed" and "0 loaded" in res.error
+    assert _table(state, "t") == before
