@@ -307,6 +307,8 @@ from se group by event_type, stage"""
     q["page_explode"] = _with(FX5) + \
         "select endpoint, page, total, event_id, ts, user_id, event_type, value, props from pages5"
     q["paged_scan"] = "select event_id, ts, user_id, event_type, value, props from events"
+    q["paged_delta_scan"] = (f"select event_id, ts, user_id, event_type, value, props from events "
+                             f"where ts >= timestamp {_lit(SINCE)}")
     q["page_progress"] = _with(FX5) + f"""
 select endpoint, page, n_records, total, fetched,
   case when total > 0 then round(fetched / total * 100, 1) end as pct,

@@ -371,15 +371,28 @@ def page_explode(spark, sf_dir):
     return _typed(parsed.select("endpoint", "page", "total", "r.*"))
 
 
-@query
-def paged_scan(spark, sf_dir):
+def _write_pages(spark, sf_dir) -> tuple[str, list[str]]:
     root = scratch_dir(spark, "pages") + "/bodies"
     _bodies(spark, sf_dir).write.partitionBy("endpoint", "page").text(root)
     endpoints = [r[0] for r in _t(spark, sf_dir, "events").select("event_type").distinct().collect()]
-    raw = paged.paged_scan(spark, sorted(endpoints), path=root, page_size=PAGE_SIZE)
+    return root, sorted(endpoints)
+
+
+@query
+def paged_scan(spark, sf_dir):
+    root, endpoints = _write_pages(spark, sf_dir)
+    raw = paged.paged_scan(spark, endpoints, path=root, page_size=PAGE_SIZE)
     return _typed(paged.parse_records(raw, RECORD_SCHEMA))
 
 
+@query
+def paged_delta_scan(spark, sf_dir):
+    """Incremental scan: ``cursor_value >= since`` is pushed into the source."""
+    root, endpoints = _write_pages(spark, sf_dir)
+    raw = paged.paged_scan(spark, endpoints, path=root, page_size=PAGE_SIZE, replication_key="ts")
+    return _typed(paged.parse_records(raw.where(F.col("cursor_value") >= SINCE), RECORD_SCHEMA))
+
+
 def _progress(spark, sf_dir):
     return ledger.page_progress(ledger.page_ledger(_bodies(spark, sf_dir)), PAGE_SIZE)
 

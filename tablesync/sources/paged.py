@@ -25,7 +25,7 @@ from typing import Any, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, GreaterThan, GreaterThanOrEqual, InputPartition
 
 from tablesync.functions.clean import parse_total
 
@@ -33,6 +33,9 @@ from tablesync.functions.clean import parse_total
 MAX_PAGES = 100_000
 DEFAULT_PAGE_SIZE = 5_000
 PAGE_SCHEMA = "endpoint string, page int, total string, record string"
+# With option ``replicationKey`` the key's text is exposed as ``cursor_value``
+# so that ``cursor_value >= since`` can be pushed to the source (S-04).
+CURSOR_SCHEMA = PAGE_SCHEMA + ", cursor_value string"
 
 
 def robust_total(raw: Any) -> int | None:
@@ -95,6 +98,21 @@ class PagedReader(DataSourceReader):
         self.pages_per_partition = int(opt("pagesperpartition", 8))
         self.max_pages = int(opt("maxpages", MAX_PAGES))
         self.since = opt("since")
+        self.key = opt("replicationkey")
+        self.strict = False  # True when a pushed '>' (not '>=') filter is held
+
+    def pushFilters(self, filters):
+        """Take ``cursor_value >= x`` (or ``> x``): the fetcher gets it as the
+        API's ``since`` and ``read`` re-checks each record, so the filter is
+        fully handled here.  Every other filter stays with Spark."""
+        for f in filters:
+            if (self.key and isinstance(f, (GreaterThanOrEqual, GreaterThan))
+                    and f.attribute == ("cursor_value",) and isinstance(f.value, str)):
+                if self.since is None or f.value >= self.since:
+                    self.strict = isinstance(f, GreaterThan) or (self.strict and f.value == self.since)
+                    self.since = f.value
+                continue
+            yield f
 
     def partitions(self):
         fetcher = _make_fetcher(self.options)
@@ -125,7 +143,16 @@ class PagedReader(DataSourceReader):
             total = body.get("total")
             total_text = None if total is None else str(total)
             for rec in records:
-                yield (partition.endpoint, page, total_text, json.dumps(rec, ensure_ascii=False))
+                row = (partition.endpoint, page, total_text, json.dumps(rec, ensure_ascii=False))
+                if not self.key:
+                    yield row
+                    continue
+                value = rec.get(self.key) if isinstance(rec, dict) else None
+                value = None if value is None else str(value)
+                if self.since is not None and (value is None or value < self.since
+                                               or (self.strict and value == self.since)):
+                    continue
+                yield row + (value,)
 
 
 class PagedSource(DataSource):
@@ -134,7 +161,8 @@ class PagedSource(DataSource):
         return "paged"
 
     def schema(self) -> str:
-        return PAGE_SCHEMA
+        opts = {str(k).lower(): v for k, v in dict(self.options).items()}
+        return CURSOR_SCHEMA if opts.get("replicationkey") else PAGE_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         return PagedReader(self.options)
@@ -146,8 +174,10 @@ def register(spark: SparkSession) -> None:
 
 def paged_scan(spark: SparkSession, endpoints: list[str], path: str | None = None,
                page_size: int = DEFAULT_PAGE_SIZE, since: str | None = None,
-               pages_per_partition: int = 8, fetcher: str | None = None) -> DataFrame:
-    """Records of the given endpoints as (endpoint, page, total, record JSON)."""
+               pages_per_partition: int = 8, fetcher: str | None = None,
+               replication_key: str | None = None) -> DataFrame:
+    """Records of the given endpoints as (endpoint, page, total, record JSON)
+    [+ cursor_value when ``replication_key`` is given]."""
     register(spark)
     reader = (spark.read.format("paged").option("endpoints", ",".join(endpoints))
               .option("pageSize", str(page_size)).option("pagesPerPartition", str(pages_per_partition)))
@@ -157,6 +187,8 @@ def paged_scan(spark: SparkSession, endpoints: list[str], path: str | None = Non
         reader = reader.option("since", since)
     if fetcher:
         reader = reader.option("fetcher", fetcher)
+    if replication_key:
+        reader = reader.option("replicationKey", replication_key)
     return reader.load()
 
 

@@ -1,5 +1,7 @@
 """Ledger queries, blocked running totals and the paged source."""
 
+import contextlib
+import io
 import json
 import os
 import random
@@ -115,3 +117,19 @@ def test_explode_pages_missing_registros(spark):
                                    ("e", 2, '{"registros":null,"total":"2"}'), ("e", 3, '{"total":"2"}')],
                                   "endpoint string, page int, body string")
     assert paged.explode_pages(pages).count() == 2
+
+
+def test_paged_source_pushes_cursor_filter(spark, workdir):
+    recs = [{"id": i, "ultima_atualizacao": f"2024-01-{i + 1:02d} 00:00:00"} for i in range(12)]
+    bodies = [{"registros": recs[i:i + 4], "total": "12"} for i in range(0, 12, 4)]
+    _write_pages(workdir, "c", bodies)
+    df = paged.paged_scan(spark, ["c"], path=workdir, page_size=4, replication_key="ultima_atualizacao")
+    since = "2024-01-09 00:00:00"
+    filtered = df.where(F.col("cursor_value") >= since)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        filtered.explain("formatted")
+    assert "PushedFilters: [GreaterThanOrEqual(cursor_value" in buf.getvalue()
+    assert sorted(r.id for r in paged.parse_records(filtered, "id long").collect()) == [8, 9, 10, 11]
+    strict = df.where(F.col("cursor_value") > since)
+    assert sorted(r.id for r in paged.parse_records(strict, "id long").collect()) == [9, 10, 11]
