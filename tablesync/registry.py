@@ -357,6 +357,16 @@ def _bodies(spark, sf_dir):
     return paged.page_bodies(_page_records(ev), F.col("event_type"), "event_id", PAGE_SIZE)
 
 
+def _landed_pages(spark, sf_dir):
+    """The fetched pages as landed data: materialised once with a reliable
+    checkpoint (under spark.checkpoint.dir), so the ledger queries read them
+    instead of re-deriving page numbers in every branch of their plan."""
+    from tablesync.session import scratch_dir as _ensure_checkpoint_dir
+
+    _ensure_checkpoint_dir(spark, "pages")
+    return _bodies(spark, sf_dir).checkpoint(eager=True)
+
+
 RECORD_SCHEMA = "event_id long, ts string, user_id long, event_type string, value double, props string"
 
 
@@ -366,7 +376,7 @@ def _typed(df: DataFrame) -> DataFrame:
 
 @query
 def page_explode(spark, sf_dir):
-    rows = paged.explode_pages(_bodies(spark, sf_dir))
+    rows = paged.explode_pages(_landed_pages(spark, sf_dir))
     parsed = rows.select("endpoint", "page", "total", F.from_json("record", RECORD_SCHEMA).alias("r"))
     return _typed(parsed.select("endpoint", "page", "total", "r.*"))
 
@@ -394,7 +404,7 @@ def paged_delta_scan(spark, sf_dir):
 
 
 def _progress(spark, sf_dir):
-    return ledger.page_progress(ledger.page_ledger(_bodies(spark, sf_dir)), PAGE_SIZE)
+    return ledger.page_progress(ledger.page_ledger(_landed_pages(spark, sf_dir)), PAGE_SIZE)
 
 
 @query

@@ -133,3 +133,16 @@ def test_paged_source_pushes_cursor_filter(spark, workdir):
     assert sorted(r.id for r in paged.parse_records(filtered, "id long").collect()) == [8, 9, 10, 11]
     strict = df.where(F.col("cursor_value") > since)
     assert sorted(r.id for r in paged.parse_records(strict, "id long").collect()) == [9, 10, 11]
+
+
+def test_paged_source_page_cap_and_empty_endpoints(spark, workdir):
+    recs = [{"id": i} for i in range(10)]
+    _write_pages(workdir, "big", [{"registros": recs[i:i + 2], "total": "10"} for i in range(0, 10, 2)])
+    _write_pages(workdir, "empty", [{"registros": [], "total": "0"}])
+    _write_pages(workdir, "nulls", [{"registros": None, "total": "5"}])
+    paged.register(spark)
+    capped = (spark.read.format("paged").option("endpoints", "big").option("path", workdir)
+              .option("pageSize", "2").option("maxPages", "3").load())
+    assert sorted(r.id for r in paged.parse_records(capped, "id long").collect()) == list(range(6))
+    none = paged.paged_scan(spark, ["empty", "nulls", "missing"], path=workdir, page_size=2)
+    assert none.count() == 0
