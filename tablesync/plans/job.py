@@ -183,13 +183,14 @@ def _now():
 def sync_table(spark: SparkSession, spec: SyncSpec,
                source: Callable[[str | None], DataFrame], state: StateStore,
                client: str = "default", from_checkpoint: bool = False,
-               fail_after: str | None = None) -> SyncResult:
+               fail_after: str | None = None, now: str | None = None) -> SyncResult:
     """Synchronise one table.  Never raises: a failure is a failed result with
     a redacted error, and the previous published generation stays current.
 
     ``source(since)`` returns the raw rows (lazy); ``since`` is the saved
-    cursor in incremental mode.  ``fail_after`` injects a crash after a stage
-    (tests of resume).
+    cursor in incremental mode (without one: yesterday 00:00 in the source's
+    zone, relative to ``now`` -- UTC text, default the current time).
+    ``fail_after`` injects a crash after a stage (tests of resume).
     """
     ctx: dict = {}
     pipeline = spec.name
@@ -214,6 +215,9 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
     try:
         incremental = spec.mode == "incremental" and spec.replication_key is not None
         since = state.saved_cursor(client, pipeline) if incremental else None
+        if incremental and since is None:
+            # No saved cursor: yesterday 00:00 in the source's zone (S-05).
+            since = lookback_text(spark, now)
         ctx["since"] = since
 
         # ---------------------------------------------------------- EXTRACT
@@ -340,6 +344,14 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
                           error=err, run_id=run_id, counts=dict(ctx))
 
 
+def lookback_text(spark: SparkSession, now: str | None = None) -> str:
+    """The default look-back as cursor text (one-row evaluation)."""
+    from tablesync.operators.cursor import default_lookback
+
+    clock = F.lit(now).cast("timestamp") if now else F.current_timestamp()
+    return spark.range(1).select(default_lookback(clock)).first()[0]
+
+
 def _has_keys(df: DataFrame, pk) -> bool:
     keys = [pk] if isinstance(pk, str) else list(pk)
     return all(k in df.columns for k in keys)

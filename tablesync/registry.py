@@ -446,24 +446,27 @@ def stream_upsert(spark, sf_dir):
 # ---------------------------------------------------------------------- job
 @query
 def sync_job(spark, sf_dir):
-    """Two runs of the sync job: a full run, then an incremental run from the
-    saved cursor (inclusive, so it re-reads the boundary rows).  Either run
+    """Two runs of the sync job: a full run (which saves the cursor), then an
+    incremental run from the saved cursor (inclusive, so it re-reads the
+    boundary rows).  Either run
     leaves the published table equal to the contract-valid rows: the second
     run re-applies the same rows, or -- when every re-read row is rejected --
     fails verification ("extracted > 0, loaded 0") and changes nothing."""
     from tablesync.plans.job import StateStore, SyncSpec, sync_table
     ev = _t(spark, sf_dir, "events")
     state = StateStore(spark, scratch_dir(spark, "state"))
-    spec = SyncSpec(name="eventos", pk="id", replication_key="ultima_atualizacao",
-                    mode="incremental", contract=FX1_CONTRACT)
+    full = SyncSpec(name="eventos", pk="id", replication_key="ultima_atualizacao",
+                    mode="full", contract=FX1_CONTRACT)
+    incremental = SyncSpec(name="eventos", pk="id", replication_key="ultima_atualizacao",
+                           mode="incremental", contract=FX1_CONTRACT)
 
     def source(since):
         return fx.dirty_records(ev)
 
-    first = sync_table(spark, spec, source, state, client="c0")
+    first = sync_table(spark, full, source, state, client="c0")
     if first.status != "success":
         raise RuntimeError(f"sync failed: {first.error}")
-    sync_table(spark, spec, source, state, client="c0")
+    sync_table(spark, incremental, source, state, client="c0")
     return state.tables.current("eventos")
 
 

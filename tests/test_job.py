@@ -23,7 +23,8 @@ def _table(state, name):
 def test_full_then_incremental(spark, workdir):
     state = StateStore(spark, workdir)
     spec = SyncSpec("clientes", pk="id", replication_key="ultima_atualizacao", mode="incremental")
-    first = sync_table(spark, spec, _source(spark), state, client="acme")
+    full = SyncSpec("clientes", pk="id", replication_key="ultima_atualizacao", mode="full")
+    first = sync_table(spark, full, _source(spark), state, client="acme")
     assert first.status == "success" and first.records_extracted == 4 and first.records_loaded == 4
     # Blank and impossible dates are NULL in the published table.
     assert _table(state, "clientes")[1] == (2, None, "2024-01-02 10:00:00")
@@ -147,7 +148,7 @@ def test_all_rows_rejected_fails_verification_before_swap(spark, workdir):
 
 def test_cursor_comes_from_raw_rows_before_transform(spark, workdir):
     state = StateStore(spark, workdir)
-    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="incremental",
+    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="full",
                     transform_sql="SELECT id, nome FROM {raw} WHERE id < 4")
     res = sync_table(spark, spec, _source(spark), state, client="c")
     # The transform dropped id 4, yet the cursor reflects it (raw rows), and the
@@ -159,7 +160,7 @@ def test_cursor_comes_from_raw_rows_before_transform(spark, workdir):
 def test_selected_fields_and_dedupe_latest_per_key(spark, workdir):
     state = StateStore(spark, workdir)
     rows = [(1, "a", "2024-01-01 00:00:00"), (1, "b", "2024-01-02 00:00:00"), (2, "c", "2024-01-01 00:00:00")]
-    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="incremental", dedupe=True,
+    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="full", dedupe=True,
                     fields=("id", "nome", "ultima_atualizacao"))
     sync_table(spark, spec, _source(spark, rows), state)
     assert _table(state, "t") == [(1, "b", "2024-01-02 00:00:00"), (2, "c", "2024-01-01 00:00:00")]
@@ -177,3 +178,12 @@ def test_clear_checkpoint_means_no_resume(spark, workdir):
     assert state.last_checkpoint("default", "t") is None
     fresh = sync_table(spark, spec, _source(spark), state, from_checkpoint=True)
     assert fresh.status == "success" and fresh.run_id != crashed.run_id
+
+
+def test_incremental_without_cursor_starts_yesterday_in_source_zone(spark, workdir):
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="incremental")
+    # 02:00 UTC on 4 Jan is 23:00 on 3 Jan in Sao Paulo: look back to 2 Jan 00:00.
+    res = sync_table(spark, spec, _source(spark), state, client="c", now="2024-01-04 02:00:00")
+    assert res.counts["since"] == "2024-01-02 00:00:00"
+    assert res.records_extracted == 2 and [r[0] for r in _table(state, "t")] == [2, 4]
