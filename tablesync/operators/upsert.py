@@ -10,11 +10,12 @@ Semantics kept from the original loader:
 * target-only columns are NULL for the inserted rows.
 
 Plan shape: ``target LEFT ANTI JOIN staged_keys`` then ``UNION ALL staged``.
-With a known, bounded staged row count the key side is broadcast, so the
-(large) target is never shuffled.  Otherwise the key side is de-duplicated
-with a partial aggregate (a hot key collapses map-side) and the join is a
-shuffled join that AQE may turn into a broadcast, or split when the target
-holds a skewed key.
+With a proven bound on the staged keys (observed rows and key bytes) the key
+side is broadcast, so the (large) target is never shuffled.  Otherwise the
+key side is de-duplicated with a partial aggregate (a hot staged key collapses
+map-side) and the join is salted: target rows of one key -- a hot key, or the
+NULL keys -- are spread over ``salt_buckets`` partitions, the key side is
+replicated per salt.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ from tablesync.functions.types import added_column_type, to_added_type
 # count and its key bytes (observed, or rows x width for fixed-width keys).
 DEFAULT_BROADCAST_KEY_ROWS = 20_000_000
 DEFAULT_BROADCAST_KEY_BYTES = 256 * 1024 * 1024
+# Shuffled path: target rows are spread over this many salts per key.
+DEFAULT_SALT_BUCKETS = 16
 
 
 # Bytes per value of fixed-width key types (upper bounds).
@@ -92,6 +95,13 @@ def key_bytes(pk: str | Sequence[str]):
     return F.sum(total).cast("long")
 
 
+def measure_keys(staged: DataFrame, pk: str | Sequence[str]) -> tuple[int, int]:
+    """(rows, key bytes) of a staged set in one aggregate job -- the figures the
+    sync job gets for free from its staging-write ``Observation``."""
+    row = staged.agg(F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("b")).first()
+    return int(row["n"]), int(row["b"] or 0)
+
+
 def broadcast_ok(staged: DataFrame, keys: Sequence[str], staged_rows: int | None,
                  staged_key_bytes: int | None, max_rows: int, max_bytes: int) -> bool:
     """True only when the key side's size is bounded by observed figures."""
@@ -109,7 +119,8 @@ def broadcast_ok(staged: DataFrame, keys: Sequence[str], staged_rows: int | None
 def delta_upsert(target: DataFrame | None, staged: DataFrame, pk: str | Sequence[str],
                  staged_rows: int | None = None, staged_key_bytes: int | None = None,
                  broadcast_key_rows: int = DEFAULT_BROADCAST_KEY_ROWS,
-                 broadcast_key_bytes: int = DEFAULT_BROADCAST_KEY_BYTES) -> DataFrame:
+                 broadcast_key_bytes: int = DEFAULT_BROADCAST_KEY_BYTES,
+                 salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
     """Delete target rows whose key is staged, then insert all staged rows.
 
     ``target=None`` is the first delta run: the staged rows become the table.
@@ -131,9 +142,29 @@ def delta_upsert(target: DataFrame | None, staged: DataFrame, pk: str | Sequence
     staged_keys = staged.where(not_null).select(
         *[F.col(_q(k)).cast(t_types[k]).alias(k) for k in keys])
     if broadcast_ok(staged, keys, staged_rows, staged_key_bytes, broadcast_key_rows, broadcast_key_bytes):
-        staged_keys = F.broadcast(staged_keys)
+        kept = evolved.join(F.broadcast(staged_keys), on=keys, how="left_anti")
     else:
-        staged_keys = staged_keys.distinct()
-
-    kept = evolved.join(staged_keys, on=keys, how="left_anti")
+        kept = salted_anti_join(evolved, staged_keys.distinct(), keys, salt_buckets)
     return kept.unionByName(inserted)
+
+
+def salted_anti_join(target: DataFrame, keys_df: DataFrame, keys: Sequence[str],
+                     salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+    """``target LEFT ANTI JOIN keys_df`` with the target spread over salts.
+
+    Each target row gets a deterministic salt (hash of its atomic columns mod
+    ``salt_buckets``), so one hot key -- or all NULL keys, which never match --
+    lands in ``salt_buckets`` shuffle partitions instead of one.  The
+    de-duplicated key side is replicated once per salt: ``salt_buckets`` x the
+    staged key set, small next to the target it spares from a one-task group.
+    """
+    if salt_buckets <= 1:
+        return target.join(keys_df, on=list(keys), how="left_anti")
+    hashable = [F.col(_q(f.name)) for f in target.schema.fields
+                if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType))]
+    salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets)).cast("int")
+    salted_keys = keys_df.withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return (target.withColumn("_salt", salt)
+            .join(salted_keys, on=[*keys, "_salt"], how="left_anti")
+            .drop("_salt"))

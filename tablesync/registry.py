@@ -49,11 +49,18 @@ def _t(spark, sf_dir, name):
     return fx.table(spark, sf_dir, name)
 
 
+def _upsert(target, staged, pk):
+    """Keyed upsert with the staged key set measured first (as the job does from
+    its staging observation), so a bounded delta is broadcast."""
+    rows, kb = upsert.measure_keys(staged, pk)
+    return upsert.delta_upsert(target, staged, pk, staged_rows=rows, staged_key_bytes=kb)
+
+
 # ------------------------------------------------------------------ upserts
 @query
 def delta_upsert(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    return upsert.delta_upsert(fx.orders_base(o), fx.orders_delta(o), "o_orderkey")
+    return _upsert(fx.orders_base(o), fx.orders_delta(o), "o_orderkey")
 
 
 @query
@@ -67,8 +74,8 @@ def delta_first_run(spark, sf_dir):
 def delta_idempotent(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     delta = fx.orders_delta(o)
-    once = upsert.delta_upsert(fx.orders_base(o), delta, "o_orderkey")
-    return upsert.delta_upsert(once, delta, "o_orderkey")
+    once = _upsert(fx.orders_base(o), delta, "o_orderkey")
+    return _upsert(once, delta, "o_orderkey")
 
 
 @query
@@ -84,32 +91,32 @@ def full_refresh(spark, sf_dir):
 @query
 def delta_dup_pk(spark, sf_dir):
     base, delta = fx.lineitem_split(_t(spark, sf_dir, "lineitem"))
-    return upsert.delta_upsert(base, delta, "l_orderkey")
+    return _upsert(base, delta, "l_orderkey")
 
 
 @query
 def delta_null_pk(spark, sf_dir):
     base, delta = fx.lineitem_null_split(_t(spark, sf_dir, "lineitem"))
-    return upsert.delta_upsert(base, delta, "k")
+    return _upsert(base, delta, "k")
 
 
 @query
 def schema_evolve(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    return upsert.delta_upsert(fx.orders_base(o), fx.orders_delta_wide(o), "o_orderkey")
+    return _upsert(fx.orders_base(o), fx.orders_delta_wide(o), "o_orderkey")
 
 
 @query
 def schema_missing(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
-    return upsert.delta_upsert(fx.orders_base_wide(o), fx.orders_delta(o), "o_orderkey")
+    return _upsert(fx.orders_base_wide(o), fx.orders_delta(o), "o_orderkey")
 
 
 @query
 def loaded_count(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     delta = fx.orders_delta(o)
-    result = upsert.delta_upsert(fx.orders_base(o), delta, "o_orderkey")
+    result = _upsert(fx.orders_base(o), delta, "o_orderkey")
     # One global aggregate over both inputs (no join needed for two counts).
     tagged = result.select(F.lit(1).alias("_t"), F.lit(0).alias("_l")).unionByName(
         delta.select(F.lit(0).alias("_t"), F.lit(1).alias("_l")))

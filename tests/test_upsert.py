@@ -102,3 +102,23 @@ def test_narrow_types_dates_and_timestamps(spark):
                                "d string, t string, m string, n string")
     types = {f.name: f.dataType for f in narrow_types(df).schema.fields}
     assert types == {"d": T.DateType(), "t": T.TimestampNTZType(), "m": T.StringType(), "n": T.StringType()}
+
+
+def test_shuffled_path_salts_hot_and_null_keys(spark):
+    n = 30000
+    target = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 3 == 1, F.lit(7))
+        .otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    staged = spark.range(0, n, 2).select(F.col("id").alias("k"), (-F.col("id")).alias("v"))
+    # No size figures: the shuffled, salted path.
+    salted = delta_upsert(target, staged, "k")
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan and "LeftAnti" in plan
+    broadcast = delta_upsert(target, staged, "k", staged_rows=n // 2)
+    assert _rows(salted) == _rows(broadcast)
+    assert salted.count() == 10000 + 10000 + 5000 + 15000
+    # The hot key and the NULL keys are spread over the salts.
+    from tablesync.operators.upsert import DEFAULT_SALT_BUCKETS
+    sizes = (target.withColumn("_salt", F.pmod(F.xxhash64("k", "v"), F.lit(DEFAULT_SALT_BUCKETS)))
+             .where(F.col("k").isNull() | (F.col("k") == 7)).groupBy("k", "_salt").count().collect())
+    assert len(sizes) == 2 * DEFAULT_SALT_BUCKETS and max(r["count"] for r in sizes) < 10000 / 8
