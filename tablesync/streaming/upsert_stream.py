@@ -26,26 +26,32 @@ def _applied_path(store: TableStore) -> str:
     return f"{store.root}/_applied_batches"
 
 
-def applied_batches(spark: SparkSession, store: TableStore, table: str) -> set[int]:
-    """Batch ids already applied to ``table`` (one row per micro-batch)."""
+def last_applied_batch(spark: SparkSession, store: TableStore, table: str) -> int:
+    """Highest batch id already applied to ``table`` (-1 when none).
+
+    Micro-batch ids grow monotonically and only the last, uncommitted batch is
+    ever replayed, so "applied" is ``batch_id <= last``: a one-row aggregate,
+    however long the stream has run.
+    """
     from tablesync.session import path_exists
 
     if not path_exists(_applied_path(store)):
-        return set()  # nothing applied yet
+        return -1
     applied = spark.read.schema(APPLIED_SCHEMA).parquet(_applied_path(store))
-    return {r[0] for r in applied.where(F.col("table") == table).select("batch_id").collect()}
+    got = applied.where(F.col("table") == table).agg(F.max("batch_id")).first()[0]
+    return -1 if got is None else int(got)
 
 
 def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore):
     """The ``foreachBatch`` function for one target table."""
-    done: set[int] | None = None
+    last: int | None = None
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        nonlocal done
-        if done is None:
-            done = applied_batches(spark, store, table)
-        if batch_id in done:
-            return
+        nonlocal last
+        if last is None:
+            last = last_applied_batch(spark, store, table)
+        if batch_id <= last:
+            return  # replay of a batch already published
         stage = f"{store.root}/_staging/{table}/batch={batch_id}"
         obs = Observation(f"batch_{table}_{batch_id}")
         sanitize(batch).observe(obs, F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("kb")) \
@@ -56,7 +62,7 @@ def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore):
             store.adopt_delta(table, stage, pk, run_id=f"b{batch_id}", rows=rows, key_bytes=obs.get.get("kb"))
         spark.createDataFrame([(table, batch_id)], APPLIED_SCHEMA) \
             .write.mode("append").parquet(_applied_path(store))
-        done.add(batch_id)
+        last = batch_id
 
     return apply
 
