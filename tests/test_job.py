@@ -187,3 +187,20 @@ def test_incremental_without_cursor_starts_yesterday_in_source_zone(spark, workd
     res = sync_table(spark, spec, _source(spark), state, client="c", now="2024-01-04 02:00:00")
     assert res.counts["since"] == "2024-01-02 00:00:00"
     assert res.records_extracted == 2 and [r[0] for r in _table(state, "t")] == [2, 4]
+
+
+def test_one_failing_table_never_stops_the_others(spark, workdir):
+    from tablesync.plans.job import sync_all
+
+    state = StateStore(spark, workdir)
+
+    def broken(since):
+        raise RuntimeError("boom at postgresql://a:b@c/d")
+
+    results = sync_all(spark, [(SyncSpec("ok1", pk="id"), _source(spark)),
+                               (SyncSpec("bad", pk="id"), broken),
+                               (SyncSpec("ok2", pk="id"), _source(spark))], state, client="acme")
+    assert [r.status for r in results] == ["success", "failed", "success"]
+    payload = summary_payload("acme", results)
+    assert payload["status"] == "failed" and "b@" not in payload["streams"][1]["error"]
+    assert state.runs().where("status = 'FAILED'").count() == 1
