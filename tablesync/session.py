@@ -15,6 +15,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # ~256 MB input splits and post-shuffle partitions: sized for executor
+    # memory, not for the data volume (AQE coalesces small shuffle partitions).
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
@@ -44,6 +48,14 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 8) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for a job reading ``input_bytes``:
+    one ~256 MB partition per slice of input (AQE coalesces downwards).
+    100 TB -> ~400 000; sf0.1 -> the minimum."""
+    return max(minimum, -(-int(input_bytes) // partition_bytes))
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
