@@ -61,7 +61,9 @@ def delta_filter(df: DataFrame, key: str, since: str | None) -> DataFrame:
 
 
 def default_lookback(now: Column | str) -> Column:
-    """Yesterday 00:00:00 in the source's zone, as cursor text, for a given 'now'."""
+    """Yesterday 00:00:00 in the source's zone, as cursor text, for a given
+    'now' given as a UTC wall-clock ``timestamp_ntz`` (independent of the
+    session time zone)."""
     c = F.col(now) if isinstance(now, str) else now
-    local_day = F.to_date(F.from_utc_timestamp(c.cast("timestamp"), SOURCE_TIME_ZONE))
-    return F.date_format(F.date_sub(local_day, 1), CURSOR_TEXT)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(SOURCE_TIME_ZONE), c.cast("timestamp_ntz"))
+    return F.date_format(F.date_sub(F.to_date(local), 1), CURSOR_TEXT)

@@ -94,8 +94,8 @@ def run_fold(ledger: DataFrame) -> DataFrame:
         F.max_by("status", "seq").alias("status"),
         F.max("records_out").alias("records_out"),
     )
-    dur = (F.unix_micros(F.col("finished_at").cast("timestamp"))
-           - F.unix_micros(F.col("started_at").cast("timestamp"))) / F.lit(1_000_000.0)
+    # Wall-clock difference, independent of the session time zone.
+    dur = F.expr("timestampdiff(MICROSECOND, started_at, finished_at)") / F.lit(1_000_000.0)
     return agg.withColumn("duration_s", dur)
 
 

@@ -348,8 +348,10 @@ def lookback_text(spark: SparkSession, now: str | None = None) -> str:
     """The default look-back as cursor text (one-row evaluation)."""
     from tablesync.operators.cursor import default_lookback
 
-    clock = F.lit(now).cast("timestamp") if now else F.current_timestamp()
-    return spark.range(1).select(default_lookback(clock)).first()[0]
+    if now is None:
+        import datetime as _dt
+        now = _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    return spark.range(1).select(default_lookback(F.lit(now).cast("timestamp_ntz"))).first()[0]
 
 
 def _has_keys(df: DataFrame, pk) -> bool:
