@@ -146,3 +146,12 @@ def test_paged_source_page_cap_and_empty_endpoints(spark, workdir):
     assert sorted(r.id for r in paged.parse_records(capped, "id long").collect()) == list(range(6))
     none = paged.paged_scan(spark, ["empty", "nulls", "missing"], path=workdir, page_size=2)
     assert none.count() == 0
+
+
+def test_paged_source_stops_at_total_even_if_more_pages_exist(spark, workdir):
+    pages = [{"registros": [{"id": 1}, {"id": 2}], "total": "4.0"},
+             {"registros": [{"id": 3}, {"id": 4}], "total": "4"},
+             {"registros": [{"id": 5}], "total": "4"}]
+    _write_pages(workdir, "t", pages)
+    df = paged.paged_scan(spark, ["t"], path=workdir, page_size=2)
+    assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == [1, 2, 3, 4]
