@@ -323,8 +323,7 @@ from progress5"""
 
     # ------------------------------------------------------------------ files
     q["ndjson_scan"] = "select * from orders"
-    q["paged_sync"] = ("select event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') as ts, user_id, event_type, "
-                       "value, props from events")
+    q["paged_sync"] = "select event_id, ts, user_id, event_type, value, props from events"
 
     # -------------------------------------------------------------- streaming
     q["stream_upsert"] = q["delta_upsert"]

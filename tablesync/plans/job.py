@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.clean import sanitize
 from tablesync.functions.redact_text import redact_text
+from tablesync.functions.types import apply_narrowing, narrow_plan
 from tablesync.operators import contracts as ct
 from tablesync.operators.cursor import cursor_candidate, delta_filter
 from tablesync.operators.upsert import key_bytes
@@ -59,6 +60,7 @@ class SyncSpec:
     transform_sql: str | None = None       # SQL with a {raw} placeholder
     contract: list | None = None           # list[contracts.Field]
     dedupe: bool = False                   # keep only the latest row per key inside a batch
+    narrow: bool = True                    # type all-date / all-timestamp text columns
 
 
 @dataclass
@@ -253,6 +255,14 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             state.checkpoint(client, pipeline, run_id, "VERIFY", data_path=stage_dir)  # flushes
             return SyncResult(pipeline, 0, 0, "success", run_id=run_id, counts=dict(ctx))
 
+        # Text columns holding only dates / timestamps are narrowed, as a JSON
+        # staging scan would type them (P-05): one aggregate over the landed
+        # files decides; the casts ride along with the next write.
+        landed_df = spark.read.parquet(landed_dir)
+        narrowing = narrow_plan(landed_df) if spec.narrow else {}
+        ctx["narrowed"] = narrowing
+        typed = apply_narrowing(landed_df, narrowing)
+
         # --------------------------------------------------------- VALIDATE
         load_from, columns = landed_dir, None
         if spec.contract:
@@ -264,7 +274,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
                                 if path_exists(checked) else 0)
             else:
                 state.event(run_id, "stage_start", "VALIDATE")
-                ann = ct.annotate(spark.read.parquet(landed_dir), spec.contract)
+                ann = ct.annotate(typed, spec.contract)
                 valid = F.col("_valid")
                 obs = Observation("validate")
                 metrics = [F.count(F.lit(1)).alias("n"), F.sum(valid.cast("int")).alias("valid")]
@@ -296,20 +306,26 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         # ------------------------------------------------------------- LOAD
         # Zero-copy: the staged folder itself becomes the new base generation
         # (full mode, first delta run) or a delta layer (later delta runs).
-        # Only ``dedupe`` needs a rewrite, to keep the latest row per key.
+        # Only ``dedupe`` (latest row per key) or narrowing without a contract
+        # needs a rewrite.
         state.event(run_id, "stage_start", "LOAD")
         tables = state.tables
         base, _ = tables.state(pipeline)
         as_layer = spec.mode != "full" and base is not None
-        publish_path = load_from
-        if load_from is not None and spec.dedupe and spec.replication_key:
-            staged = spark.read.parquet(load_from)
-            if columns:
-                staged = staged.select(*columns)
-            keys = [spec.pk] if isinstance(spec.pk, str) else list(spec.pk)
-            staged = staged.groupBy(*keys).agg(
-                F.max_by(F.struct(*staged.columns), F.col(spec.replication_key)).alias("_r")).select("_r.*")
-            publish_path, _ = tables.write_generation(pipeline, staged, run_id)
+        publish_path, rewrite = load_from, None
+        if load_from is not None:
+            if not spec.contract and narrowing:
+                rewrite = typed  # the narrowing casts need one write
+            if spec.dedupe and spec.replication_key:
+                staged = rewrite if rewrite is not None else spark.read.parquet(load_from)
+                if columns:
+                    staged = staged.select(*columns)
+                keys = [spec.pk] if isinstance(spec.pk, str) else list(spec.pk)
+                rewrite = staged.groupBy(*keys).agg(
+                    F.max_by(F.struct(*staged.columns), F.col(spec.replication_key)).alias("_r")).select("_r.*")
+        if rewrite is not None:
+            publish_path, _, ctx["key_bytes"] = tables.write_layer(
+                pipeline, rewrite, run_id, spec.pk if _has_keys(rewrite, spec.pk) else None)
             columns = None
         finish_stage("LOAD")
 
@@ -324,7 +340,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             raise VerificationError(f"count mismatch: {expected} expected, {ctx['loaded']} loaded")
         if as_layer:
             tables.add_layer(pipeline, publish_path, spec.pk, run_id, ctx["loaded"],
-                             None if spec.dedupe else ctx.get("key_bytes"), columns)
+                             ctx.get("key_bytes"), columns)
         else:
             tables.swap(pipeline, publish_path, run_id, ctx["loaded"], columns)
         if ctx.get("new_cursor") is not None:

@@ -1,5 +1,7 @@
 """Sync job lifecycle: full, incremental, empty, failures, resume, publish."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,14 +28,16 @@ def test_full_then_incremental(spark, workdir):
     full = SyncSpec("clientes", pk="id", replication_key="ultima_atualizacao", mode="full")
     first = sync_table(spark, full, _source(spark), state, client="acme")
     assert first.status == "success" and first.records_extracted == 4 and first.records_loaded == 4
-    # Blank and impossible dates are NULL in the published table.
-    assert _table(state, "clientes")[1] == (2, None, "2024-01-02 10:00:00")
+    # Blank and impossible dates are NULL in the published table, and the
+    # all-timestamp text column is narrowed to a timestamp.
+    assert _table(state, "clientes")[1] == (2, None, dt.datetime(2024, 1, 2, 10))
+    assert dict(state.tables.current("clientes").dtypes)["ultima_atualizacao"] == "timestamp_ntz"
     assert state.saved_cursor("acme", "clientes") == "2024-01-03 10:00:00"
     changed = ROWS + [(2, "bia", "2024-01-04 10:00:00")]
     second = sync_table(spark, spec, _source(spark, changed), state, client="acme")
     # Only rows at or after the cursor are extracted (inclusive boundary).
     assert second.records_extracted == 2
-    assert _table(state, "clientes")[1] == (2, "bia", "2024-01-04 10:00:00")
+    assert _table(state, "clientes")[1] == (2, "bia", dt.datetime(2024, 1, 4, 10))
     assert state.saved_cursor("acme", "clientes") == "2024-01-04 10:00:00"
     assert state.tables.current("clientes").count() == 4
     runs = state.runs().orderBy("started_at").collect()
@@ -163,7 +167,7 @@ def test_selected_fields_and_dedupe_latest_per_key(spark, workdir):
     spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="full", dedupe=True,
                     fields=("id", "nome", "ultima_atualizacao"))
     sync_table(spark, spec, _source(spark, rows), state)
-    assert _table(state, "t") == [(1, "b", "2024-01-02 00:00:00"), (2, "c", "2024-01-01 00:00:00")]
+    assert _table(state, "t") == [(1, "b", dt.datetime(2024, 1, 2)), (2, "c", dt.datetime(2024, 1, 1))]
     nodup = SyncSpec("u", pk="id", fields=("id", "nome"))
     sync_table(spark, nodup, _source(spark, rows), state)
     assert _table(state, "u") == [(1, "a"), (1, "b"), (2, "c")]
@@ -204,3 +208,9 @@ def test_one_failing_table_never_stops_the_others(spark, workdir):
     payload = summary_payload("acme", results)
     assert payload["status"] == "failed" and "b@" not in payload["streams"][1]["error"]
     assert state.runs().where("status = 'FAILED'").count() == 1
+
+
+def test_narrowing_can_be_switched_off(spark, workdir):
+    state = StateStore(spark, workdir)
+    sync_table(spark, SyncSpec("t", pk="id", narrow=False), _source(spark), state)
+    assert dict(state.tables.current("t").dtypes)["ultima_atualizacao"] == "string"
