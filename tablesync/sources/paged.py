@@ -36,6 +36,10 @@ PAGE_SCHEMA = "endpoint string, page int, total string, record string"
 # With option ``replicationKey`` the key's text is exposed as ``cursor_value``
 # so that ``cursor_value >= since`` can be pushed to the source (S-04).
 CURSOR_SCHEMA = PAGE_SCHEMA + ", cursor_value string"
+# ``output=pages``: one row per page with the body text exactly as fetched;
+# records are exploded and parsed on the JVM (``explode_pages``), so no
+# per-record Python runs at all.
+BODY_SCHEMA = "endpoint string, page int, total string, body string"
 
 
 def robust_total(raw: Any) -> int | None:
@@ -57,6 +61,11 @@ class DirectoryFetcher:
         self.root = options["path"]
 
     def fetch(self, endpoint: str, page: int, page_size: int, since: str | None) -> dict:
+        text = self.fetch_text(endpoint, page, page_size, since)
+        return json.loads(text) if text else {"registros": [], "total": ""}
+
+    def fetch_text(self, endpoint: str, page: int, page_size: int, since: str | None) -> str | None:
+        """The page body as fetched (None when there is no such page)."""
         from pyarrow import fs as pafs
 
         filesystem, base = pafs.FileSystem.from_uri(
@@ -70,8 +79,8 @@ class DirectoryFetcher:
             with filesystem.open_input_stream(info.path) as fh:
                 text = fh.read().decode("utf-8").strip()
             if text:
-                return json.loads(text)
-        return {"registros": [], "total": ""}
+                return text
+        return None
 
 
 def _make_fetcher(options: dict[str, str]):
@@ -99,6 +108,7 @@ class PagedReader(DataSourceReader):
         self.max_pages = int(opt("maxpages", MAX_PAGES))
         self.since = opt("since")
         self.key = opt("replicationkey")
+        self.pages_out = opt("output", "records") == "pages"
         self.strict = False  # True when a pushed '>' (not '>=') filter is held
 
     def pushFilters(self, filters):
@@ -135,6 +145,9 @@ class PagedReader(DataSourceReader):
             return
         fetcher = _make_fetcher(self.options)
         last = partition.last if partition.last is not None else self.max_pages
+        if self.pages_out:
+            yield from self._read_pages(fetcher, partition, last)
+            return
         for page in range(partition.first, last + 1):
             body = fetcher.fetch(partition.endpoint, page, self.page_size, self.since)
             records = body.get("registros") or []
@@ -155,6 +168,21 @@ class PagedReader(DataSourceReader):
                 yield row + (value,)
 
 
+    def _read_pages(self, fetcher, partition: PageRange, last: int) -> Iterator[tuple]:
+        raw_text = getattr(fetcher, "fetch_text", None)
+        for page in range(partition.first, last + 1):
+            if raw_text is not None:
+                text = raw_text(partition.endpoint, page, self.page_size, self.since)
+                body = json.loads(text) if text else {}
+            else:
+                body = fetcher.fetch(partition.endpoint, page, self.page_size, self.since)
+                text = json.dumps(body, ensure_ascii=False)
+            if not (body.get("registros") or []):
+                break
+            total = body.get("total")
+            yield (partition.endpoint, page, None if total is None else str(total), text)
+
+
 class PagedSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -162,6 +190,8 @@ class PagedSource(DataSource):
 
     def schema(self) -> str:
         opts = {str(k).lower(): v for k, v in dict(self.options).items()}
+        if opts.get("output") == "pages":
+            return BODY_SCHEMA
         return CURSOR_SCHEMA if opts.get("replicationkey") else PAGE_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
@@ -175,9 +205,11 @@ def register(spark: SparkSession) -> None:
 def paged_scan(spark: SparkSession, endpoints: list[str], path: str | None = None,
                page_size: int = DEFAULT_PAGE_SIZE, since: str | None = None,
                pages_per_partition: int = 8, fetcher: str | None = None,
-               replication_key: str | None = None) -> DataFrame:
+               replication_key: str | None = None, output: str = "records") -> DataFrame:
     """Records of the given endpoints as (endpoint, page, total, record JSON)
-    [+ cursor_value when ``replication_key`` is given]."""
+    [+ cursor_value when ``replication_key`` is given]; with
+    ``output="pages"`` one row per page (endpoint, page, total, body) for
+    ``explode_pages``."""
     register(spark)
     reader = (spark.read.format("paged").option("endpoints", ",".join(endpoints))
               .option("pageSize", str(page_size)).option("pagesPerPartition", str(pages_per_partition)))
@@ -189,6 +221,8 @@ def paged_scan(spark: SparkSession, endpoints: list[str], path: str | None = Non
         reader = reader.option("fetcher", fetcher)
     if replication_key:
         reader = reader.option("replicationKey", replication_key)
+    if output != "records":
+        reader = reader.option("output", output)
     return reader.load()
 
 

@@ -155,3 +155,12 @@ def test_paged_source_stops_at_total_even_if_more_pages_exist(spark, workdir):
     _write_pages(workdir, "t", pages)
     df = paged.paged_scan(spark, ["t"], path=workdir, page_size=2)
     assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == [1, 2, 3, 4]
+
+
+def test_paged_source_page_output_matches_records(spark, workdir):
+    recs = [{"id": i, "nome": f"n{i}"} for i in range(9)]
+    _write_pages(workdir, "p", [{"registros": recs[i:i + 4], "total": "9"} for i in range(0, 9, 4)])
+    pages = paged.paged_scan(spark, ["p"], path=workdir, page_size=4, output="pages")
+    assert pages.columns == ["endpoint", "page", "total", "body"] and pages.count() == 3
+    rows = paged.parse_records(paged.explode_pages(pages), "id long, nome string").collect()
+    assert sorted(r.id for r in rows) == list(range(9))
