@@ -183,9 +183,10 @@ def field_checks(df: DataFrame, contract: list[Field]) -> tuple[list[Column], li
     return values, codes
 
 
-def annotate(df: DataFrame, contract: list[Field]) -> DataFrame:
-    """Input columns + coerced ``_v_<field>`` + ``_record`` (row JSON) +
-    ``_errors`` (array of error structs) + ``_valid``.
+def annotate(df: DataFrame, contract: list[Field], record_columns: list[str] | None = None) -> DataFrame:
+    """Input columns + coerced ``_v_<field>`` + ``_record`` (row JSON of
+    ``record_columns``, default all) + ``_errors`` (array of error structs) +
+    ``_valid``.
 
     Two projections: the first computes each field's value and error code
     once; the second builds the error structs from those columns, so no
@@ -197,7 +198,7 @@ def annotate(df: DataFrame, contract: list[Field]) -> DataFrame:
         *cols,
         *[v.alias(f"_v_{f.name}") for v, f in zip(values, contract)],
         *[code.alias(f"_c_{i}") for i, code in enumerate(codes)],
-        to_json_record(df, "_record"),
+        to_json_record(df.select(*record_columns) if record_columns else df, "_record"),
     )
     messages = _message_map()
     errors = []

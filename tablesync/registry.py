@@ -253,10 +253,11 @@ def validate_dead(spark, sf_dir):
 
 
 def _dead_letter_table(spark, sf_dir):
-    ann = _annotated(spark, sf_dir)
-    ev = _t(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("ts").alias("created_at"))
-    dl = contracts.dead_letters(ann, F.floor(F.col("id") / 10).cast("long"), "events", extra=("id",))
-    return dl.join(ev, on="id")
+    ev = _t(spark, sf_dir, "events")
+    rec = clean.sanitize(fx.dirty_records(ev, with_created=True))
+    ann = contracts.annotate(rec, FX1_CONTRACT, record_columns=[c for c in rec.columns if c != "created_at"])
+    return contracts.dead_letters(ann, F.floor(F.col("id") / 10).cast("long"), "events",
+                                  extra=("id", "created_at"))
 
 
 @query

@@ -32,7 +32,7 @@ def _pad2(c):
     return F.lpad(c.cast("string"), 2, "0")
 
 
-def dirty_records(events: DataFrame, with_stream: bool = False) -> DataFrame:
+def dirty_records(events: DataFrame, with_stream: bool = False, with_created: bool = False) -> DataFrame:
     """FX-1: API-like text records with blanks and impossible dates."""
     eid = F.col("event_id")
     nome = (F.when(eid % 7 == 0, F.lit(""))
@@ -51,6 +51,8 @@ def dirty_records(events: DataFrame, with_stream: bool = False) -> DataFrame:
             F.date_format("ts", TS_TEXT).alias("ultima_atualizacao")]
     if with_stream:
         cols.append(F.col("event_type").alias("stream"))
+    if with_created:
+        cols.append(F.col("ts").alias("created_at"))
     return events.select(*cols)
 
 
