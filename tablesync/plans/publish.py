@@ -134,7 +134,9 @@ class TableStore:
         base, layers = self.state(table)
         row = (table, kind, path, str(run_id), time.time_ns(), rows, json.dumps(pk) if pk else None,
                key_bytes, json.dumps(list(columns)) if columns else None)
-        self.spark.createDataFrame([row], POINTER_SCHEMA).write.mode("append").parquet(self.pointer_path)
+        # Partitioned by table: a reader of one table prunes to its own files.
+        (self.spark.createDataFrame([row], POINTER_SCHEMA).write.mode("append")
+         .partitionBy("table").parquet(self.pointer_path))
         entry = dict(zip(_POINTER_NAMES, row))
         self._cache[table] = (entry, []) if kind == "base" else (base, layers + [entry])
 

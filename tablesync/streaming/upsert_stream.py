@@ -61,7 +61,7 @@ def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore):
             # Zero-copy, O(batch): the staged batch folder becomes a delta layer.
             store.adopt_delta(table, stage, pk, run_id=f"b{batch_id}", rows=rows, key_bytes=obs.get.get("kb"))
         spark.createDataFrame([(table, batch_id)], APPLIED_SCHEMA) \
-            .write.mode("append").parquet(_applied_path(store))
+            .write.mode("append").partitionBy("table").parquet(_applied_path(store))
         last = batch_id
 
     return apply
