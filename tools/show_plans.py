@@ -59,6 +59,16 @@ def main() -> None:
         ex = text.count("Exchange")
         out += [f"## {key}", "", f"shuffles: {ex - text.count('BroadcastExchange')}, "
                 f"broadcasts: {text.count('BroadcastExchange')}", "", "```", text, "```", ""]
+    # The shuffled path: staged keys without a proven size bound (salted join).
+    from tablesync.operators.upsert import delta_upsert
+    o0 = fx.table(spark, sf_dir, "orders")
+    # As with a staged set too big for any broadcast: no static broadcast either.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = summarize(formatted(delta_upsert(fx.orders_base(o0), fx.orders_delta(o0), "o_orderkey")))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    out += ["## delta upsert, large staged set (salted shuffled anti-join)", "",
+            f"shuffles: {text.count('Exchange') - text.count('BroadcastExchange')}, "
+            f"broadcasts: {text.count('BroadcastExchange')}", "", "```", text, "```", ""]
     # The layered table read: base + two delta layers folded with broadcast keys.
     o = fx.table(spark, sf_dir, "orders")
     store = TableStore(spark, scratch_dir(spark, "plans"))
