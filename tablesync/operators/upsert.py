@@ -144,13 +144,14 @@ def delta_upsert(target: DataFrame | None, staged: DataFrame, pk: str | Sequence
     if broadcast_ok(staged, keys, staged_rows, staged_key_bytes, broadcast_key_rows, broadcast_key_bytes):
         kept = evolved.join(F.broadcast(staged_keys), on=keys, how="left_anti")
     else:
-        kept = salted_anti_join(evolved, staged_keys.distinct(), keys, salt_buckets)
+        kept = salted_anti_join(evolved, staged_keys, keys, salt_buckets)
     return kept.unionByName(inserted)
 
 
 def salted_anti_join(target: DataFrame, keys_df: DataFrame, keys: Sequence[str],
                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
-    """``target LEFT ANTI JOIN keys_df`` with the target spread over salts.
+    """``target LEFT ANTI JOIN keys_df`` (keys may repeat) with the target
+    spread over salts.
 
     Each target row gets a deterministic salt (hash of its atomic columns mod
     ``salt_buckets``), so one hot key -- or all NULL keys, which never match --
@@ -159,12 +160,14 @@ def salted_anti_join(target: DataFrame, keys_df: DataFrame, keys: Sequence[str],
     staged key set, small next to the target it spares from a one-task group.
     """
     if salt_buckets <= 1:
-        return target.join(keys_df, on=list(keys), how="left_anti")
+        return target.join(keys_df.distinct(), on=list(keys), how="left_anti")
     hashable = [F.col(_q(f.name)) for f in target.schema.fields
                 if not isinstance(f.dataType, (T.MapType, T.StructType, T.ArrayType))]
     salt = F.pmod(F.xxhash64(*hashable), F.lit(salt_buckets)).cast("int")
+    # Explode first, then de-duplicate on (key, salt): the partial aggregate
+    # collapses repeated keys map-side and its shuffle is the one the join uses.
     salted_keys = keys_df.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1)))).distinct()
     return (target.withColumn("_salt", salt)
             .join(salted_keys, on=[*keys, "_salt"], how="left_anti")
             .drop("_salt"))
