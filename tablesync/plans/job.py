@@ -260,6 +260,12 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         # files decides; the casts ride along with the next write.
         landed_df = spark.read.parquet(landed_dir)
         narrowing = narrow_plan(landed_df) if spec.narrow else {}
+        current = state.tables.current(pipeline) if spec.mode != "full" else None
+        if current is not None:
+            # A delta follows the published table: a column it already has is
+            # narrowed only to that column's own type.
+            have = {f.name: f.dataType.simpleString() for f in current.schema.fields}
+            narrowing = {c: t for c, t in narrowing.items() if c not in have or have[c] == t}
         ctx["narrowed"] = narrowing
         typed = apply_narrowing(landed_df, narrowing)
 
@@ -339,6 +345,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         if ctx["loaded"] != expected and not spec.dedupe:
             raise VerificationError(f"count mismatch: {expected} expected, {ctx['loaded']} loaded")
         if as_layer:
+            check_layer_types(spark, tables.current(pipeline), spark.read.parquet(publish_path), columns)
             tables.add_layer(pipeline, publish_path, spec.pk, run_id, ctx["loaded"],
                              ctx.get("key_bytes"), columns)
         else:
@@ -360,6 +367,31 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
                           error=err, run_id=run_id, counts=dict(ctx))
 
 
+def check_layer_types(spark: SparkSession, current: DataFrame, layer: DataFrame,
+                      columns: list[str] | None = None) -> None:
+    """Fail the run (before anything is visible) when a staged value cannot be
+    cast to the type its column has in the published table -- the fold casts
+    it on read, so it must be castable now.  One aggregate over the staged rows,
+    only for columns whose types differ."""
+    from tablesync.functions.types import added_column_type
+
+    if columns:
+        layer = layer.select(*columns)
+    have = {f.name: f.dataType for f in current.schema.fields}
+    checks = []
+    for f in layer.schema.fields:
+        target = have.get(f.name)
+        if target is None or target == f.dataType or added_column_type(f.dataType) == target:
+            continue
+        c = F.col(f"`{f.name}`")
+        checks.append(F.sum((c.isNotNull() & c.try_cast(target).isNull()).cast("int")).alias(f.name))
+    if not checks:
+        return
+    bad = {k: v for k, v in layer.agg(*checks).first().asDict().items() if v}
+    if bad:
+        raise VerificationError(f"staged values do not fit the table's column types: {bad}")
+
+
 def lookback_text(spark: SparkSession, now: str | None = None) -> str:
     """The default look-back as cursor text (one-row evaluation)."""
     from tablesync.operators.cursor import default_lookback

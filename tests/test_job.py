@@ -214,3 +214,20 @@ def test_narrowing_can_be_switched_off(spark, workdir):
     state = StateStore(spark, workdir)
     sync_table(spark, SyncSpec("t", pk="id", narrow=False), _source(spark), state)
     assert dict(state.tables.current("t").dtypes)["ultima_atualizacao"] == "string"
+
+
+def test_delta_with_values_that_do_not_fit_fails_before_publish(spark, workdir):
+    state = StateStore(spark, workdir)
+    full = SyncSpec("t", pk="id", mode="full", replication_key="ultima_atualizacao")
+    sync_table(spark, full, _source(spark), state)
+    assert dict(state.tables.current("t").dtypes)["ultima_atualizacao"] == "timestamp_ntz"
+    before = _table(state, "t")
+    delta = SyncSpec("t", pk="id", mode="incremental", replication_key="ultima_atualizacao")
+    bad = [(5, "eva", "2024-02-01 00:00:00"), (6, "ivo", "2024-02-02 xx")]
+    res = sync_table(spark, delta, _source(spark, bad), state)
+    assert res.status == "failed" and "do not fit" in res.error
+    assert _table(state, "t") == before
+    good = [(5, "eva", "2024-02-01 00:00:00")]
+    assert sync_table(spark, delta, _source(spark, good), state).status == "success"
+    assert dict(state.tables.current("t").dtypes)["ultima_atualizacao"] == "timestamp_ntz"
+    assert _table(state, "t")[-1] == (5, "eva", dt.datetime(2024, 2, 1))
