@@ -209,6 +209,9 @@ class PagedSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    from tablesync.session import ship_package
+
+    ship_package(spark)  # the reader runs on Python workers
     spark.dataSource.register(PagedSource)
 
 
