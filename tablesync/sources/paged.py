@@ -212,6 +212,9 @@ def register(spark: SparkSession) -> None:
     from tablesync.session import ship_package
 
     ship_package(spark)  # the reader runs on Python workers
+    # The reader takes pushed cursor filters; Spark requires the session to
+    # allow Python filter pushdown for such a reader.
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedSource)
 
 
