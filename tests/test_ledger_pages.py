@@ -164,3 +164,10 @@ def test_paged_source_page_output_matches_records(spark, workdir):
     assert pages.columns == ["endpoint", "page", "total", "body"] and pages.count() == 3
     rows = paged.parse_records(paged.explode_pages(pages), "id long, nome string").collect()
     assert sorted(r.id for r in rows) == list(range(9))
+
+
+def test_paged_source_works_when_session_disables_pushdown(spark, workdir):
+    _write_pages(workdir, "q", [{"registros": [{"id": 1, "u": "2024-01-01"}], "total": "1"}])
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+    df = paged.paged_scan(spark, ["q"], path=workdir, page_size=1, replication_key="u")
+    assert df.where(F.col("cursor_value") >= "2024-01-01").count() == 1
