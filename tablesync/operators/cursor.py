@@ -53,10 +53,13 @@ def cursor_lookup(cursor_log: DataFrame, keys: Sequence[str] = ("client", "pipel
     return cursor_log.groupBy(*keys).agg(F.max_by(F.col(value), F.col(seq)).alias("cursor"))
 
 
-def delta_filter(df: DataFrame, key: str, since: str | None) -> DataFrame:
-    """Incremental predicate ``key >= since`` (inclusive; the upsert is idempotent)."""
+def delta_filter(df: DataFrame, key: str, since: str | None, numeric: bool = False) -> DataFrame:
+    """Incremental predicate ``key >= since`` (inclusive; the upsert is idempotent);
+    ``numeric`` compares as numbers (a text key holding numbers included)."""
     if since is None:
         return df
+    if numeric:
+        return df.where(F.col(key).cast("string").try_cast("double") >= F.lit(since).try_cast("double"))
     return df.where(F.col(key) >= F.lit(since))
 
 

@@ -61,6 +61,7 @@ class SyncSpec:
     contract: list | None = None           # list[contracts.Field]
     dedupe: bool = False                   # keep only the latest row per key inside a batch
     narrow: bool = True                    # type all-date / all-timestamp text columns
+    numeric_cursor: bool = False           # compare a numeric replication key as a number
 
 
 @dataclass
@@ -231,11 +232,11 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             state.event(run_id, "stage_start", "EXTRACT")
             raw = source(since)
             if incremental:
-                raw = delta_filter(raw, spec.replication_key, since)
+                raw = delta_filter(raw, spec.replication_key, since, spec.numeric_cursor)
             metrics = [F.count(F.lit(1)).alias("n")]
             if spec.replication_key:
                 # The cursor comes from the raw rows, before cleaning / transform.
-                metrics.append(cursor_candidate(spec.replication_key).alias("cursor"))
+                metrics.append(cursor_candidate(spec.replication_key, spec.numeric_cursor).alias("cursor"))
             raw_obs, out_obs = Observation("raw"), Observation("landed")
             landed = project(spark, sanitize(raw.observe(raw_obs, *metrics)), spec)
             out_metrics = [F.count(F.lit(1)).alias("n")]

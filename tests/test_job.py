@@ -231,3 +231,14 @@ def test_delta_with_values_that_do_not_fit_fails_before_publish(spark, workdir):
     assert sync_table(spark, delta, _source(spark, good), state).status == "success"
     assert dict(state.tables.current("t").dtypes)["ultima_atualizacao"] == "timestamp_ntz"
     assert _table(state, "t")[-1] == (5, "eva", dt.datetime(2024, 2, 1))
+
+
+def test_numeric_cursor_compares_numbers(spark, workdir):
+    state = StateStore(spark, workdir)
+    rows = [(1, "a", "9"), (2, "b", "10")]
+    spec = SyncSpec("n", pk="id", replication_key="ultima_atualizacao", mode="full", numeric_cursor=True)
+    sync_table(spark, spec, _source(spark, rows), state, client="c")
+    assert state.saved_cursor("c", "n") == "10"
+    inc = SyncSpec("n", pk="id", replication_key="ultima_atualizacao", mode="incremental", numeric_cursor=True)
+    res = sync_table(spark, inc, _source(spark, rows + [(3, "c", "11")]), state, client="c")
+    assert res.records_extracted == 2 and state.saved_cursor("c", "n") == "11"
