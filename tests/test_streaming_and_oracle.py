@@ -3,7 +3,6 @@ DuckDB oracle at sf0.001."""
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tablesync.operators.upsert import delta_upsert
