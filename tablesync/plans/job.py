@@ -123,11 +123,20 @@ class StateStore:
             (self.spark.createDataFrame(rows, LEDGER_SCHEMA).write.mode("append")
              .partitionBy("kind").parquet(self.path("ledger")))
 
-    def checkpoint(self, client, pipeline, run_id, stage, data_path=None, cleared=False):
+    def checkpoint(self, client, pipeline, run_id, stage, data_path=None, cleared=False,
+                   value=None, records=None):
         self._add("checkpoint", client=client, pipeline=pipeline, run_id=run_id, stage=stage,
-                  data_path=data_path, cleared=cleared)
+                  data_path=data_path, cleared=cleared, value=value, records=records)
         self.flush()
 
+    def stage_checkpoint(self, client: str, pipeline: str, run_id: str, stage: str) -> dict | None:
+        """The checkpoint row one stage of one run wrote (cursor and counts)."""
+        log = self.ledger("checkpoint").where(
+            (F.col("client") == client) & (F.col("pipeline") == pipeline)
+            & (F.col("run_id") == run_id) & (F.col("stage") == stage))
+        row = log.agg(F.max_by(F.struct("value", "records"), "seq").alias("c")).first()
+        return None if row is None or row["c"] is None else row["c"].asDict()
+
     def clear_checkpoint(self, client: str, pipeline: str) -> None:
         self.checkpoint(client, pipeline, None, "CLEARED", cleared=True)
 
@@ -209,9 +218,10 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
     def skip(stage: str) -> bool:
         return STAGES.index(stage) <= done
 
-    def finish_stage(stage: str):
+    def finish_stage(stage: str, value: str | None = None, records: int | None = None):
         state.event(run_id, "stage_done", stage, ctx.get("extracted"))
-        state.checkpoint(client, pipeline, run_id, stage, data_path=stage_dir)  # flushes
+        state.checkpoint(client, pipeline, run_id, stage, data_path=stage_dir,
+                         value=value, records=records)  # flushes
         if fail_after == stage:
             raise RuntimeError(f"injected failure after {stage}")
 
@@ -227,7 +237,12 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         landed_dir = f"{stage_dir}/landed"
         if skip("EXTRACT"):
             state.event(run_id, "stage_skipped", "EXTRACT")
-            ctx["extracted"] = ctx["staged"] = spark.read.parquet(landed_dir).count()
+            ctx["staged"] = spark.read.parquet(landed_dir).count()
+            # The raw count and the cursor were observed by the original
+            # extraction and kept in its checkpoint row.
+            saved = state.stage_checkpoint(client, pipeline, run_id, "EXTRACT") or {}
+            ctx["extracted"] = saved.get("records") if saved.get("records") is not None else ctx["staged"]
+            ctx["new_cursor"] = saved.get("value")
         else:
             state.event(run_id, "stage_start", "EXTRACT")
             raw = source(since)
@@ -247,7 +262,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             ctx["staged"] = int(out_obs.get["n"])
             ctx["key_bytes"] = out_obs.get.get("key_bytes")
             ctx["new_cursor"] = raw_obs.get.get("cursor")
-            finish_stage("EXTRACT")
+            finish_stage("EXTRACT", value=ctx["new_cursor"], records=ctx["extracted"])
 
         if ctx["extracted"] == 0:
             # Nothing new: success, target untouched.

@@ -242,3 +242,13 @@ def test_numeric_cursor_compares_numbers(spark, workdir):
     inc = SyncSpec("n", pk="id", replication_key="ultima_atualizacao", mode="incremental", numeric_cursor=True)
     res = sync_table(spark, inc, _source(spark, rows + [(3, "c", "11")]), state, client="c")
     assert res.records_extracted == 2 and state.saved_cursor("c", "n") == "11"
+
+
+def test_resumed_run_still_saves_the_cursor(spark, workdir):
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="full")
+    crashed = sync_table(spark, spec, _source(spark), state, client="c", fail_after="EXTRACT")
+    assert crashed.status == "failed" and state.saved_cursor("c", "t") is None
+    resumed = sync_table(spark, spec, _source(spark), state, client="c", from_checkpoint=True)
+    assert resumed.status == "success" and resumed.records_extracted == 4
+    assert state.saved_cursor("c", "t") == "2024-01-03 10:00:00"
