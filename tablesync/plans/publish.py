@@ -9,8 +9,9 @@ A table is one *base* generation plus an ordered list of *delta layers*:
   (``operators.upsert.delta_upsert``): each layer's key set is broadcast when
   its observed row count is bounded, so reading the current table is one scan
   of the base with no shuffle of it;
-* when the layers since the base pass ``max_layers`` or ``max_layer_fraction``
-  of the base rows, the fold is compacted into a new base.
+* when the layers since the base pass ``max_layers``, ``max_layer_fraction``
+  of the base rows or ``max_layer_key_bytes`` of broadcast keys in total, the
+  fold is compacted into a new base.
 
 Visibility is atomic: data is written first, its observed row count checked,
 and only then is a row appended to the ``_generations`` pointer table (and the
@@ -42,11 +43,14 @@ class TableStore:
     """Published tables under one shared root folder."""
 
     def __init__(self, spark: SparkSession, root: str, max_layers: int = 8,
-                 max_layer_fraction: float = 0.25):
+                 max_layer_fraction: float = 0.25, max_layer_key_bytes: int = 256 * 1024 * 1024):
         self.spark = spark
         self.root = root.rstrip("/")
         self.max_layers = max_layers
         self.max_layer_fraction = max_layer_fraction
+        # Reading folds every layer with its key set broadcast: their sum is
+        # what executors hold at once, so it is bounded too.
+        self.max_layer_key_bytes = max_layer_key_bytes
         # Pointer state of tables this store has read or written.  A table has
         # one writer (its sync job or stream), which keeps this cache exact;
         # ``state(refresh=True)`` re-reads the pointer table.
@@ -166,8 +170,10 @@ class TableStore:
         self._point(table, "layer", path, run_id, rows, pk, key_bytes, columns)
         base, layers = self.state(table)
         layer_rows = sum(int(x["rows"]) for x in layers)
+        layer_key_bytes = sum(int(x.get("key_bytes") or 0) + 16 * int(x["rows"]) for x in layers)
         if (len(layers) > self.max_layers
-                or layer_rows > self.max_layer_fraction * max(int(base["rows"]), 1)):
+                or layer_rows > self.max_layer_fraction * max(int(base["rows"]), 1)
+                or layer_key_bytes > self.max_layer_key_bytes):
             try:
                 self.compact(table)
                 return

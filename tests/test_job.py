@@ -252,3 +252,14 @@ def test_resumed_run_still_saves_the_cursor(spark, workdir):
     resumed = sync_table(spark, spec, _source(spark), state, client="c", from_checkpoint=True)
     assert resumed.status == "success" and resumed.records_extracted == 4
     assert state.saved_cursor("c", "t") == "2024-01-03 10:00:00"
+
+
+def test_layer_key_bytes_budget_triggers_compaction(spark, workdir):
+    store = TableStore(spark, workdir, max_layers=100, max_layer_fraction=100.0, max_layer_key_bytes=1000)
+    store.publish("b", spark.range(100).withColumnRenamed("id", "k"), run_id="0")
+    store.publish_delta("b", spark.range(10).withColumnRenamed("id", "k"), "k", run_id="1")
+    assert len(store.state("b", refresh=True)[1]) == 1
+    store.publish_delta("b", spark.range(200).withColumnRenamed("id", "k"), "k", run_id="2")
+    base, layers = store.state("b", refresh=True)
+    assert base["run_id"].startswith("compact-") and layers == []
+    assert store.current("b").count() == 200
