@@ -137,12 +137,12 @@ def page_ledger(pages: DataFrame, body: str = "body") -> DataFrame:
 def page_progress(ledger: DataFrame, page_size: int) -> DataFrame:
     """Cumulative fetched rows, percent done (1 decimal) and total pages.
 
-    The running sum per endpoint uses ``ordinal.running_total`` (blocks of
-    4096 pages), so a hot endpoint is not one task."""
+    The running sum per endpoint uses ``ordinal.running_total`` (blocks sized
+    from the page range), so a hot endpoint is not one task."""
     from tablesync.operators.ordinal import running_total
 
     total = F.col("total")
-    return (running_total(ledger, ["endpoint"], "page", F.col("n_records"), "fetched", block_bits=12)
+    return (running_total(ledger, ["endpoint"], "page", F.col("n_records"), "fetched")
             .withColumn("fetched", F.col("fetched").cast("long"))
             .withColumn("pct", F.when(total > 0, F.round(F.col("fetched") / total * 100, 1)))
             .withColumn("total_pages",

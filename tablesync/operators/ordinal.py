@@ -4,27 +4,44 @@
 one group holding a third of the rows that task is the job.  Here the order
 key is cut into fixed-width blocks: a window runs inside each (group, block)
 -- at most ``2**block_bits`` rows when the order key is unique -- and a small
-per-block sum table supplies each block's offset.  The big side is shuffled
+per-block sum table supplies each block's offset.  By default the width is
+about the square root of the key range, balancing the two.  The big side is shuffled
 once by (group, block) and the join to the offsets reuses that partitioning.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def block_bits_for(df: DataFrame, order: str) -> int:
+    """Block width (bits) ~ sqrt of the order key's range: per-block windows
+    and the per-group offset table both hold about sqrt(range) rows.  One
+    min/max aggregate."""
+    row = df.agg(F.min(F.col(order).cast("long")).alias("lo"),
+                 F.max(F.col(order).cast("long")).alias("hi")).first()
+    if row is None or row["lo"] is None:
+        return 4
+    span = int(row["hi"]) - int(row["lo"]) + 1
+    return max(4, math.ceil(math.log2(span + 1) / 2))
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: str, value: Column,
                   out: str, descending: bool = False, total_col: str | None = None,
-                  block_bits: int = 16) -> DataFrame:
+                  block_bits: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``value`` over rows of the same ``keys`` up to and
     including this one in ``order`` (ties broken arbitrarily, as row frames do).
 
     ``order`` must be an integral column.  ``total_col`` adds the group total.
+    ``block_bits=None`` sizes the blocks from the key range (``block_bits_for``).
     """
     keys = list(keys)
+    if block_bits is None:
+        block_bits = block_bits_for(df, order)
     o = F.col(order).cast("long")
     o = -o if descending else o
     work = df.withColumns({"_ord": o, "_v": value})
@@ -47,7 +64,7 @@ def running_total(df: DataFrame, keys: Sequence[str], order: str, value: Column,
 
 def row_ordinal(df: DataFrame, keys: Sequence[str], order: str, out: str,
                 descending: bool = False, total_col: str | None = None,
-                block_bits: int = 16) -> DataFrame:
+                block_bits: int | None = None) -> DataFrame:
     """1-based row number per group in ``order`` (unique order key expected)."""
     return running_total(df, keys, order, F.lit(1).cast("long"), out,
                          descending=descending, total_col=total_col, block_bits=block_bits)

@@ -171,3 +171,13 @@ def test_paged_source_works_when_session_disables_pushdown(spark, workdir):
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
     df = paged.paged_scan(spark, ["q"], path=workdir, page_size=1, replication_key="u")
     assert df.where(F.col("cursor_value") >= "2024-01-01").count() == 1
+
+
+def test_running_total_with_sparse_keys_picks_wide_blocks(spark):
+    from tablesync.operators.ordinal import block_bits_for
+
+    rows = [("g", i * 10**9, 1) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, o long, v long")
+    assert block_bits_for(df, "o") == 18  # sqrt of a ~2**35.5 range
+    got = sorted((r.o, r.rt) for r in running_total(df, ["g"], "o", F.col("v"), "rt").collect())
+    assert got == [(i * 10**9, i + 1) for i in range(50)]
