@@ -42,38 +42,50 @@ DATE_TEXT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 TIMESTAMP_TEXT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?\z"
 
 
-def narrow_plan(df: DataFrame) -> dict[str, str]:
-    """Decide, in ONE aggregation job over all string columns, which columns hold
-    only dates or only timestamps (NULLs ignored; an all-NULL column stays text).
-
-    Returns ``{column: "date" | "timestamp_ntz"}``.  The aggregate is a global
-    ``bool_and`` with partial aggregation, so its result is one row.
-    """
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if not strings:
-        return {}
+def narrow_metrics(df: DataFrame) -> list[Column]:
+    """Aggregates deciding the narrowing of every string column; usable in a
+    ``df.agg`` or in the ``Observation`` of a write that scans the data anyway."""
     aggs = []
-    for i, name in enumerate(strings):
-        c = F.col(f"`{name}`")
+    for i, f in enumerate(df.schema.fields):
+        if not isinstance(f.dataType, T.StringType):
+            continue
+        c = F.col(f"`{f.name}`")
         is_date = c.rlike(DATE_TEXT) & c.try_cast("date").isNotNull()
         is_ts = c.rlike(TIMESTAMP_TEXT) & c.try_cast("timestamp_ntz").isNotNull()
         aggs += [
-            F.bool_and(c.isNull() | is_date).alias(f"d{i}"),
-            F.bool_and(c.isNull() | is_ts).alias(f"t{i}"),
-            F.count(c).alias(f"n{i}"),
+            F.bool_and(c.isNull() | is_date).alias(f"_nd{i}"),
+            F.bool_and(c.isNull() | is_ts).alias(f"_nt{i}"),
+            F.count(c).alias(f"_nn{i}"),
         ]
-    row = df.agg(*aggs).first()
+    return aggs
+
+
+def plan_from_metrics(df: DataFrame, row) -> dict[str, str]:
+    """``{column: "date" | "timestamp_ntz"}`` from the ``narrow_metrics`` values."""
     plan = {}
-    for i, name in enumerate(strings):
-        if not row[f"n{i}"]:
+    for i, f in enumerate(df.schema.fields):
+        if not isinstance(f.dataType, T.StringType) or not row[f"_nn{i}"]:
             continue
-        if row[f"d{i}"]:
-            plan[name] = "date"
-        elif row[f"t{i}"]:
-            plan[name] = "timestamp_ntz"
+        if row[f"_nd{i}"]:
+            plan[f.name] = "date"
+        elif row[f"_nt{i}"]:
+            plan[f.name] = "timestamp_ntz"
     return plan
 
 
+def narrow_plan(df: DataFrame) -> dict[str, str]:
+    """Decide, in ONE aggregation job over all string columns, which columns hold
+    only dates or only timestamps (NULLs ignored; an all-NULL column stays text).
+
+    Returns ``{column: "date" | "timestamp_ntz"}``.  The aggregate is a global
+    ``bool_and`` with partial aggregation, so its result is one row.
+    """
+    aggs = narrow_metrics(df)
+    if not aggs:
+        return {}
+    return plan_from_metrics(df, df.agg(*aggs).first())
+
+
 def apply_narrowing(df: DataFrame, plan: dict[str, str]) -> DataFrame:
     return df.select(*[
         F.col(f"`{n}`").cast(plan[n]).alias(n) if n in plan else F.col(f"`{n}`")

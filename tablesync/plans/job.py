@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tablesync.functions.clean import sanitize
 from tablesync.functions.redact_text import redact_text
-from tablesync.functions.types import apply_narrowing, narrow_plan
+from tablesync.functions.types import apply_narrowing, narrow_metrics, narrow_plan, plan_from_metrics
 from tablesync.operators import contracts as ct
 from tablesync.operators.cursor import cursor_candidate, delta_filter
 from tablesync.operators.upsert import key_bytes
@@ -257,10 +257,16 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             out_metrics = [F.count(F.lit(1)).alias("n")]
             if _has_keys(landed, spec.pk):
                 out_metrics.append(key_bytes(spec.pk).alias("key_bytes"))
+            if spec.narrow:
+                # The narrowing decision rides on the landing write's own scan.
+                out_metrics += narrow_metrics(landed)
             landed.observe(out_obs, *out_metrics).write.mode("overwrite").parquet(landed_dir)
+            observed = out_obs.get
             ctx["extracted"] = int(raw_obs.get["n"])
-            ctx["staged"] = int(out_obs.get["n"])
-            ctx["key_bytes"] = out_obs.get.get("key_bytes")
+            ctx["staged"] = int(observed["n"])
+            ctx["key_bytes"] = observed.get("key_bytes")
+            if spec.narrow:
+                ctx["narrow_plan"] = plan_from_metrics(landed, observed)
             ctx["new_cursor"] = raw_obs.get.get("cursor")
             finish_stage("EXTRACT", value=ctx["new_cursor"], records=ctx["extracted"])
 
@@ -275,7 +281,12 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         # staging scan would type them (P-05): one aggregate over the landed
         # files decides; the casts ride along with the next write.
         landed_df = spark.read.parquet(landed_dir)
-        narrowing = narrow_plan(landed_df) if spec.narrow else {}
+        narrowing = {}
+        if spec.narrow:
+            # Observed during EXTRACT; recomputed (one aggregate) after a resume.
+            narrowing = ctx.get("narrow_plan")
+            if narrowing is None:
+                narrowing = narrow_plan(landed_df)
         current = state.tables.current(pipeline) if spec.mode != "full" else None
         if current is not None:
             # A delta follows the published table: a column it already has is
