@@ -226,6 +226,20 @@ class TableStore:
         else:
             self.add_layer(table, path, pk, run_id, rows, key_bytes, columns)
 
+    def superseded(self, table: str) -> DataFrame | None:
+        """Folders no reader of ``table`` needs any more: every base or layer
+        published before the current base, minus anything the current state
+        still points at.  Returned as a DataFrame (the list grows with the
+        table's history); deleting them is left to the operator."""
+        ptr = self._pointers()
+        base, layers = self.state(table, refresh=True)
+        if ptr is None or base is None:
+            return None
+        live = [base["path"]] + [x["path"] for x in layers]
+        return (ptr.where((F.col("table") == table) & (F.col("seq") < base["seq"])
+                          & ~F.col("path").isin(live))
+                .select("path", "kind", "run_id", "seq").distinct())
+
     def restore_views(self) -> None:
         """Re-create session views from the pointer table (new session)."""
         ptr = self._pointers()

@@ -263,3 +263,15 @@ def test_layer_key_bytes_budget_triggers_compaction(spark, workdir):
     base, layers = store.state("b", refresh=True)
     assert base["run_id"].startswith("compact-") and layers == []
     assert store.current("b").count() == 200
+
+
+def test_superseded_folders_after_compaction(spark, workdir):
+    store = TableStore(spark, workdir, max_layers=1, max_layer_fraction=100.0)
+    store.publish("s", spark.range(10).withColumnRenamed("id", "k"), run_id="0")
+    store.publish_delta("s", spark.range(2).withColumnRenamed("id", "k"), "k", run_id="1")
+    store.publish_delta("s", spark.range(3).withColumnRenamed("id", "k"), "k", run_id="2")
+    base, layers = store.state("s", refresh=True)
+    assert base["run_id"].startswith("compact-") and layers == []
+    old = {r.run_id for r in store.superseded("s").collect()}
+    assert old == {"0", "1", "2"}
+    assert store.current("s").count() == 10
