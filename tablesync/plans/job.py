@@ -107,6 +107,8 @@ class StateStore:
         self.root = root.rstrip("/")
         self.tables = TableStore(spark, f"{self.root}/tables")
         self._pending: list[tuple] = []
+        # Cursors this store saved or read (one writer per table, as for pointers).
+        self._cursors: dict[tuple[str, str], str | None] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -142,6 +144,7 @@ class StateStore:
 
     def save_cursor(self, client, pipeline, run_id, value):
         self._add("cursor", client=client, pipeline=pipeline, run_id=run_id, value=value)
+        self._cursors[(client, pipeline)] = value
 
     def event(self, run_id, event_type, stage, records=None):
         self._add("event", run_id=run_id, event_type=event_type, stage=stage, records=records)
@@ -182,9 +185,13 @@ class StateStore:
         return row["l"].asDict()
 
     def saved_cursor(self, client: str, pipeline: str) -> str | None:
+        if (client, pipeline) in self._cursors:
+            return self._cursors[(client, pipeline)]
         log = self.ledger("cursor").where((F.col("client") == client) & (F.col("pipeline") == pipeline))
         row = log.agg(F.max_by("value", "seq").alias("v")).first()
-        return None if row is None else row["v"]
+        value = None if row is None else row["v"]
+        self._cursors[(client, pipeline)] = value
+        return value
 
 
 def _now():

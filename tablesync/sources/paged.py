@@ -125,10 +125,15 @@ class PagedReader(DataSourceReader):
             yield f
 
     def partitions(self):
+        from concurrent.futures import ThreadPoolExecutor
+
         fetcher = _make_fetcher(self.options)
+        # Page 1 of every endpoint, fetched concurrently (I/O bound), gives the
+        # totals that size the page ranges.
+        with ThreadPoolExecutor(max_workers=min(16, max(1, len(self.endpoints)))) as pool:
+            firsts = list(pool.map(lambda e: fetcher.fetch(e, 1, self.page_size, self.since), self.endpoints))
         parts = []
-        for endpoint in self.endpoints:
-            first = fetcher.fetch(endpoint, 1, self.page_size, self.since)
+        for endpoint, first in zip(self.endpoints, firsts):
             total = robust_total(first.get("total", ""))
             if not (first.get("registros") or []):
                 continue
