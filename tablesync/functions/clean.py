@@ -31,8 +31,10 @@ DSN_PASSWORD_REPLACEMENT = "$1***$2"
 # Fixed value: a value "looks like a date" when it starts with dddd-dd-dd.
 DATE_PREFIX_PATTERN = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}"
 
-# Fixed value: text that Python's float() would parse as a finite decimal number.
-NUMBER_PATTERN = r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+# Fixed value: text that Python's float() would parse as a finite decimal number
+# (single underscores between digits allowed, as float() does).
+NUMBER_PATTERN = (r"\A[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)"
+                  r"([eE][+-]?[0-9](_?[0-9])*)?\z")
 
 
 def _col(c: Column | str) -> Column:
@@ -114,7 +116,8 @@ def parse_total(c: Column | str) -> Column:
     """Robust page total: ``int(float(x))`` truncating; negative, blank, junk,
     NaN and infinities give NULL."""
     s = py_strip(_col(c).cast("string"))
-    n = F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double").try_cast("long"))
+    digits = F.regexp_replace(s, "_", "")
+    n = F.when(s.rlike(NUMBER_PATTERN), digits.try_cast("double").try_cast("long"))
     return F.when(n >= 0, n)
 
 

@@ -116,7 +116,7 @@ def _coerce(c: Column, src: T.DataType, f: Field) -> tuple[Column, Column]:
         if is_text:
             s = py_strip(c)
             special = F.lower(s).isin("inf", "+inf", "-inf", "infinity", "+infinity", "-infinity", "nan")
-            v = F.when(s.rlike(NUMBER_PATTERN) | special, s.try_cast("double"))
+            v = F.when(s.rlike(NUMBER_PATTERN) | special, F.regexp_replace(s, "_", "").try_cast("double"))
             return v, F.when(v.isNull(), F.lit("float_parsing")).otherwise(none)
         return F.lit(None).cast(target), F.lit("float_type")
 

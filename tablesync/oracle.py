@@ -228,7 +228,7 @@ select id, cast(to_json(struct_pack(id := id, nome := nome, data_ref := data_ref
   from events),
 n as (select event_id, total_raw,
   case when regexp_matches({ts}, {_lit(NUMBER_PATTERN)})
-       then try_cast(trunc(try_cast({ts} as double)) as bigint) end as total from t)
+       then try_cast(trunc(try_cast(replace({ts}, '_', '') as double)) as bigint) end as total from t)
 select event_id, total_raw, case when total >= 0 then total end as total from n"""
 
     # ----------------------------------------------------------------- cursor
