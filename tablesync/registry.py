@@ -488,13 +488,8 @@ def paged_sync(spark, sf_dir):
     from tablesync.plans.job import StateStore, SyncSpec, sync_table
     root, endpoints = _write_pages(spark, sf_dir)
     text_schema = "event_id long, ts string, user_id long, event_type string, value double, props string"
-
-    def source(since):
-        if since is None:  # full run: page bodies, records parsed on the JVM
-            pages = paged.paged_scan(spark, endpoints, path=root, page_size=PAGE_SIZE, output="pages")
-            return paged.parse_records(paged.explode_pages(pages), text_schema)
-        raw = paged.paged_scan(spark, endpoints, path=root, page_size=PAGE_SIZE, replication_key="ts")
-        return paged.parse_records(raw.where(F.col("cursor_value") >= since), text_schema)
+    source = paged.endpoint_source(spark, endpoints, text_schema, replication_key="ts", path=root,
+                                   page_size=PAGE_SIZE)
 
     state = StateStore(spark, scratch_dir(spark, "paged-state"))
     for mode in ("full", "incremental"):

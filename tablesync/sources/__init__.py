@@ -1,11 +1,12 @@
 from tablesync.sources.files import ndjson_scan, staged_scan, write_ndjson
 from tablesync.sources.paged import (
     PagedSource,
+    endpoint_source,
     explode_pages,
     page_bodies,
     paged_scan,
     parse_records,
 )
 
-__all__ = ["PagedSource", "explode_pages", "ndjson_scan", "page_bodies", "paged_scan",
+__all__ = ["PagedSource", "endpoint_source", "explode_pages", "ndjson_scan", "page_bodies", "paged_scan",
            "parse_records", "staged_scan", "write_ndjson"]
