@@ -126,10 +126,11 @@ class StateStore:
              .partitionBy("kind").parquet(self.path("ledger")))
 
     def checkpoint(self, client, pipeline, run_id, stage, data_path=None, cleared=False,
-                   value=None, records=None):
+                   value=None, records=None, flush=True):
         self._add("checkpoint", client=client, pipeline=pipeline, run_id=run_id, stage=stage,
                   data_path=data_path, cleared=cleared, value=value, records=records)
-        self.flush()
+        if flush:
+            self.flush()
 
     def stage_checkpoint(self, client: str, pipeline: str, run_id: str, stage: str) -> dict | None:
         """The checkpoint row one stage of one run wrote (cursor and counts)."""
@@ -225,10 +226,11 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
     def skip(stage: str) -> bool:
         return STAGES.index(stage) <= done
 
-    def finish_stage(stage: str, value: str | None = None, records: int | None = None):
+    def finish_stage(stage: str, value: str | None = None, records: int | None = None,
+                     flush: bool = True):
         state.event(run_id, "stage_done", stage, ctx.get("extracted"))
         state.checkpoint(client, pipeline, run_id, stage, data_path=stage_dir,
-                         value=value, records=records)  # flushes
+                         value=value, records=records, flush=flush)
         if fail_after == stage:
             raise RuntimeError(f"injected failure after {stage}")
 
@@ -367,7 +369,9 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             publish_path, _, ctx["key_bytes"] = tables.write_layer(
                 pipeline, rewrite, run_id, spec.pk if _has_keys(rewrite, spec.pk) else None)
             columns = None
-        finish_stage("LOAD")
+        # A zero-copy LOAD wrote nothing: its checkpoint rides with VERIFY's
+        # (a resume before that simply redoes this metadata-only stage).
+        finish_stage("LOAD", flush=rewrite is not None)
 
         # ----------------------------------------------------------- VERIFY
         # Count what is on disk (parquet metadata) before anything becomes
@@ -386,10 +390,9 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             tables.swap(pipeline, publish_path, run_id, ctx["loaded"], columns)
         if ctx.get("new_cursor") is not None:
             state.save_cursor(client, pipeline, run_id, ctx["new_cursor"])
-        finish_stage("VERIFY")
         state.run_row(run_id, client, pipeline, "SUCCESS", stage="VERIFY", finished=_now(),
                       records_in=ctx["extracted"], records_out=ctx["loaded"])
-        state.flush()
+        finish_stage("VERIFY")  # one append: cursor, run row, event, checkpoint
         return SyncResult(pipeline, ctx["extracted"], ctx["loaded"], "success", run_id=run_id,
                           counts=dict(ctx))
     except Exception as exc:  # noqa: BLE001 - one table never stops the others
