@@ -11,6 +11,8 @@ publish and the stream's own commit change nothing.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -52,10 +54,12 @@ def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore):
             last = last_applied_batch(spark, store, table)
         if batch_id <= last:
             return  # replay of a batch already published
-        stage = f"{store.root}/_staging/{table}/batch={batch_id}"
+        # A fresh folder per attempt: a replayed batch never rewrites a folder
+        # that an earlier attempt may already have published as a layer.
+        stage = f"{store.root}/_staging/{table}/batch={batch_id}-{uuid.uuid4().hex[:8]}"
         obs = Observation(f"batch_{table}_{batch_id}")
         sanitize(batch).observe(obs, F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("kb")) \
-            .write.mode("overwrite").parquet(stage)
+            .write.mode("errorifexists").parquet(stage)
         rows = int(obs.get["n"])
         if rows:
             # Zero-copy, O(batch): the staged batch folder becomes a delta layer.
