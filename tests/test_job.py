@@ -275,3 +275,13 @@ def test_superseded_folders_after_compaction(spark, workdir):
     old = {r.run_id for r in store.superseded("s").collect()}
     assert old == {"0", "1", "2"}
     assert store.current("s").count() == 10
+
+
+def test_restore_views_from_the_pointer_table(spark, workdir):
+    store = TableStore(spark, workdir)
+    store.publish("rv", spark.range(4), run_id="0")
+    store.publish_delta("rv", spark.range(2, 6), "id", run_id="1")
+    spark.catalog.dropTempView("rv")
+    fresh = TableStore(spark, workdir)  # as in a new session: no cached state
+    fresh.restore_views()
+    assert sorted(r.id for r in spark.table("rv").collect()) == [0, 1, 2, 3, 4, 5]
