@@ -86,13 +86,22 @@ def dead_letters_latest(dead: DataFrame, runs: DataFrame, client: str | None = N
 
 
 def run_fold(ledger: DataFrame) -> DataFrame:
-    """Fold start/finish rows per run: first start, last finish, latest status."""
+    """Fold start/finish rows per run: first start, last finish, latest status
+    (plus pipeline, latest stage and error when the ledger carries them)."""
+    extra = []
+    if "pipeline" in ledger.columns:
+        extra.append(F.first("pipeline", ignorenulls=True).alias("pipeline"))
+    if "stage" in ledger.columns:
+        extra.append(F.max_by("stage", F.when(F.col("stage").isNotNull(), F.col("seq"))).alias("stage"))
+    if "error" in ledger.columns:
+        extra.append(F.max_by("error", "seq").alias("error"))
     agg = ledger.groupBy("run_id").agg(
         F.first("client", ignorenulls=True).alias("client"),
         F.min("started_at").alias("started_at"),
         F.max("finished_at").alias("finished_at"),
         F.max_by("status", "seq").alias("status"),
         F.max("records_out").alias("records_out"),
+        *extra,
     )
     # Wall-clock difference, independent of the session time zone.
     dur = F.expr("timestampdiff(MICROSECOND, started_at, finished_at)") / F.lit(1_000_000.0)

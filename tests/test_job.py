@@ -285,3 +285,23 @@ def test_restore_views_from_the_pointer_table(spark, workdir):
     fresh = TableStore(spark, workdir)  # as in a new session: no cached state
     fresh.restore_views()
     assert sorted(r.id for r in spark.table("rv").collect()) == [0, 1, 2, 3, 4, 5]
+
+
+def test_monitoring_queries_run_on_the_job_ledger(spark, workdir):
+    from tablesync.operators import ledger
+
+    state = StateStore(spark, workdir)
+    ok = sync_table(spark, SyncSpec("a", pk="id"), _source(spark), state, client="acme")
+
+    def broken(since):
+        raise RuntimeError("down")
+
+    sync_table(spark, SyncSpec("b", pk="id"), broken, state, client="acme")
+    runs = state.runs()
+    top = ledger.status_top(runs, client="acme").collect()
+    assert [r.pipeline for r in top] == ["b", "a"] and top[0].status == "FAILED" and top[0].error == "down"
+    assert top[1].stage == "VERIFY" and top[1].records_out == ok.records_loaded
+    assert ledger.failed_on_day(runs).count() == 1
+    assert {r.pipeline for r in ledger.volume_by_day(runs).collect()} == {"a"}
+    summary = ledger.run_summary(runs, run_keys=("client",)).first()
+    assert summary.status == "failed"
