@@ -59,14 +59,16 @@ def run_summary(results: DataFrame, run_keys: Sequence[str] = ("client", "starte
     """
     keys = list(run_keys)
     failed = F.col(status) == "FAILED"
+    with_error = "error" in results.columns
     per_stream = (results.groupBy(*keys, F.col(stream).alias("stream"))
                   .agg(F.max(failed.cast("int")).alias("_f"),
                        F.sum(loaded).cast("long").alias("records_loaded"),
-                       F.count(F.lit(1)).alias("runs")))
+                       F.count(F.lit(1)).alias("runs"),
+                       *([F.max("error").alias("error")] if with_error else [])))
     entry = F.struct(
         F.col("stream"),
         F.when(F.col("_f") == 1, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
-        F.col("records_loaded"), F.col("runs"))
+        F.col("records_loaded"), F.col("runs"), *([F.col("error")] if with_error else []))
     return (per_stream.groupBy(*keys)
             .agg(F.max("_f").alias("_f"), F.sort_array(F.collect_list(entry)).alias("_s"),
                  F.sum("records_loaded").cast("long").alias("records_loaded"))

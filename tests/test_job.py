@@ -304,4 +304,4 @@ def test_monitoring_queries_run_on_the_job_ledger(spark, workdir):
     assert ledger.failed_on_day(runs).count() == 1
     assert {r.pipeline for r in ledger.volume_by_day(runs).collect()} == {"a"}
     summary = ledger.run_summary(runs, run_keys=("client",)).first()
-    assert summary.status == "failed"
+    assert summary.status == "failed" and '"error":"down"' in summary.streams
