@@ -58,7 +58,11 @@ class DirectoryFetcher:
     """Serves pages from ``<root>/endpoint=<e>/page=<n>/`` text files."""
 
     def __init__(self, options: dict[str, str]):
-        self.root = options["path"]
+        import os
+
+        root = options["path"]
+        # Local folders become absolute file URIs; other URIs pass through.
+        self.root = root if "://" in root else os.path.abspath(root)
 
     def fetch(self, endpoint: str, page: int, page_size: int, since: str | None) -> dict:
         text = self.fetch_text(endpoint, page, page_size, since)
