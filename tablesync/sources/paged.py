@@ -239,7 +239,10 @@ def paged_scan(spark: SparkSession, endpoints: list[str], path: str | None = Non
     reader = (spark.read.format("paged").option("endpoints", ",".join(endpoints))
               .option("pageSize", str(page_size)).option("pagesPerPartition", str(pages_per_partition)))
     if path:
-        reader = reader.option("path", path)
+        import os
+
+        # Resolved on the driver: workers may run in another folder.
+        reader = reader.option("path", path if "://" in path else os.path.abspath(path))
     if since:
         reader = reader.option("since", since)
     if fetcher:
