@@ -105,26 +105,32 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``tablesync`` importable on Python workers (the paged DataSource's
-    reader runs there): zip the package once per application and
-    ``addPyFile`` it, as one would pass ``--py-files`` to spark-submit."""
+    reader runs there): zip the package once per application into the shared
+    checkpoint folder and ``addPyFile`` it, as ``--py-files`` would."""
+    import io
     import zipfile
 
+    from pyarrow import fs as pafs
+
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    root = _checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    folder = (os.path.join(root, "tablesync", f"pyfiles-{uuid.uuid4().hex[:12]}") if "://" not in root
-              else tempfile.mkdtemp(prefix="tablesync-pyfiles-"))  # addPyFile ships it from the driver
-    os.makedirs(folder, exist_ok=True)
-    target = os.path.join(folder, "tablesync.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, names in os.walk(pkg):
             for name in names:
                 if name.endswith(".py"):
                     full = os.path.join(base, name)
                     z.write(full, os.path.join("tablesync", os.path.relpath(full, pkg)))
+    root = _checkpoint_root(spark)
+    if root.startswith("file:"):
+        root = root[len("file:"):]
+    target = f"{root.rstrip('/')}/tablesync/pyfiles-{uuid.uuid4().hex[:12]}/tablesync.zip"
+    uri = target if "://" in target else "file://" + os.path.abspath(target)
+    filesystem, inner = pafs.FileSystem.from_uri(uri)
+    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
+    with filesystem.open_output_stream(inner) as out:
+        out.write(buf.getvalue())
     sc.addPyFile(target)
     _SHIPPED.add(sc.applicationId)
