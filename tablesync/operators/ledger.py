@@ -83,8 +83,8 @@ def dead_letters_latest(dead: DataFrame, runs: DataFrame, client: str | None = N
     if client is not None:
         runs = runs.where(F.col("client") == client)
     latest = runs.groupBy("client").agg(F.max("run_id").alias("run_id"))
-    return (dead.join(latest, on="run_id")
-            .orderBy(F.col("created_at").desc(), F.col("id").desc()))
+    order = [F.col("created_at").desc()] + ([F.col("id").desc()] if "id" in dead.columns else [])
+    return dead.join(latest, on="run_id").orderBy(*order)
 
 
 def run_fold(ledger: DataFrame) -> DataFrame:

@@ -305,3 +305,9 @@ def test_monitoring_queries_run_on_the_job_ledger(spark, workdir):
     assert {r.pipeline for r in ledger.volume_by_day(runs).collect()} == {"a"}
     summary = ledger.run_summary(runs, run_keys=("client",)).first()
     assert summary.status == "failed" and '"error":"down"' in summary.streams
+    # Dead letters of the client's latest run, from the job's own tables.
+    spec = SyncSpec("c", pk="id", contract=[Field("id", "long"), Field("nome", "string")])
+    last = sync_table(spark, spec, _source(spark), state, client="acme")
+    dead = spark.read.parquet(state.path("dead_letters"))
+    latest = ledger.dead_letters_latest(dead, state.runs(), client="acme").collect()
+    assert [r.run_id for r in latest] == [last.run_id] and latest[0].stream == "c"
