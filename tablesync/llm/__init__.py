@@ -6,10 +6,14 @@ from importlib import import_module
 
 #: Query name -> module of this package that holds it.
 _QUERIES = {
+    "op1_pii_sanitise": "pii",
+    "op2_html_text": "html_text",
+    "op3_quality_crf": "quality",
     "op4_mix_sources": "mixing",
     "op6_decontaminate": "decontam",
     "op7_line_dedup": "line_dedup",
     "op8_kdtree_topk": "topk",
+    "op9_language_id": "language",
 }
 
 
