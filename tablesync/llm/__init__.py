@@ -10,10 +10,12 @@ _QUERIES = {
     "op2_html_text": "html_text",
     "op3_quality_crf": "quality",
     "op4_mix_sources": "mixing",
+    "op5_suffix_dedup": "suffix_dedup",
     "op6_decontaminate": "decontam",
     "op7_line_dedup": "line_dedup",
     "op8_kdtree_topk": "topk",
     "op9_language_id": "language",
+    "op10_minhash_neardup": "neardup",
 }
 
 
