@@ -16,7 +16,6 @@ all rows and are grouped aggregations.
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -120,50 +119,56 @@ def fuse(rows: DataFrame, languages: list[str], min_posterior: float = MIN_POSTE
     if not k:
         return rows.withColumn("language", F.lit(UNKNOWN)).withColumn("posterior", F.lit(0.0))
     known = rows.filter(F.col("n") > 0)
-    p = _vector("p", k)
     # One number per language, over all rows.
-    whole = _sums(known, [], k, "all_").first()["all_"]
+    whole = np.array(_sums(known, [], k, "all_").first()["all_"])
     tables = {"declared": "by_declared", "suffix": "by_suffix", "host": "by_host", "domain": "by_domain"}
-    joined = rows.withColumn("all_", F.array(*[F.lit(float(x)) for x in whole]))
+    joined = rows
     for key, name in tables.items():
         t = common.saved(_sums(known.filter(F.col(key).isNotNull()), [key], k, name)
                          .withColumnRenamed(key, f"_{key}"), f"lang-{key}")
         joined = joined.join(t, joined[key] == t[f"_{key}"], "left").drop(f"_{key}")
-    own = [F.when(F.col("n") > 0, c).otherwise(F.lit(0.0)) for c in p]
-
-    def without_own(name):
-        return [F.greatest(F.coalesce(c, F.lit(0.0)) - o, F.lit(0.0)) for c, o in zip(_vector(name, k), own)]
-
-    def total(cs):
-        return reduce(lambda a, b: a + b, cs)
-
-    everything = without_own("all_")
-    joined = joined.withColumn("_g", F.array(*[(c + 1.0) / (total(everything) + k) for c in everything]))
-    g = _vector("_g", k)
-    dom, host = without_own("by_domain"), without_own("by_host")
-    joined = joined.withColumn("_d", F.array(*[
-        (c + DOMAIN_MASS * x) / (total(dom) + DOMAIN_MASS) for c, x in zip(dom, g)]))
-    joined = joined.withColumn("_prior", F.array(*[
-        (c + HOST_MASS * x) / (total(host) + HOST_MASS) for c, x in zip(host, _vector("_d", k))]))
-
-    def likelihood(name, key, i, c):
-        # P(value | language), up to a factor that all languages share.
-        return F.when(F.col(key).isNull() | F.col(name).isNull(), F.lit(1.0)).otherwise(
-            (c + TABLE_MASS * total(without_own(name)) / (total(everything) + 1.0) + 1e-6)
-            / (everything[i] + TABLE_MASS))
-
-    dec, suf, prior = without_own("by_declared"), without_own("by_suffix"), _vector("_prior", k)
-    # One array of products, then normalised.
-    joined = joined.withColumn("_raw", F.array(*[
-        prior[i] * likelihood("by_declared", "declared", i, dec[i]) * likelihood("by_suffix", "suffix", i, suf[i])
-        * F.greatest(p[i], F.lit(1e-30)) for i in range(k)]))
-    raw = _vector("_raw", k)
-    best = F.array_max("_raw")
-    joined = joined.withColumn("posterior", F.when(total(raw) > 0, best / total(raw)).otherwise(F.lit(0.0)))
-    name = F.get(F.array(*[F.lit(x) for x in languages]), F.array_position("_raw", best).cast("int") - 1)
-    sure = (F.col("n") > 0) & (F.col("posterior") >= min_posterior)
-    return joined.withColumn("language", F.when(sure, name).otherwise(F.lit(UNKNOWN))).drop(
-        "all_", "_g", "_d", "_prior", "_raw", *tables.values())
+
+    @F.pandas_udf("language string, posterior double")
+    def fused(n: pd.Series, p: pd.Series, declared: pd.Series, suffix: pd.Series, host: pd.Series,
+              domain: pd.Series) -> pd.DataFrame:
+        best, name = posteriors(n.to_numpy(), _stacked(p, k), whole, *(
+            _stacked(x, k) for x in (declared, suffix, host, domain)))
+        sure = (n.to_numpy() > 0) & (best >= min_posterior)
+        return pd.DataFrame({"language": [languages[i] if y else UNKNOWN for i, y in zip(name, sure)],
+                             "posterior": best})
+
+    return joined.withColumn("_f", fused("n", "p", *tables.values())).select(
+        "*", "_f.language", "_f.posterior").drop("_f", *tables.values())
+
+
+def _stacked(arrays: pd.Series, k: int) -> np.ndarray:
+    """A matrix of rows; a missing array is a row of NaN."""
+    none = np.full(k, np.nan)
+    return np.array([none if x is None else x for x in arrays], dtype=float).reshape(-1, k)
+
+
+def posteriors(n, p, whole, declared, suffix, host, domain) -> tuple[np.ndarray, np.ndarray]:
+    """Best posterior and its language per row, from summed counts by declared
+    value, suffix, host and domain (rows of NaN: no such evidence)."""
+    own = np.where(n[:, None] > 0, p, 0.0)
+
+    def others(counts):
+        return np.maximum(np.nan_to_num(counts) - own, 0.0)
+
+    every = np.maximum(whole - own, 0.0)
+    prior = (every + 1.0) / (every.sum(axis=1, keepdims=True) + p.shape[1])
+    for counts, mass in ((domain, DOMAIN_MASS), (host, HOST_MASS)):
+        c = others(counts)
+        prior = (c + mass * prior) / (c.sum(axis=1, keepdims=True) + mass)
+    raw = prior * np.maximum(p, 1e-30)
+    for counts in (declared, suffix):
+        c = others(counts)
+        # P(value | language), drawn towards the value's share of all rows.
+        share = c.sum(axis=1, keepdims=True) / (every.sum(axis=1, keepdims=True) + 1.0)
+        likelihood = (c + TABLE_MASS * share + 1e-6) / (every + TABLE_MASS)
+        raw *= np.where(np.isnan(counts), 1.0, likelihood)
+    raw /= raw.sum(axis=1, keepdims=True)
+    return raw.max(axis=1), raw.argmax(axis=1)
 
 
 _EVIDENCE = "n long, p array<double>, declared string, suffix string, host string, domain string"
