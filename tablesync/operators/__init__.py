@@ -1,3 +1,3 @@
-from tablesync.operators.upsert import column_plan, delta_upsert, full_refresh
+from tablesync.operators.upsert import delta_upsert, full_refresh
 
-__all__ = ["column_plan", "delta_upsert", "full_refresh"]
+__all__ = ["delta_upsert", "full_refresh"]

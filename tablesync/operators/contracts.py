@@ -57,6 +57,8 @@ FALSE_WORDS = ["0", "f", "false", "n", "no", "off"]
 INTEGER_TEXT = r"\A[+-]?[0-9]+\z"
 DATE_TEXT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 TIMESTAMP_TEXT = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?\z"
+ZONED_TEXT = (r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?"
+              r"([zZ]|[+-][0-9]{2}:?[0-9]{2})\z")
 
 _SPARK_TYPES = {
     "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
@@ -151,7 +153,12 @@ def _coerce(c: Column, src: T.DataType, f: Field) -> tuple[Column, Column]:
             return c.cast(target), none
         if is_text:
             s = py_strip(c)
-            v = F.when(s.rlike(TIMESTAMP_TEXT), s.try_cast(target))
+            # A zoned value is an instant; it is kept as its UTC wall clock.
+            # Spark wants seconds before a zone, and a colon within it.
+            full = F.regexp_replace(F.upper(s), r"\A(.{10}[ T][0-9]{2}:[0-9]{2})([Z+-])", "$1:00$2")
+            zoned = F.regexp_replace(full, r"([+-][0-9]{2})([0-9]{2})\z", "$1:$2").try_cast("timestamp")
+            utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), zoned.cast(target))
+            v = F.when(s.rlike(TIMESTAMP_TEXT), s.try_cast(target)).when(s.rlike(ZONED_TEXT), utc)
             return v, F.when(v.isNull(), F.lit("datetime_parsing")).otherwise(none)
         return F.lit(None).cast(target), F.lit("datetime_type")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -21,7 +22,7 @@ def cursor_candidate(key: Column | str, numeric: bool = False) -> Column:
     c = F.col(key) if isinstance(key, str) else key
     text = F.nullif(c.cast("string"), F.lit(""))
     if numeric:
-        return F.max_by(text, text.try_cast("double"))
+        return F.max_by(text, text.try_cast("decimal(38,10)"))
     return F.max(text)
 
 
@@ -59,10 +60,20 @@ def delta_filter(df: DataFrame, key: str, since: str | None, numeric: bool = Fal
     if since is None:
         return df
     if numeric:
-        return df.where(F.col(key).cast("string").try_cast("double") >= F.lit(since).try_cast("double"))
+        # Decimals: keys beyond 2^53 stay apart.
+        number = "decimal(38,10)"
+        return df.where(F.col(key).cast("string").try_cast(number) >= F.lit(since).try_cast(number))
     return df.where(F.col(key) >= F.lit(since))
 
 
+def is_number(value: str) -> bool:
+    """Whether a saved cursor can bound a numeric key."""
+    try:
+        return math.isfinite(float(value))
+    except ValueError:
+        return False
+
+
 def default_lookback(now: Column | str) -> Column:
     """Yesterday 00:00:00 in the source's zone, as cursor text, for a given
     'now' given as a UTC wall-clock ``timestamp_ntz`` (independent of the

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.functions.clean import parse_total
@@ -44,8 +44,8 @@ def failed_on_day(runs: DataFrame, day: str | None = None) -> DataFrame:
 def volume_by_day(runs: DataFrame) -> DataFrame:
     """max(records_out) of successful runs per pipeline and day."""
     return (runs.where(F.col("status") == "SUCCESS")
-            .groupBy("pipeline", F.to_date("started_at").alias("dia"))
-            .agg(F.max("records_out").alias("registros")))
+            .groupBy("pipeline", F.to_date("started_at").alias("day"))
+            .agg(F.max("records_out").alias("rows")))
 
 
 def run_summary(results: DataFrame, run_keys: Sequence[str] = ("client", "started_at"),
@@ -82,6 +82,8 @@ def dead_letters_latest(dead: DataFrame, runs: DataFrame, client: str | None = N
     """Dead letters of each client's latest run (one client when given), newest first."""
     if client is not None:
         runs = runs.where(F.col("client") == client)
+    # One row per client: small by construction, and the join that prunes dead
+    # letters to the runs asked for comes before anything is done to them.
     latest = runs.groupBy("client").agg(F.max("run_id").alias("run_id"))
     order = [F.col("created_at").desc()] + ([F.col("id").desc()] if "id" in dead.columns else [])
     return dead.join(latest, on="run_id").orderBy(*order)
@@ -148,13 +150,11 @@ def page_ledger(pages: DataFrame, body: str = "body") -> DataFrame:
 def page_progress(ledger: DataFrame, page_size: int) -> DataFrame:
     """Cumulative fetched rows, percent done (1 decimal) and total pages.
 
-    The running sum per endpoint uses ``ordinal.running_total`` (blocks sized
-    from the page range), so a hot endpoint is not one task."""
-    from tablesync.operators.ordinal import running_total
-
+    The page ledger has one row per page, so an endpoint's rows are bounded by
+    the page cap and one window per endpoint is enough."""
     total = F.col("total")
-    return (running_total(ledger, ["endpoint"], "page", F.col("n_records"), "fetched")
-            .withColumn("fetched", F.col("fetched").cast("long"))
+    upto = Window.partitionBy("endpoint").orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (ledger.withColumn("fetched", F.sum("n_records").over(upto).cast("long"))
             .withColumn("pct", F.when(total > 0, F.round(F.col("fetched") / total * 100, 1)))
             .withColumn("total_pages",
                         F.when(total > 0, F.ceil(total / F.lit(page_size)).cast("long"))))
@@ -168,22 +168,17 @@ def page_eta(progress: DataFrame, elapsed: str = "elapsed_s") -> DataFrame:
 
 
 # ------------------------------------------------------------- verification
-def verify_counts(extracted: DataFrame, valid: DataFrame | None, loaded: DataFrame,
-                  stream: str = "stream") -> DataFrame:
-    """Per stream: extracted, expected (valid count when validated), loaded and
-    the verdict.  Three grouped counts joined on the stream key."""
-    ex = extracted.groupBy(stream).agg(F.count(F.lit(1)).alias("extracted"))
-    lo = loaded.groupBy(stream).agg(F.count(F.lit(1)).alias("loaded"))
-    out = ex
-    if valid is not None:
-        va = valid.groupBy(stream).agg(F.count(F.lit(1)).alias("expected"))
-        out = out.join(va, on=stream, how="left")
-        exp = F.coalesce(F.col("expected"), F.lit(0))
-    else:
-        exp = F.col("extracted")
-    out = (out.join(lo, on=stream, how="left")
-           .withColumn("loaded", F.coalesce(F.col("loaded"), F.lit(0)))
-           .withColumn("expected", exp.cast("long")))
+def verify_counts(checked: DataFrame, loaded: DataFrame, stream: str = "stream",
+                  valid: str | None = "valid") -> DataFrame:
+    """Per stream: extracted, expected (the rows flagged ``valid``, or all
+    without a contract), loaded and the verdict.
+
+    ``checked`` has one row per extracted row, ``loaded`` the rows found in the
+    target; each is read once and summed before the join of two small tables."""
+    flag = F.sum(F.col(valid).cast("long")) if valid else F.count(F.lit(1))
+    out = (checked.groupBy(stream).agg(F.count(F.lit(1)).alias("extracted"), flag.alias("expected"))
+           .join(loaded.groupBy(stream).agg(F.count(F.lit(1)).alias("loaded")), on=stream, how="left")
+           .withColumn("loaded", F.coalesce(F.col("loaded"), F.lit(0))))
     ok = ~((F.col("extracted") > 0) & (F.col("loaded") == 0)) & (F.col("loaded") == F.col("expected"))
-    return out.select(stream, "extracted", "expected", "loaded",
+    return out.select(stream, "extracted", F.coalesce("expected", F.lit(0)).cast("long").alias("expected"), "loaded",
                       F.when(ok, F.lit("success")).otherwise(F.lit("failed")).alias("status"))

@@ -46,19 +46,12 @@ def _q(name: str) -> str:
     return f"`{name.replace('`', '``')}`"
 
 
-def column_plan(target_columns: Sequence[str], staged_columns: Sequence[str]) -> list[str]:
-    """Staged columns the target lacks, in staging order."""
-    have = set(target_columns)
-    return [c for c in staged_columns if c not in have]
-
-
 def evolve_target(target: DataFrame, staged: DataFrame) -> DataFrame:
     """Target with the staged-only columns appended as typed NULLs."""
-    types = {f.name: f.dataType for f in staged.schema.fields}
-    new_cols = column_plan(target.columns, staged.columns)
+    added = [f for f in staged.schema.fields if f.name not in target.columns]
     return target.select(
         *[F.col(_q(c)) for c in target.columns],
-        *[F.lit(None).cast(added_column_type(types[c])).alias(c) for c in new_cols],
+        *[F.lit(None).cast(added_column_type(f.dataType)).alias(f.name) for f in added],
     )
 
 

@@ -2,15 +2,28 @@
 
 Each string runs on DuckDB with the driver's tables registered as views.  The
 fixture CTEs restate FIXTURES.md in DuckDB's dialect; regexes are written in
-the syntax both Java regex and RE2 accept, shared with the Spark side.
+the syntax both Java regex and RE2 accept.
 """
 
 from __future__ import annotations
 
-from tablesync.functions.clean import DATE_PREFIX_PATTERN, DSN_PASSWORD_PATTERN, NUMBER_PATTERN, WS_CODE_POINTS
-from tablesync.operators.contracts import INTEGER_TEXT, MESSAGES
-from tablesync.operators.ledger import NEXT_STAGE
-from tablesync.registry import CURRENT_CURSOR, FAILED_DAY, PAGE_SIZE, SELECTED_FIELDS, SINCE, TRANSFORM
+# Stated here on their own, not taken from the code they check.
+DATE_PREFIX_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
+DSN_PASSWORD_PATTERN = r"(://[^:/@\s]+:)[^@/\s]+(@)"
+NUMBER_PATTERN = (r"^[+-]?([0-9](_?[0-9])*(\.([0-9](_?[0-9])*)?)?|\.[0-9](_?[0-9])*)"
+                  r"([eE][+-]?[0-9](_?[0-9])*)?$")
+WS_CODE_POINTS = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
+INTEGER_TEXT = r"^[+-]?[0-9]+$"
+MESSAGES = {
+    "string_type": "Input should be a valid string",
+    "int_type": "Input should be a valid integer",
+    "int_parsing": "Input should be a valid integer, unable to parse string as an integer",
+}
+NEXT_STAGE = {"EXTRACT": "VALIDATE", "VALIDATE": "LOAD", "LOAD": "VERIFY", "VERIFY": "EXTRACT"}
+CURRENT_CURSOR = "2024-01-29 12:00:00"
+SINCE = "2024-01-15 00:00:00"
+FAILED_DAY = "1996-03-15"
+PAGE_SIZE = 500
 
 
 def _lit(s: str) -> str:
@@ -75,6 +88,19 @@ FX1_CHECK = f"""fx1v as (
     try_cast({_QTD_S} as integer) as qtd_v
   from fx1c)"""
 
+# FX-9: the source some time later.
+LATER = """later as (
+  select id, case when id % 8 = 0 then '' else nome end as nome, data_ref,
+    case when id % 4 = 0 then '77' else qtd end as qtd,
+    case when id % 4 = 0 then strftime(strptime(ultima_atualizacao, '%Y-%m-%d %H:%M:%S') + interval 400 day,
+                                       '%Y-%m-%d %H:%M:%S') else ultima_atualizacao end as ultima_atualizacao,
+    stream
+  from fx1
+  union all
+  select id + 1000000000, nome, data_ref, qtd,
+    strftime(strptime(ultima_atualizacao, '%Y-%m-%d %H:%M:%S') + interval 400 day, '%Y-%m-%d %H:%M:%S'), stream
+  from fx1 where id % 10 = 3)"""
+
 FX2 = """base as (
   select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders
   where o_orderdate < timestamp '2000-01-01 00:00:00'),
@@ -147,7 +173,19 @@ def oracle_sql() -> dict[str, str]:
 
     # ---------------------------------------------------------------- upserts
     q["delta_upsert"] = _with(FX2_UPSERT) + "select * from upserted"
-    q["delta_first_run"] = _with(FX2) + "select * from delta"
+    q["delta_first_run"] = ("select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1000 as o_totalprice "
+                            "from orders")
+    q["publish_delta"] = q["delta_upsert"]
+    q["dedupe_latest"] = """with c as (
+  select nullif(l_orderkey % 100, 0) as k,
+    case when l_linenumber < 7 then concat(strftime(l_shipdate, '%Y-%m-%d'), ' ',
+      lpad(cast(l_orderkey as varchar), 12, '0'), cast(l_linenumber as varchar)) end as changed,
+    l_orderkey, l_linenumber, l_quantity from lineitem)
+select * from c where k is null
+union all
+select * exclude (r) from (
+  select *, row_number() over (partition by k order by changed desc nulls last) as r from c where k is not null)
+where r = 1"""
     q["delta_idempotent"] = q["delta_upsert"]
     q["full_refresh"] = _with(FX2) + "select * from delta"
     q["delta_dup_pk"] = """with
@@ -190,15 +228,18 @@ from delta"""
 select (select count(*) from upserted) as target_rows, (select count(*) from delta) as loaded"""
     q["verify_counts"] = _with(FX1, FX1_CLEAN, FX1_CHECK) + """,
 ex as (select stream, count(*) as extracted from fx1 group by stream),
-va as (select stream, count(*) as expected from fx1v where len(errs) = 0 and stream is not null group by stream)
+va as (select stream, count(*) as expected from fx1v where len(errs) = 0 group by stream),
+lo as (select stream, count(*) as loaded from fx1v
+       where len(errs) = 0 and stream <> 'view' and not (stream = 'click' and id % 50 = 7) group by stream)
 select ex.stream, extracted, cast(coalesce(expected, 0) as bigint) as expected,
-  coalesce(expected, 0) as loaded,
-  case when (extracted > 0 and coalesce(expected, 0) = 0) then 'failed' else 'success' end as status
-from ex left join va using (stream)"""
+  coalesce(loaded, 0) as loaded,
+  case when coalesce(loaded, 0) = 0 or loaded <> coalesce(expected, 0) then 'failed' else 'success' end as status
+from ex left join va using (stream) left join lo using (stream)"""
 
     # --------------------------------------------------------------- cleaning
-    q["select_fields"] = "select " + ", ".join(SELECTED_FIELDS) + " from orders"
-    q["transform_sql"] = TRANSFORM.replace("{raw}", "orders")
+    q["select_fields"] = "select o_orderkey, o_orderstatus, o_totalprice from orders"
+    q["transform_sql"] = ("select o_orderkey, upper(o_orderpriority) as prio, o_totalprice from orders "
+                          "where o_orderstatus = 'F'")
     q["sanitize_blank"] = _with(FX1) + f"""
 select id, {d_blank('nome')} as nome, {d_blank('data_ref')} as data_ref, {d_blank('qtd')} as qtd,
   {d_blank('ultima_atualizacao')} as ultima_atualizacao from fx1"""
@@ -273,8 +314,8 @@ from dl join latest on dl.run_id = latest.run_id join events e on e.event_id = d
 select client, pipeline, run_id, started_at from fx4
 where status = 'FAILED' and cast(started_at as date) = date {_lit(FAILED_DAY)}"""
     q["volume_by_day"] = _with(FX4) + """
-select pipeline, cast(started_at as date) as dia, max(records_out) as registros
-from fx4 where status = 'SUCCESS' group by pipeline, dia"""
+select pipeline, cast(started_at as date) as day, max(records_out) as rows
+from fx4 where status = 'SUCCESS' group by pipeline, cast(started_at as date)"""
     q["run_summary"] = _with(FX4) + """,
 ps as (
   select client, started_at, pipeline as stream, max(case when status = 'FAILED' then 1 else 0 end) as f,
@@ -323,11 +364,39 @@ from progress5"""
 
     # ------------------------------------------------------------------ files
     q["ndjson_scan"] = "select * from orders"
-    q["paged_sync"] = "select event_id, ts, user_id, event_type, value, props from events"
+    q["paged_short_pages"] = q["paged_scan"]
+    q["staging_scan"] = q["sanitize_date"]
+    q["staging_replace"] = _with(FX1, LATER) + "select id, nome, data_ref, qtd, ultima_atualizacao from later"
+    q["paged_sync"] = """
+select event_id, case when event_id % 4 = 0 then ts + interval 400 day else ts end as ts, user_id, event_type,
+  case when event_id % 4 = 0 then value + 1 else value end as value, props from events
+union all
+select event_id + 1000000000, ts + interval 400 day, user_id, event_type, value, props
+from events where event_id % 10 = 3"""
+    q["cursor_numeric"] = """with m as (select max(event_id) as top from events)
+select event_id, user_id, case when event_id = top then value + 1 else value end as value from events, m
+union all
+select event_id + 1000000000, user_id, value from events where event_id % 10 = 3"""
+    q["cursor_raw"] = """
+select 'c0' as client, 'eventos' as pipeline, max(strftime(ts, '%Y-%m-%d %H:%M:%S')) as cursor from events"""
 
     # -------------------------------------------------------------- streaming
     q["stream_upsert"] = q["delta_upsert"]
 
     # -------------------------------------------------------------------- job
-    q["sync_job"] = q["validate_coerce"]
+    # The first run's valid rows, over them the valid rows at or after its cursor.
+    cleaned = _with(FX1, FX1_CLEAN, FX1_CHECK)
+    later = FX1_CLEAN.replace("fx1c as", "laterc as").replace("from fx1)", "from later)")
+    later_check = FX1_CHECK.replace("fx1v as", "laterv as").replace("from fx1c)", "from laterc)")
+    q["sync_job"] = cleaned.rstrip() + f""",
+{LATER},
+{later},
+{later_check},
+delta as (
+  select * from laterv where len(errs) = 0
+    and ultima_atualizacao >= (select max(ultima_atualizacao) from fx1))
+select id, nome, qtd_v as qtd, data_ref, 'A' as status from fx1v
+where len(errs) = 0 and id not in (select id from delta)
+union all
+select id, nome, qtd_v as qtd, data_ref, 'A' as status from delta"""
     return q

@@ -21,17 +21,20 @@ import time
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tablesync.functions.clean import sanitize
+from tablesync.functions.clean import sanitize, strip_nul_all
 from tablesync.functions.redact_text import redact_text
 from tablesync.functions.types import apply_narrowing, narrow_metrics, narrow_plan, plan_from_metrics
 from tablesync.operators import contracts as ct
-from tablesync.operators.cursor import cursor_candidate, delta_filter
+from tablesync.operators.cursor import cursor_candidate, delta_filter, is_number
 from tablesync.operators.upsert import key_bytes
 from tablesync.session import path_exists
+from tablesync.sources.files import staged_scan, write_staged
 from tablesync.plans.publish import TableStore, VerificationError
 
 STAGES = ["EXTRACT", "VALIDATE", "LOAD", "VERIFY"]
@@ -61,7 +64,7 @@ class SyncSpec:
     contract: list | None = None           # list[contracts.Field]
     dedupe: bool = False                   # keep only the latest row per key inside a batch
     narrow: bool = True                    # type all-date / all-timestamp text columns
-    numeric_cursor: bool = False           # compare a numeric replication key as a number
+    numeric_cursor: bool = False           # compare a text key as a number (number columns always do)
 
 
 @dataclass
@@ -105,11 +108,20 @@ class StateStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.tables = TableStore(spark, f"{self.root}/tables")
+        self.tables = TableStore(spark, f"{self.root}/tables/default")
+        self._stores: dict[str, TableStore] = {"default": self.tables}
         self._pending: list[tuple] = []
         # Cursors this store saved or read (one writer per table, as for pointers).
         self._cursors: dict[tuple[str, str], str | None] = {}
 
+    def tables_of(self, client: str) -> TableStore:
+        """A client's published tables; its session views are named
+        ``<client>__<table>`` (those of ``default``: ``<table>``)."""
+        if client not in self._stores:
+            self._stores[client] = TableStore(self.spark, f"{self.root}/tables/{client}",
+                                              view_prefix=f"{client}__")
+        return self._stores[client]
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -122,7 +134,7 @@ class StateStore:
     def flush(self) -> None:
         if self._pending:
             rows, self._pending = self._pending, []
-            (self.spark.createDataFrame(rows, LEDGER_SCHEMA).write.mode("append")
+            (self.spark.createDataFrame(rows, LEDGER_SCHEMA).coalesce(1).write.mode("append")
              .partitionBy("kind").parquet(self.path("ledger")))
 
     def checkpoint(self, client, pipeline, run_id, stage, data_path=None, cleared=False,
@@ -158,10 +170,8 @@ class StateStore:
 
     # ---- reading (views over the ledger)
     def ledger(self, kind: str) -> DataFrame:
-        from tablesync.session import path_exists
-
         path = self.path(f"ledger/kind={kind}")
-        if not path_exists(path):
+        if not path_exists(path, self.spark):
             return self.spark.createDataFrame([], LEDGER_SCHEMA).drop("kind")
         return self.spark.read.schema(LEDGER_SCHEMA.replace("kind string, ", "")).parquet(path)
 
@@ -209,7 +219,8 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
 
     ``source(since)`` returns the raw rows (lazy); ``since`` is the saved
     cursor in incremental mode (without one: yesterday 00:00 in the source's
-    zone, relative to ``now`` -- UTC text, default the current time).
+    zone, relative to ``now`` -- UTC text, default the current time; a key that
+    is a number has no such bound and starts from the first row).
     ``fail_after`` injects a crash after a stage (tests of resume).
     """
     ctx: dict = {}
@@ -221,7 +232,8 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
     done = STAGES.index(resume["stage"]) if resume else -1
     started = _now()
     state.run_row(run_id, client, pipeline, "RUNNING", started=started)
-    stage_dir = f"{state.root}/staging/{pipeline}/run={run_id}"
+    stage_dir = f"{state.root}/staging/{client}/{pipeline}/run={run_id}"
+    tables = state.tables_of(client)
 
     def skip(stage: str) -> bool:
         return STAGES.index(stage) <= done
@@ -237,9 +249,10 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
     try:
         incremental = spec.mode == "incremental" and spec.replication_key is not None
         since = state.saved_cursor(client, pipeline) if incremental else None
-        if incremental and since is None:
+        if incremental and since is None and not spec.numeric_cursor:
             # No saved cursor: yesterday 00:00 in the source's zone (S-05).
             since = lookback_text(spark, now)
+
         ctx["since"] = since
 
         # ---------------------------------------------------------- EXTRACT
@@ -255,21 +268,28 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         else:
             state.event(run_id, "stage_start", "EXTRACT")
             raw = source(since)
+            numeric = spec.numeric_cursor
+            if spec.replication_key and spec.replication_key in raw.columns:
+                numeric = numeric or isinstance(raw.schema[spec.replication_key].dataType, T.NumericType)
+            if incremental and numeric and since is not None and not is_number(since):
+                # A look-back, or a cursor saved when the key was a date, bounds no number.
+                since = None
+                raw = source(None)
             if incremental:
-                raw = delta_filter(raw, spec.replication_key, since, spec.numeric_cursor)
+                raw = delta_filter(raw, spec.replication_key, since, numeric)
             metrics = [F.count(F.lit(1)).alias("n")]
             if spec.replication_key:
                 # The cursor comes from the raw rows, before cleaning / transform.
-                metrics.append(cursor_candidate(spec.replication_key, spec.numeric_cursor).alias("cursor"))
+                metrics.append(cursor_candidate(spec.replication_key, numeric).alias("cursor"))
             raw_obs, out_obs = Observation("raw"), Observation("landed")
-            landed = project(spark, sanitize(raw.observe(raw_obs, *metrics)), spec)
+            landed = strip_nul_all(project(spark, sanitize(raw.observe(raw_obs, *metrics)), spec))
             out_metrics = [F.count(F.lit(1)).alias("n")]
             if _has_keys(landed, spec.pk):
                 out_metrics.append(key_bytes(spec.pk).alias("key_bytes"))
             if spec.narrow:
                 # The narrowing decision rides on the landing write's own scan.
                 out_metrics += narrow_metrics(landed)
-            landed.observe(out_obs, *out_metrics).write.mode("overwrite").parquet(landed_dir)
+            write_staged(landed.observe(out_obs, *out_metrics), landed_dir)
             observed = out_obs.get
             ctx["extracted"] = int(raw_obs.get["n"])
             ctx["staged"] = int(observed["n"])
@@ -289,14 +309,14 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         # Text columns holding only dates / timestamps are narrowed, as a JSON
         # staging scan would type them (P-05): one aggregate over the landed
         # files decides; the casts ride along with the next write.
-        landed_df = spark.read.parquet(landed_dir)
+        landed_df = staged_scan(spark, landed_dir)
         narrowing = {}
         if spec.narrow:
             # Observed during EXTRACT; recomputed (one aggregate) after a resume.
             narrowing = ctx.get("narrow_plan")
             if narrowing is None:
                 narrowing = narrow_plan(landed_df)
-        current = state.tables.current(pipeline) if spec.mode != "full" else None
+        current = tables.current(pipeline) if spec.mode != "full" else None
         if current is not None:
             # A delta follows the published table: a column it already has is
             # narrowed only to that column's own type.
@@ -313,7 +333,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             if skip("VALIDATE"):
                 state.event(run_id, "stage_skipped", "VALIDATE")
                 ctx["valid"] = (spark.read.parquet(checked).where(F.col("_part") == "valid").count()
-                                if path_exists(checked) else 0)
+                                if path_exists(checked, spark) else 0)
             else:
                 state.event(run_id, "stage_start", "VALIDATE")
                 ann = ct.annotate(typed, spec.contract)
@@ -336,14 +356,18 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
                 n_valid = int(obs.get["valid"] or 0)
                 n_dead = int(obs.get["n"]) - n_valid
                 ctx["key_bytes"] = obs.get.get("key_bytes")
+                if not n_valid:
+                    # No valid row: the folder still tells readers the columns.
+                    (spark.read.parquet(checked).drop("_part").limit(0).coalesce(1)
+                     .write.mode("overwrite").parquet(f"{checked}/_part=valid"))
                 if n_dead:
+                    # One folder per run, replaced: a resumed run files each letter once.
                     (spark.read.parquet(f"{checked}/_part=dead")
-                     .select("run_id", "stream", "record", "errors",
-                             F.current_timestamp().alias("created_at"))
-                     .write.mode("append").parquet(state.path("dead_letters")))
+                     .select("stream", "record", "errors", F.current_timestamp().alias("created_at"))
+                     .write.mode("overwrite").parquet(f"{state.path('dead_letters')}/run_id={run_id}"))
                 ctx["valid"], ctx["dead"] = n_valid, n_dead
                 finish_stage("VALIDATE")
-            load_from = f"{checked}/_part=valid" if ctx["valid"] else None
+            load_from = f"{checked}/_part=valid"
 
         # ------------------------------------------------------------- LOAD
         # Zero-copy: the staged folder itself becomes the new base generation
@@ -351,20 +375,17 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         # Only ``dedupe`` (latest row per key) or narrowing without a contract
         # needs a rewrite.
         state.event(run_id, "stage_start", "LOAD")
-        tables = state.tables
         base, _ = tables.state(pipeline)
         as_layer = spec.mode != "full" and base is not None
         publish_path, rewrite = load_from, None
-        if load_from is not None:
-            if not spec.contract and narrowing:
-                rewrite = typed  # the narrowing casts need one write
-            if spec.dedupe and spec.replication_key:
-                staged = rewrite if rewrite is not None else spark.read.parquet(load_from)
-                if columns:
-                    staged = staged.select(*columns)
-                keys = [spec.pk] if isinstance(spec.pk, str) else list(spec.pk)
-                rewrite = staged.groupBy(*keys).agg(
-                    F.max_by(F.struct(*staged.columns), F.col(spec.replication_key)).alias("_r")).select("_r.*")
+        if not spec.contract and narrowing:
+            rewrite = typed  # the narrowing casts need one write
+        if spec.dedupe and spec.replication_key:
+            staged = rewrite if rewrite is not None else staged_scan(spark, load_from)
+            if columns:
+                staged = staged.select(*columns)
+            rewrite = latest_per_key(staged, spec.pk, spec.replication_key)
+            ctx["expected"] = distinct_keys(staged, spec.pk)
         if rewrite is not None:
             publish_path, _, ctx["key_bytes"] = tables.write_layer(
                 pipeline, rewrite, run_id, spec.pk if _has_keys(rewrite, spec.pk) else None)
@@ -376,12 +397,12 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         # ----------------------------------------------------------- VERIFY
         # Count what is on disk (parquet metadata) before anything becomes
         # visible: a failed check leaves the old state current.
-        ctx["loaded"] = 0 if publish_path is None else spark.read.parquet(publish_path).count()
-        expected = ctx.get("valid", ctx["staged"])
+        ctx["loaded"] = spark.read.parquet(publish_path).count()
+        expected = ctx.get("expected", ctx.get("valid", ctx["staged"]))
         if ctx["extracted"] > 0 and ctx["loaded"] == 0:
-            raise VerificationError(f"verification failed: {ctx['extracted']} extracted, 0 loaded")
-        if ctx["loaded"] != expected and not spec.dedupe:
-            raise VerificationError(f"count mismatch: {expected} expected, {ctx['loaded']} loaded")
+            raise VerificationError(f"nothing would be loaded although {ctx['extracted']} rows came in")
+        if ctx["loaded"] != expected:
+            raise VerificationError(f"the written rows ({ctx['loaded']}) are not the {expected} to be loaded")
         if as_layer:
             check_layer_types(spark, tables.current(pipeline), spark.read.parquet(publish_path), columns)
             tables.add_layer(pipeline, publish_path, spec.pk, run_id, ctx["loaded"],
@@ -404,6 +425,28 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
                           error=err, run_id=run_id, counts=dict(ctx))
 
 
+def _keys(pk) -> list[str]:
+    return [pk] if isinstance(pk, str) else list(pk)
+
+
+def _no_null(pk):
+    return reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in _keys(pk)])
+
+
+def latest_per_key(staged: DataFrame, pk, replication_key: str) -> DataFrame:
+    """The row with the greatest replication key per key (a null one comes
+    first); rows with a null in their key stay, each."""
+    row = F.max_by(F.struct(*staged.columns), F.struct(F.col(f"`{replication_key}`"))).alias("_r")
+    keyed = staged.where(_no_null(pk)).groupBy(*_keys(pk)).agg(row).select("_r.*")
+    return keyed.unionByName(staged.where(~_no_null(pk)))
+
+
+def distinct_keys(staged: DataFrame, pk) -> int:
+    """How many rows ``latest_per_key`` keeps."""
+    return (staged.where(_no_null(pk)).select(*_keys(pk)).distinct().count()
+            + staged.where(~_no_null(pk)).count())
+
+
 def check_layer_types(spark: SparkSession, current: DataFrame, layer: DataFrame,
                       columns: list[str] | None = None) -> None:
     """Fail the run (before anything is visible) when a staged value cannot be
@@ -452,10 +495,6 @@ def _row_key_bytes(cols: list[str]):
     return total
 
 
-def ct_schema(contract) -> str:
-    return ", ".join(f"`{f.name}` {f.spark_type.simpleString()}" for f in contract)
-
-
 def sync_all(spark: SparkSession, specs: list[tuple[SyncSpec, Callable]], state: StateStore,
              client: str = "default", from_checkpoint: bool = False) -> list[SyncResult]:
     """Synchronise several tables; one failure never stops the others."""

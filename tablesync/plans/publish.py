@@ -8,17 +8,17 @@ A table is one *base* generation plus an ordered list of *delta layers*:
 * readers fold the layers onto the base with the keyed upsert
   (``operators.upsert.delta_upsert``): each layer's key set is broadcast when
   its observed row count is bounded, so reading the current table is one scan
-  of the base with no shuffle of it;
-* when the layers since the base pass ``max_layers``, ``max_layer_fraction``
-  of the base rows or ``max_layer_key_bytes`` of broadcast keys in total, the
-  fold is compacted into a new base.
-
-Visibility is atomic: data is written first, its observed row count checked,
-and only then is a row appended to the ``_generations`` pointer table (and the
-session view replaced).  Readers see the previous or the new state, never a
-partial one; a failed write leaves an orphan folder and the old state.  The
-pointer rows a reader needs (one base + at most ``max_layers`` layers) are
-bounded, so collecting them on the driver is cheap.
+  of the base with no shuffle of it.
+
+Visibility is atomic: data is written first, its observed row count checked
+and the state that would be current resolved (keys, types), and only then is
+one row appended to the ``_generations`` pointer table.  Readers see the
+previous or the new state, never a partial one; a failure before that leaves an
+orphan folder and the old state.
+
+A publish never rewrites the table.  ``wants_compaction`` says when the layers
+since the base pass ``max_layers``, ``max_layer_fraction`` of its rows or
+``max_layer_key_bytes`` of keys; ``compact`` is a maintenance job to run then.
 """
 
 from __future__ import annotations
@@ -43,9 +43,11 @@ class TableStore:
     """Published tables under one shared root folder."""
 
     def __init__(self, spark: SparkSession, root: str, max_layers: int = 8,
-                 max_layer_fraction: float = 0.25, max_layer_key_bytes: int = 256 * 1024 * 1024):
+                 max_layer_fraction: float = 0.25, max_layer_key_bytes: int = 256 * 1024 * 1024,
+                 view_prefix: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.view_prefix = view_prefix  # of the session views of the tables
         self.max_layers = max_layers
         self.max_layer_fraction = max_layer_fraction
         # Reading folds every layer with its key set broadcast: their sum is
@@ -64,7 +66,7 @@ class TableStore:
     def _pointers(self) -> DataFrame | None:
         from tablesync.session import path_exists
 
-        if not path_exists(self.pointer_path):
+        if not path_exists(self.pointer_path, self.spark):
             return None  # nothing published yet
         return self.spark.read.schema(POINTER_SCHEMA).parquet(self.pointer_path)
 
@@ -83,7 +85,7 @@ class TableStore:
             return None, []
         mine = ptr.where(F.col("table") == table)
         # Two one-row / bounded reads: the latest base, then the layers after it
-        # (at most max_layers + 1 rows, since compaction keeps the list short).
+        # (one row per publish since the last compaction).
         latest = (mine.where(F.col("kind") == "base")
                   .agg(F.max_by(F.struct(*mine.columns), F.col("seq")).alias("b")).first())
         if latest is None or latest["b"] is None:
@@ -100,10 +102,6 @@ class TableStore:
             return None
         return self._fold(base, layers)
 
-    def current_path(self, table: str) -> str | None:
-        base, _ = self.state(table)
-        return None if base is None else base["path"]
-
     def _read(self, entry: dict) -> DataFrame:
         df = self.spark.read.parquet(entry["path"])
         cols = entry.get("columns")
@@ -139,7 +137,7 @@ class TableStore:
         row = (table, kind, path, str(run_id), time.time_ns(), rows, json.dumps(pk) if pk else None,
                key_bytes, json.dumps(list(columns)) if columns else None)
         # Partitioned by table: a reader of one table prunes to its own files.
-        (self.spark.createDataFrame([row], POINTER_SCHEMA).write.mode("append")
+        (self.spark.createDataFrame([row], POINTER_SCHEMA).coalesce(1).write.mode("append")
          .partitionBy("table").parquet(self.pointer_path))
         entry = dict(zip(_POINTER_NAMES, row))
         self._cache[table] = (entry, []) if kind == "base" else (base, layers + [entry])
@@ -165,22 +163,40 @@ class TableStore:
 
     def add_layer(self, table: str, path: str, pk, run_id: str, rows: int,
                   key_bytes: int | None = None, columns: list[str] | None = None) -> None:
-        """Make a written delta layer visible; compact when layers pile up.
+        """Make a written delta layer visible, once the state with it resolves.
         As with ``swap``, ``path`` may be an immutable staged folder."""
+        self._check_layer(table, path, pk, rows, key_bytes, columns)
         self._point(table, "layer", path, run_id, rows, pk, key_bytes, columns)
-        base, layers = self.state(table)
-        layer_rows = sum(int(x["rows"]) for x in layers)
-        layer_key_bytes = sum(int(x.get("key_bytes") or 0) + 16 * int(x["rows"]) for x in layers)
-        if (len(layers) > self.max_layers
-                or layer_rows > self.max_layer_fraction * max(int(base["rows"]), 1)
-                or layer_key_bytes > self.max_layer_key_bytes):
-            try:
-                self.compact(table)
-                return
-            except Exception:  # noqa: BLE001 - the layer is published; compaction retries next time
-                pass
         self.refresh_view(table)
 
+    def _check_layer(self, table, path, pk, rows, key_bytes, columns) -> None:
+        """Fail on what readers of the new state would fail on."""
+        base, layers = self.state(table)
+        entry = {"path": path, "rows": rows, "key_bytes": key_bytes, "pk": json.dumps(pk),
+                 "columns": json.dumps(list(columns)) if columns else None}
+        keys = [pk] if isinstance(pk, str) else list(pk)
+        for what, df in (("staged rows", self._read(entry)), ("published table", self._fold(base, layers))):
+            lost = [k for k in keys if k not in df.columns]
+            if lost:
+                raise VerificationError(f"key columns {lost} are not in the {what} of {table}")
+        self._fold(base, [*layers, entry]).schema  # analysed now: types that cannot meet fail here
+
+    def wants_compaction(self, table: str) -> bool:
+        """Whether reading the layers has become dear enough to rewrite them."""
+        base, layers = self.state(table)
+        if base is None or not layers:
+            return False
+        rows = sum(int(x["rows"]) for x in layers)
+        keys = sum(int(x.get("key_bytes") or 0) + 16 * int(x["rows"]) for x in layers)
+        return (len(layers) > self.max_layers or rows > self.max_layer_fraction * max(int(base["rows"]), 1)
+                or keys > self.max_layer_key_bytes)
+
+    def published(self, table: str, run_id: str) -> bool:
+        """Whether some pointer row of ``table`` carries ``run_id``."""
+        ptr = self._pointers()
+        return ptr is not None and bool(
+            ptr.where((F.col("table") == table) & (F.col("run_id") == run_id)).limit(1).count())
+
     def compact(self, table: str) -> str | None:
         """Materialise base + layers as a new base generation."""
         base, layers = self.state(table)
@@ -194,7 +210,7 @@ class TableStore:
     def refresh_view(self, table: str) -> None:
         df = self.current(table)
         if df is not None:
-            df.createOrReplaceTempView(table)
+            df.createOrReplaceTempView(self.view_prefix + table)
 
     def publish(self, table: str, df: DataFrame, run_id: str, expected: int | None = None) -> tuple[str, int]:
         """Full refresh: replace the table with ``df``."""
@@ -210,6 +226,9 @@ class TableStore:
         base, _ = self.state(table)
         if base is None:
             return self.publish(table, staged, run_id, expected)
+        lost = [k for k in ([pk] if isinstance(pk, str) else pk) if k not in staged.columns]
+        if lost:
+            raise VerificationError(f"key columns {lost} are not in the staged rows of {table}")
         path, rows, kb = self.write_layer(table, staged, run_id, pk)
         if expected is not None and rows != expected:
             raise VerificationError(f"count mismatch: {expected} expected, {rows} written")

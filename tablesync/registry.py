@@ -15,7 +15,7 @@ from tablesync.functions import clean
 from tablesync.functions.types import narrow_types
 from tablesync.operators import contracts, cursor, ledger, upsert
 from tablesync.operators.contracts import Field
-from tablesync.plans.publish import TableStore
+from tablesync.plans.publish import TableStore, VerificationError
 from tablesync.session import scratch_dir
 from tablesync.sources import fixtures as fx
 from tablesync.sources import files, paged
@@ -26,6 +26,8 @@ CURRENT_CURSOR = "2024-01-29 12:00:00"  # saved cursor for cursor_max
 FAILED_DAY = "1996-03-15"               # the day asked for by failed_on_day
 TRANSFORM = ("SELECT o_orderkey, upper(o_orderpriority) AS prio, o_totalprice "
              "FROM {raw} WHERE o_orderstatus = 'F'")
+EMPTY_STREAM, SHORT_STREAM = "view", "click"  # what verify_counts finds wanting
+SHORT_PAGE = 300                        # records a page really holds in paged_short_pages
 SELECTED_FIELDS = ["o_orderkey", "o_orderstatus", "o_totalprice"]
 
 # The FX-1 contract (FIXTURES.md).
@@ -67,7 +69,7 @@ def delta_upsert(spark, sf_dir):
 def delta_first_run(spark, sf_dir):
     o = _t(spark, sf_dir, "orders")
     store = TableStore(spark, scratch_dir(spark, "first-run"))
-    return upsert.delta_upsert(store.current("orders"), fx.orders_delta(o), "o_orderkey")
+    return upsert.delta_upsert(store.current("orders"), fx.orders_first(o), "o_orderkey")
 
 
 @query
@@ -126,11 +128,14 @@ def loaded_count(spark, sf_dir):
 
 @query
 def verify_counts(spark, sf_dir):
+    """The count check over a published table that lacks rows of one stream
+    and all rows of another."""
     raw = fx.dirty_records(_t(spark, sf_dir, "events"), with_stream=True)
-    contract = FX1_CONTRACT + [Field("stream", "string")]
-    valid, _ = contracts.validate(clean.sanitize(raw), contract)
-    loaded = upsert.delta_upsert(None, valid, "id")
-    return ledger.verify_counts(raw, valid, loaded)
+    checked = contracts.annotate(clean.sanitize(raw), FX1_CONTRACT).withColumnRenamed("_valid", "valid")
+    lost = (F.col("stream") == EMPTY_STREAM) | ((F.col("stream") == SHORT_STREAM) & (F.col("id") % 50 == 7))
+    store = TableStore(spark, scratch_dir(spark, "verify"))
+    store.publish("verify_target", checked.where(F.col("valid") & ~lost).select("id", "stream"), run_id="1")
+    return ledger.verify_counts(checked, store.current("verify_target"))
 
 
 # ----------------------------------------------------------------- cleaning
@@ -256,7 +261,7 @@ def _dead_letter_table(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
     rec = clean.sanitize(fx.dirty_records(ev, with_created=True))
     ann = contracts.annotate(rec, FX1_CONTRACT, record_columns=[c for c in rec.columns if c != "created_at"])
-    return contracts.dead_letters(ann, F.floor(F.col("id") / 10).cast("long"), "events",
+    return contracts.dead_letters(ann, F.expr("id div 10"), "events",
                                   extra=("id", "created_at"))
 
 
@@ -362,7 +367,7 @@ def _page_records(events: DataFrame) -> DataFrame:
 
 def _bodies(spark, sf_dir):
     ev = _t(spark, sf_dir, "events")
-    return paged.page_bodies(_page_records(ev), F.col("event_type"), "event_id", PAGE_SIZE)
+    return fx.page_bodies(_page_records(ev), F.col("event_type"), "event_id", PAGE_SIZE)
 
 
 def _landed_pages(spark, sf_dir):
@@ -389,11 +394,15 @@ def page_explode(spark, sf_dir):
     return _typed(parsed.select("endpoint", "page", "total", "r.*"))
 
 
-def _write_pages(spark, sf_dir) -> tuple[str, list[str]]:
+def _land(spark, bodies) -> str:
     root = scratch_dir(spark, "pages") + "/bodies"
-    _bodies(spark, sf_dir).write.partitionBy("endpoint", "page").text(root)
+    bodies.write.partitionBy("endpoint", "page").text(root)
+    return root
+
+
+def _write_pages(spark, sf_dir) -> tuple[str, list[str]]:
     endpoints = [r[0] for r in _t(spark, sf_dir, "events").select("event_type").distinct().collect()]
-    return root, sorted(endpoints)
+    return _land(spark, _bodies(spark, sf_dir)), sorted(endpoints)
 
 
 @query
@@ -407,10 +416,24 @@ def paged_scan(spark, sf_dir):
 
 @query
 def paged_delta_scan(spark, sf_dir):
-    """Incremental scan: ``cursor_value >= since`` is pushed into the source."""
+    """Incremental scan: the fetcher gets ``since``, records before it go."""
     root, endpoints = _write_pages(spark, sf_dir)
-    raw = paged.paged_scan(spark, endpoints, path=root, page_size=PAGE_SIZE, replication_key="ts")
-    return _typed(paged.parse_records(raw.where(F.col("cursor_value") >= SINCE), RECORD_SCHEMA))
+    raw = paged.paged_scan(spark, endpoints, path=root, page_size=PAGE_SIZE, replication_key="ts", since=SINCE)
+    return _typed(paged.parse_records(raw, RECORD_SCHEMA))
+
+
+@query
+def paged_short_pages(spark, sf_dir):
+    """A server that gives fewer records per page than asked, and no total for
+    one endpoint: all records arrive."""
+    ev = _t(spark, sf_dir, "events")
+    bodies = fx.page_bodies(_page_records(ev), F.col("event_type"), "event_id", SHORT_PAGE)
+    untold = F.regexp_replace("body", '"total":"[0-9]+"', '"total":""')
+    bodies = bodies.withColumn("body", F.when(F.col("endpoint") == SHORT_STREAM, untold).otherwise(F.col("body")))
+    endpoints = sorted(r[0] for r in ev.select("event_type").distinct().collect())
+    pages = paged.paged_scan(spark, endpoints, path=_land(spark, bodies), page_size=PAGE_SIZE,
+                             pages_per_partition=3, output="pages")
+    return _typed(paged.parse_records(paged.explode_pages(pages), RECORD_SCHEMA))
 
 
 def _progress(spark, sf_dir):
@@ -437,6 +460,24 @@ def ndjson_scan(spark, sf_dir):
     return files.ndjson_scan(spark, path + "/orders")
 
 
+@query
+def staging_scan(spark, sf_dir):
+    """Staged rows of a run, read back whole."""
+    path = scratch_dir(spark, "staging") + "/run=1"
+    files.write_staged(clean.sanitize(fx.dirty_records(_t(spark, sf_dir, "events"))), path)
+    return files.staged_scan(spark, path)
+
+
+@query
+def staging_replace(spark, sf_dir):
+    """A second attempt replaces what the first one staged."""
+    ev = _t(spark, sf_dir, "events")
+    path = scratch_dir(spark, "staging") + "/run=1"
+    files.write_staged(fx.dirty_records(ev), path)
+    files.write_staged(fx.later_records(ev), path)
+    return files.staged_scan(spark, path)
+
+
 # ---------------------------------------------------------------- streaming
 @query
 def stream_upsert(spark, sf_dir):
@@ -454,50 +495,89 @@ def stream_upsert(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------- job
+def _run(spark, spec, source, state, client="c0"):
+    from tablesync.plans.job import sync_table
+    res = sync_table(spark, spec, source, state, client=client)
+    if res.status != "success":
+        raise RuntimeError(f"sync failed: {res.error}")
+    return res
+
+
 @query
 def sync_job(spark, sf_dir):
-    """Two runs of the sync job: a full run (which saves the cursor), then an
-    incremental run from the saved cursor (inclusive, so it re-reads the
-    boundary rows).  Either run
-    leaves the published table equal to the contract-valid rows: the second
-    run re-applies the same rows, or -- when every re-read row is rejected --
-    fails verification ("extracted > 0, loaded 0") and changes nothing."""
-    from tablesync.plans.job import StateStore, SyncSpec, sync_table
+    """A full run, then an incremental run over a source that has changed, new
+    and rejected records since; both must succeed."""
+    from tablesync.plans.job import StateStore, SyncSpec
     ev = _t(spark, sf_dir, "events")
     state = StateStore(spark, scratch_dir(spark, "state"))
-    full = SyncSpec(name="eventos", pk="id", replication_key="ultima_atualizacao",
-                    mode="full", contract=FX1_CONTRACT)
-    incremental = SyncSpec(name="eventos", pk="id", replication_key="ultima_atualizacao",
-                           mode="incremental", contract=FX1_CONTRACT)
-
-    def source(since):
-        return fx.dirty_records(ev)
-
-    first = sync_table(spark, full, source, state, client="c0")
-    if first.status != "success":
-        raise RuntimeError(f"sync failed: {first.error}")
-    sync_table(spark, incremental, source, state, client="c0")
-    return state.tables.current("eventos")
+    for mode, rows in (("full", fx.dirty_records(ev)), ("incremental", fx.later_records(ev))):
+        spec = SyncSpec(name="eventos", pk="id", replication_key="ultima_atualizacao", mode=mode,
+                        contract=FX1_CONTRACT)
+        _run(spark, spec, lambda since, rows=rows: cursor.delta_filter(rows, "ultima_atualizacao", since), state)
+    return state.tables_of("c0").current("eventos")
 
 
 @query
 def paged_sync(spark, sf_dir):
     """The sync job over the paged source: a full run, then an incremental run
-    whose cursor filter is pushed into the source (pages fetched in parallel
-    page ranges; records parsed JVM-side)."""
-    from tablesync.plans.job import StateStore, SyncSpec, sync_table
+    over later pages whose cursor the fetcher gets."""
+    from tablesync.plans.job import StateStore, SyncSpec
     root, endpoints = _write_pages(spark, sf_dir)
-    text_schema = "event_id long, ts string, user_id long, event_type string, value double, props string"
-    source = paged.endpoint_source(spark, endpoints, text_schema, replication_key="ts", path=root,
-                                   page_size=PAGE_SIZE)
-
+    later = fx.later_events(_t(spark, sf_dir, "events"))
+    later_root = _land(spark, fx.page_bodies(_page_records(later), F.col("event_type"), "event_id", PAGE_SIZE))
     state = StateStore(spark, scratch_dir(spark, "paged-state"))
-    for mode in ("full", "incremental"):
+    for mode, path in (("full", root), ("incremental", later_root)):
+        source = paged.endpoint_source(spark, endpoints, RECORD_SCHEMA, replication_key="ts", path=path,
+                                       page_size=PAGE_SIZE)
         spec = SyncSpec(name="events_api", pk="event_id", replication_key="ts", mode=mode)
-        res = sync_table(spark, spec, source, state, client="c0")
-        if res.status != "success":
-            raise RuntimeError(f"sync failed: {res.error}")
-    return state.tables.current("events_api")
+        _run(spark, spec, source, state)
+    return state.tables_of("c0").current("events_api")
+
+
+@query
+def cursor_numeric(spark, sf_dir):
+    """Incremental runs over a number key: the first has no bound, the second
+    starts from the greatest number (not the greatest text)."""
+    from tablesync.plans.job import StateStore, SyncSpec
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    new = ev.where(F.col("event_id") % 10 == 3).withColumn("event_id", F.col("event_id") + 1_000_000_000)
+    state = StateStore(spark, scratch_dir(spark, "numeric-state"))
+    for rows in (ev, ev.withColumn("value", F.col("value") + 1).unionByName(new)):
+        _run(spark, SyncSpec(name="numeros", pk="event_id", replication_key="event_id", mode="incremental"),
+             lambda since, rows=rows: rows, state)
+    return state.tables_of("c0").current("numeros")
+
+
+@query
+def cursor_raw(spark, sf_dir):
+    """The saved cursor comes from the raw rows, also when the projection
+    leaves its column out."""
+    from tablesync.plans.job import StateStore, SyncSpec
+    state = StateStore(spark, scratch_dir(spark, "raw-state"))
+    spec = SyncSpec(name="eventos", pk="id", replication_key="ultima_atualizacao", fields=("id", "nome"))
+    _run(spark, spec, lambda since: fx.dirty_records(_t(spark, sf_dir, "events")), state)
+    return state.ledger("cursor").select("client", "pipeline", F.col("value").alias("cursor"))
+
+
+@query
+def dedupe_latest(spark, sf_dir):
+    from tablesync.plans.job import latest_per_key
+    return latest_per_key(fx.keyed_changes(_t(spark, sf_dir, "lineitem")), "k", "changed")
+
+
+@query
+def publish_delta(spark, sf_dir):
+    """A published delta; one without the key column is refused and leaves the
+    table as it was."""
+    o = _t(spark, sf_dir, "orders")
+    store = TableStore(spark, scratch_dir(spark, "publish-delta"))
+    store.publish("fx2_published", fx.orders_base(o), run_id="1")
+    store.publish_delta("fx2_published", fx.orders_delta(o), "o_orderkey", run_id="2")
+    try:
+        store.publish_delta("fx2_published", fx.orders_delta(o).drop("o_orderkey"), "o_orderkey", run_id="3")
+    except VerificationError:
+        return TableStore(spark, store.root).current("fx2_published")
+    raise RuntimeError("a delta without its key was published")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

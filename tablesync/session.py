@@ -56,48 +56,53 @@ def shuffle_partitions_for(input_bytes: int, partition_bytes: int = 256 * 1024 *
     return max(minimum, -(-int(input_bytes) // partition_bytes))
 
 
+def _is_local(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) do we pick our own
-    folder and register it, so that ``DataFrame.checkpoint()`` works too.
+    Only a local session may leave it unset (tests): there a temporary folder
+    is registered.  On a cluster the driver's disk is no place the executors
+    can see, so an unset folder is an error.
     """
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not root:
-        try:
-            root = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            root = None
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    root = root or sc.getCheckpointDir()
     if not root:
+        if not _is_local(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tablesync-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """``(file system, qualified path)`` as Spark itself resolves ``path``: a
+    path without a scheme belongs to the cluster's default file system."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, fs.makeQualified(p)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique directory under the shared checkpoint root."""
-    root = _checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, "tablesync", f"{purpose}-{uuid.uuid4().hex[:12]}")
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
-    return path
+    fs, path = hadoop_path(spark, f"{_checkpoint_root(spark).rstrip('/')}/tablesync/{purpose}-{uuid.uuid4().hex[:12]}")
+    fs.mkdirs(path)
+    text = path.toString()
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    # A local folder is a plain path where the default file system is the local one.
+    return path.toUri().getPath() if text.startswith("file:") and default.startswith("file:") else text
 
 
-def path_exists(path: str) -> bool:
-    """Whether a file or folder exists (local paths and filesystem URIs)."""
-    from pyarrow import fs as pafs
-
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-    uri = path if "://" in path else "file://" + os.path.abspath(path)
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
-    return filesystem.get_file_info(inner).type != pafs.FileType.NotFound
+def path_exists(path: str, spark: SparkSession | None = None) -> bool:
+    """Whether a file or folder exists, asked of the file system that Spark
+    would read it from."""
+    fs, p = hadoop_path(spark or SparkSession.active(), path)
+    return fs.exists(p)
 
 
 _SHIPPED: set[str] = set()
@@ -110,8 +115,6 @@ def ship_package(spark: SparkSession) -> None:
     import io
     import zipfile
 
-    from pyarrow import fs as pafs
-
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
@@ -123,14 +126,10 @@ def ship_package(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     full = os.path.join(base, name)
                     z.write(full, os.path.join("tablesync", os.path.relpath(full, pkg)))
-    root = _checkpoint_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    target = f"{root.rstrip('/')}/tablesync/pyfiles-{uuid.uuid4().hex[:12]}/tablesync.zip"
-    uri = target if "://" in target else "file://" + os.path.abspath(target)
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
-    filesystem.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-    with filesystem.open_output_stream(inner) as out:
-        out.write(buf.getvalue())
-    sc.addPyFile(target)
+    target = f"{scratch_dir(spark, 'pyfiles')}/tablesync.zip"
+    fs, path = hadoop_path(spark, target)
+    out = fs.create(path, True)
+    out.write(bytearray(buf.getvalue()))
+    out.close()
+    sc.addPyFile(path.toString())
     _SHIPPED.add(sc.applicationId)

@@ -3,10 +3,9 @@ from tablesync.sources.paged import (
     PagedSource,
     endpoint_source,
     explode_pages,
-    page_bodies,
     paged_scan,
     parse_records,
 )
 
-__all__ = ["PagedSource", "endpoint_source", "explode_pages", "ndjson_scan", "page_bodies", "paged_scan",
+__all__ = ["PagedSource", "endpoint_source", "explode_pages", "ndjson_scan", "paged_scan",
            "parse_records", "staged_scan", "write_ndjson"]

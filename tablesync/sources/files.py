@@ -22,6 +22,11 @@ def write_ndjson(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").option("ignoreNullFields", "false").json(path)
 
 
+def write_staged(df: DataFrame, path: str) -> None:
+    """Stage rows, replacing what an earlier attempt left."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def staged_scan(spark: SparkSession, path: str) -> DataFrame:
     """All staged rows of one run (parquet keeps the schema even when empty)."""
     return spark.read.parquet(path)

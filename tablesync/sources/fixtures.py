@@ -7,7 +7,7 @@ query grows with the table.  The matching DuckDB text lives in
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
@@ -161,3 +161,81 @@ def batch_ledger(events: DataFrame) -> DataFrame:
             .agg(F.min("ts").alias("started_at"))
             .select("run_id", F.concat(F.lit("c"), (F.col("run_id") % 5).cast("string")).alias("client"),
                     "started_at"))
+
+
+def later_records(events: DataFrame) -> DataFrame:
+    """FX-9: the FX-1 source some time after the first run: every fourth record
+    changed (every eighth into one the contract rejects), and new records."""
+    moved = F.col("ts") + F.expr("INTERVAL 400 DAYS")
+    eid = F.col("event_id")
+    now = dirty_records(events.withColumn("ts", F.when(eid % 4 == 0, moved).otherwise(F.col("ts"))))
+    now = (now.withColumn("qtd", F.when(F.col("id") % 4 == 0, F.lit("77")).otherwise(F.col("qtd")))
+           .withColumn("nome", F.when(F.col("id") % 8 == 0, F.lit("")).otherwise(F.col("nome"))))
+    new = dirty_records(events.where(eid % 10 == 3).withColumn("ts", moved))
+    return now.unionByName(new.withColumn("id", F.col("id") + 1_000_000_000))
+
+
+def later_events(events: DataFrame) -> DataFrame:
+    """FX-10: the events some time later: every fourth changed, some new."""
+    moved = F.col("ts") + F.expr("INTERVAL 400 DAYS")
+    hit = F.col("event_id") % 4 == 0
+    now = (events.withColumn("ts", F.when(hit, moved).otherwise(F.col("ts")))
+           .withColumn("value", F.when(hit, F.col("value") + 1).otherwise(F.col("value"))))
+    new = (events.where(F.col("event_id") % 10 == 3).withColumn("ts", moved)
+           .withColumn("event_id", F.col("event_id") + 1_000_000_000))
+    return now.unionByName(new)
+
+
+def orders_first(orders: DataFrame) -> DataFrame:
+    """FX-2 staging over all orders (a first delta run)."""
+    return orders.select("o_orderkey", "o_custkey", "o_orderstatus",
+                         (F.col("o_totalprice") + 1000).alias("o_totalprice"))
+
+
+def keyed_changes(lineitem: DataFrame) -> DataFrame:
+    """FX-11: many changes per key, some without a key, some without a time."""
+    when = F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(" "),
+                    F.lpad(F.col("l_orderkey").cast("string"), 12, "0"), F.col("l_linenumber").cast("string"))
+    return lineitem.select(F.nullif(F.col("l_orderkey") % 100, F.lit(0)).alias("k"),
+                           F.when(F.col("l_linenumber") < 7, when).alias("changed"),
+                           "l_orderkey", "l_linenumber", "l_quantity")
+
+
+def page_bodies(records: DataFrame, endpoint: Column, order: str, page_size: int,
+                terminators: bool = True) -> DataFrame:
+    """Cut records into API pages: per endpoint, ``order`` descending,
+    ``page_size`` per page, body ``{"registros": [...], "total": "<n>"}``.
+
+    Page numbers come from ``ordinal.row_ordinal`` (no one-task window per
+    endpoint); a page's list is bounded by ``page_size``.  With
+    ``terminators`` each endpoint also gets trailing pages whose ``registros``
+    is empty, NULL or missing.
+    """
+    from tablesync.operators.ordinal import row_ordinal
+
+    rec_cols = records.columns
+    numbered = row_ordinal(records.withColumn("endpoint", endpoint), ["endpoint"], order,
+                           "_rn", descending=True, total_col="_total")
+    paged = numbered.withColumn("page", (F.expr(f"(_rn - 1) div {int(page_size)}") + 1).cast("int"))
+    per_page = (paged.groupBy("endpoint", "page")
+                .agg(F.first("_total").alias("_total"),
+                     F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in rec_cols])), asc=False)
+                     .alias("registros")))
+    bodies = per_page.select(
+        "endpoint", "page",
+        F.to_json(F.struct("registros", F.col("_total").cast("string").alias("total"))).alias("body"))
+    if not terminators:
+        return bodies
+    # Trailing pages come from the (small) per-page table, not the records.
+    last = per_page.groupBy("endpoint").agg(F.max("page").alias("_last"), F.first("_total").alias("_total"))
+    total_text = F.col("_total").cast("string")
+    tail = last.select(
+        "endpoint", F.explode(F.array(
+            F.struct((F.col("_last") + 1).alias("page"),
+                     F.concat(F.lit('{"registros":[],"total":"'), total_text, F.lit('"}')).alias("body")),
+            F.struct((F.col("_last") + 2).alias("page"),
+                     F.concat(F.lit('{"registros":null,"total":"'), total_text, F.lit('"}')).alias("body")),
+            F.struct((F.col("_last") + 3).alias("page"),
+                     F.concat(F.lit('{"total":"'), total_text, F.lit('"}')).alias("body")),
+        )).alias("_t")).select("endpoint", "_t.page", "_t.body")
+    return bodies.unionByName(tail)

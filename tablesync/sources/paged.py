@@ -1,12 +1,16 @@
 """Paged endpoint scan as a Spark Python DataSource (``format("paged")``).
 
-Page 1 is read on the driver only to learn ``total``; the pages are then
-split into page-range input partitions that executors fetch in parallel
-(``ceil(total / page_size)`` pages, at most 100 000).  An unknown total gives
-one sequential partition that stops at the first empty page.
-
-Each output row is one record as JSON text plus its endpoint/page; the typed
-columns come from ``from_json`` on the JVM side (``parse_records``).
+The driver reads page 1 of each endpoint to learn its ``total`` and how many
+records a page really holds (a server may give fewer than asked), and cuts the
+pages into ranges that executors fetch in parallel.  An endpoint without a
+total is probed for its last page.  The last range of an endpoint stays open
+until an empty page, so pages the plan did not foresee are read as well.  A scan
+never loses rows silently: an empty page before a page with records, fewer
+records than the total allows for, or the page cap fail it.
+
+Each output row is one page with its body as fetched.  Records are exploded,
+filtered by the cursor and parsed on the JVM (``explode_pages``,
+``parse_records``); no Python runs per record.
 
 The page fetcher is injected.  ``DirectoryFetcher`` reads pages laid out as
 ``<root>/endpoint=<e>/page=<n>/*`` -- exactly what
@@ -23,25 +27,24 @@ import json
 import math
 from typing import Any, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, GreaterThan, GreaterThanOrEqual, InputPartition
+from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from tablesync.functions.clean import parse_total
+from tablesync.operators.cursor import delta_filter, is_number
 
 # Fixed value: the safety cap on pages per endpoint.
 MAX_PAGES = 100_000
 DEFAULT_PAGE_SIZE = 5_000
-PAGE_SCHEMA = "endpoint string, page int, total string, record string"
-# With option ``replicationKey`` the key's text is exposed as ``cursor_value``
-# so that ``cursor_value >= since`` can be pushed to the source (S-04).
-CURSOR_SCHEMA = PAGE_SCHEMA + ", cursor_value string"
-# ``output=pages``: one row per page with the body text exactly as fetched;
-# records are exploded and parsed on the JVM (``explode_pages``), so no
-# per-record Python runs at all.
 BODY_SCHEMA = "endpoint string, page int, total string, body string"
 
 
+class PagingError(RuntimeError):
+    """The server's pages do not add up; nothing may be published from them."""
+
+
 def robust_total(raw: Any) -> int | None:
     """Driver-side twin of ``functions.parse_total`` for planning only."""
     try:
@@ -61,7 +64,9 @@ class DirectoryFetcher:
         import os
 
         root = options["path"]
-        # Local folders become absolute file URIs; other URIs pass through.
+        # ``file:`` URIs and plain folders are local; other URIs pass through.
+        if root.startswith("file:"):
+            root = "/" + root[len("file:"):].lstrip("/")
         self.root = root if "://" in root else os.path.abspath(root)
 
     def fetch(self, endpoint: str, page: int, page_size: int, since: str | None) -> dict:
@@ -96,9 +101,14 @@ def _make_fetcher(options: dict[str, str]):
 
 
 class PageRange(InputPartition):
-    def __init__(self, endpoint: str, first: int, last: int | None):
+    """Pages ``first .. last`` of an endpoint; ``open_end``: and on until an
+    empty page.  ``total`` and ``page_rows`` are what the plan went by."""
+
+    def __init__(self, endpoint: str, first: int, last: int, open_end: bool = False,
+                 total: int | None = None, page_rows: int = 0):
         super().__init__((endpoint, first, last))
         self.endpoint, self.first, self.last = endpoint, first, last
+        self.open_end, self.total, self.page_rows = open_end, total, page_rows
 
 
 class PagedReader(DataSourceReader):
@@ -111,95 +121,81 @@ class PagedReader(DataSourceReader):
         self.pages_per_partition = int(opt("pagesperpartition", 8))
         self.max_pages = int(opt("maxpages", MAX_PAGES))
         self.since = opt("since")
-        self.key = opt("replicationkey")
-        self.pages_out = opt("output", "records") == "pages"
-        self.strict = False  # True when a pushed '>' (not '>=') filter is held
-
-    def pushFilters(self, filters):
-        """Take ``cursor_value >= x`` (or ``> x``): the fetcher gets it as the
-        API's ``since`` and ``read`` re-checks each record, so the filter is
-        fully handled here.  Every other filter stays with Spark."""
-        for f in filters:
-            if (self.key and isinstance(f, (GreaterThanOrEqual, GreaterThan))
-                    and f.attribute == ("cursor_value",) and isinstance(f.value, str)):
-                if self.since is None or f.value >= self.since:
-                    self.strict = isinstance(f, GreaterThan) or (self.strict and f.value == self.since)
-                    self.since = f.value
-                continue
-            yield f
+
+    def _page(self, fetcher, endpoint: str, page: int) -> tuple[dict, str | None]:
+        """``(body, text)`` of a page; the text is as fetched where the fetcher
+        can give it."""
+        if page > self.max_pages:
+            raise PagingError(f"{endpoint}: more than {self.max_pages} pages; raise maxPages to read them")
+        raw_text = getattr(fetcher, "fetch_text", None)
+        if raw_text is None:
+            body = fetcher.fetch(endpoint, page, self.page_size, self.since)
+            return body, json.dumps(body, ensure_ascii=False)
+        text = raw_text(endpoint, page, self.page_size, self.since)
+        return (json.loads(text) if text else {}), text
+
+    def _rows(self, fetcher, endpoint: str, page: int) -> int:
+        return 0 if page > self.max_pages else len(self._page(fetcher, endpoint, page)[0].get("registros") or [])
+
+    def _ranges(self, fetcher, endpoint: str) -> list[PageRange]:
+        first, _ = self._page(fetcher, endpoint, 1)
+        rows, total = len(first.get("registros") or []), robust_total(first.get("total", ""))
+        if not rows:
+            if total:
+                raise PagingError(f"{endpoint}: page 1 is empty, but the total is {total}")
+            return []
+        n = math.ceil(total / rows) if total else self._last_page(fetcher, endpoint)
+        if n > self.max_pages:
+            raise PagingError(f"{endpoint}: {n} pages; at most {self.max_pages} are read (maxPages)")
+        step = self.pages_per_partition
+        out = [PageRange(endpoint, a, min(a + step - 1, n), False, total, rows) for a in range(1, n + 1, step)]
+        out[-1].open_end = True
+        return out
+
+    def _last_page(self, fetcher, endpoint: str) -> int:
+        """The last page with records, by doubling and halving: a few dozen
+        fetches for any length."""
+        low, high = 1, 2
+        while self._rows(fetcher, endpoint, high):
+            low, high = high, high * 2
+        while high - low > 1:
+            mid = (low + high) // 2
+            low, high = (mid, high) if self._rows(fetcher, endpoint, mid) else (low, mid)
+        return low
 
     def partitions(self):
         from concurrent.futures import ThreadPoolExecutor
 
         fetcher = _make_fetcher(self.options)
-        # Page 1 of every endpoint, fetched concurrently (I/O bound), gives the
-        # totals that size the page ranges.
+        # Concurrently: fetching is I/O bound.
         with ThreadPoolExecutor(max_workers=min(16, max(1, len(self.endpoints)))) as pool:
-            firsts = list(pool.map(lambda e: fetcher.fetch(e, 1, self.page_size, self.since), self.endpoints))
-        parts = []
-        for endpoint, first in zip(self.endpoints, firsts):
-            total = robust_total(first.get("total", ""))
-            if not (first.get("registros") or []):
-                continue
-            if total is None:
-                parts.append(PageRange(endpoint, 1, None))
-                continue
-            n_pages = min(max(1, math.ceil(total / self.page_size)), self.max_pages)
-            for a in range(1, n_pages + 1, self.pages_per_partition):
-                parts.append(PageRange(endpoint, a, min(a + self.pages_per_partition - 1, n_pages)))
-        return parts or [PageRange("", 1, 0)]
+            ranges = list(pool.map(lambda e: self._ranges(fetcher, e), self.endpoints))
+        return [r for rs in ranges for r in rs] or [PageRange("", 1, 0)]
 
-    def read(self, partition: PageRange) -> Iterator[tuple]:
-        if not partition.endpoint:
+    def read(self, part: PageRange) -> Iterator[tuple]:
+        if not part.endpoint:
             return
         fetcher = _make_fetcher(self.options)
-        last = partition.last if partition.last is not None else self.max_pages
-        if self.pages_out:
-            yield from self._read_pages(fetcher, partition, last)
-            return
-        import pyarrow as pa
-
-        for page in range(partition.first, last + 1):
-            body = fetcher.fetch(partition.endpoint, page, self.page_size, self.since)
-            records = body.get("registros") or []
-            if not records:
-                break
-            total = body.get("total")
-            total_text = None if total is None else str(total)
-            if self.key:
-                values = [None if not isinstance(r, dict) or r.get(self.key) is None else str(r[self.key])
-                          for r in records]
-                if self.since is not None:
-                    keep = [v is not None and (v > self.since or (v == self.since and not self.strict))
-                            for v in values]
-                    records = [r for r, k in zip(records, keep) if k]
-                    values = [v for v, k in zip(values, keep) if k]
-                if not records:
-                    continue
-            # One Arrow batch per page: no per-row conversion on the Spark side.
-            n = len(records)
-            arrays = [pa.array([partition.endpoint] * n, pa.string()), pa.array([page] * n, pa.int32()),
-                      pa.array([total_text] * n, pa.string()),
-                      pa.array([json.dumps(r, ensure_ascii=False) for r in records], pa.string())]
-            names = ["endpoint", "page", "total", "record"]
-            if self.key:
-                arrays.append(pa.array(values, pa.string()))
-                names.append("cursor_value")
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    def _read_pages(self, fetcher, partition: PageRange, last: int) -> Iterator[tuple]:
-        raw_text = getattr(fetcher, "fetch_text", None)
-        for page in range(partition.first, last + 1):
-            if raw_text is not None:
-                text = raw_text(partition.endpoint, page, self.page_size, self.since)
-                body = json.loads(text) if text else {}
-            else:
-                body = fetcher.fetch(partition.endpoint, page, self.page_size, self.since)
-                text = json.dumps(body, ensure_ascii=False)
-            if not (body.get("registros") or []):
+        page, rows, longest = part.first, 0, part.page_rows
+        while part.open_end or page <= part.last:
+            body, text = self._page(fetcher, part.endpoint, page)
+            n = len(body.get("registros") or [])
+            if not n:
                 break
+            rows, longest = rows + n, max(longest, n)
             total = body.get("total")
-            yield (partition.endpoint, page, None if total is None else str(total), text)
+            yield (part.endpoint, page, None if total is None else str(total), text)
+            page += 1
+        if page <= part.last:
+            # Empty within the plan: the end, if nothing follows; else a hole.
+            for later in (*range(page + 1, part.last + 1), part.last + 1):
+                if self._rows(fetcher, part.endpoint, later):
+                    raise PagingError(f"{part.endpoint}: page {page} is empty, but page {later} has records")
+        if part.open_end and part.total and (part.first - 1) * longest + rows < part.total:
+            # Too few, unless earlier pages were longer than those seen: count them.
+            rows += sum(self._rows(fetcher, part.endpoint, p) for p in range(1, part.first))
+            if rows < part.total:
+                raise PagingError(f"{part.endpoint}: {rows} records, short of the total {part.total}")
 
 
 class PagedSource(DataSource):
@@ -208,10 +204,7 @@ class PagedSource(DataSource):
         return "paged"
 
     def schema(self) -> str:
-        opts = {str(k).lower(): v for k, v in dict(self.options).items()}
-        if opts.get("output") == "pages":
-            return BODY_SCHEMA
-        return CURSOR_SCHEMA if opts.get("replicationkey") else PAGE_SCHEMA
+        return BODY_SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         return PagedReader(self.options)
@@ -221,57 +214,68 @@ def register(spark: SparkSession) -> None:
     from tablesync.session import ship_package
 
     ship_package(spark)  # the reader runs on Python workers
-    # The reader takes pushed cursor filters; Spark requires the session to
-    # allow Python filter pushdown for such a reader.
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(PagedSource)
 
 
 def paged_scan(spark: SparkSession, endpoints: list[str], path: str | None = None,
                page_size: int = DEFAULT_PAGE_SIZE, since: str | None = None,
                pages_per_partition: int = 8, fetcher: str | None = None,
-               replication_key: str | None = None, output: str = "records") -> DataFrame:
+               replication_key: str | None = None, output: str = "records",
+               numeric: bool = False, max_pages: int = MAX_PAGES) -> DataFrame:
     """Records of the given endpoints as (endpoint, page, total, record JSON)
     [+ cursor_value when ``replication_key`` is given]; with
-    ``output="pages"`` one row per page (endpoint, page, total, body) for
-    ``explode_pages``."""
+    ``output="pages"`` one row per page (endpoint, page, total, body).
+
+    ``since`` goes to the fetcher, so a server can filter; with a
+    ``replication_key`` the rows are also filtered here (``key >= since``, as
+    numbers when ``numeric``), on the JVM."""
     register(spark)
     reader = (spark.read.format("paged").option("endpoints", ",".join(endpoints))
-              .option("pageSize", str(page_size)).option("pagesPerPartition", str(pages_per_partition)))
+              .option("pageSize", str(page_size)).option("pagesPerPartition", str(pages_per_partition))
+              .option("maxPages", str(max_pages)))
     if path:
-        import os
+        from tablesync.session import hadoop_path
 
-        # Resolved on the driver: workers may run in another folder.
-        reader = reader.option("path", path if "://" in path else os.path.abspath(path))
-    if since:
+        # Resolved on the driver, as Spark resolves paths.
+        reader = reader.option("path", hadoop_path(spark, path)[1].toString())
+    if since is not None:
         reader = reader.option("since", since)
     if fetcher:
         reader = reader.option("fetcher", fetcher)
+    pages = reader.load()
+    if output == "pages":
+        return pages
+    parsed = F.from_json(F.col("body"), "registros array<string>")
+    rows = pages.select("endpoint", "page", "total", F.explode(parsed["registros"]).alias("record"))
     if replication_key:
-        reader = reader.option("replicationKey", replication_key)
-    if output != "records":
-        reader = reader.option("output", output)
-    return reader.load()
+        quoted = replication_key.replace("'", "\\'")
+        rows = rows.withColumn("cursor_value", F.get_json_object("record", f"$['{quoted}']"))
+        if since is not None:
+            rows = delta_filter(rows, "cursor_value", since, numeric)
+    return rows
 
 
 def endpoint_source(spark: SparkSession, endpoints: list[str], record_schema: str,
                     replication_key: str | None = None, path: str | None = None,
                     page_size: int = DEFAULT_PAGE_SIZE, fetcher: str | None = None,
-                    pages_per_partition: int = 8):
+                    pages_per_partition: int = 8, numeric_cursor: bool | None = None):
     """A ``source(since)`` for ``plans.job.sync_table``: the records of the
-    endpoints, typed by ``record_schema``.  Without ``since`` (full run) page
-    bodies pass through untouched and are parsed on the JVM; with ``since``
-    the filter ``replication_key >= since`` is pushed into the source (the
-    fetcher gets it as the API's filter) and re-checked per record."""
+    endpoints, typed by ``record_schema``.  With ``since`` the fetcher gets it
+    and records before it are dropped; a key that ``record_schema`` types as a
+    number (or ``numeric_cursor``) compares as one, and a ``since`` that is no
+    number is then no bound."""
+    types = {f.name: f.dataType for f in T.DataType.fromDDL(record_schema).fields}
+    numeric = numeric_cursor
+    if numeric is None:
+        numeric = isinstance(types.get(replication_key), T.NumericType)
 
     def source(since: str | None) -> DataFrame:
-        common = dict(path=path, page_size=page_size, fetcher=fetcher,
-                      pages_per_partition=pages_per_partition)
-        if since is None or not replication_key:
-            pages = paged_scan(spark, endpoints, output="pages", **common)
-            return parse_records(explode_pages(pages), record_schema)
-        raw = paged_scan(spark, endpoints, replication_key=replication_key, **common)
-        return parse_records(raw.where(F.col("cursor_value") >= since), record_schema)
+        if not replication_key or (numeric and since is not None and not is_number(since)):
+            since = None
+        raw = paged_scan(spark, endpoints, path=path, page_size=page_size, fetcher=fetcher, since=since,
+                         pages_per_partition=pages_per_partition, replication_key=replication_key,
+                         numeric=numeric)
+        return parse_records(raw, record_schema)
 
     return source
 
@@ -288,43 +292,3 @@ def explode_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     return (pages.select("endpoint", "page", parsed.alias("_p"))
             .select("endpoint", "page", parse_total(F.col("_p.total")).alias("total"),
                     F.explode(F.col("_p.registros")).alias("record")))
-
-
-def page_bodies(records: DataFrame, endpoint: Column, order: str, page_size: int,
-                terminators: bool = True) -> DataFrame:
-    """Cut records into API pages: per endpoint, ``order`` descending,
-    ``page_size`` per page, body ``{"registros": [...], "total": "<n>"}``.
-
-    Page numbers come from ``ordinal.row_ordinal`` (no one-task window per
-    endpoint); a page's list is bounded by ``page_size``.  With
-    ``terminators`` each endpoint also gets trailing pages whose ``registros``
-    is empty, NULL or missing.
-    """
-    from tablesync.operators.ordinal import row_ordinal
-
-    rec_cols = records.columns
-    numbered = row_ordinal(records.withColumn("endpoint", endpoint), ["endpoint"], order,
-                           "_rn", descending=True, total_col="_total")
-    paged = numbered.withColumn("page", (F.floor((F.col("_rn") - 1) / page_size) + 1).cast("int"))
-    per_page = (paged.groupBy("endpoint", "page")
-                .agg(F.first("_total").alias("_total"),
-                     F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in rec_cols])), asc=False)
-                     .alias("registros")))
-    bodies = per_page.select(
-        "endpoint", "page",
-        F.to_json(F.struct("registros", F.col("_total").cast("string").alias("total"))).alias("body"))
-    if not terminators:
-        return bodies
-    # Trailing pages come from the (small) per-page table, not the records.
-    last = per_page.groupBy("endpoint").agg(F.max("page").alias("_last"), F.first("_total").alias("_total"))
-    total_text = F.col("_total").cast("string")
-    tail = last.select(
-        "endpoint", F.explode(F.array(
-            F.struct((F.col("_last") + 1).alias("page"),
-                     F.concat(F.lit('{"registros":[],"total":"'), total_text, F.lit('"}')).alias("body")),
-            F.struct((F.col("_last") + 2).alias("page"),
-                     F.concat(F.lit('{"registros":null,"total":"'), total_text, F.lit('"}')).alias("body")),
-            F.struct((F.col("_last") + 3).alias("page"),
-                     F.concat(F.lit('{"total":"'), total_text, F.lit('"}')).alias("body")),
-        )).alias("_t")).select("endpoint", "_t.page", "_t.body")
-    return bodies.unionByName(tail)

@@ -1,12 +1,12 @@
 """Incremental sync as Structured Streaming micro-batches.
 
 ``readStream`` over landing files -> ``foreachBatch``: clean the batch, stage
-it as parquet (the batch's restart point), publish it as a keyed delta layer
-of the table (O(batch) work; readers fold layers with the keyed upsert and
-the store compacts them), then record the batch id.  A
-batch id already recorded is skipped, and re-applying a batch is harmless
-anyway because the upsert is idempotent -- so replays after a crash between
-publish and the stream's own commit change nothing.
+it as parquet (the batch's restart point) and publish it as a keyed delta layer
+of the table (O(batch) work; readers fold layers with the keyed upsert).  The
+one pointer row that publishes a batch names its query and batch id, so a
+replay after a crash finds the batch published and changes nothing, and
+another query -- or the same one with a new checkpoint folder -- has ids of
+its own.
 """
 
 from __future__ import annotations
@@ -17,56 +17,40 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tablesync.functions.clean import sanitize
+from tablesync.functions.clean import sanitize, strip_nul_all
 from tablesync.operators.upsert import key_bytes
 from tablesync.plans.publish import TableStore
 
-APPLIED_SCHEMA = "table string, batch_id long"
+# Set by Spark on the thread that runs a micro-batch.
+QUERY_ID = "sql.streaming.queryId"
 
 
-def _applied_path(store: TableStore) -> str:
-    return f"{store.root}/_applied_batches"
-
-
-def last_applied_batch(spark: SparkSession, store: TableStore, table: str) -> int:
-    """Highest batch id already applied to ``table`` (-1 when none).
-
-    Micro-batch ids grow monotonically and only the last, uncommitted batch is
-    ever replayed, so "applied" is ``batch_id <= last``: a one-row aggregate,
-    however long the stream has run.
-    """
-    from tablesync.session import path_exists
-
-    if not path_exists(_applied_path(store)):
-        return -1
-    applied = spark.read.schema(APPLIED_SCHEMA).parquet(_applied_path(store))
-    got = applied.where(F.col("table") == table).agg(F.max("batch_id")).first()[0]
-    return -1 if got is None else int(got)
-
-
-def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore):
-    """The ``foreachBatch`` function for one target table."""
-    last: int | None = None
+def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore, query_id: str | None = None):
+    """The ``foreachBatch`` function for one target table.  ``query_id``
+    names the stream where none runs (tests)."""
+    first = True
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        nonlocal last
-        if last is None:
-            last = last_applied_batch(spark, store, table)
-        if batch_id <= last:
-            return  # replay of a batch already published
+        nonlocal first
+        query = query_id or batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+        if not query:
+            raise RuntimeError("no streaming query runs this batch: pass query_id")
+        run_id = f"{query}:{batch_id}"
+        # Only the first batch after a start can be a replay.
+        if first and store.published(table, run_id):
+            first = False
+            return
+        first = False
         # A fresh folder per attempt: a replayed batch never rewrites a folder
         # that an earlier attempt may already have published as a layer.
         stage = f"{store.root}/_staging/{table}/batch={batch_id}-{uuid.uuid4().hex[:8]}"
         obs = Observation(f"batch_{table}_{batch_id}")
-        sanitize(batch).observe(obs, F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("kb")) \
+        strip_nul_all(sanitize(batch)).observe(obs, F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("kb")) \
             .write.mode("errorifexists").parquet(stage)
         rows = int(obs.get["n"])
         if rows:
             # Zero-copy, O(batch): the staged batch folder becomes a delta layer.
-            store.adopt_delta(table, stage, pk, run_id=f"b{batch_id}", rows=rows, key_bytes=obs.get.get("kb"))
-        spark.createDataFrame([(table, batch_id)], APPLIED_SCHEMA) \
-            .write.mode("append").partitionBy("table").parquet(_applied_path(store))
-        last = batch_id
+            store.adopt_delta(table, stage, pk, run_id=run_id, rows=rows, key_bytes=obs.get.get("kb"))
 
     return apply
 

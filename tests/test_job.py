@@ -18,8 +18,8 @@ def _source(spark, rows=ROWS):
     return lambda since: spark.createDataFrame(rows, SCHEMA)
 
 
-def _table(state, name):
-    return sorted(tuple(r) for r in state.tables.current(name).collect())
+def _table(state, name, client="default"):
+    return sorted(tuple(r) for r in state.tables_of(client).current(name).collect())
 
 
 def test_full_then_incremental(spark, workdir):
@@ -30,16 +30,16 @@ def test_full_then_incremental(spark, workdir):
     assert first.status == "success" and first.records_extracted == 4 and first.records_loaded == 4
     # Blank and impossible dates are NULL in the published table, and the
     # all-timestamp text column is narrowed to a timestamp.
-    assert _table(state, "clientes")[1] == (2, None, dt.datetime(2024, 1, 2, 10))
-    assert dict(state.tables.current("clientes").dtypes)["ultima_atualizacao"] == "timestamp_ntz"
+    assert _table(state, "clientes", "acme")[1] == (2, None, dt.datetime(2024, 1, 2, 10))
+    assert dict(state.tables_of("acme").current("clientes").dtypes)["ultima_atualizacao"] == "timestamp_ntz"
     assert state.saved_cursor("acme", "clientes") == "2024-01-03 10:00:00"
     changed = ROWS + [(2, "bia", "2024-01-04 10:00:00")]
     second = sync_table(spark, spec, _source(spark, changed), state, client="acme")
     # Only rows at or after the cursor are extracted (inclusive boundary).
     assert second.records_extracted == 2
-    assert _table(state, "clientes")[1] == (2, "bia", dt.datetime(2024, 1, 4, 10))
+    assert _table(state, "clientes", "acme")[1] == (2, "bia", dt.datetime(2024, 1, 4, 10))
     assert state.saved_cursor("acme", "clientes") == "2024-01-04 10:00:00"
-    assert state.tables.current("clientes").count() == 4
+    assert state.tables_of("acme").current("clientes").count() == 4
     runs = state.runs().orderBy("started_at").collect()
     assert [r.status for r in runs] == ["SUCCESS", "SUCCESS"] and runs[1].records_out == 2
     done = state.events().where("event_type = 'stage_done'").groupBy("stage").count().collect()
@@ -62,7 +62,7 @@ def test_contract_rejects_go_to_dead_letters(spark, workdir):
     assert res.status == "success" and res.records_loaded == 3
     dead = spark.read.parquet(state.path("dead_letters")).collect()
     assert len(dead) == 1 and '"type":"string_type"' in dead[0].errors
-    assert state.tables.current("t").columns == ["id", "nome"]
+    assert state.tables_of("acme").current("t").columns == ["id", "nome"]
 
 
 def test_failure_is_redacted_and_keeps_old_table(spark, workdir):
@@ -132,9 +132,13 @@ def test_layers_fold_like_sequential_upserts_and_compact(spark, workdir):
         key = lambda r: [(v is None, str(v)) for v in r]
         got = sorted((tuple(r) for r in store.current("l").collect()), key=key)
         assert got == sorted((tuple(r) for r in expected.collect()), key=key)
+        if n == 4:
+            # Publishing never rewrites the table; compaction is a job of its own.
+            assert store.wants_compaction("l") and len(store.state("l")[1]) == 4
+            store.compact("l")
+            assert not store.wants_compaction("l")
     base_row, layers = store.state("l", refresh=True)
-    # 5 deltas with max_layers=3: one compaction happened, layers stay bounded.
-    assert base_row["run_id"].startswith("compact-") and len(layers) <= 3
+    assert base_row["run_id"].startswith("compact-") and len(layers) == 1
     plan = store.current("l")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
@@ -146,7 +150,7 @@ def test_all_rows_rejected_fails_verification_before_swap(spark, workdir):
     before = _table(state, "t")
     bad = [(9, None, "2024-02-01 00:00:00")]
     res = sync_table(spark, spec, _source(spark, bad), state)
-    assert res.status == "failed" and "0 loaded" in res.error
+    assert res.status == "failed" and "nothing would be loaded" in res.error
     assert _table(state, "t") == before
 
 
@@ -190,7 +194,7 @@ def test_incremental_without_cursor_starts_yesterday_in_source_zone(spark, workd
     # 02:00 UTC on 4 Jan is 23:00 on 3 Jan in Sao Paulo: look back to 2 Jan 00:00.
     res = sync_table(spark, spec, _source(spark), state, client="c", now="2024-01-04 02:00:00")
     assert res.counts["since"] == "2024-01-02 00:00:00"
-    assert res.records_extracted == 2 and [r[0] for r in _table(state, "t")] == [2, 4]
+    assert res.records_extracted == 2 and [r[0] for r in _table(state, "t", "c")] == [2, 4]
 
 
 def test_one_failing_table_never_stops_the_others(spark, workdir):
@@ -254,27 +258,115 @@ def test_resumed_run_still_saves_the_cursor(spark, workdir):
     assert state.saved_cursor("c", "t") == "2024-01-03 10:00:00"
 
 
-def test_layer_key_bytes_budget_triggers_compaction(spark, workdir):
+def test_layer_key_bytes_budget_asks_for_compaction(spark, workdir):
     store = TableStore(spark, workdir, max_layers=100, max_layer_fraction=100.0, max_layer_key_bytes=1000)
-    store.publish("b", spark.range(100).withColumnRenamed("id", "k"), run_id="0")
-    store.publish_delta("b", spark.range(10).withColumnRenamed("id", "k"), "k", run_id="1")
-    assert len(store.state("b", refresh=True)[1]) == 1
-    store.publish_delta("b", spark.range(200).withColumnRenamed("id", "k"), "k", run_id="2")
+    keys = lambda n: spark.range(n).withColumnRenamed("id", "k")
+    store.publish("b", keys(100), run_id="0")
+    store.publish_delta("b", keys(10), "k", run_id="1")
+    assert not store.wants_compaction("b")
+    store.publish_delta("b", keys(200), "k", run_id="2")
+    assert store.wants_compaction("b") and len(store.state("b", refresh=True)[1]) == 2
+    store.compact("b")
     base, layers = store.state("b", refresh=True)
-    assert base["run_id"].startswith("compact-") and layers == []
-    assert store.current("b").count() == 200
-
-
-def test_superseded_folders_after_compaction(spark, workdir):
-    store = TableStore(spark, workdir, max_layers=1, max_layer_fraction=100.0)
-    store.publish("s", spark.range(10).withColumnRenamed("id", "k"), run_id="0")
-    store.publish_delta("s", spark.range(2).withColumnRenamed("id", "k"), "k", run_id="1")
-    store.publish_delta("s", spark.range(3).withColumnRenamed("id", "k"), "k", run_id="2")
-    base, layers = store.state("s", refresh=True)
-    assert base["run_id"].startswith("compact-") and layers == []
-    old = {r.run_id for r in store.superseded("s").collect()}
-    assert old == {"0", "1", "2"}
-    assert store.current("s").count() == 10
+    assert base["run_id"].startswith("compact-") and layers == [] and store.current("b").count() == 200
+    assert {r.run_id for r in store.superseded("b").collect()} == {"0", "1", "2"}
+
+
+def test_delta_without_its_key_is_refused_and_changes_nothing(spark, workdir):
+    state = StateStore(spark, workdir)
+    sync_table(spark, SyncSpec("t", pk="id", replication_key="ultima_atualizacao"), _source(spark), state)
+    before = _table(state, "t")
+    res = sync_table(spark, SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="incremental",
+                                     fields=("nome", "ultima_atualizacao")),
+                     _source(spark, [(9, "z", "2024-05-01 00:00:00")]), state)
+    assert res.status == "failed" and "key columns" in res.error
+    fresh = StateStore(spark, workdir)  # as in a later session
+    assert _table(fresh, "t") == before
+
+
+def test_clients_keep_tables_of_their_own(spark, workdir):
+    state = StateStore(spark, workdir)
+    for client, name in (("c0", "ana"), ("c1", "bia")):
+        sync_table(spark, SyncSpec("t", pk="id"), _source(spark, [(1, name, "2024-01-01 00:00:00")]), state, client=client)
+    assert [_table(state, "t", c)[0][1] for c in ("c0", "c1")] == ["ana", "bia"]
+    assert spark.table("c0__t").first().nome == "ana" and spark.table("c1__t").first().nome == "bia"
+
+
+def test_number_key_without_cursor_starts_from_the_first_row(spark, workdir):
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("n", pk="id", replication_key="id", mode="incremental")
+    first = sync_table(spark, spec, _source(spark), state)
+    assert first.status == "success" and first.records_extracted == 4 and state.saved_cursor("default", "n") == "4"
+    more = ROWS + [(10, "x", "2024-01-09 00:00:00")]
+    assert sync_table(spark, spec, _source(spark, more), state).records_extracted == 2
+    assert state.saved_cursor("default", "n") == "10"
+
+
+def test_dedupe_keeps_rows_without_a_key_or_a_time(spark, workdir):
+    state = StateStore(spark, workdir)
+    rows = [(None, "n1", "2024-01-01 00:00:00"), (None, "n2", "2024-01-02 00:00:00"),
+            (1, "old", None), (1, "new", "2024-01-03 00:00:00"), (2, "only", "0000-00-00 00:00:00")]
+    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", dedupe=True)
+    res = sync_table(spark, spec, _source(spark, rows), state)
+    assert res.status == "success" and res.records_loaded == 4
+    got = {(r.id, r.nome) for r in state.tables.current("t").collect()}
+    assert got == {(None, "n1"), (None, "n2"), (1, "new"), (2, "only")}
+
+
+def test_no_valid_row_keeps_the_staged_columns(spark, workdir):
+    from tablesync.sources.files import staged_scan
+
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("t", pk="id", contract=[Field("id", "long"), Field("nome", "string")])
+    res = sync_table(spark, spec, _source(spark, [(1, None, None)]), state)
+    staged = staged_scan(spark, f"{workdir}/staging/default/t/run={res.run_id}/checked/_part=valid")
+    assert res.status == "failed" and staged.count() == 0
+    assert {"id": "bigint", "nome": "string"}.items() <= dict(staged.dtypes).items()
+
+
+def test_resumed_run_files_each_dead_letter_once(spark, workdir, monkeypatch):
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("t", pk="id", contract=[Field("id", "long"), Field("nome", "string")])
+    original = StateStore.checkpoint
+
+    def lost(self, client, pipeline, run_id, stage, **kw):
+        if stage == "VALIDATE":
+            raise RuntimeError("driver lost before the checkpoint")
+        return original(self, client, pipeline, run_id, stage, **kw)
+
+    monkeypatch.setattr(StateStore, "checkpoint", lost)
+    assert sync_table(spark, spec, _source(spark), state).status == "failed"
+    monkeypatch.setattr(StateStore, "checkpoint", original)
+    assert sync_table(spark, spec, _source(spark), state, from_checkpoint=True).status == "success"
+    assert spark.read.parquet(state.path("dead_letters")).count() == 1
+
+
+def test_job_strips_nul(spark, workdir):
+    state = StateStore(spark, workdir)
+    sync_table(spark, SyncSpec("t", pk="id"), _source(spark, [(1, "a\x00b", None)]), state)
+    assert state.tables.current("t").first().nome == "ab"
+
+
+def test_paths_are_asked_of_the_file_system_spark_uses(spark, workdir):
+    from py4j.protocol import Py4JJavaError
+
+    from tablesync.session import path_exists
+
+    assert path_exists(workdir, spark) and path_exists(f"file://{workdir}", spark)
+    assert not path_exists(f"{workdir}/none", spark)
+    with pytest.raises(Py4JJavaError, match="nosuchfs"):
+        path_exists("nosuchfs://bucket/x", spark)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from tablesync import session
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(master="spark://host:7077", getConf=lambda: conf, getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session._checkpoint_root(SimpleNamespace(sparkContext=sc, conf=conf))
 
 
 def test_restore_views_from_the_pointer_table(spark, workdir):

@@ -1,7 +1,5 @@
 """Ledger queries, blocked running totals and the paged source."""
 
-import contextlib
-import io
 import json
 import os
 import random
@@ -103,13 +101,48 @@ def test_paged_source_splits_pages_into_partitions(spark, workdir):
     assert sorted(r.id for r in rows) == list(range(23))
 
 
-def test_paged_source_unknown_total_reads_sequentially(spark, workdir):
-    bodies = [{"registros": [{"id": 1}], "total": ""}, {"registros": [{"id": 2}], "total": "abc"},
-              {"registros": None}, {"registros": [{"id": 3}]}]
-    _write_pages(workdir, "x", bodies)
-    df = paged.paged_scan(spark, ["x"], path=workdir, page_size=1)
-    assert df.rdd.getNumPartitions() == 1
-    assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == [1, 2]
+def test_paged_source_unknown_total_is_probed(spark, workdir):
+    bodies = [{"registros": [{"id": i}], "total": "" if i % 2 else "abc"} for i in range(11)]
+    _write_pages(workdir, "x", bodies + [{"registros": None}, {"registros": [{"id": 99}]}])
+    df = paged.paged_scan(spark, ["x"], path=workdir, page_size=1, pages_per_partition=4)
+    assert df.rdd.getNumPartitions() == 3
+    assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == list(range(11))
+
+
+@pytest.mark.parametrize("per_partition", [1, 2, 7])
+def test_paged_source_reads_all_of_pages_shorter_than_asked(spark, workdir, per_partition):
+    recs = [{"id": i} for i in range(9)]
+    _write_pages(workdir, "s", [{"registros": recs[i:i + 3], "total": "9"} for i in range(0, 9, 3)])
+    # Page 1 longer than the others: the last range stays open.
+    _write_pages(workdir, "u", [{"registros": recs[a:b], "total": "9"} for a, b in ((0, 5), (5, 7), (7, 8), (8, 9))])
+    # Page 1 shorter: planned pages beyond the end are empty, and that is no fault.
+    _write_pages(workdir, "v", [{"registros": recs[a:b], "total": "9"} for a, b in ((0, 1), (1, 5), (5, 9))])
+    for endpoint in "suv":
+        df = paged.paged_scan(spark, [endpoint], path=workdir, page_size=5, pages_per_partition=per_partition)
+        assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == list(range(9)), endpoint
+
+
+@pytest.mark.parametrize("per_partition", [1, 8])
+def test_paged_source_fails_rather_than_lose_rows(spark, workdir, per_partition):
+    page = lambda *ids: {"registros": [{"id": i} for i in ids], "total": "8"}
+    _write_pages(workdir, "hole", [page(0, 1), page(2, 3), page(), page(6, 7)])
+    _write_pages(workdir, "short", [page(0, 1), page(2, 3)])
+    _write_pages(workdir, "none", [page()])
+    _write_pages(workdir, "many", [page(0, 1), page(2, 3), page(4, 5), page(6, 7)])
+    cases = [("hole", 100, "page 3 is empty"), ("short", 100, "short of the total"),
+             ("none", 100, "page 1 is empty"), ("many", 3, "4 pages")]
+    for endpoint, cap, message in cases:
+        with pytest.raises(Exception, match=message):
+            paged.paged_scan(spark, [endpoint], path=workdir, page_size=2, max_pages=cap,
+                             pages_per_partition=per_partition).count()
+
+
+def test_endpoint_source_compares_number_keys_as_numbers(spark, workdir):
+    _write_pages(workdir, "k", [{"registros": [{"id": i} for i in range(7, 13)], "total": "6"}])
+    source = paged.endpoint_source(spark, ["k"], "id long", replication_key="id", path=workdir)
+    assert sorted(r.id for r in source("9").collect()) == [9, 10, 11, 12]
+    assert source("2024-01-01 00:00:00").count() == 6  # a look-back bounds no number
+    assert source(None).count() == 6
 
 
 def test_explode_pages_missing_registros(spark):
@@ -119,42 +152,30 @@ def test_explode_pages_missing_registros(spark):
     assert paged.explode_pages(pages).count() == 2
 
 
-def test_paged_source_pushes_cursor_filter(spark, workdir):
-    recs = [{"id": i, "ultima_atualizacao": f"2024-01-{i + 1:02d} 00:00:00"} for i in range(12)]
-    bodies = [{"registros": recs[i:i + 4], "total": "12"} for i in range(0, 12, 4)]
-    _write_pages(workdir, "c", bodies)
-    df = paged.paged_scan(spark, ["c"], path=workdir, page_size=4, replication_key="ultima_atualizacao")
-    since = "2024-01-09 00:00:00"
-    filtered = df.where(F.col("cursor_value") >= since)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        filtered.explain("formatted")
-    assert "PushedFilters: [GreaterThanOrEqual(cursor_value" in buf.getvalue()
-    assert sorted(r.id for r in paged.parse_records(filtered, "id long").collect()) == [8, 9, 10, 11]
-    strict = df.where(F.col("cursor_value") > since)
-    assert sorted(r.id for r in paged.parse_records(strict, "id long").collect()) == [9, 10, 11]
-
-
-def test_paged_source_page_cap_and_empty_endpoints(spark, workdir):
-    recs = [{"id": i} for i in range(10)]
-    _write_pages(workdir, "big", [{"registros": recs[i:i + 2], "total": "10"} for i in range(0, 10, 2)])
+def test_incremental_scan_filters_on_the_jvm(spark, workdir):
+    recs = [{"id": i, "at": f"2024-01-{i + 1:02d} 00:00:00", "n": 1.50} for i in range(12)]
+    _write_pages(workdir, "c", [{"registros": recs[i:i + 4], "total": "12"} for i in range(0, 12, 4)])
+    df = paged.paged_scan(spark, ["c"], path=workdir, page_size=4, replication_key="at", since="2024-01-09 00:00:00")
+    assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == [8, 9, 10, 11]
+    # Full and incremental runs see the same record text.
+    whole = {r.record for r in paged.paged_scan(spark, ["c"], path=workdir, page_size=4).collect()}
+    assert {r.record for r in df.collect()} <= whole
+
+
+def test_paged_source_empty_endpoints(spark, workdir):
     _write_pages(workdir, "empty", [{"registros": [], "total": "0"}])
-    _write_pages(workdir, "nulls", [{"registros": None, "total": "5"}])
-    paged.register(spark)
-    capped = (spark.read.format("paged").option("endpoints", "big").option("path", workdir)
-              .option("pageSize", "2").option("maxPages", "3").load())
-    assert sorted(r.id for r in paged.parse_records(capped, "id long").collect()) == list(range(6))
+    _write_pages(workdir, "nulls", [{"registros": None, "total": ""}])
     none = paged.paged_scan(spark, ["empty", "nulls", "missing"], path=workdir, page_size=2)
     assert none.count() == 0
 
 
-def test_paged_source_stops_at_total_even_if_more_pages_exist(spark, workdir):
+def test_paged_source_reads_pages_beyond_the_total(spark, workdir):
     pages = [{"registros": [{"id": 1}, {"id": 2}], "total": "4.0"},
              {"registros": [{"id": 3}, {"id": 4}], "total": "4"},
              {"registros": [{"id": 5}], "total": "4"}]
     _write_pages(workdir, "t", pages)
     df = paged.paged_scan(spark, ["t"], path=workdir, page_size=2)
-    assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == [1, 2, 3, 4]
+    assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == [1, 2, 3, 4, 5]
 
 
 def test_paged_source_page_output_matches_records(spark, workdir):
@@ -166,13 +187,6 @@ def test_paged_source_page_output_matches_records(spark, workdir):
     assert sorted(r.id for r in rows) == list(range(9))
 
 
-def test_paged_source_works_when_session_disables_pushdown(spark, workdir):
-    _write_pages(workdir, "q", [{"registros": [{"id": 1, "u": "2024-01-01"}], "total": "1"}])
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
-    df = paged.paged_scan(spark, ["q"], path=workdir, page_size=1, replication_key="u")
-    assert df.where(F.col("cursor_value") >= "2024-01-01").count() == 1
-
-
 def test_running_total_with_sparse_keys_picks_wide_blocks(spark):
     from tablesync.operators.ordinal import block_bits_for
 

@@ -55,40 +55,44 @@ def test_query_matches_oracle(spark, duck, key):
     assert digest(df.columns, rows) == digest(rel.columns, d_rows)
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+def test_every_sync_query_has_an_oracle():
+    from tablesync import oracle, registry
+
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
 def test_replayed_batch_is_skipped(spark, workdir):
     from tablesync.streaming.upsert_stream import make_batch_upsert
 
     store = TableStore(spark, f"{workdir}/t")
-    apply = make_batch_upsert(spark, "r", "id", store)
-    b0 = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
-    b1 = spark.createDataFrame([(2, "B")], "id long, v string")
+    apply = make_batch_upsert(spark, "r", "id", store, query_id="q")
+    b0 = spark.createDataFrame([(1, "a"), (None, "n")], "id long, v string")
+    b1 = spark.createDataFrame([(2, "B"), (None, "m")], "id long, v string")
     apply(b0, 0)
     apply(b1, 1)
-    apply(spark.createDataFrame([(2, "X")], "id long, v string"), 1)  # replay under the same id
-    # A fresh writer (after a restart) also skips what was applied.
-    make_batch_upsert(spark, "r", "id", TableStore(spark, f"{workdir}/t"))(b0, 0)
-    assert sorted(tuple(r) for r in store.current("r").collect()) == [(1, "a"), (2, "B")]
-
-
-def test_replay_after_publish_before_record_is_harmless(spark, workdir, monkeypatch):
-    """Driver lost after publishing batch 1 but before recording it: the stream
-    replays batch 1; the result is unchanged and no published folder is rewritten."""
-    from tablesync.streaming import upsert_stream as us
-
-    store = TableStore(spark, f"{workdir}/t", max_layers=100, max_layer_fraction=100.0,
-                       max_layer_key_bytes=2**40)
-    us.make_batch_upsert(spark, "p", "id", store)(
-        spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string"), 0)
-    batch1 = spark.createDataFrame([(2, "B"), (3, "C")], "id long, v string")
-    us.make_batch_upsert(spark, "p", "id", store)(batch1, 1)
-    published = [x["path"] for x in store.state("p", refresh=True)[1]]
-    # The record of batch 1 is "lost": a restarted writer sees only batch 0.
-    monkeypatch.setattr(us, "last_applied_batch", lambda *a: 0)
-    us.make_batch_upsert(spark, "p", "id", store)(batch1, 1)
-    layers = [x["path"] for x in store.state("p", refresh=True)[1]]
-    assert len(published) == 1 and layers[:1] == published and len(layers) == 2
-    assert sorted(tuple(r) for r in store.current("p").collect()) == [(1, "a"), (2, "B"), (3, "C")]
+    # A writer started again replays its last batch: keys without a value are
+    # not added twice, and no published folder is written again.
+    paths = [x["path"] for x in store.state("r", refresh=True)[1]]
+    make_batch_upsert(spark, "r", "id", TableStore(spark, f"{workdir}/t"), query_id="q")(b1, 1)
+    assert [x["path"] for x in store.state("r", refresh=True)[1]] == paths
+    assert sorted(tuple(r) for r in store.current("r").collect() if r.id) == [(1, "a"), (2, "B")]
+    assert store.current("r").count() == 4
+
+
+def test_a_second_checkpoint_folder_is_a_stream_of_its_own(spark, workdir):
+    for n, rows in (("1", [(1, "a"), (2, "b")]), ("2", [(2, "c"), (3, "d")])):
+        spark.createDataFrame(rows, "id long, v string").coalesce(1).write.parquet(f"{workdir}/in{n}")
+    store = TableStore(spark, f"{workdir}/tables")
+    for n in ("1", "2"):
+        run_stream_upsert(spark, f"{workdir}/in{n}", "id long, v string", "two", "id", store,
+                          checkpoint=f"{workdir}/cp{n}")
+    assert sorted(tuple(r) for r in store.current("two").collect()) == [(1, "a"), (2, "c"), (3, "d")]
+
+
+def test_stream_strips_nul(spark, workdir):
+    from tablesync.streaming.upsert_stream import make_batch_upsert
+
+    store = TableStore(spark, f"{workdir}/t")
+    make_batch_upsert(spark, "z", "id", store, query_id="q")(
+        spark.createDataFrame([(1, "a\x00b")], "id long, v string"), 0)
+    assert store.current("z").first().v == "ab"

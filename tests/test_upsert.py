@@ -1,31 +1,28 @@
 """Delta upsert semantics, schema evolution and plan shape."""
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablesync.functions.types import added_column_type, narrow_types
-from tablesync.operators.upsert import column_plan, delta_upsert, full_refresh
-
-
-def test_column_plan_keeps_staging_order():
-    assert column_plan(["id", "nome"], ["id", "nome", "email", "cpf"]) == ["email", "cpf"]
-    assert column_plan(["id", "nome"], ["id", "nome"]) == []
-    assert column_plan(["id", "nome", "legado"], ["id", "nome"]) == []
-
-
-def test_added_column_types():
-    assert added_column_type(T.LongType()) == T.LongType()
-    assert added_column_type(T.IntegerType()) == T.LongType()
-    assert added_column_type(T.ShortType()) == T.LongType()
-    assert added_column_type(T.StringType()) == T.StringType()
-    assert added_column_type(T.BooleanType()) == T.BooleanType()
-    assert added_column_type(T.DoubleType()) == T.DoubleType()
-    assert added_column_type(T.FloatType()) == T.DoubleType()
-    assert added_column_type(T.TimestampType()) == T.TimestampType()
-    assert added_column_type(T.DateType()) == T.DateType()
-    assert added_column_type(T.DecimalType(18, 2)) == T.DoubleType()
-    assert added_column_type(T.StructType([T.StructField("a", T.IntegerType())])) == T.StringType()
-    assert added_column_type(T.BinaryType()) == T.StringType()
+from tablesync.operators.upsert import delta_upsert, full_refresh
+
+
+def test_new_columns_follow_the_target_in_staging_order(spark):
+    target = spark.createDataFrame([("x1", 3)], "sku string, stock int")
+    staged = spark.createDataFrame([(True, "x2", 1.5)], "fragile boolean, sku string, weight double")
+    out = delta_upsert(target, staged, "sku")
+    assert out.columns == ["sku", "stock", "fragile", "weight"]
+    assert sorted(tuple(r) for r in out.collect()) == [("x1", 3, None, None), ("x2", None, True, 1.5)]
+
+
+@pytest.mark.parametrize("ddl,added", [
+    ("tinyint", "bigint"), ("int", "bigint"), ("bigint", "bigint"), ("float", "double"), ("decimal(9,4)", "double"),
+    ("boolean", "boolean"), ("date", "date"), ("timestamp", "timestamp"), ("array<int>", "string"),
+    ("map<string,int>", "string"), ("binary", "string"), ("string", "string")])
+def test_type_of_an_added_column(ddl, added):
+    column = T.DataType.fromDDL(f"c {ddl}").fields[0].dataType
+    assert added_column_type(column).simpleString() == added
 
 
 def _rows(df, order=("id",)):
