@@ -38,6 +38,23 @@ def row_key(*cols: str) -> tuple[Column, Column]:
             F.xxhash64(F.lit(1), *reversed(cs), *[c.isNull() for c in cs]))
 
 
+def packed(docs: DataFrame, *key_cols: str) -> DataFrame:
+    """``_row`` (all columns as a struct) with ``_k1, _k2``, the row key of
+    ``key_cols``: names inside the struct clash with nothing added later."""
+    k1, k2 = row_key(*key_cols)
+    return docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` out of ``_row``, those in ``changed`` replaced."""
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col("_row").getField(c).alias(c)
+                         for c in docs.columns])
+
+
+def quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, ASCII_UPPER, ASCII_UPPER.lower())

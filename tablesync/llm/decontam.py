@@ -127,14 +127,15 @@ def _digest(items) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
-                  item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` plus a struct ``_c`` of ``n_words, n_hit, n_items,
-    items_sha256, contaminated`` (``n_hit > 0`` and ``20 n_hit >= n_words``).
+def judge(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
+          item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """``_row`` (the row of ``docs``) and a struct ``_c`` of ``n_words, n_hit,
+    n_items, items_sha256, contaminated`` (``n_hit > 0`` and
+    ``20 n_hit >= n_words``).
 
     Null or empty texts have no words and are clean; items without words have
-    no pattern; repeated items are one.  Repeated rows are judged each; other
-    columns pass through whatever their names.
+    no pattern; repeated items are one; an empty benchmark hits nothing.
+    Repeated rows are judged each.  Columns of ``docs`` may have any names.
     """
     spark = docs.sparkSession
     common.prepare(spark)
@@ -152,19 +153,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
             out.append((n, len(hit), len(items), _digest(items), len(hit) > 0 and 20 * len(hit) >= n))
         return pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
 
-    return docs.withColumn("_c", judged(F.col(text_col)))
+    rows = docs.select(F.struct(*[common.quoted(c) for c in docs.columns]).alias("_row"))
+    return rows.withColumn("_c", judged(F.col("_row").getField(text_col)))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without contaminated rows."""
-    return (contamination(docs, benchmark, text_col).filter(~F.col("_c.contaminated"))
-            .select(*docs.columns))
+    return common.unpacked(judge(docs, benchmark, text_col).filter(~F.col("_c.contaminated")), docs)
 
 
 def op6_decontaminate(spark, sf_dir):
-    out = contamination(common.table(spark, sf_dir, "documents").select("doc_id", "text"),
-                        common.table(spark, sf_dir, "benchmark"))
-    return out.select("doc_id", "_c.*")
+    out = judge(common.table(spark, sf_dir, "documents").select("doc_id", "text"),
+                common.table(spark, sf_dir, "benchmark"))
+    return out.select("_row.doc_id", "_c.*")
 
 
 OP6_SQL = r"""

@@ -50,6 +50,7 @@ IMPLIED_END = {
     "thead": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "caption", "colgroup"}, {"table"}),
 }
+TABLE_PARTS = frozenset("caption colgroup tbody td tfoot th thead tr".split())
 SCOPE = frozenset("table td th caption html template button".split())
 
 _TOKEN = re.compile(r"<!--(?:>|->|.*?--!?>|.*\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -175,7 +176,8 @@ def parse(html: str) -> Node:
             elif tag == "head":
                 close({"head"}, ())
             elif tag not in ("body", "html"):
-                close({tag}, () if tag in ("table", "template") else SCOPE - {tag})
+                close({tag}, () if tag in ("table", "template") else
+                      {"table"} if tag in TABLE_PARTS else SCOPE - {tag})
     return root
 
 

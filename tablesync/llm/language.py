@@ -231,9 +231,8 @@ def keep_identified(docs: DataFrame, model: Model, min_posterior: float = MIN_PO
     judged = identify_documents(docs, model, min_posterior=min_posterior)
     out = judged.filter(F.col("language") == UNKNOWN).select("_k1", "_k2").distinct()
     out = common.saved(out, "lang-rejected")
-    k1, k2 = common.row_key("doc_id", "text", "lang", "source")
-    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
-    return keyed.join(out.hint("shuffle_hash"), ["_k1", "_k2"], "left_anti").select(*docs.columns)
+    keyed = common.packed(docs, "doc_id", "text", "lang", "source")
+    return common.unpacked(keyed.join(out.hint("shuffle_hash"), ["_k1", "_k2"], "left_anti"), docs)
 
 
 def op9_language_id(spark, sf_dir):

@@ -63,27 +63,25 @@ def drop_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("drop_words"))
 
 
-def with_kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` plus ``_n_lines`` and ``_kept`` (the kept lines, in order).
+def kept_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``_row`` (the row of ``docs``), ``_n_lines`` and ``_kept`` (the kept
+    lines, in order).
 
     A null or empty text has one empty line.  Repeated rows share a row key and
-    so a bitmap; other columns, whatever their names, pass through.
+    so a bitmap.  Columns of ``docs`` may have any names.
     """
     bitmaps = drop_bitmaps(docs, id_col, text_col, min_chars, min_docs)
     # The words again without gaps, so that a line's bit is an array access.
     dense = F.expr("flatten(transform(drop_words, (e, j) -> concat(array_repeat(0L, "
                    "e.word - coalesce(get(drop_words, j - 1).word, -1) - 1), array(e.bits))))")
     bitmaps = bitmaps.select("_k1", "_k2", dense.alias("_drop"))
-    k1, k2 = common.row_key(id_col, text_col)
-    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
-    joined = keyed.join(bitmaps.hint("shuffle_hash"), ["_k1", "_k2"], "left")
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    joined = common.packed(docs, id_col, text_col).join(bitmaps.hint("shuffle_hash"), ["_k1", "_k2"], "left")
+    lines = F.split(F.coalesce(F.col("_row").getField(text_col), F.lit("")), "\n", -1)
     kept = F.when(F.col("_drop").isNull(), lines).otherwise(F.filter(
         lines, lambda x, i: F.coalesce(
             F.getbit(F.get(F.col("_drop"), F.floor(i / 64).cast("int")), i % 64), F.lit(0)) == 0))
-    return (joined.withColumn("_n_lines", F.size(lines)).withColumn("_kept", kept)
-            .drop("_k1", "_k2", "_drop"))
+    return joined.select("_row", F.size(lines).alias("_n_lines"), kept.alias("_kept"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -95,15 +93,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``min_docs`` documents stay only in the largest document id.  A null text
     stays null, columns and row count stay as they are.
     """
-    out = with_kept_lines(docs, id_col, text_col, min_chars, min_docs)
-    text = F.when(F.col(text_col).isNotNull(), F.array_join("_kept", "\n"))
-    return out.withColumn(text_col, text).select(*docs.columns)
+    out = kept_lines(docs, id_col, text_col, min_chars, min_docs)
+    text = F.when(F.col("_row").getField(text_col).isNotNull(), F.array_join("_kept", "\n"))
+    return common.unpacked(out, docs, **{text_col: text})
 
 
 def op7_line_dedup(spark, sf_dir):
-    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = with_kept_lines(docs)
-    return out.select("doc_id", F.col("_n_lines").cast("long").alias("n_lines"),
+    out = kept_lines(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("_row.doc_id", F.col("_n_lines").cast("long").alias("n_lines"),
                       (F.col("_n_lines") - F.size("_kept")).cast("long").alias("n_dropped"),
                       F.sha2(F.array_join("_kept", "\n").cast("binary"), 256).alias("kept_sha256"))
 

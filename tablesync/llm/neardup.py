@@ -339,13 +339,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_k1", "_k2")
     first = named.filter(F.col("c").isNotNull()).groupBy("c").agg(F.min(rank).alias("r"))
     kept = common.saved(first.select("r._k1", "r._k2"), "near-kept")
-    k1, k2 = common.row_key(id_col, text_col)
-    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
-    has_words = F.coalesce(F.col(text_col), F.lit("")).rlike(r"(?U)\w")
+    # Keys of texts without words are not in any class, and all stay.
+    alone = common.saved(named.filter(F.col("c").isNull()).select("_k1", "_k2").distinct(), "near-alone")
+    keyed = common.packed(docs, id_col, text_col)
     # Repeated rows share a key: one of them stays.
-    one = (keyed.filter(has_words).join(kept.hint("shuffle_hash"), ["_k1", "_k2"], "left_semi")
+    one = (keyed.join(kept.hint("shuffle_hash"), ["_k1", "_k2"], "left_semi")
            .dropDuplicates(["_k1", "_k2"]))
-    return one.unionByName(keyed.filter(~has_words)).select(*docs.columns)
+    if alone.limit(1).count():
+        one = one.unionByName(keyed.join(alone.hint("shuffle_hash"), ["_k1", "_k2"], "left_semi"))
+    return common.unpacked(one, docs)
 
 
 def op10_minhash_neardup(spark, sf_dir):

@@ -217,7 +217,6 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """
     found, added = disclosures(docs, id_col, text_col, **thresholds)
     added = common.saved(added, "pii-added")
-    k1, k2 = common.row_key(id_col, text_col)
 
     @F.pandas_udf("string")
     def rewrite(text: pd.Series, added: pd.Series) -> pd.Series:
@@ -237,9 +236,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
             out.append("".join(parts) + t[at:])
         return pd.Series(out, dtype=object)
 
-    joined = (docs.withColumn("_k1", k1).withColumn("_k2", k2)
-              .join(added.hint("shuffle_hash"), ["_k1", "_k2"], "left"))
-    return joined.withColumn(text_col, rewrite(F.col(text_col), F.col("added"))).select(*docs.columns)
+    joined = common.packed(docs, id_col, text_col).join(added.hint("shuffle_hash"), ["_k1", "_k2"], "left")
+    text = rewrite(F.col("_row").getField(text_col), F.col("added"))
+    return common.unpacked(joined, docs, **{text_col: text})
 
 
 def op1_pii_sanitise(spark, sf_dir):

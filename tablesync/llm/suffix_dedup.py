@@ -377,13 +377,14 @@ def covered(rows, length: int = LENGTH) -> list[tuple[int, int]]:
 _KEPT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-def with_kept_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-                    **options) -> DataFrame:
-    """``docs`` plus a struct ``_r`` of ``n_bytes, n_removed, n_spans, kept``.
+def kept_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
+               **options) -> DataFrame:
+    """``_row`` (the row of ``docs``) and a struct ``_r`` of ``n_bytes,
+    n_removed, n_spans, kept``.
 
     Null texts are empty, texts under ``length`` bytes hold nothing repeated.
-    Repeated rows repeat each other.  Matches never cross documents.  Other
-    columns pass through whatever their names.
+    Repeated rows repeat each other.  Matches never cross documents.  Columns
+    of ``docs`` may have any names.
     """
     hit = repeats(docs, id_col, text_col, length, **options).groupBy("_k1", "_k2").agg(
         F.collect_set(F.struct("start", "span", "chunk", "mask")).alias("_hits"))
@@ -402,26 +403,24 @@ def with_kept_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             out.append((len(data), len(data) - len(kept), len(spans), kept))
         return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
-    k1, k2 = common.row_key(id_col, text_col)
-    keyed = docs.withColumn("_k1", k1).withColumn("_k2", k2)
-    joined = keyed.join(hit.hint("shuffle_hash"), ["_k1", "_k2"], "left")
-    return joined.withColumn("_r", cut(F.col(text_col), F.col("_hits"))).drop("_k1", "_k2", "_hits")
+    joined = common.packed(docs, id_col, text_col).join(hit.hint("shuffle_hash"), ["_k1", "_k2"], "left")
+    return joined.select("_row", cut(F.col("_row").getField(text_col), F.col("_hits")).alias("_r"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated bytes taken out of the text.  A character of which
     only some bytes stay goes too; null texts stay null."""
-    out = with_kept_bytes(docs, id_col, text_col, length)
+    out = kept_bytes(docs, id_col, text_col, length)
 
     @F.pandas_udf("string")
     def decoded(kept: pd.Series) -> pd.Series:
         return pd.Series([None if k is None else k.decode("utf-8", "ignore") for k in kept], dtype=object)
 
-    text = F.when(F.col(text_col).isNotNull(), decoded(F.col("_r.kept")))
-    return out.withColumn(text_col, text).select(*docs.columns)
+    text = F.when(F.col("_row").getField(text_col).isNotNull(), decoded(F.col("_r.kept")))
+    return common.unpacked(out, docs, **{text_col: text})
 
 
 def op5_suffix_dedup(spark, sf_dir):
-    out = with_kept_bytes(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "_r.n_bytes", "_r.n_removed", "_r.n_spans",
+    out = kept_bytes(common.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("_row.doc_id", "_r.n_bytes", "_r.n_removed", "_r.n_spans",
                       F.sha2(F.col("_r.kept"), 256).alias("kept_sha256"))
