@@ -8,9 +8,9 @@ of a band are candidates; those are verified by their exact weighted Jaccard
 similarity, and verified links join texts into classes.
 
 Scale: exact copies are one node (by a hash of their words), so a group of
-copies costs one row.  A bucket of a band sends its members to its two hubs
-(the least and the greatest node) and not to each other; a second step
-compares what is left in buckets whose members are still in different classes.
+copies costs one row.  A bucket of a band sends its members to its two hubs (its most central node and the
+least one) and not to each other; a second step compares what is left in
+buckets whose members are still in different classes, where weights allow.
 Document frequencies are grouped sums over all documents in a table of fixed
 size: shingles that meet in a place share their count, from which the mean load
 is taken, so frequent shingles stand out at every size of the corpus.
@@ -34,7 +34,8 @@ BANDS, ROWS = 15, 4
 SAMPLES = BANDS * ROWS
 DF_BITS = 16
 IDF_LEVELS = 8      # idf in eighths: weights take few values
-IDF_SPAN = 0.25
+IDF_SPAN = 0.1
+BINS = 64           # parts of a set that the bound on common weight looks at
 DRAWS = 1 << 16     # places of the table of random draws
 ESTIMATE = 0.6      # sampled agreement under which a pair is not verified (4 sigma)
 BLOCK = 4096
@@ -224,6 +225,59 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _unlinked(members: DataFrame, labels: DataFrame, sets: DataFrame, threshold: float) -> DataFrame | None:
+    """Pairs ``a, b`` of one bucket and different classes that may still be
+    linked; None if every bucket is within one class.
+
+    A member outside its hub's class is compared with all members of other
+    classes, unless the two cannot reach the threshold: shingles that no other
+    set has are in no common weight, and the others' common weight is at most
+    the smaller one, bin by bin of their hashes.  An edited copy that its hub did
+    not link differs too much from other copies as well, so a large group of
+    copies leaves few pairs.
+    """
+    named = members.join(labels, "f", "left").select("band", "f", "hub", F.coalesce("c", "f").alias("c"))
+    named = common.saved(named, "near-named")
+    open_ = named.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.max(
+        F.when(F.col("f") == F.col("hub"), F.col("c"))).alias("top")).filter(F.col("x") != F.col("y"))
+    rest = common.saved(named.select("band", "f", "c").join(
+        common.saved(open_.select("band", "top"), "near-open"), "band"), "near-rest")
+    if not rest.limit(1).count():
+        return None
+
+    def spread(batches):
+        for pdf in batches:
+            parts = [(f, *_unpacked(x)) for f, x in zip(pdf["f"], pdf["set"])]
+            if parts:
+                yield pd.DataFrame({"f": np.repeat(np.array([p[0] for p in parts], object), [len(p[1]) for p in parts]),
+                                    "h": np.concatenate([p[1] for p in parts]).view(np.int64),
+                                    "w": np.concatenate([p[2] for p in parts])})
+
+    involved = sets.join(rest.select("f").distinct(), "f", "left_semi")
+    parts = common.saved(involved.mapInPandas(spread, "f binary, h long, w float"), "near-spread")
+    own = (parts.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.first("f").alias("f"), F.first("w").alias("w"))
+           .filter(F.col("n") == 1).select("f", "h", F.lit(True).alias("own")))
+    own = common.saved(own, "near-own")
+    binned = (parts.join(own, ["f", "h"], "left").withColumn("bin", F.col("h").bitwiseAND(BINS - 1))
+              .groupBy("f", "bin").agg(F.sum("w").alias("w"), F.sum(F.when(F.col("own").isNull(), F.col("w"))).alias("x")))
+    filled = F.map_from_entries(F.collect_list(F.struct("bin", F.coalesce("x", F.lit(0.0)).alias("x"))))
+    known = binned.groupBy("f").agg(F.sum("w").alias("w"), filled.alias("m")).select(
+        "f", "w", F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda i: F.coalesce(
+            F.element_at("m", i.cast("long")), F.lit(0.0)).cast("float")).alias("v"))
+    known = common.saved(known, "near-weights")
+    rest = common.saved(rest.join(known, "f"), "near-known")
+    left = rest.filter(F.col("c") != F.col("top")).select(F.col("band").alias("band_a"), F.col("f").alias("a"), F.col("c").alias("ca"),
+                                                          F.col("w").alias("wa"), F.col("v").alias("va"))
+    right = rest.select("band", F.col("f").alias("b"), F.col("c").alias("cb"), F.col("w").alias("wb"),
+                        F.col("v").alias("vb"), "top")
+    # Two members outside the hub's class meet once.
+    once = (F.col("cb") == F.col("top")) | (F.col("a") < F.col("b"))
+    most = F.expr("aggregate(zip_with(va, vb, (x, y) -> least(x, y)), 0.0D, (s, x) -> s + x)")
+    possible = most * (1 + 1 / threshold) * (1 + 1e-5) >= F.col("wa") + F.col("wb")
+    met = left.join(right, (F.col("band_a") == F.col("band")) & (F.col("ca") != F.col("cb")) & once & possible)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 _ROWS = "_k1 long, _k2 long, doc_id long, f binary, sig binary, bands array<long>"
 
 
@@ -259,10 +313,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min(F.struct("_k1", "_k2")).alias("at"))
     nodes = common.saved(nodes, "near-nodes")
     members = nodes.select("f", F.explode("bands").alias("band"))
-    shared = (members.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("f").alias("low"),
-                                          F.max("f").alias("high")).filter(F.col("n") > 1))
-    shared = common.saved(shared.drop("n"), "near-shared")
-    members = common.saved(members.join(shared, "band"), "near-members")
+    shared = members.groupBy("band").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    members = common.saved(members.join(common.saved(shared, "near-shared"), "band"), "near-members")
+    # A bucket's hubs: its most central node, which meets most others in all its
+    # buckets (the text that others are copies of, if it is there), and its least.
+    central = common.saved(members.groupBy("f").agg(F.sum("n").alias("score")), "near-central")
+    hubs = members.join(central, "f").groupBy("band").agg(
+        F.max(F.struct("score", "f")).getField("f").alias("hub"), F.min("f").alias("low"))
+    members = common.saved(members.select("f", "band").join(common.saved(hubs, "near-hubs"), "band"), "near-met")
 
     # Packed sets of the nodes that share a bucket with another.
     needed = members.select("f").distinct().join(nodes.select("f", "at._k1", "at._k2"), "f")
@@ -280,26 +338,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sets = common.saved(texts.select("f", "t").mapInPandas(pack, "f binary, set binary")
                         .dropDuplicates(["f"]), "near-sets")
 
-    to_hubs = members.select("f", F.explode(F.array_distinct(F.array("low", "high"))).alias("hub"))
-    pairs = to_hubs.filter(F.col("f") != F.col("hub")).select(
-        F.least("f", "hub").alias("a"), F.greatest("f", "hub").alias("b")).distinct()
+    to_hubs = members.select("f", F.explode(F.array_distinct(F.array("hub", "low"))).alias("to"))
+    pairs = to_hubs.filter(F.col("f") != F.col("to")).select(
+        F.least("f", "to").alias("a"), F.greatest("f", "to").alias("b")).distinct()
     edges = common.saved(_agreeing(pairs, nodes, sets, threshold), "near-links")
     labels = components(edges)
-
-    # Buckets whose members are in more than one class: hubs are done, others
-    # are compared across classes.
-    named = members.filter((F.col("f") != F.col("low")) & (F.col("f") != F.col("high"))).join(
-        labels, "f", "left").select("band", "f", F.coalesce("c", "f").alias("c"))
-    named = common.saved(named, "near-named")
-    open_ = named.groupBy("band").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter(
-        F.col("x") != F.col("y")).select("band")
-    rest = common.saved(named.join(common.saved(open_, "near-open"), "band"), "near-rest")
-    if rest.limit(1).count():
-        left, right = rest.select("band", F.col("f").alias("a"), "c"), rest.select(
-            "band", F.col("f").alias("b"), F.col("c").alias("d"))
-        more = left.join(right, "band").filter((F.col("a") < F.col("b")) & (F.col("c") != F.col("d")))
-        more = _agreeing(more.select("a", "b").distinct(), nodes, sets, threshold)
-        edges = common.saved(edges.union(more), "near-all-links")
+    more = _unlinked(members, labels, sets, threshold)
+    if more is not None:
+        edges = common.saved(edges.union(_agreeing(more, nodes, sets, threshold)), "near-all-links")
         labels = components(edges)
     return rows.select("_k1", "_k2", "doc_id", "f"), labels
 
