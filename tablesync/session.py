@@ -20,7 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
     "spark.log.structuredLogging.enabled": "false",
