@@ -119,7 +119,12 @@ FX4 = """fx4 as (
   select o_orderkey as run_id, concat('c', cast(o_custkey % 5 as varchar)) as client,
     case o_orderkey % 3 when 0 then 'clientes' when 1 then 'contratos' else 'titulos' end as pipeline,
     case o_orderstatus when 'F' then 'FAILED' when 'O' then 'SUCCESS' else 'RUNNING' end as status,
-    o_orderdate as started_at, cast(floor(o_totalprice) as bigint) as records_out
+    o_orderdate as started_at, cast(floor(o_totalprice) as bigint) as records_out,
+    case o_orderstatus when 'F' then ['EXTRACT', 'VALIDATE', 'LOAD', 'VERIFY'][o_orderkey % 4 + 1]
+      when 'O' then 'VERIFY' else 'EXTRACT' end as stage,
+    case when o_orderstatus in ('F', 'O') then cast(cast(floor(o_totalprice) as bigint) % 3600 as double)
+      end as duration_s,
+    case o_orderstatus when 'F' then concat('erro ', cast(o_orderkey as varchar)) end as error
   from orders)"""
 
 FX5 = f"""ev5 as (
@@ -311,7 +316,7 @@ from dl join latest on dl.run_id = latest.run_id join events e on e.event_id = d
     q["status_top20_client"] = _with(FX4) + \
         "select * from fx4 where client = 'c1' order by started_at desc, run_id desc limit 20"
     q["failed_on_day"] = _with(FX4) + f"""
-select client, pipeline, run_id, started_at from fx4
+select client, pipeline, run_id, started_at, error from fx4
 where status = 'FAILED' and cast(started_at as date) = date {_lit(FAILED_DAY)}"""
     q["volume_by_day"] = _with(FX4) + """
 select pipeline, cast(started_at as date) as day, max(records_out) as rows
@@ -319,12 +324,14 @@ from fx4 where status = 'SUCCESS' group by pipeline, cast(started_at as date)"""
     q["run_summary"] = _with(FX4) + """,
 ps as (
   select client, started_at, pipeline as stream, max(case when status = 'FAILED' then 1 else 0 end) as f,
-    cast(sum(records_out) as bigint) as records_loaded, count(*) as runs
+    cast(sum(records_out) as bigint) as records_loaded, count(*) as runs, max(error) as error
   from fx4 group by client, started_at, pipeline)
 select client, started_at, case when max(f) = 1 then 'failed' else 'success' end as status,
   cast(sum(records_loaded) as bigint) as records_loaded,
-  cast(to_json(list(struct_pack(stream := stream, status := case when f = 1 then 'failed' else 'success' end,
-                           records_loaded := records_loaded, runs := runs) order by stream)) as varchar) as streams
+  cast(to_json(list(json_merge_patch(to_json(struct_pack(
+      stream := stream, status := case when f = 1 then 'failed' else 'success' end,
+      records_loaded := records_loaded, runs := runs)),
+    case when error is null then '{}' else to_json(struct_pack(error := error)) end) order by stream)) as varchar) as streams
 from ps group by client, started_at"""
     q["run_fold"] = _with(FX4) + """
 select run_id, client, started_at,

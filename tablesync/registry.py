@@ -293,7 +293,8 @@ def status_top20_client(spark, sf_dir):
 
 @query
 def failed_on_day(spark, sf_dir):
-    return ledger.failed_on_day(_runs(spark, sf_dir), FAILED_DAY).select("client", "pipeline", "run_id", "started_at")
+    return ledger.failed_on_day(_runs(spark, sf_dir), FAILED_DAY).select(
+        "client", "pipeline", "run_id", "started_at", "error")
 
 
 @query

@@ -112,7 +112,9 @@ def lineitem_null_split(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def run_ledger(orders: DataFrame) -> DataFrame:
-    """FX-4: one finished run per order."""
+    """FX-4: one run per order, with the columns of the job's own ledger."""
+    status = F.col("o_orderstatus")
+    stages = F.array(*[F.lit(s) for s in ("EXTRACT", "VALIDATE", "LOAD", "VERIFY")])
     return orders.select(
         F.col("o_orderkey").alias("run_id"),
         F.concat(F.lit("c"), (F.col("o_custkey") % 5).cast("string")).alias("client"),
@@ -124,6 +126,11 @@ def run_ledger(orders: DataFrame) -> DataFrame:
          .otherwise(F.lit("RUNNING")).alias("status"),
         F.col("o_orderdate").alias("started_at"),
         F.floor("o_totalprice").cast("long").alias("records_out"),
+        F.when(status == "F", F.get(stages, (F.col("o_orderkey") % 4).cast("int")))
+         .when(status == "O", F.lit("VERIFY")).otherwise(F.lit("EXTRACT")).alias("stage"),
+        F.when(status.isin("F", "O"), (F.floor("o_totalprice").cast("long") % 3600).cast("double"))
+         .alias("duration_s"),
+        F.when(status == "F", F.concat(F.lit("erro "), F.col("o_orderkey").cast("string"))).alias("error"),
     )
 
 
