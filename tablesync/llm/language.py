@@ -74,17 +74,24 @@ class Model:
 
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         train_rows: int = TRAIN_ROWS) -> Model:
-    """A model from the rows with the smallest text hashes of each language."""
+    """A model from the distinct texts with the smallest hashes of each language."""
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    names = [r[0] for r in rows.groupBy(lang_col).count().sort(F.desc("count"), lang_col)
-             .limit(MAX_LANGUAGES).collect()]
-    names.sort()
+    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().sort(F.desc("count"), lang_col)
+             .limit(MAX_LANGUAGES).collect()}
+    names = sorted(sizes)
+    # Hashes are even, so a share of them holds about twice the rows wanted:
+    # one pass hands on a bounded number of texts, whatever the table's size.
+    space = 1 << 62
+    share = F.lit(-1).cast("long")
+    for name, n in sizes.items():
+        share = F.when(F.col(lang_col) == name, F.lit(min(space, 2 * train_rows * space // n))).otherwise(share)
+    h = F.shiftrightunsigned(F.xxhash64(text_col), 2)
+    picked = common.saved(rows.select(F.col(lang_col).alias("l"), h.alias("h"), F.substring(text_col, 1, TRAIN_CHARS)
+                                      .alias("t"), share.alias("s")).filter(F.col("h") < F.col("s"))
+                          .select("l", "h", "t").distinct(), "lang-sample")
     counts = np.zeros((len(names), BUCKETS))
     for i, name in enumerate(names):
-        sample = (rows.filter(F.col(lang_col) == name)
-                  .select(F.substring(text_col, 1, TRAIN_CHARS).alias("t"), F.xxhash64(text_col).alias("h"))
-                  .sort("h", "t").limit(train_rows).select("t"))
-        for r in sample.toLocalIterator():
+        for r in picked.filter(F.col("l") == name).sort("h", "t").limit(train_rows).select("t").toLocalIterator():
             counts[i] += np.bincount(trigrams(r[0]), minlength=BUCKETS)
     return Model(names, counts)
 
