@@ -9,8 +9,9 @@ entity and ``c(e, t)`` holding the term within ``CONTEXT`` words of the entity,
 
 is 1 when the term occurs with that entity only, and 0 when the two are
 independent.  Terms next to an entity whose risk reaches ``GENERALISE`` become
-a class word, from ``REMOVE`` on they go.  A term seen with an entity in fewer
-than ``MIN_SUPPORT`` documents is no evidence: every new word would qualify.
+a class word, from ``REMOVE`` on they go.  Every pair is scored: most protected
+values stand in one document only, and a term beside such a value reveals it the
+more the fewer documents hold the term, ``risk = 1 - log(df) / log(N)``.
 
 All counts cover all documents and are summed in tasks before a shuffle; the
 contexts kept are a few words per entity found, joined back by row key.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from tablesync.llm import common
 
 CONTEXT = 8
-MIN_SUPPORT = 3
+MIN_SUPPORT = 1  # documents that must hold a pair: all pairs count unless a caller asks for more
 GENERALISE = 0.7
 REMOVE = 0.9
 FLUSH_TERMS = 500_000  # distinct terms a task holds before it hands them on
@@ -166,7 +167,8 @@ def _document_frequencies(docs: DataFrame, text_col: str) -> DataFrame:
                     if len(seen) > FLUSH_TERMS:
                         yield flush()
                         seen.clear()
-        yield flush()
+        if seen:  # an empty frame has no string column
+            yield flush()
 
     counted = docs.select(F.col(text_col).alias("t")).mapInPandas(count, "term string, n long")
     return counted.groupBy("term").agg(F.sum("n").alias("df"))

@@ -376,6 +376,17 @@ def test_disclosing_terms_follow_the_corpus(spark):
     assert out[90] == "Zorblatt alone" and out[91] is None and out[92] == ""
 
 
+def test_terms_beside_once_seen_entities(spark):
+    rows = [(i, f"meet the team Quorvex{'abcdefgh'[i]} at u{i}.x@mail.example.com on monday") for i in range(8)]
+    rows += [(10 + i, "meet the team at noon on monday") for i in range(90)]
+    rows += [(100, "call Dralthune +1 (319) 555-5132 on monday"), (101, "call the team on monday")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert [out[i] for i in range(8)] == ["meet the team  at <EMAIL> on monday"] * 8
+    # "call" stands in two of the 100 documents, "Dralthune" in one.
+    assert out[100] == "<TERM>  <PHONE> on monday" and out[101] == rows[-1][1]
+
+
 def test_sanitise_awkward_rows(spark):
     df = awkward.docs(spark)
     out = pii.sanitise(df)
