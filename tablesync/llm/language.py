@@ -8,6 +8,11 @@ value by language over all rows.  Host priors are grouped sums of the text
 posteriors, smoothed towards their domain, which is smoothed towards the whole
 corpus.  A row's own posterior is taken out of each count before it is used.
 
+One more hypothesis, ``und``, stands for all that no label is like: every
+trigram bucket equally likely.  It is fused as a language is, so a text whose
+trigrams a language explains worse than chance is ``und``, not the label that
+happens to give unseen trigrams the largest share.
+
 Trigrams are counted in a table of fixed size per language, fitted on a bounded
 sample of labelled texts (``TRAIN_ROWS`` per language); all other counts cover
 all rows and are grouped aggregations.
@@ -53,11 +58,11 @@ def trigrams(text: str | None) -> np.ndarray:
 
 
 class Model:
-    """Log probabilities of trigram buckets by language."""
+    """Log probabilities of trigram buckets by language, ``und`` the last."""
 
     def __init__(self, languages: list[str], counts: np.ndarray):
-        self.languages = languages
-        smooth = counts + 0.5
+        self.languages = [*languages, UNKNOWN] if languages else []
+        smooth = np.vstack([counts + 0.5, np.ones((1, BUCKETS))])
         self.logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
 
     def posterior(self, text: str | None) -> tuple[int, list[float]]:
@@ -75,7 +80,7 @@ class Model:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         train_rows: int = TRAIN_ROWS) -> Model:
     """A model from the distinct texts with the smallest hashes of each language."""
-    rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    rows = labelled.filter(F.col(text_col).isNotNull() & (F.col(lang_col) != UNKNOWN))
     sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().sort(F.desc("count"), lang_col)
              .limit(MAX_LANGUAGES).collect()}
     names = sorted(sizes)
@@ -185,8 +190,8 @@ def identify_pages(pages: DataFrame, model: Model, html_col: str = "html", url_c
                    id_col: str = "page_id", min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     """``page_id, language, posterior, declared, host, n`` per page.
 
-    Pages without letters, null or empty pages and pages whose best language
-    stays under ``min_posterior`` are ``und``.  A null address or a missing
+    Pages without letters, null or empty pages, pages unlike all labels and pages
+    whose best language stays under ``min_posterior`` are ``und``.  A null address or a missing
     declaration is no evidence.  Repeated rows count and are judged each.
     """
     spark = pages.sparkSession
@@ -233,8 +238,8 @@ def identify_documents(docs: DataFrame, model: Model, text_col: str = "text", la
 
 def keep_identified(docs: DataFrame, model: Model, min_posterior: float = MIN_POSTERIOR) -> DataFrame:
     """``docs`` without the rows whose language stays ``und``: texts without
-    letters (null and empty ones among them) and texts that fit no language
-    better than the rest together."""
+    letters (null and empty ones among them), texts unlike all labels and texts
+    that fit no language better than the rest together."""
     judged = identify_documents(docs, model, min_posterior=min_posterior)
     out = judged.filter(F.col("language") == UNKNOWN).select("_k1", "_k2").distinct()
     out = common.saved(out, "lang-rejected")

@@ -213,6 +213,33 @@ def test_language_keeps_clean_documents_and_drops_letterless_ones(spark):
     assert [r.language for r in language.identify_pages(pages, model).collect()] == ["und"] * 4
 
 
+def foreign():
+    rnd = random.Random(4)
+    letters = " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randrange(2, 9))) for _ in range(90))
+    return {
+        "letters": letters,
+        "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и "
+              "должны поступать в отношении друг друга в духе братства. Каждый человек имеет право на жизнь и свободу.",
+        "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+              "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Kullakin yksilöllä on oikeus elämään.",
+        "ja": "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。人間は、理性と良心とを授けられており、"
+              "互いに同胞の精神をもって行動しなければならない。すべて人は、生命、自由及び身体の安全に対する権利を有する。"}
+
+
+def test_what_no_label_is_like_is_unknown(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.fit(docs)
+    junk = spark.createDataFrame([(-1 - i, t, "es", "src1", len(t)) for i, t in enumerate(foreign().values())], docs.schema)
+    kept = language.keep_identified(docs.unionByName(junk), model)
+    assert kept.count() == docs.count() and kept.where("doc_id < 0").count() == 0
+    # A language the labels lack, out of the given documents themselves.
+    rows = {r.page_id: r.language for r in language.identify_pages(
+        docs.where("lang = 'fr' and length(text) > 400").select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"),
+                                                                F.lit(None).cast("string").alias("url")),
+        language.fit(docs.where("lang != 'fr'"))).collect()}
+    assert len(rows) > 50 and np.mean([x == "und" for x in rows.values()]) > 0.95
+
+
 # -------------------------------------------------------------------- op 2
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("plain", "plain"),
