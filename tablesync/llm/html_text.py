@@ -111,7 +111,8 @@ def parse(html: str) -> Node:
         nonlocal seen_body
         attrs = _attributes(source) if source.strip(" /\n\t") else {}
         if tag == "html":
-            root.attrs.update(attrs)
+            for name, value in attrs.items():  # a later tag adds what the first lacks
+                root.attrs.setdefault(name, value)
             return
         if tag == "body":
             if not seen_body:
@@ -417,10 +418,12 @@ def _table(n: Node, pre: bool, seen: bool) -> list[str]:
 
 def visible_text(html: str | None) -> str:
     """The text a reader of the page sees; ``""`` for a null or empty page."""
-    if not html:
-        return ""
+    return render(parse(html)) if html else ""
+
+
+def render(root: Node) -> str:
     flow = _Flow()
-    _element(parse(html), flow, False, True)
+    _element(root, flow, False, True)
     return "\n".join(flow.done()).replace(" ", " ")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm import common
-from tablesync.llm.html_text import visible_text
+from tablesync.llm.html_text import parse, render
 
 TRAIN_ROWS = 1000       # labelled texts per language; bounds what the driver gets
 TRAIN_CHARS = 20_000    # characters of each used for fitting
@@ -39,7 +39,7 @@ HOST_MASS, DOMAIN_MASS, TABLE_MASS = 20.0, 50.0, 5.0
 MIN_POSTERIOR = 0.5
 UNKNOWN = "und"
 
-_LANG = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?\s*([A-Za-z]{2,3})", re.I)
+_LANG = re.compile(r"\s*([A-Za-z]{2,3})")
 _HOST = re.compile(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)")
 
 
@@ -103,11 +103,12 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
 def page_evidence(html: str | None, url: str | None):
     """Text, declared language, host, domain and suffix of a page."""
-    m = _LANG.search(html[:4096]) if html else None
+    root = parse(html or "")
+    m = _LANG.match(root.attrs.get("lang") or root.attrs.get("xml:lang") or "")
     h = _HOST.match(url or "")
     host = h[1].lower() if h else None
     parts = host.split(".") if host else []
-    return (visible_text(html), m[1].lower() if m else None, host,
+    return (render(root), m[1].lower() if m else None, host,
             ".".join(parts[-2:]) if parts else None, parts[-1] if len(parts) > 1 else None)
 
 

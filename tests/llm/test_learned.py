@@ -240,6 +240,17 @@ def test_what_no_label_is_like_is_unknown(spark):
     assert len(rows) > 50 and np.mean([x == "und" for x in rows.values()]) > 0.95
 
 
+@pytest.mark.parametrize("html,declared", [
+    ("<!-- " + "licence " * 2_000 + "-->\n<html lang=de><p>x", "de"),
+    ("\n" * 5_000 + "<!doctype html><html class='a' lang='FR-ca'>x", "fr"),
+    ("<?xml version='1.0'?><html xml:lang=\"es\">x", "es"),
+    ("<!-- <html lang=en> --><html lang=de>x", "de"), ("<html lang=de>x<html lang=en>", "de"),
+    ("<html data-lang=de>x<p>&lt;html lang=fr>", None), ("", None), (None, None),
+])
+def test_declared_language_anywhere_in_the_page(html, declared):
+    assert language.page_evidence(html, None)[1] == declared
+
+
 # -------------------------------------------------------------------- op 2
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("plain", "plain"),
