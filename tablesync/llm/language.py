@@ -13,8 +13,9 @@ trigram bucket equally likely.  It is fused as a language is, so a text whose
 trigrams a language explains worse than chance is ``und``, not the label that
 happens to give unseen trigrams the largest share.
 
-Trigrams are counted in a table of fixed size per language, fitted on a bounded
-sample of labelled texts (``TRAIN_ROWS`` per language); all other counts cover
+Every label is a language.  Trigrams are counted in a table of fixed size per
+language, fitted on a bounded sample of labelled texts (``TRAIN_ROWS`` per
+language) by grouped sums; all other counts cover
 all rows and are grouped aggregations.
 """
 
@@ -24,7 +25,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablesync.llm import common
@@ -32,7 +33,7 @@ from tablesync.llm.html_text import parse, render
 
 TRAIN_ROWS = 1000       # labelled texts per language; bounds what the driver gets
 TRAIN_CHARS = 20_000    # characters of each used for fitting
-MAX_LANGUAGES = 64      # the most frequent labels become the model's languages
+LANGUAGE_BLOCK = 64     # languages a text is scored against at once
 BUCKETS = 1 << 15
 EVIDENCE = 0.1          # trigrams of a text overlap: each counts as a tenth
 HOST_MASS, DOMAIN_MASS, TABLE_MASS = 20.0, 50.0, 5.0
@@ -60,10 +61,14 @@ def trigrams(text: str | None) -> np.ndarray:
 class Model:
     """Log probabilities of trigram buckets by language, ``und`` the last."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], counts: list[np.ndarray]):
+        """``counts``: per language the rows ``(bucket, count)`` of those seen."""
         self.languages = [*languages, UNKNOWN] if languages else []
-        smooth = np.vstack([counts + 0.5, np.ones((1, BUCKETS))])
-        self.logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+        self.logs = np.empty((len(languages) + 1, BUCKETS), np.float32)
+        for i, seen in enumerate([*counts, np.empty((0, 2), np.int64)]):
+            smooth = np.full(BUCKETS, 0.5)
+            smooth[seen[:, 0]] += seen[:, 1]
+            self.logs[i] = np.log(smooth / smooth.sum())
 
     def posterior(self, text: str | None) -> tuple[int, list[float]]:
         """Number of trigrams and the text's posterior under even priors."""
@@ -72,7 +77,8 @@ class Model:
         if not len(grams) or not k:
             return 0, [1.0 / max(k, 1)] * k
         at, n = np.unique(grams, return_counts=True)
-        ll = EVIDENCE * (self.logs[:, at].astype(np.float64) @ n)
+        ll = EVIDENCE * np.concatenate([self.logs[i:i + LANGUAGE_BLOCK, at].astype(np.float64) @ n
+                                        for i in range(0, k, LANGUAGE_BLOCK)])
         p = np.exp(ll - ll.max())
         return len(grams), (p / p.sum()).tolist()
 
@@ -80,25 +86,32 @@ class Model:
 def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
         train_rows: int = TRAIN_ROWS) -> Model:
     """A model from the distinct texts with the smallest hashes of each language."""
-    rows = labelled.filter(F.col(text_col).isNotNull() & (F.col(lang_col) != UNKNOWN))
-    sizes = {r[0]: r[1] for r in rows.groupBy(lang_col).count().sort(F.desc("count"), lang_col)
-             .limit(MAX_LANGUAGES).collect()}
-    names = sorted(sizes)
+    rows = labelled.filter(F.col(text_col).isNotNull() & (F.col(lang_col) != UNKNOWN)).select(
+        F.col(lang_col).alias("l"), F.shiftrightunsigned(F.xxhash64(text_col), 2).alias("h"),
+        F.substring(text_col, 1, TRAIN_CHARS).alias("t"))
     # Hashes are even, so a share of them holds about twice the rows wanted:
-    # one pass hands on a bounded number of texts, whatever the table's size.
-    space = 1 << 62
-    share = F.lit(-1).cast("long")
-    for name, n in sizes.items():
-        share = F.when(F.col(lang_col) == name, F.lit(min(space, 2 * train_rows * space // n))).otherwise(share)
-    h = F.shiftrightunsigned(F.xxhash64(text_col), 2)
-    picked = common.saved(rows.select(F.col(lang_col).alias("l"), h.alias("h"), F.substring(text_col, 1, TRAIN_CHARS)
-                                      .alias("t"), share.alias("s")).filter(F.col("h") < F.col("s"))
+    # one pass hands on a bounded number of texts a label, whatever the table's size.
+    share = F.least(F.lit(2.0 * train_rows) / F.count(F.lit(1)), F.lit(1.0)) * float(1 << 62)
+    sizes = common.saved(rows.groupBy("l").agg(share.cast("long").alias("s")).withColumnRenamed("l", "_l"), "lang-sizes")
+    picked = common.saved(rows.join(sizes, (F.col("l") == F.col("_l")) & (F.col("h") < F.col("s")))
                           .select("l", "h", "t").distinct(), "lang-sample")
-    counts = np.zeros((len(names), BUCKETS))
-    for i, name in enumerate(names):
-        for r in picked.filter(F.col("l") == name).sort("h", "t").limit(train_rows).select("t").toLocalIterator():
-            counts[i] += np.bincount(trigrams(r[0]), minlength=BUCKETS)
-    return Model(names, counts)
+    first = F.row_number().over(Window.partitionBy("l").orderBy("h", "t"))
+    texts = picked.withColumn("r", first).filter(F.col("r") <= train_rows).select("l", "t")
+    per_label = (texts.mapInPandas(_bucket_counts, "l string, b int, n long").groupBy("l", "b").agg(F.sum("n").alias("n"))
+                 .groupBy("l").agg(F.collect_list(F.struct("b", "n")).alias("c")))
+    counts = {}
+    for r in common.saved(per_label, "lang-counts").toLocalIterator():
+        counts[r[0]] = np.array(r[1], dtype=np.int64).reshape(-1, 2)
+    return Model(sorted(counts), [counts[name] for name in sorted(counts)])
+
+
+def _bucket_counts(batches):
+    """``l, b, n``: trigrams per bucket of each run of rows of one label."""
+    for pdf in batches:
+        for name, texts in pdf.groupby("l")["t"]:
+            b, n = np.unique(np.concatenate([trigrams(t) for t in texts]), return_counts=True)
+            if len(b):
+                yield pd.DataFrame({"l": name, "b": b.astype(np.int32), "n": n})
 
 
 def page_evidence(html: str | None, url: str | None):

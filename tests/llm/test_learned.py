@@ -251,6 +251,24 @@ def test_declared_language_anywhere_in_the_page(html, declared):
     assert language.page_evidence(html, None)[1] == declared
 
 
+def test_every_label_is_a_language(spark):
+    rnd = random.Random(9)
+    rows = []
+    for k in range(90):  # a label's words are made of syllables of its own
+        parts = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3)) for _ in range(12)]
+        for _ in range(4 if k < 70 else 3):
+            text = " ".join(rnd.choice(parts) + rnd.choice(parts) for _ in range(150))
+            rows.append((len(rows), text, f"l{k:02}", f"s{k % 5}", len(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = language.fit(docs)
+    assert model.languages == [f"l{k:02}" for k in range(90)] + ["und"]
+    assert [model.languages[int(np.argmax(model.posterior(r[1])[1]))] for r in rows] == [r[2] for r in rows]
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), F.lit("http://h.x/").alias("url"))
+    got = {r.page_id: r.language for r in language.identify_pages(pages, model).collect()}
+    assert got == {r[0]: r[2] for r in rows}
+    assert language.keep_identified(docs, model).count() == len(rows)
+
+
 # -------------------------------------------------------------------- op 2
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("plain", "plain"),
