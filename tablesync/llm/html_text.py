@@ -28,7 +28,13 @@ RAW = frozenset("script style xmp iframe noembed noframes".split())
 RCDATA = frozenset("textarea title".split())
 HEAD_ONLY = frozenset("base link meta title style script".split())
 HIDDEN = frozenset(("area base datalist head link meta noembed noframes noscript param rp script "
-                    "style template title iframe audio video canvas object svg math").split())
+                    "style template title iframe audio video canvas object annotation annotation-xml").split())
+FOREIGN = frozenset("svg math".split())
+# Of an SVG image its text elements show, unless they are only there to be referred to.
+SVG_HIDDEN = frozenset("defs symbol desc metadata clippath mask pattern marker".split())
+HTML_POINTS = frozenset("foreignobject mi mo mn ms mtext".split())  # HTML inside SVG or MathML
+BREAKOUT = frozenset(("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+                      "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var").split())
 SPACED = frozenset("p blockquote dl fieldset figure h1 h2 h3 h4 h5 h6 ol pre table ul menu xmp".split())
 BLOCK = SPACED | frozenset((
     "address article aside body center dd details dialog dir div dt figcaption footer form header "
@@ -53,9 +59,12 @@ IMPLIED_END = {
 TABLE_PARTS = frozenset("caption colgroup tbody td tfoot th thead tr".split())
 SCOPE = frozenset("table td th caption html template button".split())
 
-_TOKEN = re.compile(r"<!--(?:>|->|.*?--!?>|.*\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
-                    r"|</([a-zA-Z][^\s/>]*)[^>]*>|<[!?/][^>]*>", re.S)
-_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
+# A quote opens a value directly after "=" only; elsewhere it is a character of a
+# name or an unquoted value, and ">" ends the tag.
+_INSIDE = r"(?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+"
+_TOKEN = re.compile(rf"<!--(?:>|->|.*?--!?>|.*\Z)|<([a-zA-Z][^\s/>]*+)({_INSIDE})>"
+                    rf"|</([a-zA-Z][^\s/>]*+){_INSIDE}>|<[!?/][^>]*>", re.S)
+_ATTR = re.compile(r"(=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))?+)?+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _NONE = re.compile(r"display\s*:\s*none", re.I)
 _VIS = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
@@ -75,10 +84,16 @@ def _attributes(source: str) -> dict[str, str]:
     return out
 
 
+def _self_closing(source: str) -> bool:
+    """Whether a tag ends in a slash that is no part of an unquoted value."""
+    last = source.rsplit(None, 1)[-1] if source.endswith("/") else ""
+    return last == "/" or last.endswith(("\"/", "'/")) or bool(last) and "=" not in last
+
+
 def parse(html: str) -> Node:
     """The tree of a page; ``children`` are nodes and strings."""
     root = Node("html")
-    stack, seen_body = [root], False
+    stack, seen_body, seen_foreign = [root], False, False
 
     def close(names, shields):
         for i in range(len(stack) - 1, 0, -1):
@@ -107,8 +122,20 @@ def parse(html: str) -> Node:
         stack[-1].children.append(n)
         stack.append(n)
 
+    def foreign():
+        """Place in the stack of the image or formula whose own elements come next."""
+        for i in range(len(stack) - 1, 0, -1):
+            if stack[i].tag in HTML_POINTS:
+                return 0
+            if stack[i].tag in FOREIGN:
+                return i
+        return 0
+
     def start(tag, source):
-        nonlocal seen_body
+        nonlocal seen_body, seen_foreign
+        if seen_foreign and tag in BREAKOUT:
+            while i := foreign():
+                del stack[i:]
         attrs = _attributes(source) if source.strip(" /\n\t") else {}
         if tag == "html":
             for name, value in attrs.items():  # a later tag adds what the first lacks
@@ -138,7 +165,8 @@ def parse(html: str) -> Node:
         if tag == "tr" and stack[-1].tag == "table":
             push(Node("tbody"))
         n = Node(tag, attrs)
-        if tag in VOID:
+        seen_foreign = seen_foreign or tag in FOREIGN
+        if tag in VOID or seen_foreign and _self_closing(source) and (tag in FOREIGN or foreign()):
             stack[-1].children.append(n)
         else:
             push(n)
@@ -166,6 +194,8 @@ def parse(html: str) -> Node:
             if tag in RAW or tag in RCDATA:
                 stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(html, at)
                 inner = html[at:stop.start() if stop else end]
+                if seen_foreign and _self_closing(m[2]) and foreign():
+                    continue
                 if stack[-1].tag == tag:
                     stack[-1].children.append(unescape(inner) if tag in RCDATA else inner)
                     stack.pop()
@@ -265,10 +295,25 @@ def _walk(n: Node, flow: _Flow, pre: bool, seen: bool):
             _element(c, flow, pre, seen)
 
 
+def _svg(n: Node, flow: _Flow, pre: bool, seen: bool):
+    """Text elements of an image, a blank between them."""
+    for c in n.children:
+        if isinstance(c, str) or c.tag in SVG_HIDDEN or _hidden(c):
+            continue
+        if c.tag in ("text", "foreignobject"):
+            flow.text(" ")
+            _walk(c, flow, pre, _shown(c, seen))
+            flow.text(" ")
+        else:
+            _svg(c, flow, pre, _shown(c, seen))
+
+
 def _element(n: Node, flow: _Flow, pre: bool, seen: bool):
     seen = _shown(n, seen)
     tag = n.tag
-    if tag == "br":
+    if tag == "svg":
+        _svg(n, flow, pre, seen)
+    elif tag == "br":
         if seen:
             flow.line(force=True)
     elif tag == "wbr" or tag == "img":

@@ -294,6 +294,24 @@ def test_rendering(html, text):
     assert html_text.visible_text(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ('<div class="x"">Text one</div><div class="x"">Text two</div>', "Text one\nText two"),
+    ("<p title=don't>Visible text, it's here</p>", "Visible text, it's here"),
+    ("<p 'a>one</p><p b'>two</p>", "one\n\ntwo"),
+    ("<a href=/x/?q=\"1\">link</a> it's", "link it's"),
+    ("<p title = 'a>b' hidden>no<p title= >yes</p x='>'>", "yes"),
+    ("<p>a <svg><defs><text>d</text></defs><title>t</title><path d='M0'/><g><text>Sales</text><text>2 <tspan>kg</tspan>"
+     "</text></g></svg> b", "a Sales 2 kg b"),
+    ("<svg viewBox='0'/>after<p>next", "after\n\nnext"),
+    ("<svg><path d=M0><p>out of it", "out of it"),
+    ("<svg><foreignObject><p>in</p></foreignObject></svg>", "in"),
+    ("so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>1</mn></mrow><annotation>x=1</annotation></semantics></math>.",
+     "so x=1."),
+])
+def test_stray_quotes_images_and_formulas(html, text):
+    assert html_text.visible_text(html) == text
+
+
 def all_text(node, seen=True):
     """Visible words of a tree, in order, without any layout."""
     if isinstance(node, str):
