@@ -16,6 +16,9 @@ _QUERIES = {
     "op8_kdtree_topk": "topk",
     "op9_language_id": "language",
     "op10_minhash_neardup": "neardup",
+    "op11_prefix_trie": "conv_trie",
+    "op12_phrase_dedup": "phrase_dedup",
+    "op13_merkle_manifest": "merkle",
 }
 
 
