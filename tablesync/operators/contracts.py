@@ -18,10 +18,19 @@ Coercion rules (lax, in the manner of common Python model libraries):
 * NULL is allowed only for ``nullable`` fields; an absent column takes the
   ``default`` when one is declared, else every row gets ``missing``.
 Valid rows are projected to the contract's fields, in declaration order.
+
+Fields nest to any depth: a ``struct`` has ``fields`` of its own, a ``list``
+and a ``map`` have an ``item`` rule for their elements or values.  They are
+coerced by higher-order functions, struct extras dropped and defaults filled
+at every level; an error's ``loc`` is the path to it (field, position in a
+list, key of a map).  A JSON object that was typed as a struct is taken as a
+map where the contract wants one; its absent keys (NULL) are no entries.
 """
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -48,6 +57,9 @@ MESSAGES = {
     "date_parsing": "Input should be a valid date in the format YYYY-MM-DD",
     "datetime_type": "Input should be a valid datetime",
     "datetime_parsing": "Input should be a valid datetime",
+    "model_type": "Input should be a valid dictionary",
+    "list_type": "Input should be a valid list",
+    "dict_type": "Input should be a valid dictionary",
 }
 
 # Text accepted as booleans.
@@ -76,12 +88,28 @@ def _message_map():
 @dataclass(frozen=True)
 class Field:
     name: str
-    type: str  # long | int | double | string | boolean | date | timestamp
+    type: str  # long | int | double | string | boolean | date | timestamp | struct | list | map
     nullable: bool = False
     default: Any = _NO_DEFAULT
+    fields: tuple[Field, ...] | list[Field] = ()  # of a struct
+    item: Field | None = None                     # rule for the elements of a list or the values of a map
+
+    def __post_init__(self):
+        if (self.type == "struct") != bool(self.fields) or (self.type in ("list", "map")) != (self.item is not None):
+            raise ValueError(f"{self.name}: a struct has fields, a list or map has an item, others have neither")
+
+    @property
+    def nested(self) -> bool:
+        return self.type in ("struct", "list", "map")
 
     @property
     def spark_type(self) -> T.DataType:
+        if self.type == "struct":
+            return T.StructType([T.StructField(f.name, f.spark_type) for f in self.fields])
+        if self.type == "list":
+            return T.ArrayType(self.item.spark_type)
+        if self.type == "map":
+            return T.MapType(T.StringType(), self.item.spark_type)
         return _SPARK_TYPES[self.type]
 
     @property
@@ -166,11 +194,87 @@ def _coerce(c: Column, src: T.DataType, f: Field) -> tuple[Column, Column]:
 
 
 _NULL_CODE = {"long": "int_type", "int": "int_type", "double": "float_type", "string": "string_type",
-              "boolean": "bool_type", "date": "date_type", "timestamp": "datetime_type"}
+              "boolean": "bool_type", "date": "date_type", "timestamp": "datetime_type",
+              "struct": "model_type", "list": "list_type", "map": "dict_type"}
+
+
+# ------------------------------------------------------------- nested fields
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _error(code: Column, loc: Column, given: Column) -> Column:
+    return F.array(F.struct(code.alias("type"), loc.alias("loc"),
+                            F.element_at(_message_map(), code).alias("msg"), given.alias("input")))
+
+
+def _no_error() -> Column:
+    return F.array().cast(f"array<{ERROR_TYPE}>")
+
+
+def _as_text(c: Column, src: T.DataType) -> Column:
+    nested = isinstance(src, (T.StructType, T.ArrayType, T.MapType))
+    return F.to_json(c, {"ignoreNullFields": "false"}) if nested else c.cast("string")
+
+
+def _default(f: Field) -> Column:
+    if f.nested and f.default is not None:
+        return F.from_json(F.lit(json.dumps(f.default)), f.spark_type)
+    return F.lit(f.default).cast(f.spark_type)
+
+
+def _result(value: Column, errors: Column, f: Field) -> Column:
+    return F.struct(value.cast(f.spark_type).alias("v"), errors.alias("e"))
+
+
+def check(c: Column | None, src: T.DataType | None, f: Field, loc: Column) -> Column:
+    """``struct<v, e>``: the coerced value of ``c`` (None: the field is absent)
+    and its errors, with their paths below ``loc``."""
+    nothing = F.lit(None).cast(f.spark_type)
+    if c is None:
+        if f.has_default:
+            return _result(_default(f), _no_error(), f)
+        return _result(nothing, _error(F.lit("missing"), loc, F.lit(None).cast("string")), f)
+    code = F.lit(_NULL_CODE[f.type])
+    wrong = _result(nothing, _error(code, loc, _as_text(c, src)), f)
+    if not f.nested:
+        v, code_or_null = _coerce(c, src, f)
+        good = _let(F.struct(v.alias("v"), code_or_null.alias("c")), lambda r: _result(
+            r["v"], F.when(r["c"].isNotNull(), _error(r["c"], loc, _as_text(c, src))).otherwise(_no_error()), f))
+    elif f.type == "struct" and isinstance(src, T.StructType):
+        types = {x.name: x.dataType for x in src.fields}
+        parts = F.struct(*[
+            check(c.getField(x.name) if x.name in types else None, types.get(x.name), x,
+                  F.concat(loc, F.array(F.lit(x.name)))).alias(f"_{i}") for i, x in enumerate(f.fields)])
+        good = _let(parts, lambda r: _result(
+            F.struct(*[r[f"_{i}"]["v"].alias(x.name) for i, x in enumerate(f.fields)]),
+            F.concat(*[r[f"_{i}"]["e"] for i in range(len(f.fields))]), f))
+    elif f.type == "list" and isinstance(src, T.ArrayType):
+        parts = F.transform(c, lambda x, i: check(
+            x, src.elementType, f.item, F.concat(loc, F.array(i.cast("string")))))
+        good = _let(parts, lambda r: _result(F.transform(r, lambda x: x["v"]),
+                                             F.flatten(F.transform(r, lambda x: x["e"])), f))
+    elif f.type == "map" and isinstance(src, (T.MapType, T.StructType)):
+        def entry(key: Column, value: Column, dt: T.DataType) -> Column:
+            return F.struct(key.alias("k"), check(value, dt, f.item, F.concat(loc, F.array(key))).alias("r"))
+
+        if isinstance(src, T.MapType):
+            parts = F.transform(F.map_entries(c), lambda x: entry(x["key"].cast("string"), x["value"], src.valueType))
+        else:
+            parts = F.filter(F.array(*[F.when(c.getField(x.name).isNotNull(), entry(
+                F.lit(x.name), c.getField(x.name), x.dataType)) for x in src.fields]), lambda x: x.isNotNull())
+        good = _let(parts, lambda r: _result(
+            F.map_from_entries(F.transform(r, lambda x: F.struct(x["k"], x["r"]["v"]))),
+            F.flatten(F.transform(r, lambda x: x["r"]["e"])), f))
+    else:
+        good = wrong
+    at_null = _result(nothing, _no_error(), f) if f.nullable else wrong
+    return F.when(c.isNull(), at_null).otherwise(good)
 
 
 def field_checks(df: DataFrame, contract: list[Field]) -> tuple[list[Column], list[Column]]:
-    """Per contract field: the coerced value and the error code (NULL when fine)."""
+    """Per field of a flat contract: the coerced value and the error code (NULL when fine)."""
     types = {fl.name: fl.dataType for fl in df.schema.fields}
     values, codes = [], []
     for f in contract:
@@ -199,34 +303,46 @@ def annotate(df: DataFrame, contract: list[Field], record_columns: list[str] | N
     once; the second builds the error structs from those columns, so no
     parsing expression is evaluated twice per row.
     """
-    values, codes = field_checks(df, contract)
+    flat = [f for f in contract if not f.nested]
+    values, codes = field_checks(df, flat)
+    types = {fl.name: fl.dataType for fl in df.schema.fields}
     cols = [F.col(f"`{c}`") for c in df.columns]
     checked = df.select(
         *cols,
-        *[v.alias(f"_v_{f.name}") for v, f in zip(values, contract)],
-        *[code.alias(f"_c_{i}") for i, code in enumerate(codes)],
+        *[v.alias(f"_v_{f.name}") for v, f in zip(values, flat)],
+        *[code.alias(f"_c_{f.name}") for f, code in zip(flat, codes)],
+        *[check(F.col(f"`{f.name}`") if f.name in types else None, types.get(f.name), f, F.array(F.lit(f.name)))
+          .alias(f"_n_{f.name}") for f in contract if f.nested],
         to_json_record(df.select(*record_columns) if record_columns else df, "_record"),
     )
     messages = _message_map()
-    errors = []
-    for i, f in enumerate(contract):
-        code = F.col(f"_c_{i}")
+    errors, run = [], []  # arrays of errors: runs of flat fields, and nested ones between them
+    for f in contract:
+        if f.nested:
+            errors, run = [*errors, F.array(*run), F.col(f"`_n_{f.name}`")["e"]] if run else [
+                *errors, F.col(f"`_n_{f.name}`")["e"]], []
+            continue
+        code = F.col(f"`_c_{f.name}`")
         given = F.col(f"`{f.name}`").cast("string") if f.name in df.columns else F.lit(None).cast("string")
-        errors.append(F.when(code.isNotNull(), F.struct(
+        run.append(F.when(code.isNotNull(), F.struct(
             code.alias("type"), F.array(F.lit(f.name)).alias("loc"),
             F.element_at(messages, code).alias("msg"), given.alias("input"))))
-    errs = F.filter(F.array(*errors), lambda e: e.isNotNull())
+    errors += [F.array(*run)] if run else []
+    errs = F.filter(F.concat(*errors) if len(errors) > 1 else errors[0], lambda e: e.isNotNull())
     # Validity comes straight from the codes, so the valid path never builds
     # the error array (a higher-order function, evaluated outside codegen).
-    valid = F.coalesce(*[F.col(f"_c_{i}") for i in range(len(contract))], F.lit(None).cast("string")).isNull()
+    valid = F.coalesce(*[F.col(f"`_c_{f.name}`") for f in flat], F.lit(None).cast("string")).isNull()
+    for f in contract:
+        if f.nested:
+            valid = valid & (F.size(F.col(f"`_n_{f.name}`")["e"]) == 0)
     return checked.select(
-        *cols, *[F.col(f"_v_{f.name}") for f in contract], "_record", errs.alias("_errors"),
-        valid.alias("_valid"))
+        *cols, *[(F.col(f"`_n_{f.name}`")["v"].alias(f"_v_{f.name}") if f.nested else F.col(f"`_v_{f.name}`"))
+                 for f in contract], "_record", errs.alias("_errors"), valid.alias("_valid"))
 
 
 def valid_rows(annotated: DataFrame, contract: list[Field]) -> DataFrame:
     """Valid rows, coerced and narrowed to the contract's fields."""
-    return annotated.where("_valid").select(*[F.col(f"_v_{f.name}").alias(f.name) for f in contract])
+    return annotated.where("_valid").select(*[F.col(f"`_v_{f.name}`").alias(f.name) for f in contract])
 
 
 def invalid_rows(annotated: DataFrame) -> DataFrame:

@@ -138,13 +138,15 @@ def resume_point(latest: DataFrame, stage: str = "stage") -> DataFrame:
 
 # -------------------------------------------------------------- page ledger
 def page_ledger(pages: DataFrame, body: str = "body") -> DataFrame:
-    """One row per fetched page: endpoint, page, record count, parsed total."""
+    """One row per fetched page: endpoint, page, record count, parsed total,
+    and when it was fetched, where ``pages`` tells."""
     parsed = F.from_json(F.col(body), "registros array<string>, total string")
-    return (pages.select("endpoint", "page", parsed.alias("_p"))
+    clock = ["fetched_at"] if "fetched_at" in pages.columns else []
+    return (pages.select("endpoint", "page", *clock, parsed.alias("_p"))
             .where(F.size("_p.registros") > 0)
             .select("endpoint", F.col("page").cast("long").alias("page"),
                     F.size("_p.registros").cast("long").alias("n_records"),
-                    parse_total(F.col("_p.total")).alias("total")))
+                    parse_total(F.col("_p.total")).alias("total"), *clock))
 
 
 def page_progress(ledger: DataFrame, page_size: int) -> DataFrame:
@@ -160,8 +162,21 @@ def page_progress(ledger: DataFrame, page_size: int) -> DataFrame:
                         F.when(total > 0, F.ceil(total / F.lit(page_size)).cast("long"))))
 
 
+def page_elapsed(progress: DataFrame, at: str = "fetched_at") -> DataFrame:
+    """``elapsed_s``: seconds from an endpoint's first fetch until the pages up
+    to this one were all there (ranges are fetched in parallel, so a later page
+    may come earlier)."""
+    mine = Window.partitionBy("endpoint")
+    upto = mine.orderBy("page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    micros = F.timestamp_diff("MICROSECOND", F.min(at).over(mine), F.max(at).over(upto))
+    return progress.withColumn("elapsed_s", micros / F.lit(1_000_000.0))
+
+
 def page_eta(progress: DataFrame, elapsed: str = "elapsed_s") -> DataFrame:
-    """Seconds left ``elapsed / fetched * (total - fetched)``; NULL once done."""
+    """Seconds left ``elapsed / fetched * (total - fetched)``; NULL once done.
+    Without ``elapsed`` it is measured by ``page_elapsed``."""
+    if elapsed not in progress.columns:
+        progress = page_elapsed(progress).withColumnRenamed("elapsed_s", elapsed)
     f, t = F.col("fetched").cast("double"), F.col("total").cast("double")
     running = (F.col("total") > 0) & (F.col("fetched") > 0) & (F.col("fetched") < F.col("total"))
     return progress.withColumn("eta_s", F.when(running, F.col(elapsed).cast("double") / f * (t - f)))

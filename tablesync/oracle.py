@@ -101,6 +101,43 @@ LATER = """later as (
     strftime(strptime(ultima_atualizacao, '%Y-%m-%d %H:%M:%S') + interval 400 day, '%Y-%m-%d %H:%M:%S'), stream
   from fx1 where id % 10 = 3)"""
 
+def _nested_err(kind: str, loc: str, given: str) -> str:
+    """One error at a path (a list expression), as the contract words it."""
+    messages = {"int_type": "Input should be a valid integer", "string_type": "Input should be a valid string",
+                "int_parsing": "Input should be a valid integer, unable to parse string as an integer",
+                "model_type": "Input should be a valid dictionary"}
+    return (f"struct_pack(type := '{kind}', loc := {loc}, msg := '{messages[kind]}', "
+            f"input := cast({given} as varchar))")
+
+
+def _int_err(value: str, loc: str) -> str:
+    return f"case when try_cast({value} as integer) is null then {_nested_err('int_parsing', loc, value)} end"
+
+
+FX14 = f"""raw14 as (
+  select event_id as id,
+    case when event_id % 9 = 0 then 'x' || event_id else cast(event_id % 100 as varchar) end as codigo,
+    case when event_id % 8 <> 0 then event_type end as nome,
+    json_extract_string(props, '$.k') as k,
+    case when event_id % 23 = 0 then 'abc' else cast(user_id as varchar) end as u,
+    list_transform(range(event_id % 4), lambda i: struct_pack(sku := 's' || i, qtd := case
+      when (event_id + i) % 11 = 0 then 'muitos'
+      when (event_id + i) % 13 <> 0 then cast((event_id + i) % 50 as varchar) end)) as itens
+  from events),
+checked14 as (
+  select *, try_cast(codigo as integer) as codigo_v,
+    case when id % 19 <> 0 then struct_pack(codigo := codigo, nome := nome, extra := cast(id as varchar)) end as cliente,
+    list_filter(list_concat(
+      case when id % 19 = 0 then [{_nested_err('model_type', "['cliente']", 'null')}]
+           else [{_int_err('codigo', "['cliente', 'codigo']")},
+                 case when nome is null then {_nested_err('string_type', "['cliente', 'nome']", 'null')} end] end,
+      list_transform(range(len(itens)), lambda i: case when itens[i + 1].qtd is not null then
+        {_int_err('itens[i + 1].qtd', "['itens', cast(i as varchar), 'qtd']")} end),
+      [case when k is null then {_nested_err('int_type', "['tags', 'k']", 'null')} else {_int_err('k', "['tags', 'k']")} end,
+       {_int_err('u', "['tags', 'u']")}]
+    ), lambda x: x is not null) as errs
+  from raw14)"""
+
 FX2 = """base as (
   select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders
   where o_orderdate < timestamp '2000-01-01 00:00:00'),
@@ -181,6 +218,11 @@ def oracle_sql() -> dict[str, str]:
     q["delta_first_run"] = ("select o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1000 as o_totalprice "
                             "from orders")
     q["publish_delta"] = q["delta_upsert"]
+    q["publish_buckets"] = """with d as (select max(cast(o_orderdate as date)) as last from orders)
+select o_orderkey, o_custkey, o_orderstatus,
+  o_totalprice + 1000 + case when cast(o_orderdate as date) = last then 3 else 0 end as o_totalprice,
+  case when cast(o_orderdate as date) = last then 'web' end as o_channel
+from orders, d"""
     q["dedupe_latest"] = """with c as (
   select nullif(l_orderkey % 100, 0) as k,
     case when l_linenumber < 7 then concat(strftime(l_shipdate, '%Y-%m-%d'), ' ',
@@ -253,6 +295,13 @@ select id, {d_blank('nome')} as nome, {d_blank('data_ref')} as data_ref, {d_blan
     q["narrow_types"] = _with(FX1, FX1_CLEAN) + """
 select id, nome, data_ref, qtd, cast(ultima_atualizacao as timestamp) as ultima_atualizacao,
   cast(substr(ultima_atualizacao, 1, 10) as date) as dia from fx1c"""
+    q["narrow_nested"] = """select event_id as id,
+  case when event_id % 5 <> 0 then cast(ts as date) end as criado,
+  case when event_id % 5 <> 0 then case when event_id % 7 = 0 then 'n/d' else strftime(ts, '%Y-%m-%d') end end as nota,
+  case when event_id % 3 <> 0 then cast(2 as integer) end as n,
+  case when event_id % 3 <> 0 then date_trunc('second', ts) end as em,
+  case when event_id % 3 <> 0 then user_id end as quem, cast(ts as date) as dia
+from events"""
     q["redact"] = (f"select c_custkey, regexp_replace(concat('erro postgresql://u:', c_name, '@h:5432/db'), "
                    f"{_lit(DSN_PASSWORD_PATTERN)}, '\\1***\\2', 'g') as message from customer")
     q["strip_nul"] = ("select c_custkey, replace(concat(c_name, chr(0), c_mktsegment), chr(0), '') as label "
@@ -304,6 +353,19 @@ from log group by client, pipeline"""
         "select id, nome, data_ref, qtd, ultima_atualizacao, cast(to_json(errs) as varchar) as errors "
         "from fx1v where len(errs) > 0")
     q["dead_letters"] = _with(FX1, FX1_CLEAN, FX1_CHECK, DEAD) + "select run_id, stream, record, errors from dl"
+    q["validate_nested"] = _with(FX14) + """
+select id, codigo_v as codigo, cast(len(itens) as integer) as n_itens,
+  cast(to_json(struct_pack(codigo := codigo_v, nome := nome, pais := 'BR')) as varchar) as cliente,
+  cast(to_json(list_transform(itens, lambda x: struct_pack(sku := x.sku, qtd := try_cast(x.qtd as integer)))) as varchar)
+    as itens,
+  '{"k":' || try_cast(k as integer) || ',"u":' || try_cast(u as integer) || '}' as tags
+from checked14 where len(errs) = 0"""
+    q["dead_letters_nested"] = _with(FX14) + """
+select cast(floor(id / 10) as bigint) as run_id, 'events' as stream,
+  cast(to_json(struct_pack(id := id, cliente := cliente, itens := itens, tags := struct_pack(k := k, u := u))) as varchar)
+    as record,
+  cast(to_json(errs) as varchar) as errors
+from checked14 where len(errs) > 0"""
     q["dead_letters_latest"] = _with(FX1, FX1_CLEAN, FX1_CHECK, DEAD) + """,
 runs as (select cast(floor(event_id / 10) as bigint) as run_id from events group by 1),
 latest as (select concat('c', cast(run_id % 5 as varchar)) as client, max(run_id) as run_id
@@ -340,6 +402,7 @@ select run_id, client, started_at,
   status, case when status = 'RUNNING' then null else records_out end as records_out,
   case when status = 'RUNNING' then null else cast(records_out % 3600 as double) end as duration_s
 from fx4"""
+    q["ledger_snapshot"] = q["run_fold"]
     q["event_counts"] = f"""with se as (
   select ['stage_start', 'stage_done', 'stage_skipped'][event_id % 3 + 1] as event_type,
     {STAGE_ARRAY}[event_id % 4 + 1] as stage,
@@ -348,6 +411,7 @@ from fx4"""
 select event_type, stage, count(*) as n, cast(sum(records) as bigint) as records
 from se group by event_type, stage"""
     q["checkpoint_latest"] = _with(CHECKPOINT_LOG) + "select * from cplatest"
+    q["ledger_snapshot_checkpoints"] = q["checkpoint_latest"]
     q["resume_point"] = _with(CHECKPOINT_LOG) + \
         f"select client, pipeline, stage, {_next_stage_case('stage')} as resume_stage from cplatest"
 
@@ -362,12 +426,25 @@ select endpoint, page, n_records, total, fetched,
   case when total > 0 then round(fetched / total * 100, 1) end as pct,
   case when total > 0 then cast(ceil(total / {PAGE_SIZE}) as bigint) end as total_pages
 from progress5"""
-    q["page_eta"] = _with(FX5) + """
-select endpoint, page, fetched, total, cast(page * 2 as double) as elapsed_s,
+    q["page_eta"] = f"""with p as (
+  select event_type as endpoint, ts, count(*) over (partition by event_type) as total,
+    (row_number() over (partition by event_type order by event_id) - 1) // {PAGE_SIZE} + 1 as page
+  from events),
+l as (
+  select endpoint, cast(page as bigint) as page, count(*) as n, any_value(total) as total, max(ts) as seen
+  from p group by endpoint, page),
+r as (
+  select endpoint, page, total,
+    cast(sum(n) over (partition by endpoint order by page) as bigint) as fetched,
+    (epoch_us(max(seen) over (partition by endpoint order by page)) - epoch_us(min(seen) over (partition by endpoint)))
+      / 1000000.0::double as elapsed_s
+  from l)
+select endpoint, page, fetched, total, elapsed_s,
   case when total > 0 and fetched > 0 and fetched < total
-       then cast(page * 2 as double) / cast(fetched as double) * (cast(total as double) - cast(fetched as double))
+       then elapsed_s / cast(fetched as double) * (cast(total as double) - cast(fetched as double))
   end as eta_s
-from progress5"""
+from r"""
+    q["paged_pushdown"] = q["paged_delta_scan"] + " and event_type in ('view', 'click')"
 
     # ------------------------------------------------------------------ files
     q["ndjson_scan"] = "select * from orders"
@@ -380,6 +457,7 @@ select event_id, case when event_id % 4 = 0 then ts + interval 400 day else ts e
 union all
 select event_id + 1000000000, ts + interval 400 day, user_id, event_type, value, props
 from events where event_id % 10 = 3"""
+    q["paged_stream"] = q["paged_sync"]
     q["cursor_numeric"] = """with m as (select max(event_id) as top from events)
 select event_id, user_id, case when event_id = top then value + 1 else value end as value from events, m
 union all

@@ -2,8 +2,9 @@
 
     land (raw -> cleaned, staged parquet; count + cursor observed in the same pass)
     -> validate (one pass writes valid rows and dead letters, split by a flag)
-    -> upsert / full refresh (lazy) -> write generation, count observed
-    -> verify counts BEFORE the swap -> swap -> save cursor -> finish run.
+    -> load (write a generation of the key buckets touched, counts observed)
+    -> verify counts BEFORE the swap -> swap -> save cursor -> finish run
+    -> drop the run's staged files.
 
 Each stage appends a checkpoint row; a resumed run (``from_checkpoint``)
 continues after the last completed stage of the unfinished run, reusing its
@@ -29,13 +30,14 @@ from pyspark.sql import types as T
 
 from tablesync.functions.clean import sanitize, strip_nul_all
 from tablesync.functions.redact_text import redact_text
-from tablesync.functions.types import apply_narrowing, narrow_metrics, narrow_plan, plan_from_metrics
+from tablesync.functions.types import apply_narrowing, narrow_metrics, narrow_plan, plan_from_metrics, type_at
 from tablesync.operators import contracts as ct
 from tablesync.operators.cursor import cursor_candidate, delta_filter, is_number
 from tablesync.operators.upsert import key_bytes
-from tablesync.session import path_exists
+from tablesync.session import delete_path, path_exists
 from tablesync.sources.files import staged_scan, write_staged
-from tablesync.plans.publish import TableStore, VerificationError
+from tablesync.plans.publish import TableStore, VerificationError, Written
+from tablesync.plans.snapshot import Ledger
 
 STAGES = ["EXTRACT", "VALIDATE", "LOAD", "VERIFY"]
 
@@ -110,6 +112,7 @@ class StateStore:
         self.root = root.rstrip("/")
         self.tables = TableStore(spark, f"{self.root}/tables/default")
         self._stores: dict[str, TableStore] = {"default": self.tables}
+        self._ledger = Ledger(spark, self.root, LEDGER_SCHEMA)
         self._pending: list[tuple] = []
         # Cursors this store saved or read (one writer per table, as for pointers).
         self._cursors: dict[tuple[str, str], str | None] = {}
@@ -170,10 +173,13 @@ class StateStore:
 
     # ---- reading (views over the ledger)
     def ledger(self, kind: str) -> DataFrame:
-        path = self.path(f"ledger/kind={kind}")
-        if not path_exists(path, self.spark):
-            return self.spark.createDataFrame([], LEDGER_SCHEMA).drop("kind")
-        return self.spark.read.schema(LEDGER_SCHEMA.replace("kind string, ", "")).parquet(path)
+        """The ledger's rows of a kind: its snapshot with the log's tail on top."""
+        return self._ledger.read(kind)
+
+    def fold(self) -> int:
+        """Maintenance: fold the log into the snapshot (``plans.snapshot``)."""
+        self.flush()
+        return self._ledger.fold()
 
     def runs(self) -> DataFrame:
         """One row per run: start and finish rows folded (R-03)."""
@@ -319,9 +325,9 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
         current = tables.current(pipeline) if spec.mode != "full" else None
         if current is not None:
             # A delta follows the published table: a column it already has is
-            # narrowed only to that column's own type.
-            have = {f.name: f.dataType.simpleString() for f in current.schema.fields}
-            narrowing = {c: t for c, t in narrowing.items() if c not in have or have[c] == t}
+            # narrowed only to that column's own types.
+            narrowing = {p: t for p, t in narrowing.items() if p[0] not in current.columns
+                         or type_at(current.schema, p) == T.DataType.fromDDL(t)}
         ctx["narrowed"] = narrowing
         typed = apply_narrowing(landed_df, narrowing)
 
@@ -370,50 +376,47 @@ def sync_table(spark: SparkSession, spec: SyncSpec,
             load_from = f"{checked}/_part=valid"
 
         # ------------------------------------------------------------- LOAD
-        # Zero-copy: the staged folder itself becomes the new base generation
-        # (full mode, first delta run) or a delta layer (later delta runs).
-        # Only ``dedupe`` (latest row per key) or narrowing without a contract
-        # needs a rewrite.
-        state.event(run_id, "stage_start", "LOAD")
-        base, _ = tables.state(pipeline)
-        as_layer = spec.mode != "full" and base is not None
-        publish_path, rewrite = load_from, None
-        if not spec.contract and narrowing:
-            rewrite = typed  # the narrowing casts need one write
+        # A generation of the table: all buckets in full mode and on a first
+        # delta, else the buckets that hold a staged key.  Nothing names it yet.
+        staged = staged_scan(spark, load_from).select(*columns) if columns else typed
+        expected = ctx.get("valid", ctx["staged"])
         if spec.dedupe and spec.replication_key:
-            staged = rewrite if rewrite is not None else staged_scan(spark, load_from)
-            if columns:
-                staged = staged.select(*columns)
-            rewrite = latest_per_key(staged, spec.pk, spec.replication_key)
-            ctx["expected"] = distinct_keys(staged, spec.pk)
-        if rewrite is not None:
-            publish_path, _, ctx["key_bytes"] = tables.write_layer(
-                pipeline, rewrite, run_id, spec.pk if _has_keys(rewrite, spec.pk) else None)
-            columns = None
-        # A zero-copy LOAD wrote nothing: its checkpoint rides with VERIFY's
-        # (a resume before that simply redoes this metadata-only stage).
-        finish_stage("LOAD", flush=rewrite is not None)
+            expected = ctx["expected"] = distinct_keys(staged, spec.pk)
+            staged = latest_per_key(staged, spec.pk, spec.replication_key)
+        if skip("LOAD"):
+            state.event(run_id, "stage_skipped", "LOAD")
+            written = Written.from_json(state.stage_checkpoint(client, pipeline, run_id, "LOAD")["value"])
+        else:
+            state.event(run_id, "stage_start", "LOAD")
+            if ctx["extracted"] > 0 and not expected:
+                raise VerificationError(f"nothing would be loaded although {ctx['extracted']} rows came in")
+            if spec.mode != "full":
+                if current is not None:
+                    check_types(current, staged)
+                kb = ctx.get("key_bytes")
+                written = tables.write_delta(pipeline, staged, spec.pk, run_id,
+                                             None if kb is None else expected, kb)
+            else:
+                written = tables.write_full(pipeline, staged, run_id, spec.pk, expected)
+            finish_stage("LOAD", value=written.to_json())
 
         # ----------------------------------------------------------- VERIFY
         # Count what is on disk (parquet metadata) before anything becomes
         # visible: a failed check leaves the old state current.
-        ctx["loaded"] = spark.read.parquet(publish_path).count()
-        expected = ctx.get("expected", ctx.get("valid", ctx["staged"]))
-        if ctx["extracted"] > 0 and ctx["loaded"] == 0:
-            raise VerificationError(f"nothing would be loaded although {ctx['extracted']} rows came in")
-        if ctx["loaded"] != expected:
-            raise VerificationError(f"the written rows ({ctx['loaded']}) are not the {expected} to be loaded")
-        if as_layer:
-            check_layer_types(spark, tables.current(pipeline), spark.read.parquet(publish_path), columns)
-            tables.add_layer(pipeline, publish_path, spec.pk, run_id, ctx["loaded"],
-                             ctx.get("key_bytes"), columns)
-        else:
-            tables.swap(pipeline, publish_path, run_id, ctx["loaded"], columns)
+        on_disk = spark.read.schema("_none int").parquet(written.path).count()
+        ctx["loaded"] = written.loaded
+        if on_disk != written.written:
+            raise VerificationError(f"{on_disk} rows on disk, {written.written} were written")
+        if written.loaded != expected:
+            raise VerificationError(f"the written rows ({written.loaded}) are not the {expected} to be loaded")
+        tables.swap(written)
         if ctx.get("new_cursor") is not None:
             state.save_cursor(client, pipeline, run_id, ctx["new_cursor"])
         state.run_row(run_id, client, pipeline, "SUCCESS", stage="VERIFY", finished=_now(),
                       records_in=ctx["extracted"], records_out=ctx["loaded"])
         finish_stage("VERIFY")  # one append: cursor, run row, event, checkpoint
+        # The table has its own copy now, and a finished run never resumes.
+        delete_path(stage_dir, spark)
         return SyncResult(pipeline, ctx["extracted"], ctx["loaded"], "success", run_id=run_id,
                           counts=dict(ctx))
     except Exception as exc:  # noqa: BLE001 - one table never stops the others
@@ -447,19 +450,15 @@ def distinct_keys(staged: DataFrame, pk) -> int:
             + staged.where(~_no_null(pk)).count())
 
 
-def check_layer_types(spark: SparkSession, current: DataFrame, layer: DataFrame,
-                      columns: list[str] | None = None) -> None:
-    """Fail the run (before anything is visible) when a staged value cannot be
-    cast to the type its column has in the published table -- the fold casts
-    it on read, so it must be castable now.  One aggregate over the staged rows,
-    only for columns whose types differ."""
+def check_types(current: DataFrame, staged: DataFrame) -> None:
+    """Fail the run with the columns at fault when a staged value cannot be
+    cast to the type its column has in the published table.  One aggregate over
+    the staged rows, only for columns whose types differ."""
     from tablesync.functions.types import added_column_type
 
-    if columns:
-        layer = layer.select(*columns)
     have = {f.name: f.dataType for f in current.schema.fields}
     checks = []
-    for f in layer.schema.fields:
+    for f in staged.schema.fields:
         target = have.get(f.name)
         if target is None or target == f.dataType or added_column_type(f.dataType) == target:
             continue
@@ -467,7 +466,7 @@ def check_layer_types(spark: SparkSession, current: DataFrame, layer: DataFrame,
         checks.append(F.sum((c.isNotNull() & c.try_cast(target).isNull()).cast("int")).alias(f.name))
     if not checks:
         return
-    bad = {k: v for k, v in layer.agg(*checks).first().asDict().items() if v}
+    bad = {k: v for k, v in staged.agg(*checks).first().asDict().items() if v}
     if bad:
         raise VerificationError(f"staged values do not fit the table's column types: {bad}")
 

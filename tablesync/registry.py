@@ -39,6 +39,16 @@ FX1_CONTRACT = [
     Field("status", "string", default="A"),
 ]
 
+# The FX-14 contract: nested fields.
+FX14_CONTRACT = [
+    Field("id", "long"),
+    Field("cliente", "struct", fields=(Field("codigo", "int"), Field("nome", "string"),
+                                       Field("pais", "string", default="BR"))),
+    Field("itens", "list", item=Field("item", "struct", fields=(Field("sku", "string"),
+                                                                Field("qtd", "int", nullable=True)))),
+    Field("tags", "map", item=Field("tag", "int")),
+]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -167,6 +177,16 @@ def narrow_types_q(spark, sf_dir):
     return narrow_types(clean.sanitize(raw))
 
 
+@query
+def narrow_nested(spark, sf_dir):
+    """Text leaves of structs and arrays typed like top-level text."""
+    out = narrow_types(fx.nested_text(_t(spark, sf_dir, "events")))
+    visit = F.get("visitas", F.lit(0))
+    return out.select("id", F.col("meta.criado").alias("criado"), F.col("meta.nota").alias("nota"),
+                      F.size("visitas").alias("n"), visit["em"].alias("em"), visit["quem"].alias("quem"),
+                      F.get("dias", F.lit(0)).alias("dia"))
+
+
 @query
 def redact(spark, sf_dir):
     msgs = fx.secrets_text(_t(spark, sf_dir, "customer"))
@@ -276,6 +296,25 @@ def dead_letters_latest(spark, sf_dir):
     return ledger.dead_letters_latest(_dead_letter_table(spark, sf_dir), runs)
 
 
+def _nested(spark, sf_dir):
+    return contracts.annotate(clean.sanitize(fx.nested_records(_t(spark, sf_dir, "events"))), FX14_CONTRACT)
+
+
+@query
+def validate_nested(spark, sf_dir):
+    """Valid nested records, coerced at every depth (nested fields as JSON)."""
+    valid = contracts.valid_rows(_nested(spark, sf_dir), FX14_CONTRACT)
+    keep = {"ignoreNullFields": "false"}
+    return valid.select("id", F.col("cliente.codigo").alias("codigo"), F.size("itens").alias("n_itens"),
+                        *[F.to_json(c, keep).alias(c) for c in ("cliente", "itens", "tags")])
+
+
+@query
+def dead_letters_nested(spark, sf_dir):
+    return contracts.dead_letters(_nested(spark, sf_dir), F.expr("id div 10"), "events").select(
+        "run_id", "stream", "record", "errors")
+
+
 # ------------------------------------------------------------------- ledger
 def _runs(spark, sf_dir):
     return fx.run_ledger(_t(spark, sf_dir, "orders"))
@@ -307,8 +346,8 @@ def run_summary(spark, sf_dir):
     return ledger.run_summary(_runs(spark, sf_dir))
 
 
-@query
-def run_fold(spark, sf_dir):
+def _run_log(spark, sf_dir):
+    """Start and finish rows of the runs."""
     runs = _runs(spark, sf_dir)
     start = runs.select("run_id", "client", F.lit("RUNNING").alias("status"), "started_at",
                         F.lit(None).cast("timestamp_ntz").alias("finished_at"),
@@ -318,9 +357,56 @@ def run_fold(spark, sf_dir):
         F.lit(None).cast("timestamp_ntz").alias("started_at"),
         F.expr("timestampadd(SECOND, records_out % 3600, started_at)").alias("finished_at"),
         F.lit(2).alias("seq"), "records_out")
+    return start, finish
+
+
+@query
+def run_fold(spark, sf_dir):
+    start, finish = _run_log(spark, sf_dir)
     return ledger.run_fold(start.unionByName(finish))
 
 
+def _append(log, kind: str, rows: DataFrame) -> None:
+    (rows.select(*[F.col(f.name).cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType)
+                   .alias(f.name) for f in log.schema.fields], F.lit(kind).alias("kind"))
+     .write.mode("append").partitionBy("kind").parquet(log.log))
+
+
+def _folded_ledger(spark, sf_dir):
+    """A ledger of two folds and a tail: the runs' starts and some finishes,
+    more finishes, the rest; checkpoints in between."""
+    from tablesync.plans.job import LEDGER_SCHEMA
+    from tablesync.plans.snapshot import Ledger
+
+    schema = LEDGER_SCHEMA.replace("timestamp", "timestamp_ntz")
+    log = Ledger(spark, scratch_dir(spark, "ledger"), schema)
+    start, finish = _run_log(spark, sf_dir)
+    steps = _checkpoint_log(_t(spark, sf_dir, "events")).withColumnRenamed("completed_at", "created_at")
+    for i in range(3):
+        if i == 0:
+            _append(log, "run", start)
+        _append(log, "run", finish.where(F.col("run_id") % 3 == i))
+        _append(log, "checkpoint", steps.where(F.col("seq") % 3 == i))
+        if i < 2:
+            log.fold()
+    return log
+
+
+@query
+def ledger_snapshot(spark, sf_dir):
+    """Runs from the snapshot with the tail on top: as folded from the whole log."""
+    log = _folded_ledger(spark, sf_dir)
+    runs = ledger.run_fold(log.read("run").withColumn("run_id", F.col("run_id").cast("long")))
+    return runs.select("run_id", "client", "started_at", "finished_at", "status", "records_out", "duration_s")
+
+
+@query
+def ledger_snapshot_checkpoints(spark, sf_dir):
+    """The current checkpoints from snapshot and tail."""
+    rows = _folded_ledger(spark, sf_dir).read("checkpoint").withColumnRenamed("created_at", "completed_at")
+    return ledger.checkpoint_latest(rows.select("client", "pipeline", "stage", "completed_at", "data_path", "seq", "cleared"))
+
+
 def _stage_events(events: DataFrame) -> DataFrame:
     kinds = F.element_at(F.array(*[F.lit(k) for k in ("stage_start", "stage_done", "stage_skipped")]),
                          (F.col("event_id") % 3 + 1).cast("int"))
@@ -423,6 +509,16 @@ def paged_delta_scan(spark, sf_dir):
     return _typed(paged.parse_records(raw, RECORD_SCHEMA))
 
 
+@query
+def paged_pushdown(spark, sf_dir):
+    """The cursor filter of a lazy scan: pushed to the fetcher as ``since`` and
+    evaluated again on the JVM; the endpoint filter leaves the others unread."""
+    root, endpoints = _write_pages(spark, sf_dir)
+    raw = paged.record_scan(spark, endpoints, "ts", path=root, page_size=PAGE_SIZE)
+    raw = raw.where((F.col("cursor") >= SINCE) & F.col("endpoint").isin(EMPTY_STREAM, SHORT_STREAM))
+    return _typed(paged.parse_records(raw, RECORD_SCHEMA))
+
+
 @query
 def paged_short_pages(spark, sf_dir):
     """A server that gives fewer records per page than asked, and no total for
@@ -448,7 +544,10 @@ def page_progress(spark, sf_dir):
 
 @query
 def page_eta(spark, sf_dir):
-    prog = _progress(spark, sf_dir).withColumn("elapsed_s", (F.col("page") * 2).cast("double"))
+    """Time left after each page, by the pages' own clock (FX-12)."""
+    scratch_dir(spark, "pages")  # registers the checkpoint folder
+    pages = fx.timed_pages(_t(spark, sf_dir, "events"), PAGE_SIZE).checkpoint(eager=True)
+    prog = ledger.page_progress(ledger.page_ledger(pages), PAGE_SIZE)
     return ledger.page_eta(prog).select("endpoint", "page", "fetched", "total", "elapsed_s", "eta_s")
 
 
@@ -495,6 +594,22 @@ def stream_upsert(spark, sf_dir):
     return store.current("fx2_stream")
 
 
+@query
+def paged_stream(spark, sf_dir):
+    """The paged source as a stream whose offset is the cursor: drained, then
+    started again with the same checkpoint folder on later pages."""
+    from tablesync.streaming.upsert_stream import drain
+    root, endpoints = _write_pages(spark, sf_dir)
+    later = fx.later_events(_t(spark, sf_dir, "events"))
+    later_root = _land(spark, fx.page_bodies(_page_records(later), F.col("event_type"), "event_id", PAGE_SIZE))
+    work = scratch_dir(spark, "paged-stream")
+    store = TableStore(spark, f"{work}/tables")
+    for path in (root, later_root):
+        source = paged.endpoint_stream(spark, endpoints, RECORD_SCHEMA, "ts", path=path, page_size=PAGE_SIZE)
+        drain(spark, source, "events_stream", "event_id", store, f"{work}/checkpoint")
+    return _typed(store.current("events_stream"))
+
+
 # ---------------------------------------------------------------------- job
 def _run(spark, spec, source, state, client="c0"):
     from tablesync.plans.job import sync_table
@@ -572,7 +687,7 @@ def publish_delta(spark, sf_dir):
     table as it was."""
     o = _t(spark, sf_dir, "orders")
     store = TableStore(spark, scratch_dir(spark, "publish-delta"))
-    store.publish("fx2_published", fx.orders_base(o), run_id="1")
+    store.publish("fx2_published", fx.orders_base(o), run_id="1", pk="o_orderkey")
     store.publish_delta("fx2_published", fx.orders_delta(o), "o_orderkey", run_id="2")
     try:
         store.publish_delta("fx2_published", fx.orders_delta(o).drop("o_orderkey"), "o_orderkey", run_id="3")
@@ -581,6 +696,22 @@ def publish_delta(spark, sf_dir):
     raise RuntimeError("a delta without its key was published")
 
 
+@query
+def publish_buckets(spark, sf_dir):
+    """Two daily deltas on a table of many key buckets: each rewrites the
+    buckets of its keys only."""
+    o = _t(spark, sf_dir, "orders")
+    store = TableStore(spark, scratch_dir(spark, "publish-buckets"), min_buckets=256)
+    first = store.publish("fx13", fx.orders_first(o), run_id="1", pk="o_orderkey")
+    day = fx.orders_last_day(o)
+    for run_id in ("2", "3"):
+        written = store.publish_delta("fx13", day.withColumn("o_totalprice", F.col("o_totalprice") + int(run_id)),
+                                      "o_orderkey", run_id=run_id)
+        if written.written >= first.rows:
+            raise RuntimeError("a daily delta rewrote the whole table")
+    return store.current("fx13")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = dict(QUERIES)
     out["narrow_types"] = out.pop("narrow_types_q")

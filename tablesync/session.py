@@ -104,6 +104,22 @@ def path_exists(path: str, spark: SparkSession | None = None) -> bool:
     return fs.exists(p)
 
 
+def list_names(path: str, spark: SparkSession | None = None, before_ms: int | None = None) -> list[str]:
+    """Names in a folder (none if there is no such folder), those last changed
+    up to ``before_ms`` where given."""
+    fs, p = hadoop_path(spark or SparkSession.active(), path)
+    if not fs.exists(p):
+        return []
+    return sorted(f.getPath().getName() for f in fs.listStatus(p)
+                  if before_ms is None or f.getModificationTime() <= before_ms)
+
+
+def delete_path(path: str, spark: SparkSession | None = None) -> bool:
+    """Delete a file or a whole folder; False if there was none."""
+    fs, p = hadoop_path(spark or SparkSession.active(), path)
+    return fs.delete(p, True)
+
+
 _SHIPPED: set[str] = set()
 
 

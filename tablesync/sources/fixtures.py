@@ -199,6 +199,58 @@ def orders_first(orders: DataFrame) -> DataFrame:
                          (F.col("o_totalprice") + 1000).alias("o_totalprice"))
 
 
+def timed_pages(events: DataFrame, page_size: int) -> DataFrame:
+    """FX-12: the events of a type as pages, oldest first; a page is fetched
+    when its latest event happens."""
+    records = events.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "event_type")
+    pages = page_bodies(records, F.col("event_type"), "event_id", page_size, descending=False)
+    times = F.transform(F.from_json("body", "registros array<struct<ts:string>>")["registros"], lambda r: r["ts"])
+    return pages.withColumn("fetched_at", F.array_max(times).cast("timestamp_ntz"))
+
+
+def nested_records(events: DataFrame) -> DataFrame:
+    """FX-14: records with a struct, a list of structs and a map, some of them
+    rejected at every depth."""
+    eid = F.col("event_id")
+    text = eid.cast("string")
+    client = F.struct(
+        F.when(eid % 9 == 0, F.concat(F.lit("x"), text)).otherwise((eid % 100).cast("string")).alias("codigo"),
+        F.when(eid % 8 != 0, F.col("event_type")).alias("nome"), text.alias("extra"))
+
+    def item(i):
+        at = eid + i
+        amount = F.when(at % 11 == 0, F.lit("muitos")).when(at % 13 != 0, (at % 50).cast("string"))
+        return F.struct(F.concat(F.lit("s"), i.cast("string")).alias("sku"), amount.alias("qtd"))
+
+    items = F.when(eid % 4 == 0, F.array().cast("array<struct<sku:string,qtd:string>>")).otherwise(
+        F.transform(F.sequence(F.lit(0).cast("long"), eid % 4 - 1), item))
+    tags = F.create_map(F.lit("k"), F.get_json_object("props", "$.k"), F.lit("u"),
+                        F.when(eid % 23 == 0, F.lit("abc")).otherwise(F.col("user_id").cast("string")))
+    return events.select(eid.alias("id"), F.when(eid % 19 != 0, client).alias("cliente"), items.alias("itens"),
+                         tags.alias("tags"))
+
+
+def nested_text(events: DataFrame) -> DataFrame:
+    """FX-15: staged JSON whose text leaves hold dates and times at several
+    depths, and one that mixes them with other text."""
+    day, time = F.date_format("ts", "yyyy-MM-dd"), F.date_format("ts", TS_TEXT)
+    eid = F.col("event_id")
+    meta = F.struct(day.alias("criado"), F.when(eid % 7 == 0, F.lit("n/d")).otherwise(day).alias("nota"))
+    visits = F.when(eid % 3 != 0, F.array(F.struct(time.alias("em"), F.col("user_id").alias("quem")),
+                                          F.struct(F.lit(None).cast("string").alias("em"), eid.alias("quem"))))
+    return events.select(eid.alias("id"), F.when(eid % 5 != 0, meta).alias("meta"), visits.alias("visitas"),
+                         F.array(day, F.lit(None).cast("string")).alias("dias"))
+
+
+def orders_last_day(orders: DataFrame) -> DataFrame:
+    """FX-13 staging: the orders of the latest day, at a new price."""
+    day = F.to_date("o_orderdate")
+    last = orders.agg(F.max(day).alias("_last"))
+    return (orders.join(F.broadcast(last), day == F.col("_last"))
+            .select("o_orderkey", "o_custkey", "o_orderstatus", (F.col("o_totalprice") + 1000).alias("o_totalprice"),
+                    F.lit("web").alias("o_channel")))
+
+
 def keyed_changes(lineitem: DataFrame) -> DataFrame:
     """FX-11: many changes per key, some without a key, some without a time."""
     when = F.concat(F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(" "),
@@ -209,9 +261,9 @@ def keyed_changes(lineitem: DataFrame) -> DataFrame:
 
 
 def page_bodies(records: DataFrame, endpoint: Column, order: str, page_size: int,
-                terminators: bool = True) -> DataFrame:
-    """Cut records into API pages: per endpoint, ``order`` descending,
-    ``page_size`` per page, body ``{"registros": [...], "total": "<n>"}``.
+                terminators: bool = True, descending: bool = True) -> DataFrame:
+    """Cut records into API pages: per endpoint, by ``order``, ``page_size``
+    per page, body ``{"registros": [...], "total": "<n>"}``.
 
     Page numbers come from ``ordinal.row_ordinal`` (no one-task window per
     endpoint); a page's list is bounded by ``page_size``.  With
@@ -222,11 +274,11 @@ def page_bodies(records: DataFrame, endpoint: Column, order: str, page_size: int
 
     rec_cols = records.columns
     numbered = row_ordinal(records.withColumn("endpoint", endpoint), ["endpoint"], order,
-                           "_rn", descending=True, total_col="_total")
+                           "_rn", descending=descending, total_col="_total")
     paged = numbered.withColumn("page", (F.expr(f"(_rn - 1) div {int(page_size)}") + 1).cast("int"))
     per_page = (paged.groupBy("endpoint", "page")
                 .agg(F.first("_total").alias("_total"),
-                     F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in rec_cols])), asc=False)
+                     F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in rec_cols])), asc=not descending)
                      .alias("registros")))
     bodies = per_page.select(
         "endpoint", "page",

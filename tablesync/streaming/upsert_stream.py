@@ -1,8 +1,8 @@
 """Incremental sync as Structured Streaming micro-batches.
 
-``readStream`` over landing files -> ``foreachBatch``: clean the batch, stage
-it as parquet (the batch's restart point) and publish it as a keyed delta layer
-of the table (O(batch) work; readers fold layers with the keyed upsert).  The
+``readStream`` over landing files or the paged source -> ``foreachBatch``:
+clean the batch, stage it as parquet (read several times below) and publish it
+as a keyed delta of the table, which rewrites the key buckets it touches.  The
 one pointer row that publishes a batch names its query and batch id, so a
 replay after a crash finds the batch published and changes nothing, and
 another query -- or the same one with a new checkpoint folder -- has ids of
@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tablesync.functions.clean import sanitize, strip_nul_all
 from tablesync.operators.upsert import key_bytes
 from tablesync.plans.publish import TableStore
+from tablesync.session import delete_path
 
 # Set by Spark on the thread that runs a micro-batch.
 QUERY_ID = "sql.streaming.queryId"
@@ -41,16 +42,16 @@ def make_batch_upsert(spark: SparkSession, table: str, pk, store: TableStore, qu
             first = False
             return
         first = False
-        # A fresh folder per attempt: a replayed batch never rewrites a folder
-        # that an earlier attempt may already have published as a layer.
         stage = f"{store.root}/_staging/{table}/batch={batch_id}-{uuid.uuid4().hex[:8]}"
         obs = Observation(f"batch_{table}_{batch_id}")
-        strip_nul_all(sanitize(batch)).observe(obs, F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("kb")) \
+        cleaned = strip_nul_all(sanitize(batch))
+        cleaned.observe(obs, F.count(F.lit(1)).alias("n"), key_bytes(pk).alias("kb")) \
             .write.mode("errorifexists").parquet(stage)
         rows = int(obs.get["n"])
         if rows:
-            # Zero-copy, O(batch): the staged batch folder becomes a delta layer.
-            store.adopt_delta(table, stage, pk, run_id=run_id, rows=rows, key_bytes=obs.get.get("kb"))
+            staged = spark.read.schema(cleaned.schema).parquet(stage)
+            store.publish_delta(table, staged, pk, run_id, rows, rows, int(obs.get["kb"] or 0))
+        delete_path(stage, spark)
 
     return apply
 
@@ -70,7 +71,12 @@ def run_stream_upsert(spark: SparkSession, path: str, schema: str, table: str, p
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    q = start_stream_upsert(spark, reader.load(path), table, pk, store, checkpoint)
+    drain(spark, reader.load(path), table, pk, store, checkpoint)
+
+
+def drain(spark: SparkSession, source: DataFrame, table: str, pk, store: TableStore, checkpoint: str) -> None:
+    """Upsert all that ``source`` has now (availableNow) and stop."""
+    q = start_stream_upsert(spark, source, table, pk, store, checkpoint)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -124,3 +125,74 @@ def test_empty_batch_and_no_contract(spark):
     assert ann.count() == 0
     valid, ann2 = ct.validate(df, None)
     assert valid is df and ann2 is None
+
+
+NESTED = [
+    Field("id", "long"),
+    Field("dono", "struct", nullable=True, fields=[
+        Field("nome", "string"), Field("idade", "int", nullable=True), Field("uf", "string", default="SP"),
+        Field("casa", "struct", nullable=True, fields=[Field("cep", "int")])]),
+    Field("notas", "list", item=Field("nota", "double")),
+    Field("pares", "list", default=[], item=Field("par", "list", item=Field("n", "int"))),
+    Field("mapa", "map", nullable=True, item=Field("valor", "int")),
+]
+NESTED_DDL = ("id string, dono struct<nome:string,idade:string,casa:struct<cep:string,rua:string>,sobra:int>, "
+              "notas array<string>, pares array<array<string>>, mapa map<string,string>")
+
+
+def _nested(spark, rows, ddl=NESTED_DDL, contract=NESTED):
+    ann = ct.annotate(spark.createDataFrame(rows, ddl), contract)
+    return ann, {r.id: [(list(e.loc), e.type, e.input) for e in r._errors] for r in ann.collect()}
+
+
+def test_nested_values_are_coerced_at_every_depth(spark):
+    rows = [("1", ("ana", " 30 ", ("01000", "r"), 1), ["1", "2.5"], [["1", "2"], []], {"a": "1", "b": "+2"}),
+            ("2", ("bia", None, None, None), [], [], {}), ("3", None, ["0"], [[]], None)]
+    ann, errors = _nested(spark, rows)
+    assert errors == {"1": [], "2": [], "3": []}
+    out = ct.valid_rows(ann, NESTED)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == [f.spark_type.simpleString() for f in NESTED]
+    got = {r.id: r.asDict(recursive=True) for r in out.collect()}
+    assert got[1] == {"id": 1, "dono": {"nome": "ana", "idade": 30, "uf": "SP", "casa": {"cep": 1000}},
+                      "notas": [1.0, 2.5], "pares": [[1, 2], []], "mapa": {"a": 1, "b": 2}}
+    assert got[2]["dono"] == {"nome": "bia", "idade": None, "uf": "SP", "casa": None} and got[2]["mapa"] == {}
+    assert got[3]["dono"] is None and got[3]["mapa"] is None
+
+
+def test_nested_errors_name_their_path(spark):
+    rows = [("x", (None, "3.5", ("?", None), 1), ["1", None, "z"], [["1"], ["q", None]], {"a": "1", "b": "two", "c": None})]
+    _, errors = _nested(spark, rows)
+    assert errors["x"] == [
+        (["id"], "int_parsing", "x"), (["dono", "nome"], "string_type", None), (["dono", "idade"], "int_parsing", "3.5"),
+        (["dono", "casa", "cep"], "int_parsing", "?"), (["notas", "1"], "float_type", None),
+        (["notas", "2"], "float_parsing", "z"), (["pares", "1", "0"], "int_parsing", "q"),
+        (["pares", "1", "1"], "int_type", None), (["mapa", "b"], "int_parsing", "two"), (["mapa", "c"], "int_type", None)]
+
+
+def test_nested_fields_of_another_shape_or_absent(spark):
+    ann, errors = _nested(spark, [("1", "text", (["a"],), ("1", None))],
+                          "id string, dono string, notas struct<x:array<string>>, mapa struct<k:string,z:string>")
+    assert errors["1"] == [(["dono"], "model_type", "text"), (["notas"], "list_type", '{"x":["a"]}')]
+    only = [NESTED[0], NESTED[3], NESTED[4], Field("falta", "struct", fields=[Field("a", "int")])]
+    ann, errors = _nested(spark, [("1", ("7", None))], "id string, mapa struct<k:string,z:string>", only)
+    # A list with a default; a JSON object as a map, its absent key no entry; a struct that is required.
+    assert errors["1"] == [(["falta"], "missing", None)]
+    row = ann.select("`_v_pares`", "`_v_mapa`").first()
+    assert row[0] == [] and row[1] == {"k": 7}
+    with pytest.raises(ValueError):
+        Field("a", "struct")
+    with pytest.raises(ValueError):
+        Field("a", "int", item=Field("b", "int"))
+
+
+def test_nested_contract_in_the_job(spark, workdir):
+    from tablesync.plans.job import StateStore, SyncSpec, sync_table
+
+    rows = [("1", ("ana", None, None, None), ["1"], [], {}), ("2", ("bia", "x", None, None), ["1"], [], {})]
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("n", pk="id", contract=NESTED)
+    res = sync_table(spark, spec, lambda since: spark.createDataFrame(rows, NESTED_DDL), state)
+    assert res.status == "success" and res.records_loaded == 1
+    assert state.tables.current("n").first().dono.nome == "ana"
+    dead = spark.read.parquet(state.path("dead_letters")).first()
+    assert '"loc":["dono","idade"]' in dead.errors and '"bia"' in dead.record

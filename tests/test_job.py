@@ -115,32 +115,105 @@ def test_generation_swap_changes_types(spark, workdir):
     assert dict(spark.table("w").dtypes)["id"] == "bigint"
 
 
-def test_layers_fold_like_sequential_upserts_and_compact(spark, workdir):
+def _sorted(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is None, str(v)) for v in r])
+
+
+def test_deltas_equal_sequential_upserts(spark, workdir):
     from tablesync.operators.upsert import delta_upsert
 
-    store = TableStore(spark, workdir, max_layers=3, max_layer_fraction=10.0)
+    store = TableStore(spark, workdir)
     base = spark.createDataFrame([(i, f"b{i}") for i in range(100)], "id long, v string")
-    store.publish("l", base, run_id="0")
+    store.publish("l", base, run_id="0", pk="id")
     expected = base
     for n in range(1, 6):
         delta = spark.createDataFrame([(i, f"d{n}-{i}") for i in range(n * 10, n * 10 + 15)] + [(None, "x")],
                                       "id long, v string")
         if n == 4:
             delta = delta.withColumn("extra", F.lit(n))
-        store.publish_delta("l", delta, "id", run_id=str(n))
+        written = store.publish_delta("l", delta, "id", run_id=str(n), expected=16)
         expected = delta_upsert(expected, delta, "id")
-        key = lambda r: [(v is None, str(v)) for v in r]
-        got = sorted((tuple(r) for r in store.current("l").collect()), key=key)
-        assert got == sorted((tuple(r) for r in expected.collect()), key=key)
-        if n == 4:
-            # Publishing never rewrites the table; compaction is a job of its own.
-            assert store.wants_compaction("l") and len(store.state("l")[1]) == 4
-            store.compact("l")
-            assert not store.wants_compaction("l")
-    base_row, layers = store.state("l", refresh=True)
-    assert base_row["run_id"].startswith("compact-") and len(layers) == 1
-    plan = store.current("l")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert _sorted(store.current("l")) == _sorted(expected)
+        assert written.rows == expected.count() and written.loaded == 16
+    assert store.state("l", refresh=True)["run_id"] == "5"
+    assert store.current("l").columns == ["id", "v", "extra"]
+
+
+def _files(workdir, folder):
+    from pathlib import Path
+
+    return {p.name: p.stat().st_mtime_ns for p in Path(workdir, "t", folder).iterdir()}
+
+
+def test_a_delta_rewrites_only_the_buckets_of_its_keys(spark, workdir):
+    store = TableStore(spark, workdir, min_buckets=16)
+    store.publish("t", spark.range(2000).select("id", (F.col("id") % 7).alias("v")), run_id="0", pk="id")
+    before = dict(store.state("t")["folders"])
+    files = {b: _files(workdir, f) for b, f in before.items()}
+    delta = spark.createDataFrame([(5, -1), (6, -1), (None, -1)], "id long, v long")
+    written = store.publish_delta("t", delta, "id", run_id="1")
+    after = store.state("t", refresh=True)["folders"]
+    changed = {b for b in after if after[b] != before.get(b)}
+    assert len(before) == 16 and 1 <= len(changed) <= 2
+    assert all(_files(workdir, before[b]) == files[b] for b in before)  # the old state is whole, too
+    assert written.written < 2000 / 16 * 2 * 1.5 and written.rows == 2001
+    assert store.current("t").where("v = -1").count() == 3 and store.current("t").count() == 2001
+    # Only rows without a key: one bucket takes them.
+    store.publish_delta("t", delta.where("id IS NULL"), "id", run_id="2")
+    assert sum(store.state("t")["folders"][b] != after[b] for b in after) == 1
+    assert store.current("t").where("id IS NULL").count() == 2
+
+
+def test_a_failed_publish_leaves_the_old_pointer(spark, workdir, monkeypatch):
+    store = TableStore(spark, workdir)
+    store.publish("f", spark.range(50), run_id="0", pk="id")
+    with pytest.raises(VerificationError):
+        store.publish_delta("f", spark.range(40, 60), "id", run_id="1", expected=21)
+
+    def lost(self, written):
+        raise RuntimeError("driver lost before the pointer row")
+
+    with monkeypatch.context() as m:
+        m.setattr(TableStore, "swap", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            store.publish_delta("f", spark.range(40, 60), "id", run_id="2")
+    fresh = TableStore(spark, workdir)
+    assert fresh.state("f")["run_id"] == "0" and fresh.current("f").count() == 50
+    fresh.publish_delta("f", spark.range(40, 60), "id", run_id="3")
+    assert fresh.current("f").count() == 60
+
+
+def test_vacuum_deletes_what_no_recent_state_names(spark, workdir):
+    store = TableStore(spark, workdir)
+    store.publish("t", spark.range(100), run_id="0", pk="id")
+    with pytest.raises(VerificationError):
+        store.publish("t", spark.range(5), run_id="orphan", expected=6)
+    for n in range(1, 4):
+        store.publish_delta("t", spark.range(n, n + 2), "id", run_id=str(n))
+    previous = store.current("t")
+    store.publish("t", spark.range(10), run_id="4", pk="id")
+    gone = store.vacuum("t", keep=2)
+    assert any("orphan" in f for f in gone) and store.superseded("t", keep=2) == []
+    assert previous.count() == 100 and store.current("t").count() == 10
+    assert store.vacuum("t", keep=1) and store.current("t").count() == 10
+    assert store.vacuum("none") == []
+
+
+def test_buckets_follow_the_key_and_the_size(spark, workdir):
+    store = TableStore(spark, workdir, rows_per_bucket=10, min_buckets=2)
+    store.publish("g", spark.createDataFrame([(i, i * 0.5) for i in range(20)], "id long, x double"), run_id="0", pk="id")
+    assert store.state("g")["buckets"] == 2
+    more = spark.createDataFrame([(i, i * 0.5) for i in range(100)], "id int, x double")
+    store.publish_delta("g", more, "id", run_id="1")  # touches all buckets: they are cut smaller
+    assert store.state("g")["buckets"] == 12 and store.current("g").count() == 100
+    # Another key re-deals the rows; -0.0 is 0.0.
+    store.publish_delta("g", spark.createDataFrame([(-1, -0.0)], "id long, x double"), "x", run_id="2")
+    assert store.state("g")["pk"] == ["x"] and store.current("g").count() == 100
+    assert [r.id for r in store.current("g").where("x = 0").collect()] == [-1]
+    store.publish("g", spark.range(0), run_id="3", pk="id")
+    assert store.current("g").count() == 0 and store.current("g").columns == ["id"]
+    store.publish_delta("g", spark.range(3), "id", run_id="4")
+    assert store.current("g").count() == 3
 
 
 def test_all_rows_rejected_fails_verification_before_swap(spark, workdir):
@@ -258,18 +331,19 @@ def test_resumed_run_still_saves_the_cursor(spark, workdir):
     assert state.saved_cursor("c", "t") == "2024-01-03 10:00:00"
 
 
-def test_layer_key_bytes_budget_asks_for_compaction(spark, workdir):
-    store = TableStore(spark, workdir, max_layers=100, max_layer_fraction=100.0, max_layer_key_bytes=1000)
-    keys = lambda n: spark.range(n).withColumnRenamed("id", "k")
-    store.publish("b", keys(100), run_id="0")
-    store.publish_delta("b", keys(10), "k", run_id="1")
-    assert not store.wants_compaction("b")
-    store.publish_delta("b", keys(200), "k", run_id="2")
-    assert store.wants_compaction("b") and len(store.state("b", refresh=True)[1]) == 2
-    store.compact("b")
-    base, layers = store.state("b", refresh=True)
-    assert base["run_id"].startswith("compact-") and layers == [] and store.current("b").count() == 200
-    assert {r.run_id for r in store.superseded("b").collect()} == {"0", "1", "2"}
+def test_a_finished_run_leaves_no_staged_files(spark, workdir):
+    from tablesync.session import list_names
+
+    state = StateStore(spark, workdir)
+    done = sync_table(spark, SyncSpec("t", pk="id"), _source(spark), state)
+    failed = sync_table(spark, SyncSpec("t", pk="id"), _source(spark), state, fail_after="LOAD")
+    assert done.status == "success" and list_names(f"{workdir}/staging/default/t") == [f"run={failed.run_id}"]
+    before = {r.run_id for r in spark.read.parquet(state.tables.pointer_path).collect()}
+    resumed = sync_table(spark, SyncSpec("t", pk="id"), _source(spark), state, from_checkpoint=True)
+    # What LOAD wrote is published, not written again.
+    assert resumed.status == "success" and resumed.counts["loaded"] == 4
+    assert {r.run_id for r in spark.read.parquet(state.tables.pointer_path).collect()} - before == {failed.run_id}
+    assert list_names(f"{workdir}/staging/default/t") == []
 
 
 def test_delta_without_its_key_is_refused_and_changes_nothing(spark, workdir):
@@ -403,3 +477,68 @@ def test_monitoring_queries_run_on_the_job_ledger(spark, workdir):
     dead = spark.read.parquet(state.path("dead_letters"))
     latest = ledger.dead_letters_latest(dead, state.runs(), client="acme").collect()
     assert [r.run_id for r in latest] == [last.run_id] and latest[0].stream == "c"
+
+
+# -------------------------------------------------------------- the ledger
+def _ledger_files(workdir):
+    from pathlib import Path
+
+    return [str(p) for d in ("ledger", "ledger_snapshot", "ledger_folds")
+            for p in Path(workdir, d).rglob("*.parquet")]
+
+
+def _ledger_state(state):
+    from tablesync.operators import ledger
+
+    runs = {r.run_id: (r.client, r.pipeline, r.status, r.stage, r.records_out, r.error, r.started_at, r.finished_at)
+            for r in state.runs().collect()}
+    points = {tuple(r) for r in ledger.checkpoint_latest(state.checkpoints()).collect()}
+    return runs, points, sorted(tuple(r) for r in state.events().collect()), state.saved_cursor("acme", "t")
+
+
+def test_a_folded_ledger_says_the_same_in_few_files(spark, workdir):
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="full")
+    for n in range(3):
+        sync_table(spark, spec, _source(spark), state, client="acme", fail_after="LOAD" if n == 1 else None)
+    sync_table(spark, SyncSpec("u", pk="id"), _source(spark), state, client="acme", fail_after="EXTRACT")
+    before = _ledger_state(StateStore(spark, workdir))
+    assert len(before[0]) == 4 and len(_ledger_files(workdir)) > 12
+    assert state.fold() > 12
+    assert _ledger_state(StateStore(spark, workdir)) == before
+    # One day: a file a kind, and the marker.
+    assert len(_ledger_files(workdir)) <= 5 and state.fold() == 0
+    # A tail on top, a run that began before the fold goes on, and folds again.
+    done = sync_table(spark, SyncSpec("u", pk="id"), _source(spark), state, client="acme", from_checkpoint=True)
+    assert done.status == "success" and state.runs().where(F.col("run_id") == done.run_id).first().status == "SUCCESS"
+    sync_table(spark, spec, _source(spark), state, client="acme")
+    before = _ledger_state(StateStore(spark, workdir))
+    assert len(before[0]) == 5
+    state.fold()
+    assert _ledger_state(StateStore(spark, workdir)) == before and len(_ledger_files(workdir)) <= 5
+
+
+@pytest.mark.parametrize("lost_at", ["marker", "deletions"])
+def test_a_fold_cut_off_changes_nothing(spark, workdir, monkeypatch, lost_at):
+    from tablesync.plans import snapshot
+
+    state = StateStore(spark, workdir)
+    spec = SyncSpec("t", pk="id", replication_key="ultima_atualizacao", mode="full")
+    sync_table(spark, spec, _source(spark), state, client="acme")
+    state.fold()
+    sync_table(spark, spec, _source(spark), state, client="acme", fail_after="LOAD")
+    before = _ledger_state(StateStore(spark, workdir))
+
+    def lost(*a, **k):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(snapshot.time if lost_at == "marker" else snapshot, "time_ns" if lost_at == "marker" else "delete_path", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            state.fold()
+    assert _ledger_state(StateStore(spark, workdir)) == before
+    again = StateStore(spark, workdir)
+    again.fold()
+    assert _ledger_state(StateStore(spark, workdir)) == before and again.fold() == 0
+    resumed = sync_table(spark, spec, _source(spark), again, client="acme", from_checkpoint=True)
+    assert resumed.status == "success" and len(again.runs().collect()) == 2

@@ -95,8 +95,9 @@ def test_paged_source_splits_pages_into_partitions(spark, workdir):
     recs = [{"id": i, "nome": f"n{i}"} for i in range(23)]
     bodies = [{"registros": recs[i:i + 5], "total": "23"} for i in range(0, 23, 5)] + [{"registros": []}]
     _write_pages(workdir, "cliente", bodies)
+    pages = paged.read_pages(spark, ["cliente"], workdir, page_size=5, pages_per_partition=2)
+    assert pages.rdd.getNumPartitions() == 3
     df = paged.paged_scan(spark, ["cliente"], path=workdir, page_size=5, pages_per_partition=2)
-    assert df.rdd.getNumPartitions() == 3
     rows = paged.parse_records(df, "id long, nome string").collect()
     assert sorted(r.id for r in rows) == list(range(23))
 
@@ -104,8 +105,8 @@ def test_paged_source_splits_pages_into_partitions(spark, workdir):
 def test_paged_source_unknown_total_is_probed(spark, workdir):
     bodies = [{"registros": [{"id": i}], "total": "" if i % 2 else "abc"} for i in range(11)]
     _write_pages(workdir, "x", bodies + [{"registros": None}, {"registros": [{"id": 99}]}])
+    assert paged.read_pages(spark, ["x"], workdir, page_size=1, pages_per_partition=4).rdd.getNumPartitions() == 3
     df = paged.paged_scan(spark, ["x"], path=workdir, page_size=1, pages_per_partition=4)
-    assert df.rdd.getNumPartitions() == 3
     assert sorted(r.id for r in paged.parse_records(df, "id long").collect()) == list(range(11))
 
 
@@ -182,11 +183,184 @@ def test_paged_source_page_output_matches_records(spark, workdir):
     recs = [{"id": i, "nome": f"n{i}"} for i in range(9)]
     _write_pages(workdir, "p", [{"registros": recs[i:i + 4], "total": "9"} for i in range(0, 9, 4)])
     pages = paged.paged_scan(spark, ["p"], path=workdir, page_size=4, output="pages")
-    assert pages.columns == ["endpoint", "page", "total", "body"] and pages.count() == 3
+    assert pages.columns == ["endpoint", "page", "total", "fetched_at", "body"] and pages.count() == 3
     rows = paged.parse_records(paged.explode_pages(pages), "id long, nome string").collect()
     assert sorted(r.id for r in rows) == list(range(9))
 
 
+# A server in a folder: records of an endpoint in one file, filtered by the
+# server and cut into pages as asked; every request leaves a file.
+FETCHER = """
+import json, os, uuid
+
+class Server:
+    def __init__(self, options):
+        self.root, self.key = options["path"].removeprefix("file:"), options.get("replicationkey", "at")
+
+    def records(self, endpoint, since):
+        with open(f"{self.root}/{endpoint}.json") as fh:
+            rows = json.load(fh)
+        return [r for r in rows if since is None or (r.get(self.key) or "") >= since]
+
+    def fetch(self, endpoint, page, page_size, since):
+        with open(f"{self.root}/log/{endpoint}-{page}-{uuid.uuid4().hex}", "w") as fh:
+            fh.write(since or "")
+        rows = self.records(endpoint, since)
+        return {"registros": rows[(page - 1) * page_size:page * page_size], "total": str(len(rows))}
+
+    def newest(self, endpoint, key, since, numeric):
+        return max((r[key] for r in self.records(endpoint, since) if r.get(key)), default=None)
+"""
+
+
+@pytest.fixture()
+def server(spark, workdir):
+    name = f"server_{os.path.basename(workdir).replace('-', '_')}"
+    os.makedirs(f"{workdir}/log")
+    with open(f"{workdir}/{name}.py", "w") as fh:
+        fh.write(FETCHER)
+    spark.sparkContext.addPyFile(f"{workdir}/{name}.py")
+
+    def put(endpoint, rows):
+        with open(f"{workdir}/{endpoint}.json", "w") as fh:
+            json.dump(rows, fh)
+
+    def asked():
+        """Requests since the last call, by endpoint and page."""
+        names = sorted(os.listdir(f"{workdir}/log"))
+        for n in names:
+            os.remove(f"{workdir}/log/{n}")
+        return ["-".join(n.split("-")[:2]) for n in names]
+
+    return f"{name}:Server", put, asked
+
+
+def _day(i):
+    return f"2024-{1 + i // 28:02d}-{1 + i % 28:02d} 00:00:00"
+
+
+def test_a_cursor_filter_is_pushed_to_the_server(spark, workdir, server):
+    fetcher, put, asked = server
+    put("a", [{"id": i, "at": _day(i), "x": {"n": [1.50, "é"]}} for i in range(100)])
+    put("b", [{"id": i, "at": _day(i)} for i in range(100)] + [{"id": 100, "at": None}])
+    scan = paged.record_scan(spark, ["a", "b"], "at", workdir, page_size=10, pages_per_partition=3, fetcher=fetcher)
+    asked()
+    assert scan.count() == 201 and len(asked()) >= 21
+    late = scan.where((F.col("cursor") >= _day(85)) & (F.col("endpoint") == "a"))
+    assert sorted(r.id for r in paged.parse_records(late, "id long").collect()) == list(range(85, 100))
+    pages = asked()
+    assert set(pages) <= {"a-1", "a-2", "a-3"} and len(pages) <= 5  # of ten pages each
+    # What the source cannot take over stays with Spark; null cursors match nothing.
+    both = scan.where((F.col("cursor") > _day(97)) & (F.length("record") > 10))
+    assert sorted((r.endpoint, r.cursor) for r in both.collect()) == [(e, _day(i)) for e in "ab" for i in (98, 99)]
+    asked()
+    assert scan.where(F.col("cursor") < _day(2)).count() == 4 and len(asked()) >= 20
+    record = scan.where(F.col("cursor") == _day(7)).where("endpoint = 'a'").first()
+    assert json.loads(record.record) == {"id": 7, "at": _day(7), "x": {"n": [1.5, "é"]}}
+    assert record.fetched_at is not None and record.total == "93"
+
+
+def test_record_texts_are_as_fetched():
+    text = ' {"total" : "3", "x": {"registros": [0]}, "registros": [ {"a" : 1.50} ,{"b": "]}"}, null ] , "y":[]} '
+    records, total = paged.split_page(text)
+    assert [r for r, _ in records] == ['{"a" : 1.50}', '{"b": "]}"}', "null"] and total == "3"
+    assert paged.split_page('{"registros": null, "total": 7}') == ([], 7)
+    assert paged.split_page("") == ([], None) and paged.split_page("{}") == ([], None)
+    assert [paged.cursor_text(v) for v in ("a", "", None, 1.5, True)] == ["a", None, None, "1.5", "true"]
+    with pytest.raises(paged.PagingError):
+        paged.split_page("[1]")
+
+
+def test_a_short_total_is_found_without_fetching_again(spark, workdir, server, monkeypatch):
+    fetcher, put, asked = server
+    put("s", [{"id": i, "at": _day(i)} for i in range(40)])
+    paged.paged_scan(spark, ["s"], workdir, page_size=5, pages_per_partition=2, fetcher=fetcher)
+    once = asked()
+    # Page 1 is planned with; then each page, and the empty one after the last.
+    assert sorted(once) == sorted(["s-1"] + [f"s-{p}" for p in range(1, 10)])
+    bodies = [{"registros": [{"id": p}] * (3 if p != 2 else 1), "total": "9"} for p in range(3)]
+    _write_pages(workdir + "/files", "u", bodies)
+    fetched = []
+    original = paged.DirectoryFetcher.fetch_text
+    monkeypatch.setattr(paged.DirectoryFetcher, "fetch_text",
+                        lambda self, e, p, n, since: fetched.append(p) or original(self, e, p, n, since))
+    with pytest.raises(paged.PagingError, match="7 records, short of the total 9"):
+        paged.paged_scan(spark, ["u"], workdir + "/files", page_size=3)
+    assert fetched in ([], [1])  # on the driver: only the page planned with
+
+
+def test_arrow_batches_hold_many_pages():
+    reader = paged._Pages({"endpoints": "e", "path": "/none"})
+    reader._text = lambda f, e, p, s: json.dumps({"registros": [{"id": p}] if p < 6 else [], "total": 5})
+    batches = list(reader.batches(paged.PageRange("e", 1, 3, True)))
+    assert [b.num_rows for b in batches] == [5] and batches[0].schema == paged._ARROW["pages"]
+    assert batches[0]["total"].to_pylist() == ["5"] * 5
+
+
+def _stream(spark, store, server_options, checkpoint):
+    from tablesync.streaming.upsert_stream import drain
+
+    source = paged.endpoint_stream(spark, ["a", "b"], "id long, at string, v string", "at", **server_options)
+    drain(spark, source, "st", "id", store, checkpoint)
+    return sorted((r.id, r.at, r.v) for r in store.current("st").collect())
+
+
+def test_a_restarted_stream_asks_for_new_pages_only(spark, workdir, server):
+    from tablesync.plans.publish import TableStore
+
+    fetcher, put, asked = server
+    rows = {e: [{"id": 100 * k + i, "at": _day(i), "v": "old"} for i in range(60)] for k, e in enumerate("ab")}
+    rows["a"].append({"id": 99, "at": None, "v": "never"})
+    for e in "ab":
+        put(e, rows[e])
+    store = TableStore(spark, f"{workdir}/tables")
+    options = {"path": workdir, "page_size": 5, "pages_per_partition": 4, "fetcher": fetcher}
+    first = _stream(spark, store, options, f"{workdir}/cp")
+    assert len(first) == 121 and len(asked()) >= 24
+    generation = store.state("st")["run_id"]
+    # Nothing new: the newest cursor is the saved one.
+    assert _stream(spark, store, options, f"{workdir}/cp") == first
+    assert store.state("st", refresh=True)["run_id"] == generation and set(asked()) <= {"a-1", "b-1"}
+    # Changed and new records: only their pages are asked for.
+    rows["a"][3].update(at=_day(70), v="new")
+    rows["b"].append({"id": 500, "at": _day(71), "v": "new"})
+    for e in "ab":
+        put(e, rows[e])
+    second = _stream(spark, store, options, f"{workdir}/cp")
+    pages = asked()
+    assert set(pages) <= {"a-1", "a-2", "b-1", "b-2"}
+    assert [r for r in second if r[2] == "new"] == [(3, _day(70), "new"), (500, _day(71), "new")] and len(second) == 122
+    # A replay of all batches by another query changes nothing.
+    assert _stream(spark, store, options, f"{workdir}/cp2") == second
+
+
+def test_stream_cursors_as_numbers():
+    reader = paged.PagedStreamReader({"endpoints": "e", "path": "/none", "replicationKey": "k", "numeric": "true"})
+    part = paged.PageRange("e", 1, 1, False, "9", "10")
+    assert [reader.pages._between(c, part) for c in ("8", "9", "9.5", "10", "11", "x", None)] == \
+        [False, True, True, True, False, False, False]
+    assert reader.pages._between(None, paged.PageRange("e", 1, 1, False, None, "10"))
+    assert reader.partitions({"cursor": "10"}, {"cursor": "9"})[0].endpoint == ""
+    with pytest.raises(paged.PagingError):
+        paged.PagedStreamReader({"endpoints": "e"})
+
+
+def test_eta_by_fetch_times(spark, workdir):
+    _write_pages(workdir, "e", [{"registros": [{"id": i}] * 5, "total": "12"} for i in range(2)] +
+                 [{"registros": [{"id": 1}] * 2, "total": "12"}])
+    landed = paged.paged_scan(spark, ["e"], path=workdir, page_size=5, output="pages")
+    eta = ledger.page_eta(ledger.page_progress(ledger.page_ledger(landed), 5)).orderBy("page").collect()
+    assert [r.fetched for r in eta] == [5, 10, 12] and eta[2].eta_s is None
+    assert 0 <= eta[0].elapsed_s <= eta[1].elapsed_s <= eta[2].elapsed_s < 60 and eta[1].eta_s >= 0
+    # A later page that came earlier does not count before the pages up to it are there.
+    rows = [("e", 1, 5, 20, "2024-01-01 00:00:04"), ("e", 2, 5, 20, "2024-01-01 00:00:02"),
+            ("e", 3, 5, 20, "2024-01-01 00:00:08")]
+    df = spark.createDataFrame(rows, "endpoint string, page long, n_records long, total long, fetched_at string")
+    prog = ledger.page_progress(df.withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz")), 5)
+    got = [(r.elapsed_s, r.eta_s) for r in ledger.page_eta(prog).orderBy("page").collect()]
+    assert got == [(2.0, 6.0), (2.0, 2.0), (6.0, 2.0)]
+
+
 def test_running_total_with_sparse_keys_picks_wide_blocks(spark):
     from tablesync.operators.ordinal import block_bits_for
 

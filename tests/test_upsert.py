@@ -101,6 +101,44 @@ def test_narrow_types_dates_and_timestamps(spark):
     assert types == {"d": T.DateType(), "t": T.TimestampNTZType(), "m": T.StringType(), "n": T.StringType()}
 
 
+def test_narrow_types_inside_structs_arrays_and_maps(spark):
+    import datetime as dt
+
+    from tablesync.functions.types import narrow_plan
+
+    ddl = ("a struct<d:string,x:string,n:int>, b array<struct<t:string,s:array<string>>>, c map<string,string>, "
+           "e array<string>, `f.g` struct<d:string>, h array<string>")
+    rows = [(("2024-01-02", "2024-01-02", 1), [("2024-01-02 10:00:00", ["2024-01-01", None]), (None, None)],
+             {"k": "2024-05-05"}, [], ("2024-01-09",), ["2024-01-02", "no"]),
+            (None, None, None, None, None, None),
+            (("2024-02-02", "other", None), [], {}, [None], None, ["2024-01-02"])]
+    df = spark.createDataFrame(rows, ddl)
+    assert narrow_plan(df) == {("a", "d"): "date", ("b", "[]", "t"): "timestamp_ntz", ("b", "[]", "s", "[]"): "date",
+                               ("c", "{}"): "date", ("f.g", "d"): "date"}
+    out = narrow_types(df)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == [
+        "struct<d:date,x:string,n:int>", "array<struct<t:timestamp_ntz,s:array<date>>>", "map<string,date>",
+        "array<string>", "struct<d:date>", "array<string>"]
+    got = [r.asDict(recursive=True) for r in out.collect()]
+    assert got[0]["b"] == [{"t": dt.datetime(2024, 1, 2, 10), "s": [dt.date(2024, 1, 1), None]}, {"t": None, "s": None}]
+    assert got[1] == dict.fromkeys(got[1]) and got[2]["a"] == {"d": dt.date(2024, 2, 2), "x": "other", "n": None}
+
+
+def test_a_delta_follows_the_nested_types_of_its_table(spark, workdir):
+    from tablesync.plans.job import StateStore, SyncSpec, sync_table
+
+    ddl = "id long, at string, m struct<d:string>"
+    state = StateStore(spark, workdir)
+    full = SyncSpec("t", pk="id", replication_key="at")
+    first = [(1, "2024-01-01 00:00:00", ("2024-01-01",)), (2, "2024-01-02 00:00:00", ("text",))]
+    sync_table(spark, full, lambda since: spark.createDataFrame(first, ddl), state)
+    later = [(3, "2024-01-03 00:00:00", ("2024-01-03",))]
+    delta = SyncSpec("t", pk="id", replication_key="at", mode="incremental")
+    res = sync_table(spark, delta, lambda since: spark.createDataFrame(later, ddl), state)
+    assert res.status == "success", res.error
+    assert sorted(r.m.d for r in state.tables.current("t").collect()) == ["2024-01-01", "2024-01-03", "text"]
+
+
 def test_shuffled_path_salts_hot_and_null_keys(spark):
     n = 30000
     target = spark.range(n).select(
