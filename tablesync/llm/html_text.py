@@ -5,8 +5,14 @@ authors leave out; a renderer walks the tree, skips what a browser would not
 show, and emits all visible text with block spacing, list markers and aligned
 table cells.  One page is one row, so this is a column function: no shuffle.
 
+What hides text are the elements a browser shows nothing of, the ``hidden``
+attribute, and ``display`` and ``visibility`` of inline styles and of the
+page's own style sheets (``page_styles``).
+
 Elements nested deeper than ``MAX_DEPTH`` become siblings at that depth, as
-browsers do; no text is lost.
+browsers do; no text is lost.  A page is read once from front to back, whatever
+it holds: where a tag's quotes would swallow all the rest, tags end at the next
+``>`` from there on, and a ``<`` without a ``>`` after it is text.
 """
 
 from __future__ import annotations
@@ -19,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablesync.llm import common
+from tablesync.llm.page_styles import Sheet, declarations
 
 MAX_DEPTH = 120
 
@@ -28,7 +35,7 @@ RAW = frozenset("script style xmp iframe noembed noframes".split())
 RCDATA = frozenset("textarea title".split())
 HEAD_ONLY = frozenset("base link meta title style script".split())
 HIDDEN = frozenset(("area base datalist head link meta noembed noframes noscript param rp script "
-                    "style template title iframe audio video canvas object annotation annotation-xml").split())
+                    "style template title iframe audio video canvas annotation annotation-xml").split())
 FOREIGN = frozenset("svg math".split())
 # Of an SVG image its text elements show, unless they are only there to be referred to.
 SVG_HIDDEN = frozenset("defs symbol desc metadata clippath mask pattern marker".split())
@@ -62,19 +69,20 @@ SCOPE = frozenset("table td th caption html template button".split())
 # A quote opens a value directly after "=" only; elsewhere it is a character of a
 # name or an unquoted value, and ">" ends the tag.
 _INSIDE = r"(?:[\s/]++|(?:=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+"
-_TOKEN = re.compile(rf"<!--(?:>|->|.*?--!?>|.*\Z)|<([a-zA-Z][^\s/>]*+)({_INSIDE})>"
-                    rf"|</([a-zA-Z][^\s/>]*+){_INSIDE}>|<[!?/][^>]*>", re.S)
+_COMMENT = re.compile(r"<!--(?:>|->|.*?--!?>|.*\Z)", re.S)
+_TAG = re.compile(rf"<([a-zA-Z][^\s/>]*+)({_INSIDE})>|</([a-zA-Z][^\s/>]*+){_INSIDE}>|<[!?/][^>]*>")
+_PLAIN_TAG = re.compile(r"<([a-zA-Z][^\s/>]*+)([^>]*+)>|</([a-zA-Z][^\s/>]*+)[^>]*+>|<[!?/][^>]*>")
+_MARKUP = re.compile(r"<[a-zA-Z!?/]")
 _ATTR = re.compile(r"(=[^\s/>=]*+|[^\s/>=]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>\"'][^\s>]*+))?+)?+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-_NONE = re.compile(r"display\s*:\s*none", re.I)
-_VIS = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "display", "visibility")
 
     def __init__(self, tag, attrs=None):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
+        self.display = self.visibility = None  # what styles say
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -180,19 +188,34 @@ def parse(html: str) -> Node:
             stack[-1] = n
 
     at, end = 0, len(html)
+    last, tags = html.rfind(">"), _TAG
     while at < end:
-        m = _TOKEN.search(html, at)
-        if not m:
+        found = _MARKUP.search(html, at)
+        if not found:
             text(unescape(html[at:]))
             break
-        if m.start() > at:
-            text(unescape(html[at:m.start()]))
+        here = found.start()
+        m = _COMMENT.match(html, here) or (tags.match(html, here) if here < last else None)
+        if not m and here < last and tags is _TAG:
+            # Every ">" to the end is within quotes: from here on they are characters.
+            tags = _PLAIN_TAG
+            m = tags.match(html, here)
+        if not m:
+            # Markup without an end is text; so is a "</" before no name.
+            step = end if here >= last else here + 1
+            text(unescape(html[at:step]))
+            at = step
+            continue
+        if here > at:
+            text(unescape(html[at:here]))
         at = m.end()
+        if m.re is _COMMENT:
+            continue
         if m[1]:
             tag = m[1].lower()
             start(tag, m[2])
             if tag in RAW or tag in RCDATA:
-                stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(html, at)
+                stop = re.compile(f"</{tag}(?=[\\s/>])[^>]*>", re.I).search(html, at, last + 1)
                 inner = html[at:stop.start() if stop else end]
                 if seen_foreign and _self_closing(m[2]) and foreign():
                     continue
@@ -209,14 +232,42 @@ def parse(html: str) -> Node:
             elif tag not in ("body", "html"):
                 close({tag}, () if tag in ("table", "template") else
                       {"table"} if tag in TABLE_PARTS else SCOPE - {tag})
+    _style(root)
     return root
 
 
+def _style(root: Node) -> None:
+    """``display`` and ``visibility`` of all elements, from style sheets and
+    inline styles."""
+    sheets, work = [], [root]
+    while work:
+        n = work.pop()
+        if n.tag == "style":
+            sheets.append((n, "".join(c for c in n.children if isinstance(c, str))))
+        work.extend(c for c in reversed(n.children) if not isinstance(c, str))
+    sheet = Sheet([text for n, text in sheets if n.attrs.get("media", "all").strip().lower() in ("", "all", "screen")])
+    path: list[Node] = []
+    todo: list[tuple[Node, int]] = [(root, 0)]
+    while todo:
+        n, depth = todo.pop()
+        del path[depth:]
+        path.append(n)
+        if sheet:
+            said = sheet.style(path)
+        elif "style" in n.attrs:
+            order = sorted(declarations(n.attrs["style"]), key=lambda d: d[2])
+            said = {name: value for name, value, _ in order}
+        else:
+            said = {}
+        n.display, n.visibility = said.get("display"), said.get("visibility")
+        todo.extend((c, depth + 1) for c in reversed(n.children) if not isinstance(c, str))
+
+
 class _Flow:
     """Lines under construction: collapsed blanks, collapsed margins."""
 
     def __init__(self):
-        self.lines, self.now, self.gap = [], "", 0
+        self.lines, self.now, self.end, self.gap = [], [], "", 0  # ``end``: last character of the line so far
 
     def text(self, s, pre=False):
         if pre:
@@ -227,7 +278,7 @@ class _Flow:
                 self._put(x)
             return
         s = _SPACE.sub(" ", s)
-        if s.startswith(" ") and (not self.now or self.now.endswith(" ")):
+        if s.startswith(" ") and self.end in ("", " "):
             s = s[1:]
         self._put(s)
 
@@ -236,12 +287,13 @@ class _Flow:
             if not self.now and self.gap and self.lines:
                 self.lines += [""] * self.gap
             self.gap = 0
-            self.now += s
+            self.now.append(s)
+            self.end = s[-1]
 
     def line(self, force=False):
         if self.now or force:
-            self.lines.append(self.now.rstrip(" "))
-            self.now = ""
+            self.lines.append("".join(self.now).rstrip(" "))
+            self.now, self.end = [], ""
 
     def block(self, margin):
         self.line()
@@ -269,16 +321,17 @@ class _Flow:
 def _hidden(n: Node) -> bool:
     if n.tag in HIDDEN:
         return True
+    if n.display:
+        return n.display == "none"
     if not n.attrs:
         return n.tag == "dialog"
     return ("hidden" in n.attrs or n.tag == "input" and n.attrs.get("type", "").lower() == "hidden"
-            or n.tag == "dialog" and "open" not in n.attrs or bool(_NONE.search(n.attrs.get("style", ""))))
+            or n.tag == "dialog" and "open" not in n.attrs)
 
 
 def _shown(n: Node, seen: bool) -> bool:
     """``visibility`` is inherited and a child may set it back."""
-    m = _VIS.search(n.attrs.get("style", "")) if n.attrs else None
-    return m[1].lower() == "visible" if m else seen
+    return n.visibility == "visible" if n.visibility in ("visible", "hidden", "collapse") else seen
 
 
 def _int(value, default, least, most):

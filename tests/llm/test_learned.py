@@ -4,6 +4,8 @@ the pipeline."""
 import collections
 import itertools
 import random
+import re
+from html.parser import HTMLParser
 
 import numpy as np
 import pytest
@@ -269,6 +271,27 @@ def test_every_label_is_a_language(spark):
     assert language.keep_identified(docs, model).count() == len(rows)
 
 
+def test_whole_texts_are_learned_from(spark):
+    """Letters that come after 20 000 characters count, too."""
+    rows = [(i, "na ba " * 4000 + f"zo{'qx' * 30} " * 400, "aa") for i in range(3)]
+    rows += [(10 + i, "mi ki " * 4000, "bb") for i in range(3)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages[int(np.argmax(model.posterior("zoqxqxqxqx qxqxqxqx qxqxqxqxqx")[1]))] == "aa"
+
+
+def test_quality_of_texts_of_many_lines(monkeypatch):
+    rnd = np.random.default_rng(3)
+    model = quality.Model()
+    model.w, model.trans = rnd.normal(size=quality.N_FEATURES), rnd.normal(size=(2, 2))
+    text = "\n".join(["A plain line of words.", "### $$$", "", "| a | b |", "MORE THAN ENOUGH!!"] * 900)
+    whole = model.emissions(text)
+    f, n = quality.document_features(text)
+    assert np.allclose(whole[0], f @ model.w) and (whole[1] == n).all()
+    want = model.scores([text, "", None, "one line"])
+    monkeypatch.setattr(quality, "BATCH_LINES", 7)  # blocks of lines meet without a seam
+    assert np.allclose(model.scores([text, "", None, "one line"]), want)
+
+
 # -------------------------------------------------------------------- op 2
 @pytest.mark.parametrize("html,text", [
     (None, ""), ("", ""), ("plain", "plain"),
@@ -312,6 +335,81 @@ def test_stray_quotes_images_and_formulas(html, text):
     assert html_text.visible_text(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<style>.h{display:none}</style><p class=h>gone<p class='x h'>gone<p>kept", "kept"),
+    ("<style>p > b, #i .z{visibility:hidden}</style><p>a<b>no</b><i><b>yes</b></i><div id=i><i><u class='a z'>no</u></i></div>", "ayes"),
+    ("<style>@media print{p{display:none}} @media screen, tv{b{display:none}}</style><p>x<b>y</b>", "x"),
+    ("<style>@media (max-width:9px){p{display:none}} /* i{display:none} */ @import 'x'; em{display : none}</style><p>x<i>y</i><em>z", "xy"),
+    ("<style>p{display:none!important}</style><p style='display:block'>x</p>y", "y"),
+    ("<style>.a{display:none} p.a{display:block}</style><p class=a>shown<div class=a>hid", "shown"),
+    ("<style>#q{display:none}.c{display:block}</style><i id=q class=c>x</i><b hidden class=c>y</b>", "y"),
+    ("<style media=print>p{display:none}</style><style>p:hover{display:none} p[x]{display:none}</style><p x>y", "y"),
+    ("<body><p>a</p><style>p{display:none}", ""), ("<p style='color:red;display:none'>x</p>y", "y"),
+    ("<object data=x><p>fallback</object>", "fallback"), ("a</>b</ c>d <3 x", "abd <3 x"),
+    ("<a b='x> <p>para</p> it's", "para\n\nit's"),
+])
+def test_style_sheets_fallbacks_and_broken_tags(html, text):
+    assert html_text.visible_text(html) == text
+
+
+@pytest.mark.parametrize("unit", [
+    '<a b="', "<a b ", "</a b ", "<a b='>' ", "<title></title ", "<!-- ", '<a b="x> ', "<!", "</", '<a "', "<x y='", "&lt",
+    "<style>.a{display:none}</style><p class=a>x", "<style>.a .b{display:none}", "<b>x</b>", "<textarea>"])
+def test_time_grows_with_the_page_only(unit):
+    import time
+
+    took = []
+    for n in (250_000, 1_000_000):
+        page = unit * (n // len(unit))
+        start = time.process_time()
+        html_text.visible_text(page)
+        took.append(time.process_time() - start)
+    # Four times the page: four times the time, or so little that it cannot be told.
+    assert took[1] < max(0.5, 9 * took[0])
+    if ">" not in unit:
+        assert took[1] < 1.0
+
+
+class Shown(HTMLParser):
+    """Words of a page by another parser and a plain rule: not those inside
+    elements that never show or are hidden."""
+
+    NEVER = {"script", "style", "template", "title", "noscript", "head", "svg", "iframe"}
+    EMPTY = {"br", "img", "meta", "link", "input", "hr", "base", "col", "wbr", "source", "area", "param"}
+
+    def __init__(self):
+        super().__init__()
+        self.words, self.open = [], []
+
+    def handle_starttag(self, tag, attrs):
+        if tag not in self.EMPTY:
+            said = dict(attrs)
+            style = (said.get("style") or "").replace(" ", "").lower()
+            self.open.append((tag, tag in self.NEVER or "hidden" in said or "display:none" in style))
+
+    def handle_endtag(self, tag):
+        if any(t == tag for t, _ in self.open):
+            while self.open.pop()[0] != tag:
+                pass
+
+    def handle_data(self, data):
+        if not any(hidden for _, hidden in self.open):
+            self.words += data.split()
+
+
+def test_words_of_the_given_pages_by_another_parser(spark):
+    rows = html_text.extract(spark.read.parquet("/root/testdata/sf0.01/pages.parquet")).collect()
+    differ = []
+    for r in rows:
+        other = Shown()
+        other.feed(r.html)
+        other.close()
+        want = collections.Counter("".join(other.words))
+        got = collections.Counter(re.sub(r"(?m)^(?: *(?:- |[0-9]+[.] ))+", "", r.text).replace(" ", "").replace("\n", ""))
+        differ += [(r.page_id, want - got, got - want)] if sum(((want - got) + (got - want)).values()) else []
+    assert len(rows) == 250 and not differ
+
+
 def all_text(node, seen=True):
     """Visible words of a tree, in order, without any layout."""
     if isinstance(node, str):
