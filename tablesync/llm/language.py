@@ -32,7 +32,6 @@ from tablesync.llm import common
 from tablesync.llm.html_text import parse, render
 
 TRAIN_ROWS = 1000       # labelled texts per language; bounds what the driver gets
-TRAIN_CHARS = 20_000    # characters of each used for fitting
 LANGUAGE_BLOCK = 64     # languages a text is scored against at once
 BUCKETS = 1 << 15
 EVIDENCE = 0.1          # trigrams of a text overlap: each counts as a tenth
@@ -88,7 +87,7 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang",
     """A model from the distinct texts with the smallest hashes of each language."""
     rows = labelled.filter(F.col(text_col).isNotNull() & (F.col(lang_col) != UNKNOWN)).select(
         F.col(lang_col).alias("l"), F.shiftrightunsigned(F.xxhash64(text_col), 2).alias("h"),
-        F.substring(text_col, 1, TRAIN_CHARS).alias("t"))
+        F.col(text_col).alias("t"))
     # Hashes are even, so a share of them holds about twice the rows wanted:
     # one pass hands on a bounded number of texts a label, whatever the table's size.
     share = F.least(F.lit(2.0 * train_rows) / F.count(F.lit(1)), F.lit(1.0)) * float(1 << 62)
@@ -109,9 +108,12 @@ def _bucket_counts(batches):
     """``l, b, n``: trigrams per bucket of each run of rows of one label."""
     for pdf in batches:
         for name, texts in pdf.groupby("l")["t"]:
-            b, n = np.unique(np.concatenate([trigrams(t) for t in texts]), return_counts=True)
+            counts = np.zeros(BUCKETS, np.int64)
+            for t in texts:
+                counts += np.bincount(trigrams(t), minlength=BUCKETS)
+            b = np.flatnonzero(counts)
             if len(b):
-                yield pd.DataFrame({"l": name, "b": b.astype(np.int32), "n": n})
+                yield pd.DataFrame({"l": name, "b": b.astype(np.int32), "n": counts[b]})
 
 
 def page_evidence(html: str | None, url: str | None):

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 
 import pandas as pd
@@ -117,17 +117,19 @@ def contexts(text: str, base, width: int = CONTEXT):
             heads.append(a)
             tails.append(b)
     out, pairs, entities = [], set(), set()
+    end, starts, ends = -1, [], []
     for a, b, kind in spans:
         e = _entity(kind, text[a:b])
         new = e not in entities
         entities.add(e)
-        # A word is at most as long as what holds it: look at a bounded window.
-        lo = max(0, a - 64 * width)
-        lo = max(lo, text.rfind("\n", lo, a) + 1)
-        hi = text.find("\n", b, b + 64 * width)
-        hi = min(len(text), b + 64 * width) if hi < 0 else hi
-        words = [m.span() for m in _WORD.finditer(text, lo, a)][-width:]
-        words += [m.span() for m in _WORD.finditer(text, b, hi)][:width]
+        if a >= end:  # the words of the next line that holds a span
+            head = text.rfind("\n", 0, a) + 1
+            end = text.find("\n", b)
+            end = len(text) if end < 0 else end
+            line = [m.span() for m in _WORD.finditer(text, head, end)]
+            starts, ends = [w[0] for w in line], [w[1] for w in line]
+        before, after = bisect_right(ends, a), bisect_left(starts, b)
+        words = line[max(0, before - width):before] + line[after:after + width]
         near = [w for w in words if not ((i := bisect_left(heads, w[1])) and w[0] < tails[i - 1])]
         if not near:
             out.append((e, None, -1, -1, False, new))

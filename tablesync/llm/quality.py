@@ -7,9 +7,10 @@ length-weighted mean of the marginals is the document's quality, and a logistic
 fit of that mean to the training labels puts it on a probability scale.
 
 The field is fitted by gradient ascent on a bounded sample of labelled
-documents (``TRAIN_DOCS`` documents of at most ``TRAIN_LINES`` lines, the ones
-with the smallest hash of their id among the rows not held out); its
-parameters are a few dozen numbers.  Scoring is a column function: no shuffle.
+documents: whole ones, up to ``TRAIN_DOCS`` with the smallest hash of their id
+among the rows that are not held out and have at most ``TRAIN_LINES`` lines.
+Its parameters are a few dozen numbers.  Scoring is a column function without a
+shuffle: whole texts, a few numbers a line.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ STEPS = 150
 FOLDS, HELD_OUT = 5, 0
 CUT = 0.3
 BATCH_CELLS = 400_000  # lines padded together when scoring
+BATCH_LINES = 20_000   # lines of the texts scored at once, unless one text has more
 _PUNCT = re.compile(r"[#$%&*|~^=_<>{}\[\]\\@/+]")
 _DIGIT = re.compile(r"[0-9]")
 _TAIL = re.compile(r"[#$%&*|!]{2,}(?=\s|$)")
@@ -70,12 +72,10 @@ def line_features(line: str) -> list[float]:
     ]
 
 
-def document_features(text: str | None, max_lines: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def document_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """``(features, lengths)`` of a document's lines: own rates, those of the
     line before and the line after, and whether there is one."""
     lines = (text or "").split("\n")
-    if max_lines:
-        lines = lines[:max_lines]
     own = np.array([line_features(x) for x in lines], dtype=np.float64)
     k = len(lines)
     f = np.zeros((k, N_FEATURES))
@@ -132,9 +132,23 @@ class Model:
         self.w, self.trans = np.zeros(N_FEATURES), np.zeros((2, 2))
         self.a, self.b = 4.0, -2.0
 
+    def emissions(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """``(score of good over bad, length)`` of each line of a whole text;
+        the features are made a block of lines at a time."""
+        lines = (text or "").split("\n")
+        parts = self.w[3:].reshape(3, N_LINE).T  # own, the line before, the line after
+        own = np.concatenate([np.array([line_features(x) for x in lines[at:at + BATCH_LINES]]) @ parts
+                              for at in range(0, len(lines), BATCH_LINES)])
+        emit = self.w[0] + own[:, 0]
+        emit[1:] += own[:-1, 1]
+        emit[:-1] += own[1:, 2]
+        emit[0] += self.w[1]
+        emit[-1] += self.w[2]
+        return emit, np.array([max(len(x), 1) for x in lines], dtype=np.float64)
+
     def means(self, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Length-weighted mean marginal per document, padded in groups of
-        similar length."""
+        """Length-weighted mean marginal per document (``emissions``), padded
+        in groups of similar length."""
         out = np.zeros(len(docs))
         order = sorted(range(len(docs)), key=lambda i: len(docs[i][0]))
         at = 0
@@ -148,7 +162,7 @@ class Model:
             t = max(len(f) for f, _ in group)
             emit, mask = np.zeros((len(group), t)), np.zeros((len(group), t), bool)
             for i, (f, _) in enumerate(group):
-                emit[i, :len(f)] = f @ self.w
+                emit[i, :len(f)] = f
                 mask[i, :len(f)] = True
             good, _ = marginals(emit, mask, self.trans)
             for i, (f, n) in enumerate(group):
@@ -157,7 +171,7 @@ class Model:
         return out
 
     def scores(self, texts) -> np.ndarray:
-        means = self.means([document_features(t) for t in texts])
+        means = self.means([self.emissions(t) for t in texts])
         return 1.0 / (1.0 + np.exp(-(self.a * means + self.b)))
 
 
@@ -189,7 +203,7 @@ def fit(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: in
         v = 0.999 * v + 0.001 * grad ** 2
         theta += 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     model.w, model.trans = theta[:N_FEATURES], theta[N_FEATURES:].reshape(2, 2)
-    model.a, model.b = _logistic(model.means(docs), labels)
+    model.a, model.b = _logistic(model.means([(f @ model.w, n) for f, n in docs]), labels)
     return model
 
 
@@ -214,8 +228,11 @@ def held_out(id_col: str):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality", train_docs: int = TRAIN_DOCS, max_lines: int = TRAIN_LINES,
           steps: int = STEPS) -> Model:
-    """A model from a bounded sample of the labelled rows that are not held out."""
+    """A model from a bounded sample of the labelled rows that are not held out:
+    at most ``train_docs`` documents of at most ``max_lines`` lines each."""
     common.prepare(docs.sparkSession)
+    n_lines = F.length(F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), "[^\n]", "")) + 1
+    docs = docs.filter(n_lines <= max_lines)
     sample = (labels.filter(~held_out(id_col) & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
               .select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_y")).distinct()
               .sort(F.xxhash64("_id"), "_id", "_y").limit(train_docs))
@@ -223,7 +240,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def features(batches):
         for pdf in batches:
-            rows = [(y, *document_features(t, max_lines)) for y, t in zip(pdf["_y"], pdf["_t"])]
+            rows = [(y, *document_features(t)) for y, t in zip(pdf["_y"], pdf["_t"])]
             yield pd.DataFrame({"y": [r[0] for r in rows], "f": [r[1].ravel().astype(np.float32) for r in rows],
                                 "n": [r[2].astype(np.float32) for r in rows]})
 
@@ -241,8 +258,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "score") -> DataFrame:
     """``docs`` plus the probability of good quality.
 
-    Null and empty texts are one blank line and scored as such; repeated rows
-    get equal scores; other columns pass through (one named ``out_col`` is
+    Null and empty texts are one blank line and scored as such; texts of any
+    number of lines are scored whole; repeated rows get equal scores; other columns pass through (one named ``out_col`` is
     replaced).
     """
     spark = docs.sparkSession
@@ -251,9 +268,15 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 
     @F.pandas_udf("double")
     def scored(text: pd.Series) -> pd.Series:
-        texts, out = list(text), []
-        for at in range(0, len(texts), 500):
-            out.extend(held.value.scores(texts[at:at + 500]))
+        out, texts, lines = [], [], 0
+        for t in text:
+            texts.append(t)
+            lines += t.count("\n") + 1 if t else 1
+            if lines >= BATCH_LINES:
+                out.extend(held.value.scores(texts))
+                texts, lines = [], 0
+        if texts:
+            out.extend(held.value.scores(texts))
         return pd.Series(out, dtype=float)
 
     return docs.withColumn(out_col, scored(F.col(text_col)))

@@ -73,6 +73,13 @@ def test_lines_of_long_documents_and_bit_edges(spark):
     assert all(w.bits != 0 for r in words for w in r.drop_words)  # empty words are left out
 
 
+def test_lines_keep_by_the_sorted_stream(spark):
+    plan = line_dedup.shared_lines(awkward.docs(spark))._jdf.queryExecution().optimizedPlan().toString()
+    order = plan.index("monotonically_increasing_id"), plan.index("Sort ["), plan.index("RepartitionByExpression")
+    assert order == tuple(sorted(order))  # numbered on top of the sort, that on the range partitions
+    assert "max(" not in plan
+
+
 def test_lines_of_an_empty_table(spark):
     assert line_dedup.dedup_lines(awkward.empty(spark)).count() == 0
 
@@ -417,3 +424,39 @@ def test_held_out_is_crc32(spark):
     got = {r.doc_id: r.h for r in spark.range(500).withColumnRenamed("id", "doc_id").select(
         "doc_id", held_out("doc_id").alias("h")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in range(500)}
+
+
+# ------------------------------------------------ beyond the bounds there were
+def test_context_words_of_any_length_and_distance():
+    far, long = "x" * 3000, "y" * 1200
+    text = f"{long} {far} bob@a.de {' ' * 5000}near {long}\nnext line word"
+    got = {t for _, t, *_ in pii.contexts(text, pii.base_spans(text))}
+    assert got == {long, far, "near"}
+    line = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} u{chr(97 + i % 26)}@x.de" for i in range(3000))
+    rows = pii.contexts(line, pii.base_spans(line))
+    assert len({r[0] for r in rows}) == 26 and max(r[3] for r in rows) > len(line) - 60
+    # Each word near a span is next to it: as plain brute force over the line says.
+    spans = [s for v in pii.base_spans(line).values() for s in v]
+    words = [m.span() for m in re.finditer(r"[^\W\d_]{2,}", line)]
+    inside = lambda w: any(a < w[1] and w[0] < b for a, b in spans[:40])
+    for a, b in spans[5:9]:
+        near = [w for w in words if w[1] <= a][-8:] + [w for w in words if w[0] >= b][:8]
+        want = sorted(w for w in near if not inside(w))
+        assert want == sorted((r[2], r[3]) for r in rows if r[2] >= want[0][0] and r[3] <= want[-1][1]
+                              and r[0] == pii._entity("email", line[a:b]) and (r[2], r[3]) in near)
+
+
+def test_top_k_of_many_blocks_of_queries(spark):
+    rnd = np.random.default_rng(8)
+    rows = [(int(i), [float(x) for x in rnd.integers(-9, 9, 5)]) for i in range(60)]
+    rows += [(7, [1.0] * 5), (7, [2.0] * 5), (7, [1.0] * 5)]  # one query, three rows, two vectors
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    one = sorted(tuple(r) for r in topk.top_k(df, lambda c: c < 30).collect())
+    many = sorted(tuple(r) for r in topk.top_k(df, lambda c: c < 30, query_block=4).collect())
+    assert one == many and len({r[0] for r in one}) == 30
+
+
+def test_scores_past_64_bits_fail_rather_than_wrap(spark):
+    df = spark.createDataFrame([(0, [1e15, 1e15]), (1, [1e15, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(df, lambda c: c == 0).collect()
