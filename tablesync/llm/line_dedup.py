@@ -1,15 +1,16 @@
 """Line de-duplication: per-document keep bitmaps from sorted line hashes.
 
 Method: lines are hashed; one row per (hash, document) is range-partitioned by
-hash with a secondary order by document and position, so a partition streams
-each hash's documents in order and its first row is the document that keeps
-the line.  What comes back is a bitmap of dropped lines per document, in 64-bit
+hash with a secondary order by document, the largest first, and position.  A
+row's place in that stream (partition, then row) is its number; the row of a
+hash with the least number is its first occurrence, and its document keeps the
+line.  What comes back is a bitmap of dropped lines per document, in 64-bit
 words of which the empty ones are left out; texts are only touched again when a
 bitmap is applied.  Everything here is DataFrame code.
 
 Skew: the range key goes on with the document, so a hash held by a third of all
-documents covers many partitions; each streams to one partial row per hash
-before the last, tiny exchange.
+documents covers many partitions; each streams to one partial row per hash (its
+first number and a count) before the last, tiny exchange.
 """
 
 from __future__ import annotations
@@ -42,9 +43,11 @@ def shared_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     per_doc = (_lines(docs, id_col, text_col, min_chars)
                .groupBy("_h1", "_h2", "_doc").agg(F.min("_pos").alias("_pos")))
     order = [F.col("_h1"), F.col("_h2"), F.col("_doc").desc_nulls_last(), F.col("_pos")]
-    streamed = per_doc.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The number depends on the order, so the sort stays in the plan.
+    streamed = (per_doc.repartitionByRange(*order).sortWithinPartitions(*order)
+                .withColumn("_at", F.monotonically_increasing_id()))
     stats = streamed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("n_docs"),
-                                               F.max("_doc").alias("keeper"))
+                                               F.min_by("_doc", "_at").alias("keeper"))
     return stats.filter(F.col("n_docs") >= min_docs)
 
 
