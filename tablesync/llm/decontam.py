@@ -8,14 +8,17 @@ back to character offsets of the original text.
 Words become numbers through the benchmark's own vocabulary, so the automaton
 reads one symbol per word and words the benchmark lacks never match.  The
 automaton is broadcast.  A benchmark beyond ``BLOCK_WORDS`` words is cut into
-blocks of items with an automaton each; all documents pass every block and the
-hits are merged by row, so nothing depends on the benchmark fitting one block.
+blocks of items: the driver holds one block at a time and broadcasts it alone,
+all documents pass it, its hits are written by row key, and the block is
+released before the next.  The hits of all blocks are merged by row, so
+memory is bounded whatever the benchmark's size, and the result is the same.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -127,6 +130,58 @@ def _digest(items) -> str:
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
 
 
+def _scanner(held):
+    """``n_words, n_hit, n_items, items_sha256, contaminated`` by one automaton
+    (None: an empty benchmark)."""
+    @F.pandas_udf(_SCHEMA)
+    def judged(text: pd.Series) -> pd.DataFrame:
+        out = []
+        for t in text:
+            n, hit, items = held.value.scan(t) if held else (len(words(t)), (), ())
+            out.append((n, len(hit), len(items), _digest(items), len(hit) > 0 and 20 * len(hit) >= n))
+        return pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+    return judged
+
+
+def _runs(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Sorted word numbers as ranges ``a .. b``."""
+    cut = np.flatnonzero(np.diff(hit) > 1) + 1
+    return [(int(x[0]), int(x[-1]) + 1) for x in np.split(hit, cut)] if len(hit) else []
+
+
+def _block_hits(texts: DataFrame, matcher: Matcher) -> DataFrame:
+    """``_k1, _k2, runs, items`` of the rows that a block hits, written."""
+    held = texts.sparkSession.sparkContext.broadcast(matcher)
+
+    def scan(batches):
+        for pdf in batches:
+            out = []
+            for k1, k2, t in zip(pdf["_k1"], pdf["_k2"], pdf["t"]):
+                _, hit, items = held.value.scan(t)
+                if len(hit):
+                    out.append((k1, k2, [{"a": a, "b": b} for a, b in _runs(hit)], sorted(items)))
+            if out:
+                yield pd.DataFrame(out, columns=["_k1", "_k2", "runs", "items"])
+
+    found = common.saved(texts.mapInPandas(
+        scan, "_k1 long, _k2 long, runs array<struct<a:int,b:int>>, items array<string>"), "decontam-hits")
+    held.destroy()
+    return found
+
+
+def _merged(text: pd.Series, runs: pd.Series, items: pd.Series) -> pd.DataFrame:
+    out = []
+    for t, rs, its in zip(text, runs, items):
+        n = len(words(t))
+        hit = np.zeros(n, bool)
+        for r in () if rs is None else rs:
+            hit[r["a"]:r["b"]] = True
+        k, names = int(hit.sum()), set(() if its is None else its)
+        out.append((n, k, len(names), _digest(names), k > 0 and 20 * k >= n))
+    return pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+
+
 def judge(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id: str = "item_id",
           item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """``_row`` (the row of ``docs``) and a struct ``_c`` of ``n_words, n_hit,
@@ -139,22 +194,25 @@ def judge(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_id
     """
     spark = docs.sparkSession
     common.prepare(spark)
-    held = [spark.sparkContext.broadcast(m) for m in blocks(benchmark, item_id, item_text, block_words)]
-
-    @F.pandas_udf(_SCHEMA)
-    def judged(text: pd.Series) -> pd.DataFrame:
-        out = []
-        for t in text:
-            n, hit, items = len(words(t)) if not held else 0, [], set()
-            for b in held:
-                n, h, i = b.value.scan(t)
-                hit = np.union1d(hit, h)
-                items |= i
-            out.append((n, len(hit), len(items), _digest(items), len(hit) > 0 and 20 * len(hit) >= n))
-        return pd.DataFrame(out, columns=["n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-
-    rows = docs.select(F.struct(*[common.quoted(c) for c in docs.columns]).alias("_row"))
-    return rows.withColumn("_c", judged(F.col("_row").getField(text_col)))
+    every = blocks(benchmark, item_id, item_text, block_words)
+    first, second = next(every, None), next(every, None)
+    if second is None:
+        held = spark.sparkContext.broadcast(first) if first else None
+        rows = docs.select(F.struct(*[common.quoted(c) for c in docs.columns]).alias("_row"))
+        return rows.withColumn("_c", _scanner(held)(F.col("_row").getField(text_col)))
+    k1, k2 = common.row_key(text_col)
+    rows = docs.select(F.struct(*[common.quoted(c) for c in docs.columns]).alias("_row"), k1.alias("_k1"), k2.alias("_k2"))
+    texts = rows.select("_k1", "_k2", F.col("_row").getField(text_col).alias("t"))
+    found = None
+    for matcher in chain((first, second), every):
+        hits = _block_hits(texts, matcher)
+        found = hits if found is None else found.unionByName(hits)
+    # Rows of one text have one key, and the same hits.
+    found = found.groupBy("_k1", "_k2").agg(F.flatten(F.collect_set("runs")).alias("runs"),
+                                            F.flatten(F.collect_set("items")).alias("items"))
+    met = rows.join(found.hint("shuffle_hash"), ["_k1", "_k2"], "left")
+    merged = F.pandas_udf(_merged, _SCHEMA)
+    return met.select("_row", merged(F.col("_row").getField(text_col), F.col("runs"), F.col("items")).alias("_c"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:

@@ -8,8 +8,12 @@ is below the k-th score so far.  That k-th score is carried from shard to shard
 of a task.  Each task returns at most k rows per query, and a window over
 those gives the answer.
 
-Queries are handed out in blocks of a fixed number of rows (a bounded broadcast
-each); every block sees all rows.  Scores are integers, so results are exact.
+Queries are handed out in blocks of a fixed number of rows; every block sees
+all rows.  The driver holds one block at a time: it is broadcast alone, its
+answers are written and it is released before the next.  Scores are integers,
+so results are exact.  Components must keep inner products within 64 bits: with
+``d`` components, each below ``2**31 / (256 * sqrt(d))`` is enough; beyond that
+the query fails rather than wrap.
 """
 
 from __future__ import annotations
@@ -100,6 +104,8 @@ class Best:
 def search(tree, m, ids, queries, query_ids, best):
     """Best-first search of one tree for every query; ``best`` is updated."""
     order, lo, hi, first, last, left = tree
+    if m.shape[1] and float(np.abs(m).max()) * float(np.abs(queries).max()) * m.shape[1] >= 2.0 ** 63:
+        raise OverflowError("inner products of these vectors may pass 64 bits")
     bounds = np.maximum(queries, 0) @ hi.T + np.minimum(queries, 0) @ lo.T
     for q, b, own, row in zip(queries, best, query_ids, bounds):
         heap = [(-int(row[0]), 0)]
@@ -163,29 +169,37 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vec_
     rows = usable(vectors, id_col, vec_col)
     asked = rows.filter(is_query(F.col("vec_id"))).distinct().sort("vec_id", "v")
     schema = "query_id long, vec_id long, score long"
-    parts, block = [], []
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+
+    def first(found):
+        return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+                .select("query_id", "rank", "vec_id", "score"))
 
     def run(block):
+        """The answers to a block, and the broadcast they still need."""
         held = spark.sparkContext.broadcast(([r[0] for r in block], [tuple(r[1]) for r in block]))
 
         def task(batches):
             yield from _task(batches, *held.value, k, shard_rows, leaf_rows)
 
-        return rows.mapInPandas(task, schema)
+        return first(rows.mapInPandas(task, schema)), held
+
+    def written(block):
+        found, held = run(block)
+        found = common.saved(found, "topk-block")
+        held.destroy()
+        return found
 
+    found, block = None, []
     for row in asked.toLocalIterator():
-        block.append(row)
         if len(block) == query_block:
-            parts.append(run(block))
-            block = []
-    if block or not parts:
-        parts.append(run(block))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionAll(p)
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            part = written(block)
+            found, block = part if found is None else found.unionAll(part), []
+        block.append(row)
+    if found is None:
+        return run(block)[0]
+    # The distinct vectors of one query may lie in several blocks.
+    return first(found.unionAll(written(block)).drop("rank"))
 
 
 def op8_kdtree_topk(spark, sf_dir):
