@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.session import scratch_dir, ship_package
+from tablesync.session import delete_path, scratch_dir, ship_package
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BLANKS = " \t\n\x0b\x0c\r"  # the bytes of [\x20\x09-\x0D]
@@ -27,7 +27,15 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark, 'llm-' + purpose)}/data"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_in = path
+    return out
+
+
+def discard(table_: DataFrame) -> None:
+    """Delete a ``saved`` table that nothing reads any more: what was made of
+    it must have been saved in turn."""
+    delete_path(table_._saved_in, table_.sparkSession)
 
 
 def row_key(*cols: str) -> tuple[Column, Column]:

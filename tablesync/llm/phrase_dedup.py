@@ -20,7 +20,7 @@ Hot anchors: an anchor with more than ``crowd`` distinct segments is not given
 to one task; the windows of its segments are cut again by longer grams (20
 words, then the window itself, whose segments are all equal), which changes
 how windows are dealt, never which are found.  Copies of a segment are one row
-after a combining sum, so a group of copies costs a row a task.
+after a combining sum, and one of them sends its words.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ WINDOW = 35
 GRAMS = (8, 20, WINDOW)     # words of an anchor; the next is for windows of hot anchors
 CROWD = 20_000              # distinct segments of an anchor that one task takes
 SHARD_WORDS = 400_000       # words of the passages in one automaton
-SEEN = 200_000              # segments a task remembers not to send twice
 _CACHE = 1 << 20            # word hashes a task remembers
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -125,20 +124,13 @@ _UNIT = "m long, sh long, many boolean, n int, words binary"
 
 
 def _units(batches, window: int):
-    """The words of marked segments, each content once for ``SEEN`` of a task."""
-    seen: set = set()
+    """The words of marked segments."""
     for pdf in batches:
         out = []
         for t, marks in zip(pdf["t"], pdf["marks"]):
             ws = words(t)
-            for x in marks:
-                key = (x["m"], x["sh"])
-                if key in seen:
-                    continue
-                if len(seen) >= SEEN:
-                    seen.clear()
-                seen.add(key)
-                out.append((*key, x["many"], x["n"], b" ".join(ws[x["start"]:x["start"] + x["n"] + window - 1])))
+            out += [(x["m"], x["sh"], x["many"], x["n"], b" ".join(ws[x["start"]:x["start"] + x["n"] + window - 1]))
+                    for x in marks]
         if out:
             yield pd.DataFrame(out, columns=["m", "sh", "many", "n", "words"])
 
@@ -233,7 +225,7 @@ def _locate(batches, window: int, shard_words: int):
                     yield found()
                     shard = Shard(window)
                 key, group, last = row[0], [], None
-            if row[1] != last:  # the same segment from several tasks
+            if row[1] != last:  # a segment that its text or a repeated row holds twice
                 group.append(row)
                 last = row[1]
     if group:
@@ -243,8 +235,8 @@ def _locate(batches, window: int, shard_words: int):
 
 def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                 crowd: int = CROWD, shard_words: int = SHARD_WORDS, grams=GRAMS) -> tuple[DataFrame, DataFrame]:
-    """``rows`` (``docs`` packed by row key, ``_marked`` where it may hold a
-    passage) and ``_k1, _k2, a, b``: word ranges that recurring windows cover."""
+    """``rows`` (``docs`` packed by row key, ``marks`` null where nothing can
+    recur) and ``_k1, _k2, a, b``: word ranges that recurring windows cover."""
     if not 0 < grams[0] <= window or grams[-1] != window:
         raise ValueError(f"anchors must be of up to {window} words and end with {window}, got {grams}")
     spark = docs.sparkSession
@@ -254,15 +246,21 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows, hits = None, []
     for gram in grams:
         segs = texts.mapInPandas(lambda it, gram=gram: _cut(it, window, gram), _SEGMENT)
-        segs = common.saved(segs, "phrase-segments")
-        met = segs.groupBy("m").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("m")
-        segs = common.saved(segs.join(met, "m", "left_semi"), "phrase-open")
-        kinds = segs.groupBy("m", "sh").agg((F.count(F.lit(1)) > 1).alias("many"))
+        every = common.saved(segs, "phrase-segments")
+        met = every.groupBy("m").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("m")
+        # Read from a table, the anchors let a skewed join be split.
+        met = common.saved(met, "phrase-met")
+        segs = common.saved(every.join(met, "m", "left_semi"), "phrase-open")
+        common.discard(every)
+        common.discard(met)
+        kinds = segs.groupBy("m", "sh").agg((F.count(F.lit(1)) > 1).alias("many"), F.min("_k1").alias("first"))
         anchors = kinds.groupBy("m").agg(F.count(F.lit(1)).alias("k"))
         hot = (F.col("k") > crowd) if gram < window else F.lit(False)
-        kinds = common.saved(kinds.join(anchors, "m").select("m", "sh", "many", hot.alias("hot")), "phrase-kinds")
+        kinds = common.saved(kinds.join(anchors, "m").select("m", "sh", "many", "first", hot.alias("hot")), "phrase-kinds")
+        # One document a segment sends its words; of hot anchors all are cut again.
+        sends = F.col("hot") | (F.col("_k1") == F.col("first"))
         marks = segs.join(kinds, ["m", "sh"]).groupBy("_k1", "_k2").agg(
-            F.collect_set(F.struct("start", "n", "m", "sh", "many", "hot")).alias("marks"))
+            F.collect_set(F.when(sends, F.struct("start", "n", "m", "sh", "many", "hot"))).alias("marks"))
         if rows is None:
             rows = common.saved(packed.join(marks.hint("shuffle_hash"), ["_k1", "_k2"], "left"), "phrase-rows")
             marked = rows.filter(F.col("marks").isNotNull()).select(
@@ -277,7 +275,9 @@ def occurrences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         located = common.saved(located, "phrase-hits")
         hits.append(segs.join(located, ["m", "sh"]).select(
             "_k1", "_k2", (F.col("start") + F.col("a")).alias("a"), (F.col("start") + F.col("b")).alias("b")))
-        if not kinds.filter("hot").limit(1).count():
+        any_hot = kinds.filter("hot").limit(1).count() > 0
+        common.discard(kinds)
+        if not any_hot:
             break
         crowded = F.transform(F.filter("marks", lambda x: x["hot"]), lambda x: F.struct(x["start"], x["n"]))
         texts = marked.select("_k1", "_k2", "t", crowded.alias("runs")).filter(F.size("runs") > 0)
