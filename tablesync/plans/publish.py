@@ -320,9 +320,21 @@ class TableStore:
         return sorted(out)
 
     def vacuum(self, table: str, keep: int = 2) -> list[str]:
-        """Delete what ``superseded`` finds; readers of the last ``keep``
-        states are not disturbed."""
+        """Delete what ``superseded`` finds, and trim the pointer rows to the
+        last ``keep`` and each stream's last batch (the one it may replay);
+        readers of the last ``keep`` states are not disturbed."""
         gone = self.superseded(table, keep)
         for folder in gone:
             delete_path(f"{self.root}/{table}/{folder}", self.spark)
+        ptr = self._pointers()
+        if ptr is not None and keep >= 1:
+            mine = ptr.where(F.col("table") == table)
+            last = mine.orderBy(F.col("seq").desc()).limit(keep)
+            stream = F.substring_index("run_id", ":", 1)
+            batches = (mine.where(F.col("run_id").contains(":")).groupBy(stream)
+                       .agg(F.max_by(F.struct(*_POINTER_NAMES), "seq").alias("p")).select("p.*"))
+            # One table's partition is replaced in one commit.
+            (last.select(*_POINTER_NAMES).unionByName(batches).dropDuplicates(["run_id", "seq"]).coalesce(1)
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("table").parquet(self.pointer_path))
         return gone

@@ -197,6 +197,20 @@ def test_vacuum_deletes_what_no_recent_state_names(spark, workdir):
     assert previous.count() == 100 and store.current("t").count() == 10
     assert store.vacuum("t", keep=1) and store.current("t").count() == 10
     assert store.vacuum("none") == []
+    fresh = TableStore(spark, workdir)
+    assert fresh.state("t")["run_id"] == "4" and fresh.current("t").count() == 10
+    assert spark.read.parquet(store.pointer_path).count() == 1
+
+
+def test_vacuum_keeps_what_streams_may_replay(spark, workdir):
+    store = TableStore(spark, workdir)
+    store.publish("other", spark.range(3), run_id="x", pk="id")
+    for run_id in ("q1:0", "q2:0", "q2:1", "job-1", "job-2", "job-3"):
+        store.publish_delta("t", spark.range(5), "id", run_id=run_id)
+    store.vacuum("t", keep=2)
+    rows = {(r.table, r.run_id) for r in spark.read.parquet(store.pointer_path).collect()}
+    assert rows == {("other", "x"), ("t", "q1:0"), ("t", "q2:1"), ("t", "job-2"), ("t", "job-3")}
+    assert store.published("t", "q2:1") and store.current("t").count() == 5 and store.current("other").count() == 3
 
 
 def test_buckets_follow_the_key_and_the_size(spark, workdir):
