@@ -1,19 +1,26 @@
 """Near-duplicates: consistent weighted sampling over TF-IDF shingles.
 
 Method: a text is a set of shingles of ``SHINGLE`` words, a shingle weighing
-``(1 + ln tf) * (1 + IDF_SPAN * idf)`` with idf in 0..1.  Improved consistent
-weighted sampling draws ``BANDS * ROWS`` samples whose chance of agreeing is
+``(1 + ln tf) * (1 + IDF_SPAN * idf)`` with idf in 0..1: the logarithm of the
+share of documents that hold it, to the base ``1 / RARE``, and 1 for shingles in
+fewer than one of ``RARE`` documents.  Improved consistent weighted sampling draws ``BANDS * ROWS`` samples whose chance of agreeing is
 the weighted Jaccard similarity of two texts.  Texts that agree on all samples
 of a band are candidates; those are verified by their exact weighted Jaccard
-similarity, and verified links join texts into classes.
+similarity, and verified links join texts into classes.  A candidate is left
+unverified only where a bound proves it too different: the common weight is at
+most the smaller one in each of ``BINS`` parts of the shingle hashes.
 
 Scale: exact copies are one node (by a hash of their words), so a group of
 copies costs one row.  A bucket of a band sends its members to its two hubs (its most central node and the
 least one) and not to each other; a second step compares what is left in
 buckets whose members are still in different classes, where weights allow.
-Document frequencies are grouped sums over all documents in a table of fixed
-size: shingles that meet in a place share their count, from which the mean load
-is taken, so frequent shingles stand out at every size of the corpus.
+Document frequencies are exact.  A first pass sums all occurrences in a table of
+``PLACES`` places; a shingle in one of ``RARE`` documents lies in a place that
+reaches that many, so the second pass counts the documents of shingles in such
+places only, by a grouped sum.  What is broadcast is that table's marks and the
+frequent shingles, of which there are at most ``RARE`` times the mean number of
+distinct shingles a document, whatever the corpus.  Texts of over some 4 000
+shingles on average fill all places: counts stay exact, but every shingle is grouped.
 """
 
 from __future__ import annotations
@@ -32,13 +39,15 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 15, 4
 SAMPLES = BANDS * ROWS
-DF_BITS = 16
+RARE = 256          # a shingle in fewer than one of so many documents has the full idf
+PLACES = 1 << 20    # counters of the pass that looks for frequent shingles
+PART = 1 << 12      # counters a row of that pass
 IDF_LEVELS = 8      # idf in eighths: weights take few values
 IDF_SPAN = 0.1
-BINS = 64           # parts of a set that the bound on common weight looks at
+BINS = 64           # parts of a set that the bounds on common weight look at
 DRAWS = 1 << 16     # places of the table of random draws
-ESTIMATE = 0.6      # sampled agreement under which a pair is not verified (4 sigma)
 BLOCK = 4096
+HELD = 1 << 20      # shingles a task holds before it counts them
 
 _WORD = re.compile(r"\w+")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -51,36 +60,49 @@ def words(text: str | None) -> list[str]:
 def shingles(found: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit shingle hashes and how often each occurs; fewer
     words than ``size`` are one shingle."""
+    return np.unique(running(found, size), return_counts=True)
+
+
+def running(found: list[str], size: int = SHINGLE) -> np.ndarray:
+    """The hash of the shingle at every place of the text."""
     if not found:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    h = np.fromiter(map(hash_word, found), np.uint64, len(found))
+        return np.empty(0, np.uint64)
+    h = np.fromiter(map(_WORD_HASH.__getitem__, found), np.uint64, len(found))
     k = min(size, len(h))
     n = len(h) - k + 1
     s = np.full(n, np.uint64(k))
     for i in range(k):
         s = (s ^ h[i:i + n]) * _MULTIPLY
         s ^= s >> np.uint64(29)
-    return np.unique(s, return_counts=True)
-
+    return s
 
-_WORD_HASH: dict[str, int] = {}
 
+class _WordHashes(dict):
+    """A stable 64-bit hash per word, remembered for the first words met (a bounded memo)."""
 
-def hash_word(w: str) -> int:
-    """A stable 64-bit hash, remembered for the words met most (a bounded memo)."""
-    h = _WORD_HASH.get(w)
-    if h is None:
+    def __missing__(self, w: str) -> int:
         h = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        if len(_WORD_HASH) < 200_000:
-            _WORD_HASH[w] = h
-    return h
+        if len(self) < 200_000:
+            self[w] = h
+        return h
 
 
-class Sampler:
-    """Draws for every (sample, shingle) and weights from document frequencies."""
+_WORD_HASH = _WordHashes()
+
 
-    def __init__(self, levels: np.ndarray):
-        self.levels = levels  # idf level by place of the frequency table
+def _place(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int64)
+
+
+class Sampler:
+    """Draws for every (sample, shingle) and weights from document frequencies:
+    the idf levels of the frequent shingles, every other one having the last."""
+
+    def __init__(self, frequent: np.ndarray, levels: np.ndarray):
+        order = np.argsort(frequent)
+        self.frequent, self.levels = frequent[order], levels[order]
+        self.marked = np.zeros(PLACES, bool)
+        self.marked[_place(self.frequent)] = True
         rng = np.random.default_rng(20240601)
         self.r = rng.gamma(2.0, 1.0, DRAWS)
         self.log_c = np.log(rng.gamma(2.0, 1.0, DRAWS))
@@ -95,7 +117,11 @@ class Sampler:
         return self.log_c[at] - self.r[at] * (t - self.beta[at]) - self.r[at], t
 
     def weights(self, hashes: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        level = self.levels[(hashes >> np.uint64(64 - DF_BITS)).astype(np.int64)]
+        level = np.full(len(hashes), IDF_LEVELS - 1)
+        at = np.flatnonzero(self.marked[_place(hashes)])
+        if len(at):
+            i = np.minimum(np.searchsorted(self.frequent, hashes[at]), len(self.frequent) - 1)
+            level[at] = np.where(self.frequent[i] == hashes[at], self.levels[i], IDF_LEVELS - 1)
         return level, (1 + np.log(tf)) * (1 + IDF_SPAN * level / (IDF_LEVELS - 1))
 
     def signature(self, hashes: np.ndarray, tf: np.ndarray) -> np.ndarray:
@@ -135,29 +161,77 @@ def band_keys(signature: np.ndarray) -> list[int]:
 
 
 def fit_sampler(docs: DataFrame, text_col: str = "text") -> Sampler:
-    """Idf levels from the number of documents per place of the table."""
-    size = 1 << DF_BITS
+    """Idf levels from the exact number of documents of every frequent shingle."""
+    texts = docs.select(F.col(text_col).alias("t"))
 
-    def count(batches):
-        held = np.zeros(size + 1, np.int64)
+    def sieve(batches):
+        held, parts, waiting, n = np.zeros(PLACES, np.int64), [], 0, 0
         for pdf in batches:
             for t in pdf["t"]:
-                h, _ = shingles(words(t))
+                h = running(words(t))
                 if len(h):
-                    held[:size] += np.bincount((h >> np.uint64(64 - DF_BITS)).astype(np.int64), minlength=size)
-                    held[size] += 1
-        at = np.flatnonzero(held)
-        yield pd.DataFrame({"place": at, "n": held[at]})
-
-    places = (docs.select(F.col(text_col).alias("t")).mapInPandas(count, "place long, n long")
-              .groupBy("place").agg(F.sum("n").alias("n")))
-    held = np.zeros(size + 1)
-    for place, n in places.toLocalIterator():  # 65 537 rows at most
-        held[place] = n
-    total, load = max(held[size], 2.0), held[:size].mean()
-    alone = np.maximum(held[:size] - load, 1.0)
-    idf = np.clip(np.log(total / alone) / np.log(total), 0.0, 1.0)
-    return Sampler(np.round(idf * (IDF_LEVELS - 1)).astype(np.int64))
+                    n += 1
+                    parts.append(h)
+                    waiting += len(h)
+                if waiting >= HELD:
+                    held += np.bincount(_place(np.concatenate(parts)), minlength=PLACES)
+                    parts, waiting = [], 0
+        if parts:
+            held += np.bincount(_place(np.concatenate(parts)), minlength=PLACES)
+        if n:
+            yield pd.DataFrame({"part": np.arange(-1, PLACES // PART), "n": [np.int64(n).tobytes()] + [
+                x.tobytes() for x in held.reshape(-1, PART)]})
+
+    def merged(batches):
+        sums = {}
+        for pdf in batches:
+            for part, n in zip(pdf["part"], pdf["n"]):
+                x = np.frombuffer(n, np.int64)
+                sums[part] = sums[part] + x if part in sums else x
+        if sums:
+            yield pd.DataFrame({"part": list(sums), "n": [x.tobytes() for x in sums.values()]})
+
+    # The parts of all tasks stream into the task of their number.
+    summed = (texts.mapInPandas(sieve, "part int, n binary").repartition("part")
+              .mapInPandas(merged, "part int, n binary"))
+    total, load = 0, np.zeros(PLACES, np.int64)
+    for part, n in summed.collect():  # 8 MB, whatever the corpus
+        x = np.frombuffer(n, np.int64)
+        if part < 0:
+            total = int(x[0])
+        else:
+            load[part * PART:(part + 1) * PART] = x
+    marked = load * RARE >= max(total, 1)
+    none = Sampler(np.empty(0, np.uint64), np.empty(0, np.int64))
+    if not marked.any():
+        return none
+    held_marks = docs.sparkSession.sparkContext.broadcast(marked)
+
+    def count(batches):
+        marks, parts, waiting = held_marks.value, [], 0
+
+        def out():
+            h, n = np.unique(np.concatenate(parts), return_counts=True)
+            return pd.DataFrame({"h": h.view(np.int64), "n": n})
+
+        for pdf in batches:
+            for t in pdf["t"]:
+                h = running(words(t))
+                h = np.unique(h[marks[_place(h)]])
+                parts.append(h)
+                waiting += len(h)
+                if waiting >= HELD:
+                    yield out()
+                    parts, waiting = [], 0
+        if parts:
+            yield out()
+
+    counts = texts.mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    frequent = counts.filter(F.col("n") * RARE >= total).toPandas()  # RARE x the mean size of a set at most
+    share = frequent["n"].to_numpy(np.float64) / total
+    idf = np.clip(-np.log(share) / np.log(RARE), 0.0, 1.0)
+    return Sampler(frequent["h"].to_numpy(np.int64).view(np.uint64),
+                   np.round(idf * (IDF_LEVELS - 1)).astype(np.int64))
 
 
 def weighted_jaccard(a: bytes, b: bytes) -> float:
@@ -178,24 +252,34 @@ def _unpacked(x: bytes):
     return np.frombuffer(x, np.uint64, n), np.frombuffer(x, np.float32, n, 8 * n)
 
 
+def binned(hashes: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """The weight of a set in each of ``BINS`` parts of the hashes."""
+    return np.bincount((hashes & np.uint64(BINS - 1)).astype(np.int64), weight, BINS).astype(np.float32)
+
+
+def within_reach(p: np.ndarray, q: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether sets of these binned weights (a row each) may reach the
+    threshold: true wherever they do."""
+    low = np.minimum(p, q).sum(axis=1, dtype=np.float64)
+    return low * (1 + 1 / threshold) * (1 + 1e-5) >= p.sum(axis=1, dtype=np.float64) + q.sum(axis=1, dtype=np.float64)
+
+
 def _agreeing(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose sampled agreement allows, and whose exact
-    similarity reaches, the threshold."""
+    """The pairs ``a, b`` whose exact similarity reaches the threshold."""
     @F.pandas_udf("boolean")
     def likely(x: pd.Series, y: pd.Series) -> pd.Series:
         if not len(x):
             return pd.Series([], dtype=bool)
-        p = np.frombuffer(b"".join(x), np.uint32).reshape(-1, SAMPLES)
-        q = np.frombuffer(b"".join(y), np.uint32).reshape(-1, SAMPLES)
-        return pd.Series((p == q).mean(axis=1) >= ESTIMATE * threshold / THRESHOLD)
+        return pd.Series(within_reach(*(np.frombuffer(b"".join(z), np.float32).reshape(-1, BINS) for z in (x, y)),
+                                      threshold))
 
     @F.pandas_udf("boolean")
     def alike(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([weighted_jaccard(p, q) >= threshold for p, q in zip(x, y)], dtype=bool)
 
-    sig = nodes.select("f", "sig")
-    drawn = (pairs.join(sig.withColumnsRenamed({"f": "a", "sig": "_x"}), "a")
-             .join(sig.withColumnsRenamed({"f": "b", "sig": "_y"}), "b")
+    bins = nodes.select("f", "bins")
+    drawn = (pairs.join(bins.withColumnsRenamed({"f": "a", "bins": "_x"}), "a")
+             .join(bins.withColumnsRenamed({"f": "b", "bins": "_y"}), "b")
              .filter(likely("_x", "_y")).select("a", "b"))
     drawn = common.saved(drawn, "near-drawn")
     return (drawn.join(sets.withColumnsRenamed({"f": "a", "set": "_x"}), "a")
@@ -278,7 +362,7 @@ def _unlinked(members: DataFrame, labels: DataFrame, sets: DataFrame, threshold:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-_ROWS = "_k1 long, _k2 long, doc_id long, f binary, sig binary, bands array<long>"
+_ROWS = "_k1 long, _k2 long, doc_id long, f binary, bins binary, bands array<long>"
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -294,22 +378,23 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def sample(batches):
         for pdf in batches:
-            fs, sigs, bands = [], [], []
+            fs, bins, bands = [], [], []
             for t in pdf["t"]:
                 found = words(t)
                 if not found:
-                    fs.append(None), sigs.append(None), bands.append(None)
+                    fs.append(None), bins.append(None), bands.append(None)
                     continue
-                s = held.value.signature(*shingles(found))
+                h, tf = shingles(found)
                 fs.append(hashlib.blake2b(" ".join(found).encode("utf-8", "surrogatepass"),
                                           digest_size=16).digest())
-                sigs.append(s.tobytes()), bands.append(band_keys(s))
+                bins.append(binned(h, held.value.weights(h, tf)[1]).tobytes())
+                bands.append(band_keys(held.value.signature(h, tf)))
             yield pd.DataFrame({"_k1": pdf["_k1"], "_k2": pdf["_k2"], "doc_id": pdf["doc_id"].astype("Int64"),
-                                "f": fs, "sig": sigs, "bands": bands})
+                                "f": fs, "bins": bins, "bands": bands})
 
     rows = common.saved(keyed.mapInPandas(sample, _ROWS), "near-rows")
     nodes = rows.filter(F.col("f").isNotNull()).groupBy("f").agg(
-        F.first("sig").alias("sig"), F.first("bands").alias("bands"),
+        F.first("bins").alias("bins"), F.first("bands").alias("bands"),
         F.min(F.struct("_k1", "_k2")).alias("at"))
     nodes = common.saved(nodes, "near-nodes")
     members = nodes.select("f", F.explode("bands").alias("band"))

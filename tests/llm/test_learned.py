@@ -80,11 +80,11 @@ def test_near_duplicates_in_the_given_documents(spark):
 
 
 def test_samples_agree_as_often_as_texts_are_similar():
-    sampler = neardup.Sampler(np.arange(1 << neardup.DF_BITS) % neardup.IDF_LEVELS)
     rng = np.random.default_rng(3)
     agree, exact = [], []
     for _ in range(150):
         both = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+        sampler = neardup.Sampler(both[::2], np.arange(150) % neardup.IDF_LEVELS)
         parts = [np.sort(np.concatenate([both[:240], rng.integers(0, 1 << 63, 40).astype(np.uint64)])) for _ in range(2)]
         tf = [rng.integers(1, 4, len(p)) for p in parts]
         tf[1] = np.array([dict(zip(parts[0].tolist(), tf[0].tolist())).get(h, 1) for h in parts[1].tolist()])
@@ -94,6 +94,53 @@ def test_samples_agree_as_often_as_texts_are_similar():
     assert abs(np.mean(agree) - np.mean(exact)) < 0.02
 
 
+def test_document_frequencies_are_exact(spark, monkeypatch):
+    """Every shingle in one of RARE documents has the level of its own count,
+    whatever shares its place and however often a text repeats it."""
+    monkeypatch.setattr(neardup, "HELD", 500)
+    rnd = random.Random(8)
+    held = [f"{a} b c d e" for a in "uvwxyz"]
+    texts = []
+    for i in range(900):
+        own = " ".join(f"q{i}x{j}" for j in range(rnd.randrange(5, 40)))
+        shared = [h for k, h in enumerate(held) if i % (3 ** k) == 0]
+        texts.append(" ".join(f"{h} {h} s{i}k{k}" for k, h in enumerate(shared)) + " " + own)
+    texts += [None, "", "..."]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    sampler = neardup.fit_sampler(df)
+    counts = collections.Counter()
+    for t in texts:
+        counts.update(neardup.shingles(neardup.words(t))[0].tolist())
+    n = sum(bool(neardup.words(t)) for t in texts)
+    want = {h: round(min(1, np.log(n / c) / np.log(neardup.RARE)) * (neardup.IDF_LEVELS - 1))
+            for h, c in counts.items() if c * neardup.RARE >= n}
+    assert dict(zip(sampler.frequent.tolist(), sampler.levels.tolist())) == want
+    assert len(want) > 5 and len(set(want.values())) > 3
+    h = np.array(sorted(counts), np.uint64)
+    level, _ = sampler.weights(h, np.ones(len(h)))
+    assert level.tolist() == [want.get(x, neardup.IDF_LEVELS - 1) for x in h.tolist()]
+
+
+def test_no_pair_that_reaches_the_threshold_is_left_unverified():
+    rng = np.random.default_rng(5)
+    left = near = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 400))
+        keep = rng.random()
+        h = rng.integers(0, 1 << 63, (3, n)).astype(np.uint64)
+        k = int(n * keep)
+        sets = [np.unique(np.concatenate([h[0, :k], x[:n - k]])) for x in h[1:]]
+        weights = [rng.choice([1.0, 1.1, 2.7], len(x)).astype(np.float32) for x in sets]
+        same_ = dict(zip(sets[0].tolist(), weights[0].tolist()))
+        weights[1] = np.array([same_.get(x, w) for x, w in zip(sets[1].tolist(), weights[1])], np.float32)
+        exact = neardup.weighted_jaccard(*(neardup._packed(x, w) for x, w in zip(sets, weights)))
+        reach = neardup.within_reach(*(neardup.binned(x, w)[None] for x, w in zip(sets, weights)), 0.8)[0]
+        assert reach or exact < 0.8
+        near += exact >= 0.8
+        left += not reach
+    assert near > 200 and left > 1000
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     df = awkward.docs(spark)
     out = neardup.near_duplicates(df).collect()
