@@ -27,9 +27,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,7 @@ BINS = 64           # parts of a set that the bounds on common weight look at
 DRAWS = 1 << 16     # places of the table of random draws
 BLOCK = 4096
 HELD = 1 << 20      # shingles a task holds before it counts them
+RUN = 1 << 15       # words hashed at once, but for one longer text
 
 _WORD = re.compile(r"\w+")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -65,29 +68,42 @@ def shingles(found: list[str], size: int = SHINGLE) -> tuple[np.ndarray, np.ndar
 
 def running(found: list[str], size: int = SHINGLE) -> np.ndarray:
     """The hash of the shingle at every place of the text."""
-    if not found:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(_WORD_HASH.__getitem__, found), np.uint64, len(found))
-    k = min(size, len(h))
-    n = len(h) - k + 1
-    s = np.full(n, np.uint64(k))
-    for i in range(k):
+    return _mixed(_hashed(found, len(found)), min(size, len(found)))
+
+
+def _hashed(found, n: int) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, n)
+
+
+def _mixed(h: np.ndarray, k: int) -> np.ndarray:
+    """The hash of every ``k`` word hashes in a row."""
+    n = len(h) - k + 1 if k else 0
+    s = np.full(max(n, 0), np.uint64(k))
+    for i in range(k if len(s) else 0):
         s = (s ^ h[i:i + n]) * _MULTIPLY
         s ^= s >> np.uint64(29)
     return s
 
 
-class _WordHashes(dict):
-    """A stable 64-bit hash per word, remembered for the first words met (a bounded memo)."""
-
-    def __missing__(self, w: str) -> int:
-        h = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        if len(self) < 200_000:
-            self[w] = h
-        return h
+def runs(texts):
+    """Per text its words and its ``running`` hashes; short texts are hashed together."""
+    held, n = [], 0
+    for t in texts:
+        held.append(words(t))
+        n += len(held[-1])
+        if n >= RUN:
+            yield from zip(held, _running_together(held, n))
+            held, n = [], 0
+    yield from zip(held, _running_together(held, n))
 
 
-_WORD_HASH = _WordHashes()
+def _running_together(lists: list[list[str]], n: int):
+    h = _hashed(chain.from_iterable(lists), n)
+    s, a = _mixed(h, SHINGLE), 0
+    for found in lists:
+        b = a + len(found)
+        yield s[a:b - SHINGLE + 1] if b - a >= SHINGLE else _mixed(h[a:b], b - a)
+        a = b
 
 
 def _place(hashes: np.ndarray) -> np.ndarray:
@@ -130,16 +146,16 @@ class Sampler:
         level, weight = self.weights(hashes, tf)
         best = np.full(SAMPLES, np.inf, np.float32)
         chosen = np.zeros(SAMPLES, np.int64)
-        columns = np.arange(SAMPLES)
+        rows = np.arange(SAMPLES)
         for a in range(0, len(hashes), BLOCK):
             h = hashes[a:a + BLOCK]
-            place = ((h[:, None] * self.odd) >> np.uint64(48)).astype(np.int32)
-            value = self.once.take(place + (level[a:a + BLOCK, None].astype(np.int32) << 16))
+            place = ((h * self.odd[:, None]) >> np.uint64(48)).astype(np.int32)
+            value = self.once.take(place + (level[a:a + BLOCK].astype(np.int32) << 16))
             many = np.flatnonzero(tf[a:a + BLOCK] > 1)
             if len(many):
-                value[many] = self._draw(np.log(weight[a + many])[:, None], place[many])[0]
-            least = value.argmin(axis=0)  # ties: the smaller hash
-            v = value[least, columns]
+                value[:, many] = self._draw(np.log(weight[a + many]), place[:, many])[0]
+            least = value.argmin(axis=1)  # ties: the smaller hash
+            v = value[rows, least]
             better = v < best
             best = np.where(better, v, best)
             chosen = np.where(better, least + a, chosen)
@@ -167,8 +183,7 @@ def fit_sampler(docs: DataFrame, text_col: str = "text") -> Sampler:
     def sieve(batches):
         held, parts, waiting, n = np.zeros(PLACES, np.int64), [], 0, 0
         for pdf in batches:
-            for t in pdf["t"]:
-                h = running(words(t))
+            for _, h in runs(pdf["t"]):
                 if len(h):
                     n += 1
                     parts.append(h)
@@ -215,8 +230,7 @@ def fit_sampler(docs: DataFrame, text_col: str = "text") -> Sampler:
             return pd.DataFrame({"h": h.view(np.int64), "n": n})
 
         for pdf in batches:
-            for t in pdf["t"]:
-                h = running(words(t))
+            for _, h in runs(pdf["t"]):
                 h = np.unique(h[marks[_place(h)]])
                 parts.append(h)
                 waiting += len(h)
@@ -379,12 +393,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def sample(batches):
         for pdf in batches:
             fs, bins, bands = [], [], []
-            for t in pdf["t"]:
-                found = words(t)
+            for found, h in runs(pdf["t"]):
                 if not found:
                     fs.append(None), bins.append(None), bands.append(None)
                     continue
-                h, tf = shingles(found)
+                h, tf = np.unique(h, return_counts=True)
                 fs.append(hashlib.blake2b(" ".join(found).encode("utf-8", "surrogatepass"),
                                           digest_size=16).digest())
                 bins.append(binned(h, held.value.weights(h, tf)[1]).tobytes())
@@ -414,8 +427,8 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def pack(batches):
         for pdf in batches:
             out = []
-            for t in pdf["t"]:
-                h, tf = shingles(words(t))
+            for _, h in runs(pdf["t"]):
+                h, tf = np.unique(h, return_counts=True)
                 out.append(_packed(h, held.value.weights(h, tf)[1]))
             yield pd.DataFrame({"f": pdf["f"], "set": out})
 

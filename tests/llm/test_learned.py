@@ -121,6 +121,20 @@ def test_document_frequencies_are_exact(spark, monkeypatch):
     assert level.tolist() == [want.get(x, neardup.IDF_LEVELS - 1) for x in h.tolist()]
 
 
+def test_texts_hashed_together_keep_their_own_shingles(monkeypatch):
+    monkeypatch.setattr(neardup, "RUN", 40)
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{rnd.randrange(30)}" for _ in range(rnd.choice([0, 1, 2, 4, 5, 6, 30, 90]))) for _ in range(200)]
+    out = list(neardup.runs([None, *texts, "é ß", "!"]))
+    assert [found for found, _ in out] == [neardup.words(t) for t in (None, *texts, "é ß", "!")]
+    assert all(h.tolist() == neardup.running(found).tolist() for found, h in out)
+    ids = {}
+    for found, h in out:
+        grams = [tuple(found[i:i + 5]) for i in range(max(len(found) - 4, min(len(found), 1)))]
+        assert len(grams) == len(h) and all(ids.setdefault(g, x) == x for g, x in zip(grams, h.tolist()))
+    assert len(set(ids.values())) == len(ids)
+
+
 def test_no_pair_that_reaches_the_threshold_is_left_unverified():
     rng = np.random.default_rng(5)
     left = near = 0
