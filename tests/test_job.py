@@ -1,6 +1,7 @@
 """Sync job lifecycle: full, incremental, empty, failures, resume, publish."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -164,6 +165,32 @@ def test_a_delta_rewrites_only_the_buckets_of_its_keys(spark, workdir):
     assert store.current("t").where("id IS NULL").count() == 2
 
 
+def test_a_day_may_reach_all_buckets_but_no_other(spark, workdir, monkeypatch):
+    from tablesync import registry
+
+    def orders(folder, rows, days):
+        spark.range(rows).select(
+            F.col("id").alias("o_orderkey"), F.col("id").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
+            F.col("id").cast("double").alias("o_totalprice"),
+            F.expr(f"timestamp_ntz'2001-01-01' + make_dt_interval(cast(id % {days} as int))").alias("o_orderdate"),
+        ).write.parquet(f"{workdir}/{folder}/orders.parquet")
+        return f"{workdir}/{folder}"
+
+    # All 256 buckets hold keys of the last day: both deltas are published.
+    rows = registry.publish_buckets(spark, orders("all", 4000, 1)).collect()
+    assert len(rows) == 4000 and all(r.o_totalprice == r.o_orderkey + 1003 for r in rows)
+    # A store that rewrites other buckets as well is caught.
+    original = TableStore.write_delta
+
+    def careless(self, table, staged, *args, **kw):
+        done = original(self, table, staged, *args, **kw)
+        return replace(done, folders={b: f"./{f}" for b, f in done.folders.items()})  # other names, same rows
+
+    monkeypatch.setattr(TableStore, "write_delta", careless)
+    with pytest.raises(RuntimeError, match="none of its keys"):
+        registry.publish_buckets(spark, orders("few", 600, 300))
+
+
 def test_a_failed_publish_leaves_the_old_pointer(spark, workdir, monkeypatch):
     store = TableStore(spark, workdir)
     store.publish("f", spark.range(50), run_id="0", pk="id")
