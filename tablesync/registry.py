@@ -483,7 +483,7 @@ def page_explode(spark, sf_dir):
 
 def _land(spark, bodies) -> str:
     root = scratch_dir(spark, "pages") + "/bodies"
-    bodies.write.partitionBy("endpoint", "page").text(root)
+    paged.write_blocks(bodies, root)
     return root
 
 

@@ -334,6 +334,53 @@ def test_a_restarted_stream_asks_for_new_pages_only(spark, workdir, server):
     assert _stream(spark, store, options, f"{workdir}/cp2") == second
 
 
+def test_the_newest_key_of_text_pages_is_read_without_a_record_loop(workdir, monkeypatch):
+    pages = [{"registros": [{"k": f"{(7 * i + p) % 90:02d}", "n": 90 - i, "m": i or "x"} for i in range(20)]}
+             for p in range(9)]
+    _write_pages(workdir, "t", [*pages[:5], {"registros": []}, *pages[5:]])
+    _write_pages(workdir, "u", [{"registros": [{"k": "a\u00e9\n"}, {"k": ""}, {"k": None}, {}], "total": "4"}])
+    fetcher = paged.DirectoryFetcher({"path": workdir})
+    until_the_gap = [r for p in pages[:5] for r in p["registros"]]
+    assert fetcher.newest("t", "m", None, True) == "19"  # text among numbers: record by record
+    assert fetcher.newest("t", "m", None) == "x" and fetcher.newest("none", "k", None) is None
+    assert paged.newest_of_pages(['{"registros": [{"k": 1}, {"k": "2"}]}', "{}"], "k", False) == ("2", True)
+    assert paged.newest_of_pages(['{"registros": [{"k": 9}]}', ' {"registros":\n[{"k": 10}]}'], "k", True) == ("10", False)
+    monkeypatch.setattr(paged, "cursor_order", lambda c, numeric, order=paged.cursor_order: seen.append(c) or order(c, numeric))
+    seen = []
+    assert fetcher.newest("t", "k", None) == max(r["k"] for r in until_the_gap)
+    assert fetcher.newest("t", "n", None, True) == "90" and fetcher.newest("u", "k", None) == "a\u00e9\n"
+    assert len(seen) < 20  # a few a window of pages, none a record
+
+
+def test_ranges_follow_the_size_of_the_pages():
+    def ranges(n, text="", **options):
+        reader = paged._Pages({"endpoints": "e", "path": "/none", **options})
+        body = json.dumps({"registros": [{"t": text}], "total": n})
+        reader._text = lambda f, e, p, s: body
+        parts = reader.plan(None)
+        assert [p.first for p in parts[1:]] == [p.last + 1 for p in parts[:-1]] and parts[-1].last == n
+        return parts
+
+    assert len(ranges(14_400, cores="12")) == 36 and len(ranges(100, cores="12")) == 13
+    assert len(ranges(14_400, "x" * 2 ** 20, cores="1")) > 400  # 31 pages of a MB each
+    assert len(ranges(100, pagesPerPartition="3")) == 34
+
+
+def test_pages_in_blocks_are_served_like_pages_in_folders(spark, workdir):
+    bodies = {p: json.dumps({"registros": [{"id": p, "t": "a\tb\u00e9"}], "total": "200"}) for p in range(1, 201)}
+    rows = spark.createDataFrame([("e", p, b) for p, b in bodies.items()], "endpoint string, page int, body string")
+    paged.write_blocks(rows, f"{workdir}/blocks")
+    files = [f for _, _, names in os.walk(f"{workdir}/blocks") for f in names if f.endswith(".txt")]
+    assert len(files) < 10  # not one a page
+    fetcher = paged.DirectoryFetcher({"path": f"{workdir}/blocks"})
+    for page in (1, 64, 63, 200, 128, 2):
+        assert fetcher.fetch_text("e", page, 1, None) == bodies[page]
+    assert fetcher.fetch_text("e", 0, 1, None) is None and fetcher.fetch_text("e", 201, 1, None) is None
+    assert fetcher.fetch_text("f", 1, 1, None) is None and fetcher.fetch("e", 500, 1, None)["registros"] == []
+    scan = paged.paged_scan(spark, ["e"], f"{workdir}/blocks", page_size=1)
+    assert sorted(r.id for r in paged.parse_records(scan, "id long").collect()) == list(range(1, 201))
+
+
 def test_stream_cursors_as_numbers():
     reader = paged.PagedStreamReader({"endpoints": "e", "path": "/none", "replicationKey": "k", "numeric": "true"})
     part = paged.PageRange("e", 1, 1, False, "9", "10")
